@@ -10,6 +10,7 @@ from .common import table
 from .decontaminate import contamination
 from .exact_dedup import exact_groups
 from .html_text import extract_text
+from .jaccard_join import jaccard_components
 from .packing import pack_documents
 from .toxicity import toxicity
 
@@ -18,6 +19,10 @@ def op2_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -37,10 +42,40 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_bestfit_packing, op6_exact_dedup, op8_toxicity, op9_decontamination, op10_html_extraction)
+    for f in (
+        op2_bestfit_packing,
+        op3_jaccard_join,
+        op6_exact_dedup,
+        op8_toxicity,
+        op9_decontamination,
+        op10_html_extraction,
+    )
 }
 
 ORACLE: dict[str, str] = {
+    "op3_jaccard_join": r"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        sh AS (
+          SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] ELSE
+            [hash(array_to_string(ws[i:i + 4], ' ')) FOR i IN range(1, greatest(len(ws) - 4, 1) + 1)] END) AS s FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+        pairs AS (
+          SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id
+          GROUP BY ALL),
+        links AS (
+          SELECT x, y FROM pairs JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+          WHERE 100 * i >= 80 * (nx.n + ny.n - i)),
+        sym AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+        reach(x, root) AS (
+          SELECT doc_id, doc_id FROM documents
+          UNION
+          SELECT sym.y, root FROM reach JOIN sym ON sym.x = reach.x WHERE sym.y > root)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+        FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
+        JOIN (SELECT x, min(root) AS component_id FROM reach GROUP BY x) c ON c.x = d.doc_id
+    """,
     "op6_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
         g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
