@@ -159,7 +159,8 @@ def _same_text(text: Column) -> Column:
 
 def _marks(rows: DataFrame, *more: str) -> DataFrame:
     names = ["sig", "sig2", *more]
-    return rows.dropDuplicates(["sig", "sig2"]).select([F.col(c).alias(f"__{c}") for c in names])
+    marks = rows.dropDuplicates(["sig", "sig2"]).select([F.col(c).alias(f"__{c}") for c in names])
+    return maybe_broadcast(stash(marks, "decon-marks"), 100_000)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:

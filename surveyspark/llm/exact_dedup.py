@@ -7,7 +7,7 @@ length are then compared chunk by chunk with their group's representative; a row
 by its SHA-256 instead, so the result is exact.
 
 Defined cases: a null text counts as empty; empty texts are equal to each other; a table without rows gives no rows;
-of repeated rows (same id and text) exactly one is kept; further columns of the input are ignored.
+of repeated rows (same id and text) exactly one is kept; a null id is less than any other; further columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -138,23 +138,28 @@ def exact_groups(
         .mapInPandas(_compare, marks.select("doc_id", "fp", "n_bytes", "text_sha256").schema),
         "exact-collisions",
     )
-    odd = maybe_broadcast(differing.distinct().withColumn("odd", F.col("text_sha256")))
-    marks = marks.join(odd, ["doc_id", "fp", "n_bytes", "text_sha256"], "left")
+    odd = maybe_broadcast(differing.drop("doc_id").distinct().withColumn("odd", F.col("text_sha256")))
+    marks = marks.join(odd, ["fp", "n_bytes", "text_sha256"], "left")
     key = ["fp", "n_bytes", "odd"]
     marks = marks.withColumn("odd", F.coalesce("odd", F.lit("")))
     sizes = marks.groupBy(key).agg(F.count("*").alias("group_size"), F.max("doc_id").alias("keep_id"))
     first = F.row_number().over(Window.partitionBy("doc_id", "text_sha256").orderBy("fp"))
     return (
         marks.join(sizes, key)
-        .withColumn("kept", (F.col("doc_id") == F.col("keep_id")) & (first == 1))
+        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")) & (first == 1))
         .select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
     )
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input rows that stay, with all their columns."""
-    kept = exact_groups(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    sha = F.sha2(F.coalesce(docs[text_col], F.lit("")), 256)
-    marked = docs.withColumns({"__i": docs[id_col], "__s": sha})
-    once = marked.join(kept, (F.col("__i") == F.col("__id")) & (F.col("__s") == F.col("__sha")), "left_semi")
-    return once.dropDuplicates(["__i", "__s"]).drop("__i", "__s")
+    marks = stash(exact_groups(docs, id_col, text_col), "exact-result")
+    rows = marks.groupBy(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).agg(
+        F.count("*").alias("__n"), F.max("kept").alias("__kept")
+    )
+    same = docs[id_col].eqNullSafe(F.col("__id")) & (F.sha2(F.coalesce(docs[text_col], F.lit("")), 256) == F.col("__sha"))
+    gone = maybe_broadcast(stash(rows.filter("NOT __kept OR __n > 1").select("__id", "__sha"), "exact-gone"))
+    # rows that are there several times, of which one stays
+    again = maybe_broadcast(stash(rows.filter("__kept AND __n > 1").select("__id", "__sha"), "exact-again"))
+    once = docs.join(again, same, "left_semi").withColumn("__s", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+    return docs.join(gone, same, "left_anti").unionByName(once.dropDuplicates([id_col, "__s"]).drop("__s"))

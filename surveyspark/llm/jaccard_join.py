@@ -370,5 +370,6 @@ def jaccard_components(
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """One document of each component stays, that of the least id, with all its columns."""
-    kept = jaccard_components(docs, id_col, text_col, **kw).filter("doc_id = component_id OR doc_id IS NULL").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(F.col("__id")), "left_semi")
+    found = jaccard_components(docs, id_col, text_col, **kw)
+    gone = stash(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct(), "jaccard-gone")
+    return docs.join(maybe_broadcast(gone), docs[id_col] == F.col("__id"), "left_anti")

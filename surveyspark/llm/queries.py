@@ -12,6 +12,7 @@ from .exact_dedup import exact_groups
 from .html_text import extract_text
 from .jaccard_join import jaccard_components
 from .packing import pack_documents
+from .substrings import drop_repeats
 from .toxicity import toxicity
 
 
@@ -23,6 +24,10 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeats(table(spark, sf_dir, "documents")).drop("removed")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -45,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op2_bestfit_packing,
         op3_jaccard_join,
+        op4_suffix_dedup,
         op6_exact_dedup,
         op8_toxicity,
         op9_decontamination,

@@ -357,3 +357,22 @@ def toxicity(
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def drop_toxic(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    threshold: float = 0.7,
+    max_docs: int = MAX_DOCS,
+) -> DataFrame:
+    """The input rows that are not predicted toxic, with all their columns."""
+    model = train(training_bags(own(docs, id_col, text_col), labels, max_docs))
+
+    def clean(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer = Scorer(model)
+        for pdf in batches:
+            yield pdf[scorer.scores(list(pdf[text_col])) < threshold]
+
+    return docs.mapInPandas(clean, docs.schema)
