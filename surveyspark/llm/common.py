@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Rows up to which a narrow table (a few longs a row) may be broadcast; beyond it joins shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -46,3 +51,27 @@ def own(df: DataFrame, id_col: str, text_col: str, **extra: str) -> DataFrame:
     return df.select(
         df[id_col].alias("doc_id"), df[text_col].alias("text"), *[df[v].alias(k) for k, v in extra.items()]
     )
+
+
+def frame(batch: pa.RecordBatch) -> pd.DataFrame:
+    """A batch in pandas. Integer columns with nulls keep exact integers."""
+    cols = {}
+    for name, col in zip(batch.schema.names, batch.columns, strict=True):
+        exact = pa.types.is_integer(col.type) and col.null_count
+        cols[name] = col.to_pandas(types_mapper={col.type: pd.Int64Dtype()}.get) if exact else col.to_pandas()
+    return pd.DataFrame(cols)
+
+
+def map_pandas(
+    df: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: T.StructType | str
+) -> DataFrame:
+    """``mapInPandas`` that keeps long ids exact where some are null."""
+    kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    kind = T.StructType([T.StructField(f.name, f.dataType) for f in kind])
+    arrow = to_arrow_schema(kind)
+
+    def batches(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for pdf in run(frame(b) for b in them if b.num_rows):
+            yield pa.RecordBatch.from_pandas(pdf[arrow.names], schema=arrow, preserve_index=False)
+
+    return df.mapInArrow(batches, kind)

@@ -13,13 +13,14 @@ of repeated rows (same id and text) exactly one is kept; a null id is less than
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import maybe_broadcast, own, stash
+from .common import map_pandas, maybe_broadcast, own, stash
 
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASES = (1_103_515_245, 1_220_703_125)
@@ -82,18 +83,18 @@ def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pdf.drop(columns="piece").assign(h=fps)
 
 
-def _join_pieces(key, pdf: pd.DataFrame) -> pd.DataFrame:
+def _join_pieces(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
     """One huge text: a row for each of its pieces (a few bytes for each ``HUGE_BYTES`` of text)."""
     h = (0, 0)
     for x, n in pdf.sort_values("k")[["h", "len"]].itertuples(index=False):
         h = combine(h, (int(x) >> 31, int(x) & 0x7FFFFFFF), int(n))
-    return pd.DataFrame({"doc_id": [key[0]], "text_sha256": [key[1]], "fp": [h[0] << 31 | h[1]]})
+    return pd.DataFrame({"text_sha256": [key[0]], "fp": [h[0] << 31 | h[1]]})
 
 
 def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         same = [same_text(a.encode(), b.encode()) for a, b in zip(pdf.text, pdf.rep_text, strict=True)]
-        yield pdf.loc[~np.array(same, bool), ["doc_id", "fp", "n_bytes", "text_sha256"]]
+        yield pdf.loc[~np.array(same, bool), ["fp", "n_bytes", "text_sha256"]]
 
 
 def with_fingerprints(docs: DataFrame, huge_bytes: int = HUGE_BYTES) -> DataFrame:
@@ -101,21 +102,19 @@ def with_fingerprints(docs: DataFrame, huge_bytes: int = HUGE_BYTES) -> DataFram
     base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     base = base.withColumns({"n_bytes": F.octet_length("text").cast("long"), "text_sha256": F.sha2("text", 256)})
     schema = base.schema.add("fp", "long")
-    small = base.filter(F.col("n_bytes") <= huge_bytes).mapInPandas(_whole, schema)
+    small = map_pandas(base.filter(F.col("n_bytes") <= huge_bytes), _whole, schema)
     huge = base.filter(F.col("n_bytes") > huge_bytes)
     cut = (
-        huge.select("doc_id", "text_sha256", F.encode("text", "utf-8").alias("raw"))
-        .dropDuplicates(["doc_id", "text_sha256"])
+        huge.select("text_sha256", F.encode("text", "utf-8").alias("raw"))
+        .dropDuplicates(["text_sha256"])
         .withColumn("k", F.explode(F.sequence(F.lit(0), F.expr(f"int((octet_length(raw) - 1) / {huge_bytes})"))))
-        .select("doc_id", "text_sha256", "k", F.expr(f"substring(raw, k * {huge_bytes} + 1, {huge_bytes})").alias("piece"))
+        .select("text_sha256", "k", F.expr(f"substring(raw, k * {huge_bytes} + 1, {huge_bytes})").alias("piece"))
         .withColumn("len", F.octet_length("piece").cast("long"))
-        .repartition("doc_id", "k")
-        .mapInPandas(_pieces, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_sha256 string, k int, len long, h long")
+        .repartition("text_sha256", "k")
     )
-    whole = cut.groupBy("doc_id", "text_sha256").applyInPandas(
-        _join_pieces, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_sha256 string, fp long"
-    )
-    return small.unionByName(huge.join(whole, ["doc_id", "text_sha256"]).select(small.columns))
+    cut = map_pandas(cut, _pieces, "text_sha256 string, k int, len long, h long")
+    whole = cut.groupBy("text_sha256").applyInPandas(_join_pieces, "text_sha256 string, fp long")
+    return small.unionByName(huge.join(whole, "text_sha256").select(small.columns))
 
 
 def exact_groups(
@@ -130,15 +129,16 @@ def exact_groups(
         "exact-groups",
     )
     members = texts.join(maybe_broadcast(groups), key)
-    reps = members.filter("doc_id = rep_id").groupBy(key).agg(F.min("text").alias("rep_text"))
+    reps = members.filter("doc_id <=> rep_id").groupBy(key).agg(F.min("text").alias("rep_text"))
     differing = stash(
-        members.filter("doc_id <> rep_id")
-        .select("doc_id", "text", "text_sha256", *key)
-        .join(reps, key)
-        .mapInPandas(_compare, marks.select("doc_id", "fp", "n_bytes", "text_sha256").schema),
+        map_pandas(
+            members.filter("NOT (doc_id <=> rep_id)").select("text", "text_sha256", *key).join(reps, key),
+            _compare,
+            "fp long, n_bytes long, text_sha256 string",
+        ),
         "exact-collisions",
     )
-    odd = maybe_broadcast(differing.drop("doc_id").distinct().withColumn("odd", F.col("text_sha256")))
+    odd = maybe_broadcast(differing.distinct().withColumn("odd", F.col("text_sha256")))
     marks = marks.join(odd, ["fp", "n_bytes", "text_sha256"], "left")
     key = ["fp", "n_bytes", "odd"]
     marks = marks.withColumn("odd", F.coalesce("odd", F.lit("")))

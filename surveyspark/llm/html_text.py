@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_pandas
+
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre search section summary table tbody "
@@ -168,4 +170,4 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     """One row per input row: page_id, url, text, n_chars."""
     rows = pages.select(pages[id_col].alias("page_id"), pages[url_col].alias("url"), F.col(html_col).alias("html"))
     schema = rows.drop("html").schema.add("text", "string").add("n_chars", "long")
-    return rows.mapInPandas(_texts, schema)
+    return map_pandas(rows, _texts, schema)

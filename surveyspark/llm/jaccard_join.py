@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import maybe_broadcast, own, stash
+from .common import map_pandas, maybe_broadcast, own, stash
 
 WORDS, PERCENT = 5, 80
 #: Prefix postings from which a shingle counts as common, and the most shingles in that list (8 bytes each).
@@ -116,7 +116,7 @@ def _postings(words: int, percent: int, common: np.ndarray) -> Callable[[Iterato
                 first = s[~late][:k]
                 rows.append((point_id(s), len(s), first, s[late][: k - len(first)]))
             out = pd.DataFrame(rows, columns=["node", "n", "rare", "often"])
-            yield out.assign(doc_id=pdf.doc_id.to_numpy())[["doc_id", "node", "n", "rare", "often"]]
+            yield out.assign(doc_id=pdf.doc_id)[["doc_id", "node", "n", "rare", "often"]]
 
     return run
 
@@ -227,7 +227,7 @@ class Metric:
                 yield pdf[[point_id(s) == k for s, k in zip(own_sets, pdf.node, strict=True)]]  # an id may have other texts
 
         texts = self.docs.join(maybe_broadcast(used), "doc_id").select("node", "text")
-        members = texts.mapInPandas(sets, "node long, s binary")
+        members = map_pandas(texts, sets, "node long, s binary")
         wide = near.join(members.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(
             members.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b"
         )
@@ -338,7 +338,7 @@ def jaccard_components(
     docs = own(docs, id_col, text_col)
     kind = docs.schema["doc_id"].dataType.simpleString()
     sketch = stash(
-        docs.mapInPandas(_points(words, percent), f"doc_id {kind}, n long, node long, coords binary, lead array<long>"),
+        map_pandas(docs, _points(words, percent), f"doc_id {kind}, n long, node long, coords binary, lead array<long>"),
         "jaccard-points",
     )
     some = sketch.filter("n > 0")
@@ -350,7 +350,7 @@ def jaccard_components(
         "jaccard-nodes",
     )
     copied = maybe_broadcast(points.filter("copies > 1").select("node", F.col("doc_id").alias("rep")))
-    rows = docs.mapInPandas(_postings(words, percent, often), f"doc_id {kind}, node long, n long, rare array<long>, often array<long>")
+    rows = map_pandas(docs, _postings(words, percent, often), f"doc_id {kind}, node long, n long, rare array<long>, often array<long>")
     rows = rows.filter("n > 0").join(copied, "node", "left").filter("rep IS NULL OR rep = doc_id")
     postings = rows.select(
         "node", "n", F.inline(F.expr("concat(transform(rare, h -> struct(0 AS often, h)), transform(often, h -> struct(1 AS often, h)))"))

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import own
+from .common import map_pandas, own
 
 CAPACITIES = (512, 1024, 2048, 4096)
 #: Pieces that one task packs at a time; each batch of so many is packed on its own.
@@ -139,4 +139,4 @@ def pack_documents(
     )
     n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     schema = pieces.schema.add("bin_id", "string").add("bin_offset", "long").add("bin_length", "long")
-    return pieces.repartition(n_parts).mapInPandas(_packer(tuple(capacities), batch), schema)
+    return map_pandas(pieces.repartition(n_parts), _packer(tuple(capacities), batch), schema)

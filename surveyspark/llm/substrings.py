@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import maybe_broadcast, own, stash
+from .common import map_pandas, maybe_broadcast, own, stash
 
 LENGTH = 200
 GRAM, ONE_IN = 16, 32
@@ -356,7 +356,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     touched = maybe_broadcast(by_text.select("sig"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     cut = docs.join(touched, "sig", "left_semi").join(by_text, "sig").select("doc_id", "text", "spans")
-    cut = cut.mapInPandas(_cut(length), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<start:long,end:long>>")
+    cut = map_pandas(cut, _cut(length), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<start:long,end:long>>")
     whole = docs.join(touched, "sig", "left_anti").select(
         "doc_id",
         F.octet_length("text").cast("long").alias("n_bytes"),

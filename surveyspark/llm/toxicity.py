@@ -28,10 +28,11 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import own
+from .common import map_pandas, own
 
 P, DECAY, LANDMARKS = 3, 0.6, 160
 #: Labelled documents and distinct chunks that training takes at most.
@@ -327,7 +328,7 @@ def training_bags(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS)
             yield pd.DataFrame({"toxic": pdf.toxic == 1, "doc_id": pdf.doc_id, "chunks": found})
 
     kind = joined.schema["doc_id"].dataType.simpleString()
-    got = joined.mapInPandas(chunks, f"toxic boolean, doc_id {kind}, chunks array<string>")
+    got = map_pandas(joined, chunks, f"toxic boolean, doc_id {kind}, chunks array<string>")
     # bounded also in width: of a document with very many distinct chunks, those of least hash
     got = got.withColumn("chunks", F.expr("slice(array_sort(chunks, (a, b) -> CASE WHEN xxhash64(a) < xxhash64(b) THEN -1 WHEN xxhash64(a) > xxhash64(b) THEN 1 ELSE 0 END), 1, 3000)"))
     return [(bool(r.toxic), list(r.chunks)) for r in got.orderBy("doc_id", F.xxhash64("chunks")).collect()]
@@ -350,7 +351,7 @@ def toxicity(
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf.doc_id, "score": scorer.scores(list(pdf.text))})
 
-    scored = docs.mapInPandas(score, docs.select("doc_id").schema.add("score", "double"))
+    scored = map_pandas(docs, score, docs.select("doc_id").schema.add("score", "double"))
     return scored.select(
         "doc_id",
         F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
@@ -370,9 +371,9 @@ def drop_toxic(
     """The input rows that are not predicted toxic, with all their columns."""
     model = train(training_bags(own(docs, id_col, text_col), labels, max_docs))
 
-    def clean(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
-        for pdf in batches:
-            yield pdf[scorer.scores(list(pdf[text_col])) < threshold]
+        for batch in batches:
+            yield batch.filter(pa.array(scorer.scores(batch.column(text_col).to_pylist()) < threshold))
 
-    return docs.mapInPandas(clean, docs.schema)
+    return docs.mapInArrow(clean, docs.schema)
