@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import table
+from .common import stash, table
 from .decontaminate import contamination
 from .exact_dedup import exact_groups
 from .html_text import extract_text
 from .jaccard_join import jaccard_components
+from .license_scan import scan_licenses
+from .line_templates import drop_lines
 from .packing import pack_documents
 from .substrings import drop_repeats
+from .token_rollup import VERSIONS, Rollup, revised, rollup_folder, signed, token_counts
 from .toxicity import toxicity
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op2_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -28,10 +37,33 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeats(table(spark, sf_dir, "documents")).drop("removed")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = drop_lines(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after batches: four of inserts with estimated counts, one repeated, one of revisions to the true counts, and
+    one that deletes documents without any token."""
+    counts = stash(token_counts(table(spark, sf_dir, "documents")), "token-counts")
+    each = counts.select(
+        "doc_id", "source", "lang", (F.col("n_chars") / 4).cast("long").alias("estimate"),
+        F.explode(F.map_from_arrays(F.array(*map(F.lit, VERSIONS)), "counts")).alias("tokenizer", "n_tokens"),
+    )
+    rollup = Rollup(spark, rollup_folder(spark, f"token-rollup-{uuid.uuid4().hex}"))
+    part = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(4)), F.lit(0))
+    inserts = [f"insert-{k}" for k in range(4)]
+    for k, name in [*enumerate(inserts), (2, inserts[2])]:
+        rollup.commit(name, signed(each.filter(part == k), 1, "estimate"))
+    rollup.commit("revise-0", revised(each, "estimate", "n_tokens"))
+    rollup.commit("delete-0", signed(each.filter("n_tokens = 0"), -1))
+    return rollup.totals([*inserts, "revise-0", "delete-0"])
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -48,10 +80,13 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_license_scan,
         op2_bestfit_packing,
         op3_jaccard_join,
         op4_suffix_dedup,
+        op5_line_dedup,
         op6_exact_dedup,
+        op7_token_counts,
         op8_toxicity,
         op9_decontamination,
         op10_html_extraction,
