@@ -1,4 +1,9 @@
 """All queries of the survey operators and their oracle SQL."""
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from __future__ import annotations
+
+from . import file_queries, line_queries, point_queries
+
+MODULES = (line_queries, file_queries, point_queries)
+QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
+ORACLE = {k: q for m in MODULES for k, q in m.ORACLE.items()}
