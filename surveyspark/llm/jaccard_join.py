@@ -10,10 +10,12 @@ within ``r``. Equal sets are one point. Points are joined in three steps.
    ``x`` is replicated to the regions of its leading shingles up to the share ``r``, and every pair within ``r`` meets in
    the region of its first common shingle.
 2. *Small regions* (at most ``SMALL`` points) are compared directly.
-3. *Large regions* are joined recursively with document pivots: all points of a region are compared with its pivot;
-   those within ``r`` of it are linked to it, which decides their component. Left open are the others. By the triangle
-   inequality a point ``y`` inside can only be linked to an open ``x`` if d(x, p) - d(y, p) <= r, so the open points and
-   the inner points within that window go on to the next turn with more pivots, until nothing is open.
+3. *Large regions* are joined recursively with document pivots. The pivot is the point with the fewest uncommon shingles
+   (a copy with few edits lies in the middle of its family). Regions with the same pivot become one. All points are
+   compared with the pivot; those within ``r`` of it are linked to it, which decides their component, so pairs among them
+   are not needed. Left open are the others. By the triangle inequality a point ``y`` inside can only be linked to an open
+   ``x`` if d(x, p) - d(y, p) <= r; the open points meet the other open ones and the inner ones within that window, in
+   blocks of ``BLOCK`` open points against slices of the region, so no task holds a whole region.
 
 Distances are first bounded from below by coordinates: the numbers of shingles in ``BUCKETS`` fixed reference sets. What
 the bound cannot exclude is compared exactly, shingle by shingle. The order of the shingles is free, so the list of
@@ -41,6 +43,8 @@ WORDS, PERCENT = 5, 80
 #: Prefix postings from which a shingle counts as common, and the most shingles in that list (8 bytes each).
 COMMON, MAX_COMMON = 16, 200_000
 SMALL, BUCKETS = 8, 256
+#: Open points in a block and members in a slice of a large region.
+BLOCK, SLICE = 1024, 20_000
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -88,9 +92,16 @@ def spread(percent: int) -> Column:
     return F.expr(f"na + nb - 2 * (({percent} * (na + nb) + {percent + 99}) div {percent + 100})")
 
 
+def sliced(batches: Iterator[pd.DataFrame], rows: int = 1000) -> Iterator[pd.DataFrame]:
+    """Batches in parts, so that few sets are held at once."""
+    for pdf in batches:
+        for i in range(0, len(pdf), rows):
+            yield pdf.iloc[i : i + rows].reset_index(drop=True)
+
+
 def _points(words: int, percent: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in sliced(batches):
             sets = [shingle_set(t, words) for t in pdf.text]
             yield pd.DataFrame(
                 {
@@ -107,16 +118,15 @@ def _points(words: int, percent: int) -> Callable[[Iterator[pd.DataFrame]], Iter
 
 def _postings(words: int, percent: int, common: np.ndarray) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in sliced(batches):
             rows = []
             for t in pdf.text:
                 s = shingle_set(t, words)
                 k = window(len(s), percent)
                 late = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s if len(common) else np.zeros(len(s), bool)
                 first = s[~late][:k]
-                rows.append((point_id(s), len(s), first, s[late][: k - len(first)]))
-            out = pd.DataFrame(rows, columns=["node", "n", "rare", "often"])
-            yield out.assign(doc_id=pdf.doc_id)[["doc_id", "node", "n", "rare", "often"]]
+                rows.append((point_id(s), len(s), len(s) - int(late.sum()), first, s[late][: k - len(first)]))
+            yield pd.DataFrame(rows, columns=["node", "n", "uncommon", "rare", "often"]).assign(doc_id=pdf.doc_id)
 
     return run
 
@@ -125,7 +135,8 @@ REGION = "kind int, h long, a long, b long, na long, nb long"
 
 
 def _regions(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows sorted by (often, h, n, node) to pairs of small regions (kind 0) and members of large ones (kind 1).
+    """Rows sorted by (often, h, n, node) to pairs of small regions (kind 0) and members of large ones (kind 1: a, na, and
+    nb the number of uncommon shingles).
 
     State between batches: the points of one unfinished small region, or the key of a large one.
     """
@@ -135,11 +146,11 @@ def _regions(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(h), kind, np.int32)), *map(pa.array, (h, a, b, na, nb))], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, large = np.zeros((4, 0), np.int64), None
+        held, large = np.zeros((5, 0), np.int64), None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = np.vstack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("often", "h", "n", "node")])
+            rows = np.vstack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("often", "h", "n", "node", "uncommon")])
             rows = np.hstack([held, rows])
             yield from emit(rows, large)
             held, large = rest(rows, large)
@@ -157,7 +168,7 @@ def _regions(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
         last = rows[:, start:]
         key = (int(last[0, 0]), int(last[1, 0]))
         if key == large or last[0, 0] or last.shape[1] > SMALL:
-            return np.zeros((4, 0), np.int64), key
+            return np.zeros((5, 0), np.int64), key
         return last, None
 
     def emit(rows: np.ndarray, large) -> Iterator[pa.RecordBatch]:
@@ -179,7 +190,7 @@ def _regions(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
         of = np.repeat(np.arange(len(size)), size)
         m = rows[:, big[of]]
         if m.shape[1]:
-            yield table(1, m[1], m[3], m[3], m[2], m[2])
+            yield table(1, m[1], m[3], m[3], m[2], m[4])
         few = rows[:, (done & ~big & (size > 1))[of]]
         for k in range(1, SMALL):
             if few.shape[1] <= k:
@@ -221,7 +232,7 @@ class Metric:
         words, percent = self.words, self.percent
 
         def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
+            for pdf in sliced(batches):
                 own_sets = [shingle_set(t, words) for t in pdf.text]
                 pdf = pd.DataFrame({"node": pdf.node, "s": [s.tobytes() for s in own_sets]})
                 yield pdf[[point_id(s) == k for s, k in zip(own_sets, pdf.node, strict=True)]]  # an id may have other texts
@@ -263,54 +274,95 @@ def _pair(x: str, y: str, nx: str, ny: str) -> list:
     ]
 
 
+def _meetings(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of (p, block, slice), the block's open points (mine) first, to pairs that no bound excludes."""
+    schema = pa.schema([(c, pa.int64()) for c in ("a", "b", "na", "nb")])
+    r = 1 - percent / 100
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = key_of(batch)
+            node, n, mine, d, open_ = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "n", "mine", "d", "open"))
+            coords = np.frombuffer(b"".join(batch.column("coords").to_pylist()), np.uint8).reshape(-1, BUCKETS)
+            for lo, hi in stretches(keys):
+                if keys[lo] != at:
+                    at, held = keys[lo], []
+                split = lo + int(mine[lo:hi].sum())
+                if split > lo:
+                    held.append((node[lo:split], n[lo:split], d[lo:split], coords[lo:split]))
+                if held:
+                    block = [np.concatenate(x) for x in zip(*held, strict=True)]
+                    yield from compare(block, node[lo:hi], n[lo:hi], d[lo:hi], open_[lo:hi], coords[lo:hi])
+
+    def key_of(batch: pa.RecordBatch) -> list[tuple]:
+        return list(zip(*(batch.column(c).to_pylist() for c in ("p", "block", "part")), strict=True))
+
+    def stretches(keys: list[tuple]) -> Iterator[tuple[int, int]]:
+        lo = 0
+        for i in range(1, len(keys) + 1):
+            if i == len(keys) or keys[i] != keys[lo]:
+                yield lo, i
+                lo = i
+
+    def compare(block, node, n, d, open_, coords) -> Iterator[pa.RecordBatch]:
+        b_node, b_n, b_d, b_coords = block
+        for i in range(len(node)):
+            if open_[i]:
+                ok = b_node < node[i]  # two open points of a block meet once
+            else:
+                ok = b_d - d[i] <= r + 1e-9
+            ok &= (100 * np.minimum(b_n, n[i]) >= percent * np.maximum(b_n, n[i])) & (b_node != node[i])
+            k = np.nonzero(ok)[0]
+            if not len(k):
+                continue
+            low = np.abs(b_coords[k].astype(np.int16) - coords[i].astype(np.int16)).sum(1)
+            both = b_n[k] + n[i]
+            k = k[low <= both - 2 * ((percent * both + percent + 99) // (percent + 100))]
+            if len(k):
+                x, nx, same = b_node[k], b_n[k], np.full(len(k), node[i])
+                less, n_same = x < same, np.full(len(k), n[i])
+                cols = (np.minimum(x, same), np.maximum(x, same), np.where(less, nx, n_same), np.where(less, n_same, nx))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=schema)
+
+    return run
+
+
 def _links(docs: DataFrame, points: DataFrame, found: DataFrame, words: int, percent: int) -> list[DataFrame]:
-    """Links that decide the components: of small regions, and of large ones turn by turn."""
-    metric, links, r = Metric(docs, points, words, percent), [], 1 - percent / 100
+    """Links that decide the components: of small regions, of pivots, and between open points and what may reach them."""
+    metric = Metric(docs, points, words, percent)
     small = found.filter("kind = 0").select("a", "b", "na", "nb")
-    state = found.filter("kind = 1").select("h", F.col("a").alias("node"), F.col("na").alias("n"), F.lit(True).alias("open")).distinct()
-    turn, most = 0, 1
-    while True:
-        rank = F.row_number().over(Window.partitionBy("h").orderBy("node"))
-        if turn == 0:
-            pivots = state.groupBy("h").agg(F.min(F.struct("node", "n")).alias("p")).select("h", F.col("p.node").alias("p"), F.col("p.n").alias("np"))
-        else:
-            pivots = state.filter("open").withColumn("k", rank).filter(F.col("k") <= most).select("h", F.col("node").alias("p"), F.col("n").alias("np"))
-        close = (100 * F.least("n", "np") >= percent * F.greatest("n", "np")) & (F.col("node") != F.col("p"))
-        met = state.join(pivots, "h")
-        pairs = met.filter(close).select(*_pair("node", "p", "n", "np"))
-        if turn == 0:
-            pairs = pairs.unionByName(small)
-        dist = metric.measured(pairs.distinct(), f"jaccard-{turn}")
-        dist = stash(dist, f"jaccard-dist-{turn}")
-        links.append(dist.filter("linked").select("a", "b"))
-        # distance of each member to each pivot of its region: 0 to itself, else measured, else by size alone
-        keyed = met.withColumns({"a": F.least("node", "p"), "b": F.greatest("node", "p")})
-        by_size = 1 - F.least("n", "np") / F.greatest("n", "np")
-        keyed = keyed.join(dist, ["a", "b"], "left").select(
-            "h", "node", "n", "open", (F.col("node") == F.col("p")).alias("is_p"),
-            F.when(F.col("node") == F.col("p"), 0.0).otherwise(F.coalesce("d", by_size)).alias("d"),
-            F.coalesce("linked", F.lit(False)).alias("linked"), "p",
-        )
-        # open members that are no pivot now and linked to none stay open
-        member = keyed.groupBy("h", "node", "n", "open").agg(
-            F.max("is_p").alias("is_p"), F.max("linked").alias("linked"),
-            F.min(F.when(F.col("linked") | F.col("is_p"), F.struct("d", "p"))).alias("home"),
-        )
-        member = stash(member.withColumn("open", F.expr("open AND NOT is_p AND NOT linked")), f"jaccard-member-{turn}")
-        still = member.filter("open").select("h").distinct()
-        if still.isEmpty():
-            return links
-        # the window: an inner y with pivot p can meet an open x only if d(x, p) - d(y, p) <= r
-        reach = keyed.join(member.filter("open").select("h", "node"), ["h", "node"], "left_semi").groupBy("h", "p").agg(F.min("d").alias("least"))
-        inner = member.filter("NOT open").join(still, "h", "left_semi").withColumns({"p": F.col("home.p"), "d": F.col("home.d")})
-        inner = inner.join(reach, ["h", "p"], "left").filter(
-            F.col("is_p") == F.lit(False)
-        ).filter(F.col("least").isNull() | (F.col("least") - F.col("d") <= r + 1e-9))
-        state = stash(
-            member.filter("open").select("h", "node", "n", "open").unionByName(inner.select("h", "node", "n", F.lit(False).alias("open"))),
-            f"jaccard-state-{turn}",
-        )
-        turn, most = turn + 1, SMALL * 4**turn
+    state = found.filter("kind = 1").select("h", F.col("a").alias("node"), F.col("na").alias("n"), F.col("nb").alias("u"))
+    pivots = state.groupBy("h").agg(F.min(F.struct("u", "node", "n")).alias("p"))
+    met = state.join(pivots, "h").select(F.col("p.node").alias("p"), F.col("p.n").alias("np"), "node", "n").distinct()
+    met = stash(met, "jaccard-met")
+    close = (100 * F.least("n", "np") >= percent * F.greatest("n", "np")) & (F.col("node") != F.col("p"))
+    pairs = met.filter(close).select(*_pair("node", "p", "n", "np")).unionByName(small).distinct()
+    first = stash(metric.measured(pairs, "jaccard-star"), "jaccard-star-dist")
+    keyed = met.withColumns({"a": F.least("node", "p"), "b": F.greatest("node", "p")}).join(first, ["a", "b"], "left")
+    # distance to the pivot: none to itself, else as measured, else at least by size
+    by_size = 1 - F.least("n", "np") / F.greatest("n", "np")
+    member = keyed.select(
+        "p", "node", "n", F.coalesce("d", by_size).alias("d"), (~F.coalesce("linked", F.lit(False))).alias("open")
+    ).filter("node <> p")
+    member = stash(member, "jaccard-member")
+    share = member.groupBy("p").agg(F.count_if("open").alias("n_open"), F.count("*").alias("n_all")).filter("n_open > 0 AND n_all > 1")
+    share = share.select("p", F.ceil(F.col("n_open") / BLOCK).alias("blocks"), F.ceil(F.col("n_all") / SLICE).alias("parts"))
+    own_block = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    rows = member.join(share, "p")
+    inner = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    # the block's own points go to every slice; every other point to the slice of its hash
+    mine = F.col("open") & (own_block == F.col("block"))
+    part = F.when(mine, F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).otherwise(F.array(F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts"))))
+    dealt = inner.select("p", "block", F.explode(part).alias("part"), "node", "n", "d", "open", mine.cast("int").alias("mine"))
+    dealt = dealt.join(points.select("node", "coords"), "node")
+    n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.repartition(n_parts, "p", "block", "part").sortWithinPartitions("p", "block", "part", F.desc("mine"), "node")
+    more = dealt.select("p", "block", "part", "node", "n", "d", "open", "mine", "coords").mapInArrow(_meetings(percent), "a long, b long, na long, nb long")
+    second = metric.measured(stash(more.distinct(), "jaccard-open"), "jaccard-open")
+    return [x.filter("linked").select("a", "b") for x in (first, second)]
 
 
 def components(edges: DataFrame, names: DataFrame) -> DataFrame:
@@ -350,10 +402,10 @@ def jaccard_components(
         "jaccard-nodes",
     )
     copied = maybe_broadcast(points.filter("copies > 1").select("node", F.col("doc_id").alias("rep")))
-    rows = map_pandas(docs, _postings(words, percent, often), f"doc_id {kind}, node long, n long, rare array<long>, often array<long>")
+    rows = map_pandas(docs, _postings(words, percent, often), f"doc_id {kind}, node long, n long, uncommon long, rare array<long>, often array<long>")
     rows = rows.filter("n > 0").join(copied, "node", "left").filter("rep IS NULL OR rep = doc_id")
     postings = rows.select(
-        "node", "n", F.inline(F.expr("concat(transform(rare, h -> struct(0 AS often, h)), transform(often, h -> struct(1 AS often, h)))"))
+        "node", "n", "uncommon", F.inline(F.expr("concat(transform(rare, h -> struct(0 AS often, h)), transform(often, h -> struct(1 AS often, h)))"))
     )
     n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = postings.repartition(n_parts, "h", F.expr("CASE WHEN often = 1 THEN pmod(xxhash64(node), 64) ELSE 0 END"))
