@@ -25,6 +25,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from itertools import combinations
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -34,9 +35,11 @@ from pyspark.sql import functions as F
 
 from .common import map_pandas, own
 
-P, DECAY, LANDMARKS = 3, 0.6, 160
+P, DECAY, LANDMARKS = 3, 0.6, 128
 #: Labelled documents and distinct chunks that training takes at most.
 MAX_DOCS, MAX_CHUNKS = 4000, 6000
+#: Training documents from which two folds calibrate; fewer take six, as each machine then needs what there is.
+MANY = 1500
 ALPHABET = "abcdefghijklmnopqrstuvwxyzäöüßéèêçñóíáúàâîôûœ"
 BASE = len(ALPHABET) + 2  # 0 is any other letter
 CODE = {c: i + 1 for i, c in enumerate(ALPHABET)}
@@ -106,12 +109,12 @@ def norms(index: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 
 def dense(chunks: list[str]) -> np.ndarray:
-    """Normalised explicit feature rows."""
-    out = np.zeros((len(chunks), BASE**P), np.float32)
+    """Normalised explicit features, a column for each chunk."""
+    out = np.zeros((BASE**P, len(chunks)), np.float32)
     for i, x in enumerate(chunks):
         index, weight = subsequences(codes([x]))
         if index.shape[1]:
-            np.add.at(out[i], index[0], weight / norms(index, weight)[0])
+            np.add.at(out[:, i], index[0], weight / norms(index, weight)[0])
     return out
 
 
@@ -148,81 +151,84 @@ def fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 20.0
     return w
 
 
-def train(bags: list[tuple[bool, list[str]]], seed: int = 7) -> dict | None:
-    """bags: (toxic, chunks) of documents. The logistic is fitted on margins from machines that didn't see the document."""
-    model = machine(bags, seed)
+#: Training documents: whether toxic, and the numbers of their distinct chunks (in parts) in a list of names.
+Bags = list[tuple[bool, np.ndarray]]
+
+
+def train(names: list[str], bags: Bags, seed: int = 7) -> dict | None:
+    """The logistic is fitted on margins from machines that didn't see the document."""
+    model = machine(names, bags, seed)
     if model is None:
         return None
-    halves = [bags[0::2], bags[1::2]]
-    others = [machine(halves[1], seed), machine(halves[0], seed)]
+    folds = 2 if len(bags) >= MANY else 6
+    parts_of = [bags[k::folds] for k in range(folds)]
+    others = [machine(names, [b for j, p in enumerate(parts_of) if j != k for b in p], seed) for k in range(folds)]
     if any(m is None for m in others):
-        halves, others = [bags], [model]
-    tops = np.vstack([top_margins(m, [c for _, c in h]) for h, m in zip(halves, others, strict=True)])
-    return model | calibrate(tops, np.array([t for h in halves for t, _ in h]))
+        parts_of, others = [bags], [model]
+    best = np.vstack([top_margins(m, names, p) for p, m in zip(parts_of, others, strict=True) if p])
+    return model | calibrate(best, np.array([t for p in parts_of for t, _ in p]))
 
 
-def machine(bags: list[tuple[bool, list[str]]], seed: int = 7, turns: int = 4) -> dict | None:
+def machine(names: list[str], bags: Bags, seed: int = 7, turns: int = 4) -> dict | None:
     """Multiple-instance training of the subsequence weights."""
     toxic_n = sum(t for t, _ in bags)
-    if not toxic_n or toxic_n == len(bags):
-        return None
-    seen: dict[str, list[int]] = {}
-    for t, chunks in bags:
-        for c in {p for x in chunks for p in parts(x)}:
-            seen.setdefault(c, [0, 0])[t] += 1
-    names = sorted(c for c in seen if len(c) >= P)
-    count = np.array([seen[c] for c in names], float)
     clean_n = len(bags) - toxic_n
+    if not toxic_n or not clean_n:
+        return None
+    count = np.zeros((len(names), 2), np.float32)
+    for t, ids in bags:
+        count[ids, int(t)] += 1
+    usable = np.nonzero((count.sum(1) > 0) & (np.array([len(x) for x in names]) >= P))[0]
+    if not len(usable):
+        return None
     lift = (count[:, 1] / toxic_n) / ((count[:, 0] + 0.5) / clean_n)
     rng = np.random.default_rng(seed)
-    order = np.argsort(-(lift * np.log1p(count[:, 1])), kind="stable")
-    suspects = order[: MAX_CHUNKS // 4]
-    clean = np.nonzero(count[:, 0] > 0)[0]
-    chance = np.log1p(count[clean, 0])
-    others = rng.choice(clean, min(len(clean), MAX_CHUNKS * 3 // 4), replace=False, p=chance / chance.sum())
+    rank = lift * np.log1p(count[:, 1])
+    suspects = usable[np.argsort(-rank[usable], kind="stable")][: MAX_CHUNKS // 4]
+    clean = usable[count[usable, 0] > 0]
+    chance = np.log1p(count[clean, 0].astype(float))
+    others = rng.choice(clean, min(len(clean), MAX_CHUNKS * 3 // 4), replace=False, p=chance / chance.sum()) if len(clean) else clean
     pool = np.unique(np.concatenate([suspects, others]))
     first = suspects[count[suspects, 0] == 0][: LANDMARKS // 2]
-    rest = rng.choice(others, min(len(others), LANDMARKS - len(first)), replace=False)
-    marks = sorted({names[i] for i in np.concatenate([first, rest])})
+    rest = rng.choice(others, min(len(others), LANDMARKS - len(first)), replace=False) if len(others) else others
+    marks = [names[i] for i in np.unique(np.concatenate([first, rest]))]
     phi = dense(marks)
-    gram = phi @ phi.T
-    value, vector = np.linalg.eigh(gram + 1e-4 * np.eye(len(marks)))
+    value, vector = np.linalg.eigh(phi.T @ phi + 1e-4 * np.eye(len(marks)))
     root = vector / np.sqrt(np.maximum(value, 1e-4))
-    marked = np.ascontiguousarray(phi.T)
-    z = project([names[i] for i in pool], marked) @ root
-    where = {c: i for i, c in enumerate(names)}
-    inside = [np.array(sorted({where[p] for x in chunks for p in parts(x) if p in where}), int) for t, chunks in bags if t]
+    z = project([names[i] for i in pool], phi) @ root
+    inside = [ids[np.isin(ids, usable)] for t, ids in bags if t]
     score = np.where(count[:, 0] > 0, -10.0, 0.0) + np.log1p(count[:, 1])
     for turn in range(turns):
         hits = np.zeros(len(names))
-        for idx in inside:
-            if len(idx):
-                hits[idx[np.argmax(score[idx])]] += 1
+        for ids in inside:
+            if len(ids):
+                hits[ids[np.argmax(score[ids])]] += 1
         n_clean, n_hits = count[pool, 0], hits[pool]
         # a chunk is a witness if it explains more toxic documents than clean ones have it
-        good, bad = n_hits > n_clean, n_clean > 0
-        good &= ~bad | (n_hits > n_clean)
-        bad &= ~good
+        good = n_hits > n_clean
+        bad = (n_clean > 0) & ~good
         x = np.vstack([z[good], z[bad]])
         y = np.concatenate([np.ones(good.sum()), -np.ones(bad.sum())])
         c = np.concatenate([n_hits[good] / max(n_hits[good].sum(), 1), np.log1p(n_clean[bad]) / max(np.log1p(n_clean[bad]).sum(), 1e-9)])
         w = fit_svm(x, y, c * len(y))
-        column = (phi.T @ (root @ w[:-1])).astype(np.float32)[:, None]
-        score = project(names, column)[:, 0] + w[-1]
+        column = (phi @ (root @ w[:-1])).astype(np.float32)
+        score = np.full(len(names), -10.0)
+        score[usable] = project([names[i] for i in usable], column[:, None])[:, 0] + w[-1]
         if turn < turns - 1:
-            # the clean chunks that this machine passes worst join the pool, as do likely witnesses
-            fresh = np.setdiff1d(np.arange(len(names)), pool)
-            hard = fresh[np.argsort(-(score + 0.0)[fresh], kind="stable")][: MAX_CHUNKS // 4]
+            # what this machine rates highest joins the pool: clean chunks that it passes worst, and likely witnesses
+            fresh = np.setdiff1d(usable, pool)
+            hard = fresh[np.argsort(-score[fresh], kind="stable")][: MAX_CHUNKS // 4]
             pool = np.concatenate([pool, hard])
-            z = np.vstack([z, project([names[i] for i in hard], marked) @ root])
-    return {"table": column[:, 0], "bias": float(w[-1])}
+            z = np.vstack([z, project([names[i] for i in hard], phi) @ root])
+    return {"table": column, "bias": float(w[-1])}
 
 
-def top_margins(model: dict, bags: list[list[str]]) -> np.ndarray:
+def top_margins(model: dict, names: list[str], bags: Bags) -> np.ndarray:
     """The TOP best chunk margins of each document, best first."""
-    names = sorted({x for chunks in bags for x in chunks})
-    known = dict(zip(names, margins(model, names).tolist(), strict=True))
-    return np.array([tops(known[x] for x in chunks) for chunks in bags])
+    used = np.unique(np.concatenate([ids for _, ids in bags]))
+    known = np.full(len(names), LOWEST)
+    known[used] = margins(model, [names[i] for i in used])
+    return np.array([tops(known[ids]) for _, ids in bags])
 
 
 def tops(values) -> list[float]:
@@ -235,19 +241,24 @@ def features(best: np.ndarray) -> np.ndarray:
 
 
 def calibrate(best: np.ndarray, label: np.ndarray, rounds: int = 50) -> dict:
-    """Logistic regression on the best margins; moved so that the threshold with the fewest errors has the score 0.7."""
+    """Logistic regression on the best margins; moved so that the lowest threshold with the fewest errors has the score 0.7."""
     x, y = features(best), label.astype(float)
-    w = np.zeros(x.shape[1])
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(len(w))
-        w = w + np.linalg.solve(h, x.T @ (y - p) - 0.05 * w)
+    use = np.ones(x.shape[1], bool)
+    while True:
+        w = np.zeros(x.shape[1])
+        for _ in range(rounds):
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            h = (x[:, use] * (p * (1 - p))[:, None]).T @ x[:, use] + 0.5 * np.eye(use.sum())
+            w[use] += np.linalg.solve(h, x[:, use].T @ (y - p) - 0.5 * w[use])
+        if (w[:-1] >= 0).all():
+            break
+        use[np.argmin(w[:-1])] = False  # a further toxic chunk never lowers the score
     f = x @ w
     order = np.argsort(f, kind="stable")
     v, t = f[order], label[order]
     errors = np.concatenate([[0], np.cumsum(t)]) + (~t).sum() - np.concatenate([[0], np.cumsum(~t)])
     low, high = np.concatenate([[v[0]], v]), np.concatenate([v, [v[-1]]])
-    k = np.lexsort((low - high, errors))[0]
+    k = np.nonzero(errors == errors.min())[0][0]
     w[-1] += np.log(0.7 / 0.3) - (low[k] + high[k]) / 2
     return {"logit": w}
 
@@ -313,8 +324,11 @@ def held_out(doc_id) -> "F.Column":
     return F.crc32(F.encode(doc_id.cast("string"), "utf-8")) % 3 == 1
 
 
-def training_bags(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> list[tuple[bool, list[str]]]:
-    """A bounded sample of the labelled rows that aren't held out, by hash of the id: their distinct chunks."""
+def training_bags(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_chunks: int = 3000) -> tuple[list[str], Bags]:
+    """A bounded sample of the labelled rows that aren't held out, by hash of the id: names and chunks of their texts.
+
+    Of a document with more than max_chunks distinct chunks, those of least hash.
+    """
     rows = labels.select(labels["doc_id"].alias("doc_id"), labels["toxic"].alias("toxic")).filter(
         F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
     )
@@ -324,14 +338,16 @@ def training_bags(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS)
 
     def chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = [sorted({chunk_of(w) for w in words_of(t)}) for t in pdf.text]
-            yield pd.DataFrame({"toxic": pdf.toxic == 1, "doc_id": pdf.doc_id, "chunks": found})
+            found = [sorted({p for w in words_of(t) for p in parts(chunk_of(w))}, key=lambda x: (crc32(x.encode()), x))[:max_chunks] for t in pdf.text]
+            yield pd.DataFrame({"toxic": pdf.toxic == 1, "doc_id": pdf.doc_id, "chunks": [" ".join(sorted(x)) for x in found]})
 
     kind = joined.schema["doc_id"].dataType.simpleString()
-    got = map_pandas(joined, chunks, f"toxic boolean, doc_id {kind}, chunks array<string>")
-    # bounded also in width: of a document with very many distinct chunks, those of least hash
-    got = got.withColumn("chunks", F.expr("slice(array_sort(chunks, (a, b) -> CASE WHEN xxhash64(a) < xxhash64(b) THEN -1 WHEN xxhash64(a) > xxhash64(b) THEN 1 ELSE 0 END), 1, 3000)"))
-    return [(bool(r.toxic), list(r.chunks)) for r in got.orderBy("doc_id", F.xxhash64("chunks")).collect()]
+    got = map_pandas(joined, chunks, f"toxic boolean, doc_id {kind}, chunks string").orderBy("doc_id", "chunks")
+    number: dict[str, int] = {}
+    bags = []
+    for r in got.toLocalIterator():
+        bags.append((bool(r.toxic), np.array([number.setdefault(x, len(number)) for x in r.chunks.split(" ") if x], np.int64)))
+    return list(number), bags
 
 
 def toxicity(
@@ -344,7 +360,7 @@ def toxicity(
 ) -> DataFrame:
     """One row per input row: doc_id, held_out, score, predicted."""
     docs = own(docs, id_col, text_col)
-    model = train(training_bags(docs, labels, max_docs))
+    model = train(*training_bags(docs, labels, max_docs))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(model)
@@ -369,7 +385,7 @@ def drop_toxic(
     max_docs: int = MAX_DOCS,
 ) -> DataFrame:
     """The input rows that are not predicted toxic, with all their columns."""
-    model = train(training_bags(own(docs, id_col, text_col), labels, max_docs))
+    model = train(*training_bags(own(docs, id_col, text_col), labels, max_docs))
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
