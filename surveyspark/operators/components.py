@@ -9,6 +9,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ from surveyspark.functions import pixels
 
 # Shares from which a group counts as ragged and perforated.
 MIN_HOLE_RATIO, MIN_ROUGHNESS = 0.01, 1.5
+#: Runs up to which one task labels a tile; tiles with more are labelled by joins.
+TILE_RUNS = 2_000_000
 
 
 def _saved(df: DataFrame, name: str) -> DataFrame:
@@ -35,9 +39,55 @@ def scan_runs(scan: DataFrame, hit) -> DataFrame:
     return scan.select("tile", "row", F.inline(pixels.runs(hit)))
 
 
-def label(runs: DataFrame, diagonal: bool = True) -> DataFrame:
+def roots(row: np.ndarray, c0: np.ndarray, c1: np.ndarray, reach: int) -> np.ndarray:
+    """Index of the first run of each run's component. Runs are sorted by (row, c0)."""
+    n = len(row)
+    parent = list(range(n))
+
+    def find(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+
+    # for each run, the runs of the row above that touch it lie side by side
+    key = row.astype(np.int64) * (1 << 32)
+    first = np.searchsorted(key + c1, key - (1 << 32) + c0 - reach, "left")
+    last = np.searchsorted(key + c0, key - (1 << 32) + c1 + reach, "right")
+    for i in np.nonzero(first < last)[0].tolist():
+        a = find(i)
+        for j in range(first[i], last[i]):
+            b = find(j)
+            if a != b:
+                a, b = min(a, b), max(a, b)
+                parent[b] = a
+    return np.array([find(i) for i in range(n)], np.int64)
+
+
+def label(runs: DataFrame, diagonal: bool = True, tile_runs: int = TILE_RUNS) -> DataFrame:
     """runs (tile, row, c0, c1) with the first run's (row, c0) of their component as root_row, root_c.
 
+    A tile of up to ``tile_runs`` runs is labelled in one task, larger ones by ``label_by_joins``.
+    """
+    runs = _saved(runs.select("tile", "row", "c0", "c1"), "tile-runs")
+    large = _saved(runs.groupBy("tile").count().filter(F.col("count") > tile_runs).select("tile"), "large-tiles")
+    reach = 1 if diagonal else 0
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["row", "c0"], ignore_index=True)
+        r = roots(pdf.row.to_numpy(), pdf.c0.to_numpy(), pdf.c1.to_numpy(), reach)
+        return pdf.assign(root_row=pdf.row.to_numpy()[r], root_c=pdf.c0.to_numpy()[r])
+
+    schema = runs.schema.add("root_row", "int").add("root_c", "int")
+    some = runs if large.isEmpty() else runs.join(large, "tile", "left_anti")
+    small = some.groupBy("tile").applyInPandas(one, schema)
+    if large.isEmpty():
+        return small
+    return small.unionByName(label_by_joins(runs.join(large, "tile", "left_semi"), diagonal))
+
+
+def label_by_joins(runs: DataFrame, diagonal: bool = True) -> DataFrame:
+    """As ``label``, for tiles of any size.
+
     Labels spread along touching runs; each turn takes the least label of the neighbours and then that label's own label
     (pointer jumping), so the number of turns grows with the logarithm of a component's length.
     """
