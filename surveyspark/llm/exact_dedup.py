@@ -19,6 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import map_pandas, maybe_broadcast, own, stash
 
@@ -101,7 +102,7 @@ def with_fingerprints(docs: DataFrame, huge_bytes: int = HUGE_BYTES) -> DataFram
     """doc_id, text, n_bytes, text_sha256, fp."""
     base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     base = base.withColumns({"n_bytes": F.octet_length("text").cast("long"), "text_sha256": F.sha2("text", 256)})
-    schema = base.schema.add("fp", "long")
+    schema = T.StructType([*base.schema.fields, T.StructField("fp", T.LongType())])
     small = map_pandas(base.filter(F.col("n_bytes") <= huge_bytes), _whole, schema)
     huge = base.filter(F.col("n_bytes") > huge_bytes)
     cut = (
