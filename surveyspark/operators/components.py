@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from surveyspark.functions import pixels
 
@@ -77,7 +78,7 @@ def label(runs: DataFrame, diagonal: bool = True, tile_runs: int = TILE_RUNS) ->
         r = roots(pdf.row.to_numpy(), pdf.c0.to_numpy(), pdf.c1.to_numpy(), reach)
         return pdf.assign(root_row=pdf.row.to_numpy()[r], root_c=pdf.c0.to_numpy()[r])
 
-    schema = runs.schema.add("root_row", "int").add("root_c", "int")
+    schema = T.StructType([*runs.schema.fields, T.StructField("root_row", T.IntegerType()), T.StructField("root_c", T.IntegerType())])
     some = runs if large.isEmpty() else runs.join(large, "tile", "left_anti")
     small = some.groupBy("tile").applyInPandas(one, schema)
     if large.isEmpty():
