@@ -233,6 +233,11 @@ _RANGES = """SELECT file, unnest(['x', 'y', 'z', 'cls']) AS dim, unnest([min(x),
 _PAIRS = """SELECT a.tile AS a, b.tile AS b, least(a.maxx, b.maxx) - greatest(a.minx, b.minx) AS w, least(a.maxy, b.maxy) - greatest(a.miny, b.miny) AS h
       FROM v_tile a JOIN v_tile b ON a.tile < b.tile AND a.minx < b.maxx AND b.minx < a.maxx AND a.miny < b.maxy AND b.miny < a.maxy"""
 
+_SNIFF = """
+  s AS (SELECT substr(o_orderpriority, 1, 1) || '-' || o_orderstatus AS file, o_orderkey % 50 AS kind, floor(o_totalprice) AS z,
+      row_number() OVER (PARTITION BY substr(o_orderpriority, 1, 1), o_orderstatus ORDER BY o_orderkey) AS rn FROM orders),
+  f AS (SELECT file, min(rn) FILTER (WHERE kind <> 11) AS first, arg_min(CASE WHEN kind = 9 THEN 2 ELSE 3 END, rn) FILTER (WHERE kind <> 11) AS columns FROM s GROUP BY file)"""
+
 ORACLE = {
     "neighbor_missing": f"""WITH {V_TILE}, t AS (SELECT tile, CASE WHEN (e + n) % 37 <> 0 THEN e END AS e, CASE WHEN (e + n) % 37 <> 0 THEN n END AS n FROM v_tile),
       d(i, d, x, y) AS (VALUES (1, 'N', 0, 1), (2, 'NE', 1, 1), (3, 'E', 1, 0), (4, 'SE', 1, -1), (5, 'S', 0, -1), (6, 'SW', -1, -1), (7, 'W', -1, 0), (8, 'NW', -1, 1)),
@@ -275,8 +280,8 @@ ORACLE = {
           [x FOR x IN [('west', round(minx - x, 2)), ('south', round(miny - y, 2)), ('east', round(x + 999.99 - maxx, 2)), ('north', round(y + 999.99 - maxy, 2))] IF x[2] > 1] AS gaps FROM g)
       SELECT name, violation, len(gaps) AS n_gaps, array_to_string([x[1] || ':' || printf('%.2f', x[2]) FOR x IN gaps], ',') AS gaps FROM s""",
     "requantise": "SELECT count(*) AS n, true AS within FROM lineitem",
-    "xyz_text": """WITH t AS (SELECT substr(o_orderpriority, 1, 1) || '-' || o_orderstatus AS file, o_orderkey % 50 IN (9, 11) AS bad, floor(o_totalprice) AS z FROM orders)
-      SELECT file, count(*) FILTER (WHERE NOT bad) AS points, count(*) FILTER (WHERE bad) AS ignored, sum(z) FILTER (WHERE NOT bad) AS sum_z FROM t GROUP BY file""",
+    "xyz_text": f"""WITH {_SNIFF} SELECT s.file, count(*) FILTER (WHERE kind NOT IN (9, 11)) AS points, count(*) FILTER (WHERE kind IN (9, 11)) AS ignored,
+        sum(z) FILTER (WHERE kind NOT IN (9, 11)) AS sum_z FROM s JOIN f ON f.file = s.file AND columns = 3 AND rn >= first GROUP BY s.file""",
     "esri_grid_points": """WITH v AS (SELECT vec_id // 50 AS file, (vec_id % 50) * 64 + generate_subscripts(embedding, 1) - 1 AS n, unnest(embedding) AS e FROM embeddings),
       p AS (SELECT file, floor((CAST(e AS DOUBLE) + 1) * 1000) AS z, 2600000 + (n % 64 + 0.5::DOUBLE) * 2 AS x, 1100000 + (50 - n // 64 - 0.5::DOUBLE) * 2 AS y FROM v WHERE n % 13 <> 0)
       SELECT file, count(*) AS points, sum(z) AS sum_z, min(x) AS minx, max(x) AS maxx, min(y) AS miny, max(y) AS maxy, sum(x * z) AS moment_x, sum(y * z) AS moment_y FROM p GROUP BY file""",
@@ -294,7 +299,6 @@ ORACLE = {
       SELECT CAST(file AS VARCHAR) AS name, CASE WHEN file % 31 = 0 THEN 'missing' ELSE concat_ws(',', CASE WHEN file % 7 = 0 THEN 'points' END,
         CASE WHEN file % 11 = 0 THEN 'version' END, CASE WHEN file % 13 = 0 THEN 'header size' END, CASE WHEN file % 17 = 0 THEN 'encoding' END,
         CASE WHEN file % 19 = 0 THEN 'crs' END) END AS problems FROM k""",
-    "ascii_sniff": """SELECT substr(o_orderpriority, 1, 1) || '-' || o_orderstatus AS file, 'xyz' AS kind,
-        any_value(CASE o_orderstatus WHEN 'F' THEN ';' WHEN 'O' THEN ' ' ELSE ',' END) AS sep, 1 AS skip, 3 AS columns, CAST(NULL AS VARCHAR) AS problem
-      FROM orders GROUP BY ALL""",
+    "ascii_sniff": f"""WITH {_SNIFF} SELECT f.file, 'xyz' AS kind, CASE split_part(f.file, '-', 2) WHEN 'F' THEN ';' WHEN 'O' THEN ' ' ELSE ',' END AS sep,
+        first AS skip, columns, CASE WHEN columns < 3 THEN 'columns' END AS problem FROM f""",
 }
