@@ -77,3 +77,23 @@ def validate(deliveries: DataFrame, products: DataFrame) -> DataFrame:
     ]
     errors = F.filter(F.array(*[F.when(c, m) for c, m in checks]), lambda x: x.isNotNull())
     return d.withColumn("errors", errors).drop("nodata_options")
+
+
+def year_of_delivery(files: DataFrame) -> DataFrame:
+    """files (delivery, path, name) -> delivery, year: of the first name that has one, else the right-most such folder."""
+    from surveyspark.functions.names import year_of
+
+    folders = F.filter(F.reverse(F.split("path", r"[/\\]")), lambda x: x.rlike("^20[0-9]{2}$"))
+    f = files.select("delivery", "name", year_of(F.col("name")).alias("y"), F.get(folders, F.lit(0)).cast("int").alias("f"))
+    return f.groupBy("delivery").agg(F.coalesce(F.min_by("y", F.when(F.col("y").isNotNull(), F.col("name"))), F.max("f")).alias("year"))
+
+
+def with_product_texts(deliveries: DataFrame, products: DataFrame) -> DataFrame:
+    """deliveries (gds, camera, ..) with the product's custom attribute for that camera."""
+    rules = F.broadcast(products.select("gds", "is_dmc", "custom_attribute"))
+    return deliveries.withColumn("is_dmc", L.is_dmc(F.col("camera"))).join(rules, ["gds", "is_dmc"], "left").drop("is_dmc")
+
+
+def preview(documents: DataFrame) -> DataFrame:
+    """documents (delivery, name, xml) -> the document of each delivery's first file."""
+    return documents.groupBy("delivery").agg(F.min("name").alias("name"), F.min_by("xml", "name").alias("xml"))

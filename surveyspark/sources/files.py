@@ -53,3 +53,10 @@ def package_xml(files: DataFrame) -> DataFrame:
         "catalog", "package", "path", (~F.col("xml").rlike(r"</MetaObject>\s*$")).alias("unreadable"),
         F.concat_ws("-", value("Auftragstyp"), value("StacItemIdDatetime")).alias("item"), value("Area").alias("area"),
     )
+
+
+def catalog_items(spark: SparkSession, path: str) -> DataFrame:
+    """item, assets (map), updated from a snapshot of catalog items in JSON."""
+    schema = "id string, assets map<string, struct<href: string>>, properties struct<updated: string>"
+    raw = spark.read.schema(schema).json(path, multiLine=True)
+    return raw.select(F.col("id").alias("item"), F.transform_values("assets", lambda _, v: v["href"]).alias("assets"), F.col("properties.updated").alias("updated"))
