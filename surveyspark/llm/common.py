@@ -62,6 +62,13 @@ def frame(batch: pa.RecordBatch) -> pd.DataFrame:
     return pd.DataFrame(cols)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches in parts, so that few texts are held as Python objects at once."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def map_pandas(
     df: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: T.StructType | str
 ) -> DataFrame:
@@ -71,7 +78,7 @@ def map_pandas(
     arrow = to_arrow_schema(kind)
 
     def batches(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for pdf in run(frame(b) for b in them if b.num_rows):
+        for pdf in run(frame(b) for b in sliced(them)):
             yield pa.RecordBatch.from_pandas(pdf[arrow.names], schema=arrow, preserve_index=False)
 
     return df.mapInArrow(batches, kind)

@@ -92,16 +92,9 @@ def spread(percent: int) -> Column:
     return F.expr(f"na + nb - 2 * (({percent} * (na + nb) + {percent + 99}) div {percent + 100})")
 
 
-def sliced(batches: Iterator[pd.DataFrame], rows: int = 1000) -> Iterator[pd.DataFrame]:
-    """Batches in parts, so that few sets are held at once."""
-    for pdf in batches:
-        for i in range(0, len(pdf), rows):
-            yield pdf.iloc[i : i + rows].reset_index(drop=True)
-
-
 def _points(words: int, percent: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in sliced(batches):
+        for pdf in batches:
             sets = [shingle_set(t, words) for t in pdf.text]
             yield pd.DataFrame(
                 {
@@ -118,7 +111,7 @@ def _points(words: int, percent: int) -> Callable[[Iterator[pd.DataFrame]], Iter
 
 def _postings(words: int, percent: int, common: np.ndarray) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in sliced(batches):
+        for pdf in batches:
             rows = []
             for t in pdf.text:
                 s = shingle_set(t, words)
@@ -232,7 +225,7 @@ class Metric:
         words, percent = self.words, self.percent
 
         def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in sliced(batches):
+            for pdf in batches:
                 own_sets = [shingle_set(t, words) for t in pdf.text]
                 pdf = pd.DataFrame({"node": pdf.node, "s": [s.tobytes() for s in own_sets]})
                 yield pdf[[point_id(s) == k for s, k in zip(own_sets, pdf.node, strict=True)]]  # an id may have other texts

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_pandas, maybe_broadcast, own, stash
+from .common import map_pandas, maybe_broadcast, own, sliced, stash
 
 LENGTH = 200
 GRAM, ONE_IN = 16, 32
@@ -186,7 +186,7 @@ def thinned(f, e, sig, lo, hi, length: int) -> Iterator[pa.RecordBatch]:
 def _sampled(length: int, one_in: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prints = Prints()
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [t.encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
             for data, start, end, sig, base in batched(batch.column("sig").to_pylist(), texts, length):
                 f, e, t, lo, hi = runs(data, start, end, prints, length, one_in)
@@ -201,7 +201,7 @@ def _windows(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prints = Prints()
-        for batch in batches:
+        for batch in sliced(batches):
             held, size = [], 0
             for row in zip(batch.column("sig").to_pylist(), batch.column("text").to_pylist(), batch.column("open").to_pylist(), strict=True):
                 for piece in pieces(*row):

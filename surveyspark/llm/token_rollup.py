@@ -31,7 +31,7 @@ from .common import map_pandas, own, shared_dir
 TOKENIZERS = "/opt/tokenizers"
 VERSIONS = ("byte_bpe_50k", "byte_bpe_multi_50k")
 GROUP = ["source", "lang", "tokenizer"]
-KEEP = 300_000
+KEEP = 150_000
 
 
 def vocabularies(folder: str = TOKENIZERS, versions: tuple[str, ...] = VERSIONS) -> tuple[str, dict[str, bytes]]:

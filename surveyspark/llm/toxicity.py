@@ -33,11 +33,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_pandas, own
+from .common import map_pandas, own, sliced
 
 P, DECAY, LANDMARKS = 3, 0.6, 128
 #: Labelled documents and distinct chunks that training takes at most.
-MAX_DOCS, MAX_CHUNKS = 4000, 6000
+MAX_DOCS, MAX_CHUNKS = 3000, 6000
 #: Training documents from which two folds calibrate; fewer take six, as each machine then needs what there is.
 MANY = 1500
 ALPHABET = "abcdefghijklmnopqrstuvwxyzäöüßéèêçñóíáúàâîôûœ"
@@ -126,7 +126,7 @@ def project(chunks: list[str], table: np.ndarray) -> np.ndarray:
         if n < P:
             continue
         where = np.nonzero(lengths == n)[0]
-        step = max(1, 2_000_000 // (len(list(combinations(range(n), P))) * table.shape[1]))
+        step = max(1, 400_000 // (len(list(combinations(range(n), P))) * table.shape[1]))
         for i in range(0, len(where), step):
             some = where[i : i + step]
             index, weight = subsequences(codes([chunks[k] for k in some]))
@@ -282,7 +282,7 @@ def probability(model: dict, best: np.ndarray) -> np.ndarray:
 class Scorer:
     """Scores texts; margins of words are kept between texts in a dictionary of bounded size."""
 
-    def __init__(self, model: dict | None, keep: int = 300_000) -> None:
+    def __init__(self, model: dict | None, keep: int = 120_000) -> None:
         self.model, self.keep, self.known = model, keep, {}
 
     def learn(self, words: set[str]) -> None:
@@ -306,7 +306,7 @@ class Scorer:
             words = words_of(t) if t else set()
             held.append((i, words))
             size += len(words)
-            if size > 200_000 or i == len(texts) - 1:
+            if size > 60_000 or i == len(texts) - 1:
                 self.learn(set().union(*(w for _, w in held)))
                 for k, w in held:
                     if w:
@@ -389,7 +389,7 @@ def drop_toxic(
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
-        for batch in batches:
+        for batch in sliced(batches):
             yield batch.filter(pa.array(scorer.scores(batch.column(text_col).to_pylist()) < threshold))
 
     return docs.mapInArrow(clean, docs.schema)
