@@ -12,7 +12,10 @@ from surveyspark.operators import points as P
 from surveyspark.sources.files import package_xml
 
 from . import pipelines
-from .derive import V_FILE, V_LINE, V_POINT, V_SCAN, V_TILE, table, v_file, v_line, v_point, v_scan, v_tile
+from .derive import V_FILE, table, v_file, v_point, v_scan, v_tile
+from .file_queries import _CSV
+from .point_queries import _COARSE
+from .raster_queries import ORACLE as RASTER
 
 
 def _bit(k):
@@ -218,4 +221,15 @@ ORACLE = {
     "status_summary": f"""WITH {V_FILE}, s AS (SELECT gds, name, CASE WHEN l_partkey % 100 < 1 THEN 'failed' WHEN l_partkey % 100 < 10 THEN 'warning' WHEN l_partkey % 100 < 20 THEN 'skipped' ELSE 'ok' END AS status FROM v_file)
       SELECT gds, count(*) AS total, count(*) FILTER (WHERE status = 'ok') AS ok, count(*) FILTER (WHERE status = 'warning') AS warning, count(*) FILTER (WHERE status = 'skipped') AS skipped,
         count(*) FILTER (WHERE status = 'failed') AS failed, coalesce(string_agg(name, ',' ORDER BY name) FILTER (WHERE status = 'failed'), '') AS failed_files FROM s GROUP BY gds""",
+    "pipeline_raster": f"""WITH {_CSV},
+      k AS (SELECT *, split_part(ord, '-', 4) AS delivery, CAST(split_part(ord, '-', 4) AS BIGINT) % 4 = 0 AS odd FROM c
+        WHERE gds <> 'SB_DSM_PUNKTWOLKE' AND ext IN ('.tif', '.tiff', '.tfw')),
+      g AS (SELECT delivery, count(*) FILTER (WHERE odd AND gds <> 'SB_DSM') AS retag, count(*) FILTER (WHERE odd AND gds = 'SB_DSM') AS error,
+          count(*) FILTER (WHERE odd) > 0 AS stop, count(*) AS documents FROM k WHERE ext <> '.tfw' GROUP BY delivery),
+      r AS (SELECT delivery, count(*) AS rows, min(line) AS first_row FROM k JOIN csv ON csv.ord = k.ord AND csv.part = 0 GROUP BY delivery)
+      SELECT g.delivery, retag, error, stop, CASE WHEN NOT stop THEN documents END AS documents, CASE WHEN NOT stop THEN rows END AS rows,
+        CASE WHEN NOT stop THEN first_row END AS first_row FROM g LEFT JOIN r ON r.delivery = g.delivery""",
+    "pipeline_nodata": f"SELECT tile, sum(false_px) AS false_px, sum(shadow_px) AS shadow_px FROM ({RASTER['false_nodata_fix']}) GROUP BY tile",
+    "pipeline_points": f"""WITH {_COARSE} SELECT name, count(*) AS points, CAST(sum(round_even(z / 10.0::DOUBLE, 0) * 10) AS BIGINT) AS sum_zq,
+      min(x) AS minx, max(y) AS maxy FROM tiled WHERE name IS NOT NULL GROUP BY name""",
 }
