@@ -2,9 +2,9 @@
 
 A page is fed to the standard library's event parser once. The events become lines (block elements), each with its text,
 its number of tags and its chain of containers. The text-to-tag ratios of the lines, in page order, are smoothed with a
-Gaussian; the lines at or above the mean ratio less a share of the deviation form the content cluster. The innermost
-container that holds nearly all text of that cluster is the content region, and every line of the region stays, short
-ones too. Menus, headers, footers, sidebars, notices, adverts, forms and comments never become content: their elements
+Gaussian; the lines at or above the mean ratio less a share of the deviation form the content cluster. The cluster only
+chooses the content region: the outermost article or main elements that hold it, or, if it lies elsewhere, the smallest
+container that holds all of it. Every line of the region stays, short ones too. Menus, headers, footers, sidebars, notices, adverts, forms and comments never become content: their elements
 (by tag, role, class or id) take part in the ratios but not in the region.
 
 Defined cases: null, empty and text-free pages give an empty text; unclosed and stray tags are tolerated; repeated pages
@@ -46,8 +46,8 @@ MARKS = frozenset(
 ROOTS = frozenset(("article", "main"))
 SPACE = re.compile(r"\s+")
 SPLIT = re.compile(r"[^a-z0-9]+")
-#: Share of the content cluster's text that the region must hold, smoothing width in lines, and the threshold's place
-#: below the mean in deviations.
+#: Share of the content cluster's text that articles and mains must hold to be the region, smoothing width in lines, and
+#: the threshold's place below the mean in deviations.
 HOLDS, SIGMA, BELOW = 0.9, 1.0, 0.5
 
 
@@ -64,6 +64,7 @@ class Lines(HTMLParser):
         self.tags = 0
         self.raw = False
         self.count = 0
+        self.roots: set[int] = set()
 
     def cut(self) -> None:
         if self.parts:
@@ -109,6 +110,8 @@ class Lines(HTMLParser):
                 out = any(w in MARKS for m in marks for w in SPLIT.split(m.lower()))
             out = out or any(k == "role" and v in ROLES or k in ("hidden",) for k, v in attrs)
             self.enter(tag, out)
+            if tag in ROOTS and not comment:
+                self.roots.add(self.count)
 
     def handle_endtag(self, tag: str) -> None:
         if tag in RAW:
@@ -133,21 +136,27 @@ def smooth(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(ratios, kernel)[reach:-reach] / np.convolve(np.ones(len(ratios)), kernel)[reach:-reach]
 
 
-def content(lines: list[tuple[str, int, tuple[int, ...], bool]]) -> list[str]:
-    """The lines of the content region."""
+def content(lines: list[tuple[str, int, tuple[int, ...], bool]], roots: set[int]) -> list[str]:
+    """The lines of the content region; roots: ids of the article and main elements."""
     inside = [x for x in lines if not x[3]]
     if not inside:
         return []
     ratio = smooth(np.array([len(text) / max(1, tags) for text, tags, _, _ in lines]))
     cut = ratio.mean() - BELOW * ratio.std()
     chosen = [x for x, r in zip(lines, ratio, strict=True) if r >= cut and not x[3]] or inside
-    weight: dict[int, int] = {}
+    held: dict[int | None, int] = {}
     for text, _, chain, _ in chosen:
-        for c in chain:
-            weight[c] = weight.get(c, 0) + len(text)
-    total = sum(len(x[0]) for x in chosen)
-    region = max((c for c, w in weight.items() if w >= HOLDS * total), default=None)  # ids rise inwards
-    return [x[0] for x in inside if region is None or region in x[2]]
+        root = outermost(chain, roots)
+        held[root] = held.get(root, 0) + len(text)
+    if sum(held.values()) - held.get(None, 0) >= HOLDS * sum(held.values()):
+        return [x[0] for x in inside if (root := outermost(x[2], roots)) is not None and root in held]
+    low, high = min(x[2] for x in chosen), max(x[2] for x in chosen)  # what these two share, all share
+    depth = next((k for k, (a, b) in enumerate(zip(low, high)) if a != b), min(len(low), len(high)))
+    return [x[0] for x in inside if not depth or low[depth - 1] in x[2]]
+
+
+def outermost(chain: tuple[int, ...], roots: set[int]) -> int | None:
+    return None if roots.isdisjoint(chain) else next(c for c in chain if c in roots)
 
 
 def main_text(html: str | None) -> str:
@@ -157,7 +166,7 @@ def main_text(html: str | None) -> str:
     parser.feed(html)
     parser.close()
     parser.cut()
-    return "\n".join(content(parser.lines))
+    return "\n".join(content(parser.lines, parser.roots))
 
 
 def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -307,6 +307,21 @@ def test_html():
     assert html_text.main_text(deep) == "x"
 
 
+def test_html_whole_region():
+    """Nothing of an article is dropped because one of its containers holds most of the text."""
+    long = "<p>" + "long text of the body, " * 60 + "</p>"
+    nav = "<nav><a href='/'>Home</a></nav>"
+    for inner in (f"<div class='body'>{long}</div>", f"<ul><li>{long}</li></ul>", f"<table><tr><td>{long}</td></tr></table>", f"<article>{long}</article>"):
+        got = html_text.main_text(f"<body>{nav}<article><h1>T</h1><p>lead</p>{inner}<p>last</p></article><footer>f</footer></body>")
+        assert got.split("\n")[:2] == ["T", "lead"] and got.split("\n")[-1] == "last" and got.count("long text") == 60
+    # without an article: the smallest container of the whole cluster, not of nine tenths of it
+    part = "<p>" + "a part of its own, " * 4 + "</p>"
+    got = html_text.main_text(f"<body>{nav}<div><div><h2>T</h2>{part}</div><div>{long}</div><div>{part}</div></div></body>")
+    assert got.startswith("T\na part") and got.endswith("a part of its own,") and got.count("long text") == 60
+    two = html_text.main_text(f"<body>{nav}<article><h1>A</h1>{long}</article><article><h1>B</h1>{long}</article></body>")
+    assert two.count("long text") == 120 and "A\n" in two and "\nB\n" in two
+
+
 def test_html_rows(spark):
     df = spark.createDataFrame([(1, "u", "<p>é</p>", "c"), (None, None, None, "c"), (1, "u", "<p>é</p>", "c")], "page_id long, url string, html string, text string")
     got = html_text.extract_text(df).collect()
