@@ -5,7 +5,9 @@ its number of tags and its chain of containers. The text-to-tag ratios of the li
 Gaussian; the lines at or above the mean ratio less a share of the deviation form the content cluster. The cluster only
 chooses the content region: the outermost article or main elements that hold it, or, if it lies elsewhere, the smallest
 container that holds all of it. Every line of the region stays, short ones too. Menus, headers, footers, sidebars, notices, adverts, forms and comments never become content: their elements
-(by tag, role, class or id) take part in the ratios but not in the region.
+(by tag, role, class or id) take part in the ratios but not in the region. A form, or a part left out by role, class or
+id, is content after all if it holds the page's only articles, or the greater part of the page's text and no article is
+beside it.
 
 Defined cases: null, empty and text-free pages give an empty text; unclosed and stray tags are tolerated; repeated pages
 each give their row; further columns of the input are ignored.
@@ -44,6 +46,15 @@ MARKS = frozenset(
     "share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
 ROOTS = frozenset(("article", "main"))
+#: Left out by tag, but as content when a page is built inside them.
+SOFT = frozenset("dialog form".split())
+#: Parts that may stand beside the marks in a class name; further parts, such as those of has-sidebar, make it no mark.
+BESIDE = frozenset(
+    "area bar block bottom box button buttons container desktop form global icons inner item items left link links list "
+    "main mobile posts primary right row secondary section signup site slot top unit wrapper".split()
+)
+COMMENT = frozenset("comment comments commentlist commentform respond".split())
+STATES = frozenset("allow closed count disabled enabled has hide is no off on open show status with without".split())
 SPACE = re.compile(r"\s+")
 SPLIT = re.compile(r"[^a-z0-9]+")
 #: Share of the content cluster's text that articles and mains must hold to be the region, smoothing width in lines, and
@@ -51,8 +62,25 @@ SPLIT = re.compile(r"[^a-z0-9]+")
 HOLDS, SIGMA, BELOW = 0.9, 1.0, 0.5
 
 
+def names_of(attrs: list[tuple[str, str | None]]) -> list[list[str]]:
+    """The parts of each class name and id."""
+    whole = (w for k, v in attrs if v and k in ("class", "id") for w in v.lower().split())
+    return [[p for p in SPLIT.split(w) if p] for w in whole]
+
+
+def is_mark(name: list[str]) -> bool:
+    return not MARKS.isdisjoint(name) and all(p in MARKS or p in BESIDE for p in name)
+
+
+def is_comment(name: list[str]) -> bool:
+    return bool(name) and (name[0] in COMMENT or name[-1] in COMMENT) and STATES.isdisjoint(name)
+
+
 class Lines(HTMLParser):
-    """Collects (text, tags, chain, outside) per line; chain: ids of the open containers; outside: in a part to leave out."""
+    """Collects (text, tags, chain, outside) per line; chain: ids of the open containers; outside: in a part to leave out.
+
+    Parts that may turn out to be content are in ``soft`` (id: whether of comments) instead.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -65,6 +93,7 @@ class Lines(HTMLParser):
         self.raw = False
         self.count = 0
         self.roots: set[int] = set()
+        self.soft: dict[int, bool] = {}
 
     def cut(self) -> None:
         if self.parts:
@@ -95,8 +124,8 @@ class Lines(HTMLParser):
             self.parts.append(" ")
         self.tags += 1
         if tag in CONTAINERS:
-            marks = [v for k, v in attrs if v and k in ("class", "id")]
-            comment = any(w.startswith("comment") for m in marks for w in SPLIT.split(m.lower()))
+            names = names_of(attrs)
+            comment = tag != "body" and any(map(is_comment, names))
             if tag in ROOTS and not comment:
                 # a content root inside an unclosed menu or the like ends that part
                 part = next((i for i, x in enumerate(self.open) if x[2] and x[0] in ("nav", "head", "header", "menu", "aside")), None)
@@ -104,14 +133,14 @@ class Lines(HTMLParser):
                     self.leave_to(part)
             elif tag == "body":
                 self.leave_to(0)
-            rooted = any(x[0] in ROOTS for x in self.open)
-            out = tag in NEVER or (tag == "header" and not rooted) or comment
-            if not out and tag not in ("body", *ROOTS):
-                out = any(w in MARKS for m in marks for w in SPLIT.split(m.lower()))
-            out = out or any(k == "role" and v in ROLES or k in ("hidden",) for k, v in attrs)
-            self.enter(tag, out)
+            headline = tag == "header" and any(x[0] in ROOTS for x in self.open)
+            self.enter(tag, tag in NEVER and tag not in SOFT and not headline or tag == "header" and not headline)
             if tag in ROOTS and not comment:
                 self.roots.add(self.count)
+            marked = tag not in ROOTS and not headline and any(map(is_mark, names))
+            role = not headline and any(k == "role" and v in ROLES or k == "hidden" for k, v in attrs)
+            if tag != "body" and (tag in SOFT or comment or marked or role):
+                self.soft[self.count] = comment
 
     def handle_endtag(self, tag: str) -> None:
         if tag in RAW:
@@ -136,8 +165,37 @@ def smooth(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(ratios, kernel)[reach:-reach] / np.convolve(np.ones(len(ratios)), kernel)[reach:-reach]
 
 
-def content(lines: list[tuple[str, int, tuple[int, ...], bool]], roots: set[int]) -> list[str]:
+def left_out(lines: list[tuple[str, int, tuple[int, ...], bool]], roots: set[int], soft: dict[int, bool]) -> set[int]:
+    """Those of the soft parts that are no content."""
+    comments = {c for c, comment in soft.items() if comment}
+    rest = [x for x in lines if not x[3] and comments.isdisjoint(x[2])]
+    held = dict.fromkeys(soft, 0)
+    for text, _, chain, _ in rest:
+        for c in soft.keys() & chain:
+            held[c] += len(text)
+    total = sum(len(x[0]) for x in rest)
+    large = {c for c in soft if 2 * held[c] > total}
+    out = soft.keys() - large
+    clean = [x for x in rest if out.isdisjoint(x[2]) and not roots.isdisjoint(x[2])]
+    for c in large:
+        at = next(x[2][: x[2].index(c)] for x in rest if c in x[2])
+        # with articles only beside it, it is no content, however large (an advert longer than a short article)
+        beside = [c not in x[2] and not (roots - set(at)).isdisjoint(x[2]) for x in clean]
+        own = any(c in x[2] and not roots.isdisjoint(x[2]) for x in clean)
+        if any(beside) and not own:
+            out.add(c)
+    # an article in a part to leave out is a teaser, unless there are none elsewhere
+    if not any(out.isdisjoint(x[2]) and not roots.isdisjoint(x[2]) for x in rest):
+        for _, _, chain, _ in rest:
+            inmost = max((k for k, c in enumerate(chain) if c in roots), default=0) if out else 0
+            out.difference_update(chain[:inmost])
+    return out
+
+
+def content(lines: list[tuple[str, int, tuple[int, ...], bool]], roots: set[int], soft: dict[int, bool]) -> list[str]:
     """The lines of the content region; roots: ids of the article and main elements."""
+    if soft and (out := left_out(lines, roots, soft)):
+        lines = [(text, tags, chain, no or not out.isdisjoint(chain)) for text, tags, chain, no in lines]
     inside = [x for x in lines if not x[3]]
     if not inside:
         return []
@@ -166,7 +224,7 @@ def main_text(html: str | None) -> str:
     parser.feed(html)
     parser.close()
     parser.cut()
-    return "\n".join(content(parser.lines, parser.roots))
+    return "\n".join(content(parser.lines, parser.roots, parser.soft))
 
 
 def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -322,6 +322,24 @@ def test_html_whole_region():
     assert two.count("long text") == 120 and "A\n" in two and "\nB\n" in two
 
 
+def test_html_wrappers():
+    """Marks on a wrapper, a form around the page and headers of articles cost no content."""
+    inner = "<article><header class='entry-header'><h1>Head</h1></header><p>" + "some text of the page, " * 20 + "</p><div class='ad'>Buy</div></article>"
+    want = "Head\n" + ("some text of the page, " * 20).strip()
+    side = "<div class='sidebar'><article><h2>Teaser</h2></article></div><div class='comments'><article><p>Reader says</p></article></div>"
+    for a, b in (
+        ("<div class='layout has-sidebar'><main>", "</main></div>"), ("<form id='aspnetForm'>", "</form>"), ("<div class='widget'>", "</div>"),
+        ("<section id='popup'><div role='dialog'>", "</div></section>"), ("<div class='no-comments'>", "</div>"), ("<main class='comments-open'>", "</main>"),
+    ):
+        assert html_text.main_text(f"<body class='comments-open'><nav>n</nav>{a}{inner}{b}{side}<footer>f</footer></body>") == want, a
+    short = "<article><p>Short one</p></article>"
+    links = "<p>Some other words that are longer than the article</p>"
+    assert html_text.main_text(f"<body><div class='widget'>{short}</div><div class='menu'>Menu</div>{links}</body>").startswith("Short one")
+    assert html_text.main_text("<body><div class='modal'><p>All the text of this page</p></div><p>x</p></body>").startswith("All the text")
+    assert html_text.main_text(f"<body>{short}<div class='comments'><p>{'Reader says ' * 50}</p></div></body>") == "Short one"
+    assert html_text.main_text(f"<body>{short}<div class='site-footer'>f</div><form><p>Sign</p></form></body>") == "Short one"
+
+
 def test_html_rows(spark):
     df = spark.createDataFrame([(1, "u", "<p>é</p>", "c"), (None, None, None, "c"), (1, "u", "<p>é</p>", "c")], "page_id long, url string, html string, text string")
     got = html_text.extract_text(df).collect()
