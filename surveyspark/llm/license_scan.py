@@ -1,17 +1,23 @@
 """License scans by patience alignment.
 
-For each template, the parts of a text around its telling words (those that are rare among the templates' words and not
-short) are aligned with it: words that occur once in the part and once in the template are anchors; their longest
-increasing subsequence is kept; the gaps between anchors, and what touches them, are aligned in the same way. Coverage is
-the share of the template's words that are aligned. Parts are found in whole texts; their length is bounded by the
-template's, so a long text costs in proportion to its length.
-
-Defined cases: null and empty texts have no license; equal coverages go to the template that comes first by name;
+For each template, windows of a text around its telling words are aligned with it: words that occur once in the window and
+once in the template are anchors; their longest increasing subsequence is kept; the gaps between anchors, and what touches
+them, are aligned in the same way. Coverage is the number of aligned words over the template's words or the words of the
+text that the alignment spans, whichever are more, so left-out and inserted words both cost. A run of aligned words counts
+only if it has the words by which a license is told from its relatives (name, version, ShareAlike) and spans none that name
+a relative.
+
+Telling words are the rarest of those demanded, or, without any, so many of the template's words that no covered window can
+lack them all. Every window that holds one and might be covered better is tried; their length is bounded by the template's, so a long text costs in
+proportion to its length.
+
+Defined cases: null and empty texts have no license; equal coverages go to the longer template, then the first by name;
 repeated rows are scanned each; an empty table gives no rows; further columns of the input are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
@@ -23,7 +29,8 @@ from pyspark.sql import DataFrame
 from .common import map_pandas, own
 
 WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
-MIN_COVERAGE, TELLING = 0.75, 3
+MIN_COVERAGE = 0.75
+VERSION = re.compile(r"^v(?=[0-9])|(?:\.0)+$")
 
 # Notices by which the licenses ask to be named, as their publishers word them.
 TEMPLATES = {
@@ -45,9 +52,27 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 
+_CC = "noncommercial nc non commercial noderivatives noderivs nd derivatives"
+#: Words that a license's notice must have, and words that must not be in it, as they name a relative.
+DISTINCT = {
+    "Apache-2.0": ("apache 2", ""),
+    "Apache-2.0-notice": ("apache 2", ""),
+    "BSD": ("redistribution binary", ""),
+    "CC-BY-4.0": ("creative commons attribution 4", f"{_CC} sharealike sa share alike"),
+    "CC-BY-NC-4.0": ("cc by nc 4", "nd sa noderivatives sharealike"),
+    "CC-BY-SA-4.0": ("creative commons attribution sharealike 4", _CC),
+    "GPL-3.0": ("gnu general public 3", "lesser affero library"),
+    "GPL-3.0-notice": ("gnu general public 3", "lesser affero library"),
+    "ISC": ("permission distribute with without fee", ""),
+    "MIT": ("mit", ""),
+    "MIT-grant": ("permission person obtaining", ""),
+    "MPL-2.0": ("mozilla 2", ""),
+}
+
 
 def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    """Lower-cased words; v2.0 and 2.0 are 2."""
+    return [VERSION.sub("", w) if w[-1].isdigit() else w for w in WORD.findall(text.lower())]
 
 
 def rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -91,15 +116,43 @@ def align(a: list[str], b: list[str], a0: int, a1: int, b0: int, b1: int) -> lis
     return head + middle + tail[::-1]
 
 
+class Template:
+    def __init__(self, name: str, text: str) -> None:
+        self.words = words_of(text)
+        self.size = len(self.words)
+        demanded, barred = DISTINCT.get(name, ("", "")) if TEMPLATES.get(name) == text else ("", "")
+        self.demanded, self.barred = frozenset(demanded.split()), frozenset(barred.split())
+        self.count = Counter(self.words)
+        self.least = math.ceil(MIN_COVERAGE * self.size)
+        self.reach = math.floor(self.size / MIN_COVERAGE)
+
+    def telling(self, often: Counter) -> set[str]:
+        """Words of which a covered window has at least one."""
+        rank = lambda w: (-min(len(w), 5), often[w], -len(w), w)
+        if self.demanded:
+            return {min(self.demanded, key=rank)}
+        return set(sorted(self.words, key=rank)[: self.size - self.least + 1])
+
+    def run(self, words: list[str], got: list[tuple[int, int]]) -> tuple[float, int, int]:
+        """(coverage, first word, end) of the best run of aligned words."""
+        best = (0.0, 0, 0)
+        for i in range(len(got) - self.least + 1):
+            for j in range(i + self.least, len(got) + 1):
+                lo, hi = got[i][0], got[j - 1][0] + 1
+                c = (j - i) / max(self.size, hi - lo)
+                if c > best[0] and self.demanded.issubset(words[k] for k, _ in got[i:j]) and self.barred.isdisjoint(words[lo:hi]):
+                    best = (c, lo, hi)
+        return best
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str]) -> None:
-        self.names = sorted(templates)
-        self.words = {k: words_of(templates[k]) for k in self.names}
-        often = Counter(w for k in self.names for w in set(self.words[k]))
-        self.telling: dict[str, list[tuple[str, int]]] = {}
-        for k in self.names:
-            for w in sorted(set(self.words[k]), key=lambda w: (-min(len(w), 5), often[w], -len(w), w))[:TELLING]:
-                self.telling.setdefault(w, []).append((k, self.words[k].index(w)))
+        self.templates = {k: t for k in sorted(templates) if (t := Template(k, templates[k])).size}
+        often = Counter(w for t in self.templates.values() for w in t.count)
+        self.telling: dict[str, list[str]] = {}
+        for k, t in self.templates.items():
+            for w in t.telling(often):
+                self.telling.setdefault(w, []).append(k)
 
     def scan(self, text: str | None) -> list[tuple[str, float, int, int]]:
         """(license, coverage, first word, end) of the best place of each template that is covered enough."""
@@ -107,25 +160,34 @@ class Scanner:
         if not any(w in low for w in self.telling):
             return []
         words = words_of(low)
-        parts: dict[str, list[tuple[int, int]]] = {}
+        starts: dict[str, dict[int, None]] = {}
         for i, w in enumerate(words):
-            for k, at in self.telling.get(w, ()):
-                m = len(self.words[k])
-                lo, hi = max(0, i - at - m // 4), min(len(words), i - at + m + m // 4 + 1)
-                spans = parts.setdefault(k, [])
-                if not spans or spans[-1] != (lo, hi):
-                    spans.append((lo, hi))
+            for k in self.telling.get(w, ()):
+                t = self.templates[k]
+                # a run starts with a word of the template
+                starts.setdefault(k, {}).update((a, None) for a in range(max(0, i - t.reach + 1), i + 1) if words[a] in t.count)
         out = []
-        for k in sorted(parts):
-            best = (0.0, 0, 0)
-            for lo, hi in parts[k]:
-                got = align(words, self.words[k], lo, hi, 0, len(self.words[k]))
-                if got and (c := len(got) / len(self.words[k])) > best[0]:
-                    best = (c, got[0][0], got[-1][0] + 1)
+        for k in sorted(starts):
+            t, best = self.templates[k], (0.0, 0, 0)
+            for a in starts[k]:
+                if best[0] == 1:
+                    break
+                left, common = t.count.copy(), 0
+                for z in range(a + 1, min(len(words), a + t.reach) + 1):
+                    if (w := words[z - 1]) not in t.count:
+                        continue
+                    common += left[w] > 0
+                    left[w] -= 1
+                    # no more words than these can be aligned
+                    if common >= t.least and common / max(t.size, z - a) > best[0]:
+                        best = max(best, t.run(words, align(words, t.words, a, z, 0, t.size)), key=lambda x: x[0])
             if best[0] >= MIN_COVERAGE:
                 out.append((k, *best))
         return out
 
+    def best(self, found: list[tuple[str, float, int, int]]) -> tuple:
+        return max(found, key=lambda x: (x[1], self.templates[x[0]].size), default=(None, None, None, None))
+
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_licenses, licenses, best_license, best_coverage, start_word, end_word."""
@@ -137,8 +199,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_c
             out = []
             for text in pdf.text:
                 found = scanner.scan(text)
-                best = max(found, key=lambda x: x[1], default=(None, None, None, None))
-                out.append((len(found), ",".join(x[0] for x in found), *best))
+                out.append((len(found), ",".join(x[0] for x in found), *scanner.best(found)))
             cols = pd.DataFrame(out, columns=["n_licenses", "licenses", "best_license", "best_coverage", "start_word", "end_word"])
             cols = cols.astype({"start_word": "Int64", "end_word": "Int64"})
             yield pd.concat([pdf[["doc_id"]].reset_index(drop=True), cols], axis=1)

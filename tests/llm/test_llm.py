@@ -378,6 +378,49 @@ def test_license_scan(spark):
     assert got[4].best_coverage == 1.0 and 0.75 <= got[5].best_coverage < 1 and got[6].licenses == "Apache-2.0" and got[6].start_word == 20_000
 
 
+def test_license_names():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES)
+    name = lambda text: scanner.best(scanner.scan(text))[0]
+    for k, text in license_scan.TEMPLATES.items():
+        assert scanner.best(scanner.scan(f"Words before. {text} Words after."))[:2] == (k, 1.0)
+    for text in (
+        "Released under the BSD License.", "Licensed under CC BY 4.0.", "Licensed under CC BY-NC-SA 4.0.", "This work is licensed under the GNU General Public License, version 2.",
+        "This work is licensed under the GNU Lesser General Public License, version 3.", "Licensed under the Apache License, Version 1.1.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    ):
+        assert name(text) is None, text
+    assert name("This work is licensed under the GNU General Public License, version 3.0.") == "GPL-3.0"
+    assert name("Released, " + "and more words " * 9 + "under the MIT License") == "MIT"
+    # inserted words cost
+    assert scanner.scan("released x under x the x mit x license") == [] and scanner.scan("released under x the mit license")[0][1] == 5 / 6
+
+
+def test_license_windows():
+    """Against the alignment of every window."""
+    rng = random.Random(11)
+    templates = {n: " ".join(f"{n}{i % (size - 2)}" for i in range(size)) for n, size in (("a", 9), ("b", 14), ("c", 17))}
+    scanner, hits = license_scan.Scanner(templates), 0
+    for _ in range(60):
+        n = rng.choice("abc")
+        words = templates[n].split()
+        for _ in range(rng.randint(0, 4)):
+            i = rng.randrange(len(words))
+            words[i : i + rng.randint(0, 1)] = rng.choice([["new"], [], [rng.choice(words)]])
+        words = ["pre"] * rng.randint(0, 3) + words + rng.choices(words, k=3) + ["post"]
+        want, t = 0.0, templates[n].split()
+        for lo in range(len(words)):
+            for hi in range(lo + 1, len(words) + 1):
+                want = max(want, len(license_scan.align(words, t, lo, hi, 0, len(t))) / max(len(t), hi - lo))
+        got = {k: c for k, c, *_ in scanner.scan(" ".join(words))}
+        assert got == ({n: want} if want >= 0.75 else {})
+        hits += want >= 0.75
+    assert 20 < hits < 60
+    # the words that tell a template from others best are the ones changed
+    t = license_scan.TEMPLATES["GPL-3.0-notice"]
+    changed = t.replace("redistribute", "spread").replace("Foundation", "Body").replace("published", "given out")
+    assert license_scan.Scanner(license_scan.TEMPLATES).scan(changed)[0][0] == "GPL-3.0-notice"
+
+
 def test_line_templates(spark):
     head = [f"Page {i} of 20 printed" for i in range(12)]
     texts = [f"{h}\nbody {chr(97 + i)} is its own line of words\n\nall rights reserved here" for i, h in enumerate(head)]
