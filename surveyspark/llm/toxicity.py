@@ -25,7 +25,6 @@ import heapq
 import re
 from collections.abc import Iterator
 from itertools import combinations
-from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -35,14 +34,16 @@ from pyspark.sql import functions as F
 
 from .common import map_pandas, own, sliced
 
-P, DECAY, LANDMARKS = 3, 0.6, 128
-#: Labelled documents and distinct chunks that training takes at most.
-MAX_DOCS, MAX_CHUNKS = 3000, 6000
+P, DECAY, LANDMARKS = 3, 0.6, 160
+#: Labelled documents that training takes at most, each whole, and distinct chunks that a machine is first fitted on.
+MAX_DOCS, MAX_CHUNKS = 4000, 6000
 #: Training documents from which two folds calibrate; fewer take six, as each machine then needs what there is.
 MANY = 1500
 ALPHABET = "abcdefghijklmnopqrstuvwxyzäöüßéèêçñóíáúàâîôûœ"
-BASE = len(ALPHABET) + 2  # 0 is any other letter
-CODE = {c: i + 1 for i, c in enumerate(ALPHABET)}
+#: Codes that all other letters share.
+OTHERS = 8
+BASE = len(ALPHABET) + OTHERS
+CODE = {c: i + OTHERS for i, c in enumerate(ALPHABET)}
 LONGEST, STEP = 20, 10
 #: Best chunks of a document that its score depends on, and the margin of a missing one.
 TOP, LOWEST = 3, -1e9
@@ -80,7 +81,7 @@ def parts(chunk: str) -> list[str]:
 
 def codes(chunks: list[str]) -> np.ndarray:
     """Chunks of one length as rows of letter codes."""
-    return np.array([[CODE.get(c, 0) for c in x] for x in chunks], np.int32)
+    return np.array([[CODE.get(c, ord(c) % OTHERS) for c in x] for x in chunks], np.int32)
 
 
 def subsequences(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -324,11 +325,8 @@ def held_out(doc_id) -> "F.Column":
     return F.crc32(F.encode(doc_id.cast("string"), "utf-8")) % 3 == 1
 
 
-def training_bags(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_chunks: int = 3000) -> tuple[list[str], Bags]:
-    """A bounded sample of the labelled rows that aren't held out, by hash of the id: names and chunks of their texts.
-
-    Of a document with more than max_chunks distinct chunks, those of least hash.
-    """
+def training_bags(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> tuple[list[str], Bags]:
+    """A bounded sample of the labelled rows that aren't held out, by hash of the id: names and chunks of their whole texts."""
     rows = labels.select(labels["doc_id"].alias("doc_id"), labels["toxic"].alias("toxic")).filter(
         F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
     )
@@ -338,7 +336,7 @@ def training_bags(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS,
 
     def chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = [sorted({p for w in words_of(t) for p in parts(chunk_of(w))}, key=lambda x: (crc32(x.encode()), x))[:max_chunks] for t in pdf.text]
+            found = [{p for w in words_of(t) for p in parts(chunk_of(w))} for t in pdf.text]
             yield pd.DataFrame({"toxic": pdf.toxic == 1, "doc_id": pdf.doc_id, "chunks": [" ".join(sorted(x)) for x in found]})
 
     kind = joined.schema["doc_id"].dataType.simpleString()
@@ -346,7 +344,7 @@ def training_bags(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS,
     number: dict[str, int] = {}
     bags = []
     for r in got.toLocalIterator():
-        bags.append((bool(r.toxic), np.array([number.setdefault(x, len(number)) for x in r.chunks.split(" ") if x], np.int64)))
+        bags.append((bool(r.toxic), np.array([number.setdefault(x, len(number)) for x in r.chunks.split(" ") if x], np.int32)))
     return list(number), bags
 
 

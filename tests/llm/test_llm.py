@@ -267,6 +267,20 @@ def test_chunks():
     assert "idiot" in {toxicity.chunk_of(w) for w in toxicity.words_of("you i d i o t now")}
 
 
+def test_training_takes_whole_texts(spark):
+    words = [a + b + c for a in "bcdfghklmnprst" for b in "abcdefghijklmnop" for c in "abcdefghijklmnopqrstuvwxyz"]
+    assert len(words) > 5000
+    ids = [i for i in range(20) if zlib.crc32(str(i).encode()) % 3 != 1][:2]
+    docs = frame(spark, [" ".join(words), "short one"], ids)
+    names, bags = toxicity.training_bags(docs, spark.createDataFrame([(ids[0], 1), (ids[1], 0)], "doc_id long, toxic int"))
+    assert sorted(len(b) for _, b in bags) == [2, len(words)] and set(words) <= set(names)
+
+
+def test_letters_beyond_the_alphabet():
+    got = toxicity.project(["идиот", "привет"], toxicity.dense(["идиот"]))
+    assert got[0, 0] > 0.999 and got[1, 0] < 0.5
+
+
 def test_toxicity_held_out(spark):
     rng = random.Random(2)
     insults, syll = ["idiot", "moron", "scumbag"], ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha"]
