@@ -47,8 +47,8 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals after batches: four of inserts with estimated counts, one repeated, one of revisions to the true counts, and
-    one that deletes documents without any token."""
+    """Totals after batches: four of inserts with estimated counts, one repeated, one of revisions to the true counts, one
+    that deletes the documents of an insert batch, and one that inserts them again."""
     counts = stash(token_counts(table(spark, sf_dir, "documents")), "token-counts")
     each = counts.select(
         "doc_id", "source", "lang", (F.col("n_chars") / 4).cast("long").alias("estimate"),
@@ -60,8 +60,9 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, name in [*enumerate(inserts), (2, inserts[2])]:
         rollup.commit(name, signed(each.filter(part == k), 1, "estimate"))
     rollup.commit("revise-0", revised(each, "estimate", "n_tokens"))
-    rollup.commit("delete-0", signed(each.filter("n_tokens = 0"), -1))
-    return rollup.totals([*inserts, "revise-0", "delete-0"])
+    rollup.commit("delete-0", signed(each.filter(part == 0), -1))
+    rollup.commit("insert-again-0", signed(each.filter(part == 0), 1))
+    return rollup.totals([*inserts, "revise-0", "delete-0", "insert-again-0"])
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

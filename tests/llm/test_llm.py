@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from surveyspark.llm import decontaminate, exact_dedup, html_text, jaccard_join, license_scan, line_templates, packing, substrings, token_rollup, toxicity
+from surveyspark.llm import decontaminate, exact_dedup, html_text, jaccard_join, license_scan, line_templates, packing, queries, substrings, token_rollup, toxicity
 from surveyspark.llm.common import table
 
 DATA = "/root/testdata/sf0.001"
@@ -462,6 +462,25 @@ def test_token_rollup(spark):
             assert got[r.doc_id][k] == len(coder.encode_ordinary(r.text or ""))
 
 
+def test_token_totals(spark, monkeypatch):
+    """All documents count, the empty ones too, and the delete batch takes tokens away."""
+    extra = spark.createDataFrame([(None, None, None, None, 0), (10**9, None, None, None, 0), (10**9 + 1, "", "en", "src1", 0)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = table(spark, DATA, "documents").unionByName(extra)
+    monkeypatch.setattr(queries, "table", lambda *_: docs)
+    taken, commit = {}, token_rollup.Rollup.commit
+
+    def seen(self, batch, changes):
+        taken[batch] = changes.agg(F.sum("d_tokens")).first()[0]
+        return commit(self, batch, changes)
+
+    monkeypatch.setattr(token_rollup.Rollup, "commit", seen)
+    got = sorted(map(tuple, queries.op7_token_counts(spark, DATA).collect()), key=str)
+    rows = token_rollup.token_counts(docs).select("source", "lang", F.explode(F.map_from_arrays(F.array(*map(F.lit, token_rollup.VERSIONS)), "counts")).alias("tokenizer", "n"))
+    plain = rows.groupBy("source", "lang", "tokenizer").agg(F.count("*"), F.sum("n"))
+    assert got == sorted(map(tuple, plain.collect()), key=str)
+    assert taken["delete-0"] < 0 and taken["insert-again-0"] == -taken["delete-0"]
+
+
 def test_rollup_batches(spark, tmp_path):
     rows = spark.createDataFrame([("s", "en", "v1", 10), ("s", "en", "v1", 5), ("t", None, "v1", 7)], "source string, lang string, tokenizer string, n_tokens long")
     r = token_rollup.Rollup(spark, str(tmp_path / "state"))
