@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -13,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-#: Rows up to which a narrow table (a few longs a row) may be broadcast; beyond it joins shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Bytes up to which a stashed table may be broadcast (in Spark's rows, not in the file); beyond it joins shuffle.
+BROADCAST_BYTES = 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,11 +23,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``; a temporary one where that is unset."""
+    """The folder that driver and executors share: the session's ``spark.checkpoint.dir``, which must be set."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="surveyspark-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return path.rstrip("/")
 
 
@@ -38,12 +38,20 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``limit`` rows, else as it is (a shuffled join then).
+def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if its rows take at most ``limit`` bytes, else as it is (a shuffled join then).
 
-    ``df`` should be stashed: its rows are counted here.
+    ``df`` should read a stashed table, as its rows are counted here. A row's size is estimated from its type; strings,
+    arrays and binaries are measured.
     """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    wide = [c for c in df.schema if isinstance(c.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType))]
+    size = F.lit(16 + 8 * len(df.columns))
+    for c in wide:
+        kind = c.dataType
+        own = F.octet_length(c.name) if isinstance(kind, (T.StringType, T.BinaryType)) else F.octet_length(F.to_json(c.name))
+        size = size + F.coalesce(own, F.lit(0))
+    total = df.select(F.sum(size.cast("long")).alias("b")).first().b or 0
+    return F.broadcast(df) if total <= limit else df
 
 
 def own(df: DataFrame, id_col: str, text_col: str, **extra: str) -> DataFrame:
@@ -69,6 +77,26 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
             yield b.slice(i, rows)
 
 
+def trim() -> None:
+    """Give a worker's free memory back, as workers live on between stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
+    """``mapInArrow`` whose workers give their memory back in the end."""
+
+    def batches(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(them)
+        trim()
+
+    return df.mapInArrow(batches, schema)
+
+
 def map_pandas(
     df: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: T.StructType | str
 ) -> DataFrame:
@@ -81,4 +109,4 @@ def map_pandas(
         for pdf in run(frame(b) for b in sliced(them)):
             yield pa.RecordBatch.from_pandas(pdf[arrow.names], schema=arrow, preserve_index=False)
 
-    return df.mapInArrow(batches, kind)
+    return map_arrow(df, batches, kind)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_pandas, maybe_broadcast, own, stash
+from .common import map_pandas, bounded_broadcast, own, stash
 
 LEADING, SIMILAR, MIN_DOCS = 3, 0.6, 5
 ANY = "<*>"
@@ -140,12 +140,12 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pd.DataFrame(out, columns=["sig", "sig2", "at", "h"])
 
     at = map_pandas(docs.select("sig", "sig2", "text"), hashes, "sig long, sig2 int, at int, h long")
-    hits = stash(at.join(maybe_broadcast(found.select("h", "template")), "h").select("sig", "sig2", "at", "template"), "line-hits")
+    hits = stash(at.join(bounded_broadcast(found.select("h", "template")), "h").select("sig", "sig2", "at", "template"), "line-hits")
     ids = docs.select("doc_id", "sig", "sig2").distinct()
     rows = ids.groupBy("sig", "sig2").agg(F.count("*").alias("n"))
     spread = hits.select("template", "sig", "sig2").distinct().join(rows, ["sig", "sig2"])
     often = spread.groupBy("template").agg(F.sum("n").alias("docs")).filter(F.col("docs") >= min_docs).select("template")
-    gone = hits.join(maybe_broadcast(stash(often, "line-often")), "template")
+    gone = hits.join(bounded_broadcast(stash(often, "line-often")), "template")
     gone = stash(gone.groupBy("sig", "sig2").agg(F.collect_set("at").alias("gone")), "line-gone")
 
     def left(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -159,7 +159,7 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pd.concat([pdf[["doc_id"]].reset_index(drop=True), cols], axis=1)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    touched = maybe_broadcast(gone, 200_000)
+    touched = bounded_broadcast(gone)
     joined = docs.join(touched, ["sig", "sig2"], "left").select("doc_id", "text", "gone")
     return map_pandas(joined, left, f"doc_id {kind}, n_lines long, n_dropped long, text string")
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_pandas, maybe_broadcast, own, sliced, stash
+from .common import map_pandas, bounded_broadcast, own, sliced, stash
 
 LENGTH = 200
 GRAM, ONE_IN = 16, 32
@@ -339,7 +339,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, one_in: int = ONE_IN)
     _free(docs)
     undecided = level.filter(F.col("kind") != COVER)
     by_text = undecided.groupBy("sig").agg(F.collect_list(F.struct("lo", "hi", "kind")).alias("open"))
-    wanted = maybe_broadcast(stash(undecided.select("sig").distinct(), "suffix-wanted"))
+    wanted = bounded_broadcast(stash(undecided.select("sig").distinct(), "suffix-wanted"))
     texts = docs.join(wanted, "sig", "left_semi").dropDuplicates(["sig"]).join(by_text, "sig").select("sig", "text", "open")
     windows = texts.mapInArrow(_windows(length), "kind int, f long, e long, sig long, lo long, run int, sure boolean")
     fine = stash(windows.repartition("f").sortWithinPartitions(*order).mapInArrow(_induced(length, True), spans_type), "suffix-windows")
@@ -353,7 +353,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs = own(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("sig", F.xxhash64("text"))
     spans = repeated_spans(docs.select("sig", "text"), length, one_in)
     by_text = stash(spans.groupBy("sig").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")), "suffix-spans")
-    touched = maybe_broadcast(by_text.select("sig"))
+    touched = bounded_broadcast(by_text.select("sig"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     cut = docs.join(touched, "sig", "left_semi").join(by_text, "sig").select("doc_id", "text", "spans")
     cut = map_pandas(cut, _cut(length), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<start:long,end:long>>")
