@@ -1,11 +1,8 @@
 """Benchmark decontamination with DataFrame operations only.
 
-The benchmark's normalised 13-word windows form a hash set that is broadcast when its row count is within
-``max_broadcast`` and joined by shuffle otherwise. Documents are cut into the same windows; a window whose hash is in the
-set is verified word by word, and the words inside verified windows are counted as the union of their spans.
-
-Candidates are found on Unicode-lower-cased text, whose matches include every match of the A-Z rule (lower-casing maps
-word characters to word characters); the verification then applies the A-Z rule itself.
+The benchmark's normalised 13-word windows form a hash set that is broadcast while its size is within a bound and joined by
+shuffle otherwise. Documents are cut into the same windows; a window whose hash is in the set is verified word by word, and
+the words inside verified windows are counted as the union of their spans.
 
 Defined cases: a null text or item has no words; an item of fewer words than a window, but at least one, is one window;
 repeated items and repeated document rows each count as they stand; an empty benchmark hits nothing; further columns of
@@ -17,25 +14,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import maybe_broadcast, own, stash
+from .common import BROADCAST_BYTES, bounded_broadcast, own, stash
 
 WINDOW = 13
-#: A run of word characters: digits, a-z and everything beyond ASCII.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: The ASCII characters that no word has.
+BETWEEN = "".join(map(chr, range(128))).translate(str.maketrans("", "", UPPER + LOWER + "0123456789"))
 
 
 def signature(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("sig"), F.hash(text).alias("sig2")]
 
 
-def loose_words(text: Column) -> Column:
-    """Words of the Unicode-lower-cased text; as many, at the same places, as ``exact_words``."""
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
-
-
-def exact_words(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0))
+def words_of(text: Column) -> Column:
+    """Runs of digits, letters a-z (A-Z lower-cased) and characters beyond ASCII."""
+    spaced = F.translate(F.coalesce(text, F.lit("")), UPPER + BETWEEN, LOWER + " " * len(BETWEEN))
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def _starts(words: str, size: Column | str) -> Column:
@@ -44,31 +38,32 @@ def _starts(words: str, size: Column | str) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """item, len, h (hash of the loose words), words (exact words) of each distinct window."""
+    """item, len, h (hash), words of each distinct window."""
     words = (
-        benchmark.select("item", loose_words(F.col("text")).alias("loose"), exact_words(F.col("text")).alias("exact"))
-        .filter(F.size("loose") > 0)
-        .withColumn("len", F.least(F.size("loose"), F.lit(window)))
+        benchmark.select("item", words_of(F.col("text")).alias("w"))
+        .filter(F.size("w") > 0)
+        .withColumn("len", F.least(F.size("w"), F.lit(window)))
     )
     return (
-        words.withColumn("at", F.explode(_starts("loose", "len")))
+        words.withColumn("at", F.explode(_starts("w", "len")))
         .select(
             "item",
             "len",
-            F.expr("xxhash64(slice(loose, at + 1, len))").alias("h"),
-            F.expr("slice(exact, at + 1, len)").alias("words"),
+            F.expr("xxhash64(slice(w, at + 1, len))").alias("h"),
+            F.expr("slice(w, at + 1, len)").alias("words"),
         )
         .distinct()
     )
 
 
-def window_hits(docs: DataFrame, windows: DataFrame, max_broadcast: int = 1_000_000) -> DataFrame:
+def window_hits(docs: DataFrame, windows: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """sig, sig2, at, len, item of every verified occurrence; docs: text; windows: stashed.
 
-    ``sig, sig2`` are 96 bits of hash of the text; rows with the same text share their hits.
+    ``sig, sig2`` are 96 bits of hash of the text; rows with the same text share their hits. limit: bytes up to which the
+    hash set is broadcast.
     """
     lengths = sorted(r.len for r in windows.select("len").distinct().collect())  # at most as many as words in a window
-    docs = docs.select("text", *signature(F.col("text"))).withColumn("w", loose_words(F.col("text")))
+    docs = docs.select("text", *signature(F.col("text"))).withColumn("w", words_of(F.col("text")))
     by_len = [
         F.expr(
             f"CASE WHEN size(w) >= {n} THEN transform(sequence(0, size(w) - {n}), "
@@ -79,7 +74,7 @@ def window_hits(docs: DataFrame, windows: DataFrame, max_broadcast: int = 1_000_
     ]
     if not by_len:
         by_len = [F.expr("CAST(array() AS array<struct<at:int,len:int,h:bigint>>)")]
-    keys = maybe_broadcast(windows.select("h", "len").distinct(), max_broadcast)
+    keys = bounded_broadcast(windows.select("h", "len").distinct(), limit)
     found = (
         docs.select("sig", "sig2", F.inline(F.concat(*by_len)))
         .join(keys, ["h", "len"])
@@ -87,13 +82,13 @@ def window_hits(docs: DataFrame, windows: DataFrame, max_broadcast: int = 1_000_
     )
     found = stash(found.distinct(), "decon-found")
     texts = docs.select("sig", "sig2", "text").join(
-        maybe_broadcast(found.select("sig", "sig2").distinct(), max_broadcast), ["sig", "sig2"], "left_semi"
+        bounded_broadcast(found.select("sig", "sig2").distinct(), limit), ["sig", "sig2"], "left_semi"
     )
-    texts = texts.dropDuplicates(["sig", "sig2"]).select("sig", "sig2", exact_words(F.col("text")).alias("e"))
+    texts = texts.dropDuplicates(["sig", "sig2"]).select("sig", "sig2", words_of(F.col("text")).alias("e"))
     spans = found.join(texts, ["sig", "sig2"]).select(
         "sig", "sig2", "at", "len", "h", F.expr("slice(e, at + 1, len)").alias("words")
     )
-    items = maybe_broadcast(windows, max_broadcast)
+    items = bounded_broadcast(windows, limit)
     return spans.join(items, ["h", "len", "words"]).select("sig", "sig2", "at", "len", "item")
 
 
@@ -137,8 +132,8 @@ def contamination(
         .agg(F.array_sort(F.collect_list("item")).alias("items"))
         .select(*key, F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
     )
-    found = maybe_broadcast(stash(spans.join(named, key), "decon-docs"), 100_000)
-    counted = docs.select("doc_id", *signature(F.col("text")), F.size(loose_words(F.col("text"))).cast("long").alias("n_words"))
+    found = bounded_broadcast(stash(spans.join(named, key), "decon-docs"))
+    counted = docs.select("doc_id", *signature(F.col("text")), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
     return (
         counted.join(found, key, "left")
         .withColumns(
@@ -160,7 +155,7 @@ def _same_text(text: Column) -> Column:
 def _marks(rows: DataFrame, *more: str) -> DataFrame:
     names = ["sig", "sig2", *more]
     marks = rows.dropDuplicates(["sig", "sig2"]).select([F.col(c).alias(f"__{c}") for c in names])
-    return maybe_broadcast(stash(marks, "decon-marks"), 100_000)
+    return bounded_broadcast(stash(marks, "decon-marks"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
