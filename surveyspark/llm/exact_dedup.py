@@ -21,12 +21,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_pandas, maybe_broadcast, own, stash
+from .common import map_pandas, bounded_broadcast, own, stash
 
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASES = (1_103_515_245, 1_220_703_125)
 CHUNK = 1 << 16
 HUGE_BYTES = 8 << 20
+#: Members of a group that meet a copy of its representative in one task.
+SHARE = 256
 
 
 def power_tables(chunk: int = CHUNK) -> list[np.ndarray]:
@@ -126,30 +128,36 @@ def exact_groups(
     marks = stash(texts.select("doc_id", "n_bytes", "fp", "text_sha256"), "exact-marks")
     key = ["fp", "n_bytes"]
     groups = stash(
-        marks.groupBy(key).agg(F.count("*").alias("n"), F.max("doc_id").alias("rep_id")).filter("n > 1").drop("n"),
+        marks.groupBy(key).agg(F.count("*").alias("n"), F.max("doc_id").alias("rep_id"))
+        .filter("n > 1")
+        .select(*key, "rep_id", F.ceil(F.col("n") / SHARE).cast("int").alias("salts")),
         "exact-groups",
     )
-    members = texts.join(maybe_broadcast(groups), key)
-    reps = members.filter("doc_id <=> rep_id").groupBy(key).agg(F.min("text").alias("rep_text"))
+    members = texts.join(bounded_broadcast(groups), key)
+    reps = members.filter("doc_id <=> rep_id").groupBy(*key, "salts").agg(F.min("text").alias("rep_text"))
+    # a large group's representative goes to many tasks, each with its share of the members
+    reps = reps.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    members = members.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.col("salts")).cast("int"))
     differing = stash(
         map_pandas(
-            members.filter("NOT (doc_id <=> rep_id)").select("text", "text_sha256", *key).join(reps, key),
+            members.filter("NOT (doc_id <=> rep_id)").select("text", "text_sha256", "salt", *key).join(reps, [*key, "salt"]),
             _compare,
             "fp long, n_bytes long, text_sha256 string",
         ),
         "exact-collisions",
     )
-    odd = maybe_broadcast(differing.distinct().withColumn("odd", F.col("text_sha256")))
+    odd = bounded_broadcast(differing.distinct().withColumn("odd", F.col("text_sha256")))
     marks = marks.join(odd, ["fp", "n_bytes", "text_sha256"], "left")
     key = ["fp", "n_bytes", "odd"]
     marks = marks.withColumn("odd", F.coalesce("odd", F.lit("")))
-    sizes = marks.groupBy(key).agg(F.count("*").alias("group_size"), F.max("doc_id").alias("keep_id"))
+    sizes = marks.groupBy(key).agg(F.count("*").alias("n"), F.max("doc_id").alias("rep_id")).filter("n > 1")
+    # of rows with the largest id, only those that share it have to be told apart
+    ties = marks.join(bounded_broadcast(stash(sizes, "exact-sizes")), key, "left")
+    ties = ties.withColumns({"group_size": F.coalesce("n", F.lit(1).cast("long")), "keep_id": F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("rep_id"))})
+    last = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    rest = ties.filter(~last).withColumn("kept", F.lit(False))
     first = F.row_number().over(Window.partitionBy("doc_id", "text_sha256").orderBy("fp"))
-    return (
-        marks.join(sizes, key)
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")) & (first == 1))
-        .select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
-    )
+    return rest.unionByName(ties.filter(last).withColumn("kept", first == 1)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -159,8 +167,8 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.count("*").alias("__n"), F.max("kept").alias("__kept")
     )
     same = docs[id_col].eqNullSafe(F.col("__id")) & (F.sha2(F.coalesce(docs[text_col], F.lit("")), 256) == F.col("__sha"))
-    gone = maybe_broadcast(stash(rows.filter("NOT __kept OR __n > 1").select("__id", "__sha"), "exact-gone"))
+    gone = bounded_broadcast(stash(rows.filter("NOT __kept OR __n > 1").select("__id", "__sha"), "exact-gone"))
     # rows that are there several times, of which one stays
-    again = maybe_broadcast(stash(rows.filter("__kept AND __n > 1").select("__id", "__sha"), "exact-again"))
+    again = bounded_broadcast(stash(rows.filter("__kept AND __n > 1").select("__id", "__sha"), "exact-again"))
     once = docs.join(again, same, "left_semi").withColumn("__s", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
     return docs.join(gone, same, "left_anti").unionByName(once.dropDuplicates([id_col, "__s"]).drop("__s"))
