@@ -1,22 +1,25 @@
 """Main text of web pages: parser events, text-to-tag ratio per line, Gaussian smoothing and threshold clustering.
 
 A page is fed to the standard library's event parser once. The events become lines (block elements), each with its text,
-its number of tags and its chain of containers. The text-to-tag ratios of the lines, in page order, are smoothed with a
-Gaussian; the lines at or above the mean ratio less a share of the deviation form the content cluster. The cluster only
-chooses the content region: the outermost article or main elements that hold it, or, if it lies elsewhere, the smallest
-container that holds all of it. Every line of the region stays, short ones too. Menus, headers, footers, sidebars, notices, adverts, forms and comments never become content: their elements
-(by tag, role, class or id) take part in the ratios but not in the region. A form, or a part left out by role, class or
-id, is content after all if it holds the page's only articles, or the greater part of the page's text and no article is
-beside it.
-
-Defined cases: null, empty and text-free pages give an empty text; unclosed and stray tags are tolerated; repeated pages
-each give their row; further columns of the input are ignored.
+its number of tags and its innermost container; containers are numbered in page order, so one lies in another if its number
+is in the other's stretch. The text-to-tag ratios of the lines, in page order, are smoothed with a Gaussian; the lines at or
+above the mean ratio less a share of the deviation, and all of prose (``PLAIN`` letters a tag), form the content cluster. The
+cluster only chooses the content region: the outermost article or main elements that hold it, or, if it lies elsewhere, the
+smallest container that holds all of it. Every line of the region stays, short ones too. Menus, headers, footers, sidebars,
+notices, adverts, forms and comments never become content: their elements (by tag, role, class or id) take part in the ratios
+but not in the region. A form, or a part left out by role, class or id, is content after all if it holds the page's only
+articles, or the greater part of the page's text and no article is beside it.
+
+Defined cases: null, empty and text-free pages give an empty text; unclosed and stray tags are tolerated; declarations of an
+unknown kind are comments, and comments and tags that nothing closes reach to the end; what the parser refuses ends the page
+there; repeated pages each give their row; further columns of the input are ignored. Costs grow in proportion to a page.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
 
 import numpy as np
@@ -57,9 +60,16 @@ COMMENT = frozenset("comment comments commentlist commentform respond".split())
 STATES = frozenset("allow closed count disabled enabled has hide is no off on open show status with without".split())
 SPACE = re.compile(r"\s+")
 SPLIT = re.compile(r"[^a-z0-9]+")
-#: Share of the content cluster's text that articles and mains must hold to be the region, smoothing width in lines, and
-#: the threshold's place below the mean in deviations.
-HOLDS, SIGMA, BELOW = 0.9, 1.0, 0.5
+SHORT_COMMENT, COMMENT_END = re.compile(r"<!---?>"), re.compile(r"--!?>")
+#: Share of the content cluster's text that articles and mains must hold to be the region, smoothing width in lines, the
+#: threshold's place below the mean in deviations, and letters a tag of what is prose in any case.
+HOLDS, SIGMA, BELOW, PLAIN = 0.9, 1.0, 0.5, 40
+#: Blocks that are containers when their class or id marks them; the next one of these ends an open one.
+MARKABLE = frozenset("p h1 h2 h3 h4 h5 h6 li dl dt dd tr blockquote pre address figcaption".split())
+#: Parts that an article ends when it starts in them, as if they were unclosed.
+ENDED = frozenset("nav head header menu aside".split())
+#: Marks that inside an article name its own heading.
+HEADING = frozenset("header masthead".split())
 
 
 def names_of(attrs: list[tuple[str, str | None]]) -> list[list[str]]:
@@ -77,42 +87,79 @@ def is_comment(name: list[str]) -> bool:
 
 
 class Lines(HTMLParser):
-    """Collects (text, tags, chain, outside) per line; chain: ids of the open containers; outside: in a part to leave out.
+    """Collects (text, tags, container, outside) per line; outside: in a part to leave out.
 
-    Parts that may turn out to be content are in ``soft`` (id: whether of comments) instead.
+    ``ends[c]`` is the last container inside container c, ``up[c]`` the one around it (0: none). Parts that may turn out to be content are in ``soft`` (container:
+    whether of comments) instead.
     """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
+        self.lines: list[tuple[str, int, int, bool]] = []
         self.open: list[tuple[str, int, bool]] = []
-        self.chain: tuple[int, ...] = ()
-        self.outside = False
+        self.tag_count: Counter[str] = Counter()
+        self.out_count = self.root_count = 0
+        self.ended: list[int] = []
         self.parts: list[str] = []
         self.tags = 0
         self.raw = False
-        self.count = 0
+        self.ends: list[int] = [0]
+        self.up: list[int] = [0]
         self.roots: set[int] = set()
         self.soft: dict[int, bool] = {}
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else len(self.rawdata)
+
+    def parse_comment(self, i: int, report: int = 1) -> int:
+        if (short := SHORT_COMMENT.match(self.rawdata, i)) is not None:
+            return short.end()
+        end = COMMENT_END.search(self.rawdata, i + 4)
+        return end.end() if end else len(self.rawdata)
+
+    def parse_html_declaration(self, i: int) -> int:
+        return self.parse_marked_section(i)
+
+    def parse_pi(self, i: int) -> int:
+        return self.parse_marked_section(i)
+
+    def parse_endtag(self, i: int) -> int:
+        return k if (k := super().parse_endtag(i)) >= 0 else len(self.rawdata)
+
+    def parse_starttag(self, i: int) -> int:
+        return k if (k := super().parse_starttag(i)) >= 0 else len(self.rawdata)
+
     def cut(self) -> None:
         if self.parts:
             text = SPACE.sub(" ", "".join(self.parts)).strip()
             self.parts.clear()
             if text:
-                self.lines.append((text, self.tags, self.chain, self.outside))
+                self.lines.append((text, self.tags, self.open[-1][1] if self.open else 0, self.out_count > 0))
                 self.tags = 0
 
-    def enter(self, tag: str, left_out: bool) -> None:
-        self.count += 1
-        self.open.append((tag, self.count, left_out))
-        self.chain += (self.count,)
-        self.outside = self.outside or left_out
+    def enter(self, tag: str, left_out: bool) -> int:
+        c = len(self.ends)
+        self.ends.append(c)
+        self.up.append(self.open[-1][1] if self.open else 0)
+        if tag in ENDED and left_out:
+            self.ended.append(len(self.open))
+        self.open.append((tag, c, left_out))
+        self.tag_count[tag] += 1
+        self.out_count += left_out
+        self.root_count += tag in ROOTS
+        return c
 
     def leave_to(self, depth: int) -> None:
-        del self.open[depth:]
-        self.chain = self.chain[:depth]
-        self.outside = any(x[2] for x in self.open)
+        last = len(self.ends) - 1
+        while len(self.open) > depth:
+            tag, c, left_out = self.open.pop()
+            self.ends[c] = last
+            self.tag_count[tag] -= 1
+            self.out_count -= left_out
+            self.root_count -= tag in ROOTS
+        while self.ended and self.ended[-1] >= depth:
+            self.ended.pop()
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in RAW:
@@ -120,6 +167,8 @@ class Lines(HTMLParser):
             return
         if tag in BLOCKS or tag in CONTAINERS:
             self.cut()
+            if self.open and self.open[-1][0] in MARKABLE and (tag == self.open[-1][0] or self.open[-1][0] == "p"):
+                self.leave_to(len(self.open) - 1)
         elif tag in ("br", "td", "th"):
             self.parts.append(" ")
         self.tags += 1
@@ -128,19 +177,21 @@ class Lines(HTMLParser):
             comment = tag != "body" and any(map(is_comment, names))
             if tag in ROOTS and not comment:
                 # a content root inside an unclosed menu or the like ends that part
-                part = next((i for i, x in enumerate(self.open) if x[2] and x[0] in ("nav", "head", "header", "menu", "aside")), None)
-                if part is not None:
-                    self.leave_to(part)
+                if self.ended:
+                    self.leave_to(self.ended[0])
             elif tag == "body":
                 self.leave_to(0)
-            headline = tag == "header" and any(x[0] in ROOTS for x in self.open)
-            self.enter(tag, tag in NEVER and tag not in SOFT and not headline or tag == "header" and not headline)
+            in_root = self.root_count > 0
+            headline = tag == "header" and in_root
+            c = self.enter(tag, tag in NEVER and tag not in SOFT and not headline or tag == "header" and not headline)
             if tag in ROOTS and not comment:
-                self.roots.add(self.count)
-            marked = tag not in ROOTS and not headline and any(map(is_mark, names))
+                self.roots.add(c)
             role = not headline and any(k == "role" and v in ROLES or k == "hidden" for k, v in attrs)
+            marked = tag not in ROOTS and not headline and any(is_mark(x) and not (in_root and HEADING.issuperset(MARKS.intersection(x))) for x in names)
             if tag != "body" and (tag in SOFT or comment or marked or role):
-                self.soft[self.count] = comment
+                self.soft[c] = comment
+        elif tag in MARKABLE and attrs and any(map(is_mark, names_of(attrs))):
+            self.enter(tag, True)
 
     def handle_endtag(self, tag: str) -> None:
         if tag in RAW:
@@ -148,15 +199,18 @@ class Lines(HTMLParser):
             return
         if tag in BLOCKS or tag in CONTAINERS:
             self.cut()
-        if tag in CONTAINERS:
-            depth = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == tag), None)
-            if depth is not None:
-                self.leave_to(depth)
+        if self.tag_count[tag]:
+            depth = next(i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == tag)
+            self.leave_to(depth)
 
     def handle_data(self, data: str) -> None:
         if not self.raw:
             self.parts.append(data)
 
+    def finish(self) -> None:
+        self.cut()
+        self.leave_to(0)
+
 
 def smooth(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     """Gaussian smoothing; at the ends the weights inside the page are rescaled."""
@@ -165,66 +219,92 @@ def smooth(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(ratios, kernel)[reach:-reach] / np.convolve(np.ones(len(ratios)), kernel)[reach:-reach]
 
 
-def left_out(lines: list[tuple[str, int, tuple[int, ...], bool]], roots: set[int], soft: dict[int, bool]) -> set[int]:
+Line = tuple[str, int, int, bool]
+
+
+def marked(chosen: Iterable[int], ends: list[int]) -> np.ndarray:
+    """Whether each container lies in one of the chosen."""
+    steps = np.zeros(len(ends) + 1, np.int64)
+    for c in chosen:
+        steps[c] += 1
+        steps[ends[c] + 1] -= 1
+    return np.cumsum(steps[:-1]) > 0
+
+
+def around(chosen: set[int], up: list[int], inmost: bool) -> np.ndarray:
+    """The inmost or the outermost of the chosen containers around each (itself included), 0 without any."""
+    out = [0] * len(up)
+    for c in range(1, len(up)):
+        above = out[up[c]]
+        out[c] = c if c in chosen and (inmost or not above) else above
+    return np.array(out)
+
+
+def left_out(lines: list[Line], ends: list[int], up: list[int], roots: set[int], soft: dict[int, bool]) -> set[int]:
     """Those of the soft parts that are no content."""
-    comments = {c for c, comment in soft.items() if comment}
-    rest = [x for x in lines if not x[3] and comments.isdisjoint(x[2])]
-    held = dict.fromkeys(soft, 0)
-    for text, _, chain, _ in rest:
-        for c in soft.keys() & chain:
-            held[c] += len(text)
-    total = sum(len(x[0]) for x in rest)
-    large = {c for c in soft if 2 * held[c] > total}
+    of_comments = marked((c for c, comment in soft.items() if comment), ends)
+    rest = [x for x in lines if not x[3] and not of_comments[x[2]]]
+    size, number = np.zeros((2, len(ends) + 1), np.int64)
+    for text, _, c, _ in rest:
+        size[c + 1] += len(text)
+        number[c + 1] += 1
+    size, number = np.cumsum(size), np.cumsum(number)  # before a container's number
+    large = {c for c in soft if 2 * (size[ends[c] + 1] - size[c]) > size[-1]}
     out = soft.keys() - large
-    clean = [x for x in rest if out.isdisjoint(x[2]) and not roots.isdisjoint(x[2])]
+    inmost, last = around(roots, up, True), np.array(ends)
+    places = np.array([x[2] for x in rest], np.int64)
+    clean = places[~marked(out, ends)[places] & (inmost[places] > 0)]
+    root = inmost[clean]
     for c in large:
-        at = next(x[2][: x[2].index(c)] for x in rest if c in x[2])
         # with articles only beside it, it is no content, however large (an advert longer than a short article)
-        beside = [c not in x[2] and not (roots - set(at)).isdisjoint(x[2]) for x in clean]
-        own = any(c in x[2] and not roots.isdisjoint(x[2]) for x in clean)
-        if any(beside) and not own:
+        inside = (clean >= c) & (clean <= ends[c])
+        beside = ~inside & ~((root < c) & (c <= last[root]))
+        if beside.any() and not inside.any():
             out.add(c)
     # an article in a part to leave out is a teaser, unless there are none elsewhere
-    if not any(out.isdisjoint(x[2]) and not roots.isdisjoint(x[2]) for x in rest):
-        for _, _, chain, _ in rest:
-            inmost = max((k for k, c in enumerate(chain) if c in roots), default=0) if out else 0
-            out.difference_update(chain[:inmost])
+    if out and not (~marked(out, ends)[places] & (inmost[places] > 0)).any():
+        full = np.zeros(len(ends) + 1, np.int64)
+        for r in roots:
+            full[r + 1] = number[ends[r] + 1] > number[r]
+        full = np.cumsum(full)
+        out = {c for c in out if full[ends[c] + 1] == full[c + 1]}
     return out
 
 
-def content(lines: list[tuple[str, int, tuple[int, ...], bool]], roots: set[int], soft: dict[int, bool]) -> list[str]:
-    """The lines of the content region; roots: ids of the article and main elements."""
-    if soft and (out := left_out(lines, roots, soft)):
-        lines = [(text, tags, chain, no or not out.isdisjoint(chain)) for text, tags, chain, no in lines]
+def content(lines: list[Line], ends: list[int], up: list[int], roots: set[int], soft: dict[int, bool]) -> list[str]:
+    """The lines of the content region; roots: the article and main elements."""
+    if soft and (out := left_out(lines, ends, up, roots, soft)):
+        no = marked(out, ends)
+        lines = [(text, tags, c, gone or bool(no[c])) for text, tags, c, gone in lines]
     inside = [x for x in lines if not x[3]]
     if not inside:
         return []
     ratio = smooth(np.array([len(text) / max(1, tags) for text, tags, _, _ in lines]))
-    cut = ratio.mean() - BELOW * ratio.std()
+    cut = min(ratio.mean() - BELOW * ratio.std(), PLAIN)
     chosen = [x for x, r in zip(lines, ratio, strict=True) if r >= cut and not x[3]] or inside
-    held: dict[int | None, int] = {}
-    for text, _, chain, _ in chosen:
-        root = outermost(chain, roots)
-        held[root] = held.get(root, 0) + len(text)
-    if sum(held.values()) - held.get(None, 0) >= HOLDS * sum(held.values()):
-        return [x[0] for x in inside if (root := outermost(x[2], roots)) is not None and root in held]
-    low, high = min(x[2] for x in chosen), max(x[2] for x in chosen)  # what these two share, all share
-    depth = next((k for k, (a, b) in enumerate(zip(low, high)) if a != b), min(len(low), len(high)))
-    return [x[0] for x in inside if not depth or low[depth - 1] in x[2]]
-
-
-def outermost(chain: tuple[int, ...], roots: set[int]) -> int | None:
-    return None if roots.isdisjoint(chain) else next(c for c in chain if c in roots)
+    outermost = around(roots, up, False)
+    held: dict[int, int] = {}
+    for text, _, c, _ in chosen:
+        held[int(outermost[c])] = held.get(int(outermost[c]), 0) + len(text)
+    if sum(held.values()) - held.get(0, 0) >= HOLDS * sum(held.values()):
+        return [x[0] for x in inside if outermost[x[2]] and int(outermost[x[2]]) in held]
+    low, high = min(x[2] for x in chosen), max(x[2] for x in chosen)
+    # the last container that begins before all of it and ends after it
+    region = next((c for c in range(low, 0, -1) if ends[c] >= high), 0)
+    return [x[0] for x in inside if region <= x[2] <= ends[region] or not region]
 
 
 def main_text(html: str | None) -> str:
     if not html:
         return ""
     parser = Lines()
-    parser.feed(html)
-    parser.close()
-    parser.cut()
-    return "\n".join(content(parser.lines, parser.roots, parser.soft))
+    try:
+        parser.feed(html)
+        parser.close()
+    except AssertionError:
+        pass  # what the parser refuses; the lines so far count
+    parser.finish()
+    return "\n".join(content(parser.lines, parser.ends, parser.up, parser.roots, parser.soft))
 
 
 def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
