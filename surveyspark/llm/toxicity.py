@@ -1,14 +1,15 @@
 """Toxicity by a support vector machine over the gap-weighted subsequence kernel, with Nystroem landmarks.
 
-Texts are cut into chunks (runs of letters, lower-cased; marks inside a chunk such as ``i.d-i_o,t`` or ``1d10t`` are
-read through, and letters spelt out one by one are joined). The kernel of two chunks counts their common subsequences of
+Texts are cut into chunks (the letters of each word, lower-cased; letters spelt out one by one are joined). The kernel of two chunks counts their common subsequences of
 ``P`` letters, each weighted by ``DECAY`` to the power of the span it takes in either chunk, so inserted letters and gaps
 lower the similarity only gradually. It is normalised to 1 for equal chunks.
 
-Training takes a bounded, hashed sample of the labelled documents (``max_docs``). A labelled sentence's label is that of
-its document, and a toxic sentence needs one toxic chunk only, so training is multiple-instance: in turns, the machine is
-fitted on the Nystroem features of clean chunks against the witnesses, then the best chunk of each toxic document becomes
-its witness. A document's score is the logistic of the margins of its three best distinct words, fitted on training documents with
+Training takes a bounded, hashed sample of the labelled documents (``max_docs``), each whole. A label is that of the document,
+and a toxic document needs one toxic chunk only, so training is multiple-instance: the first witnesses are the chunks that by
+the likelihood of their counts belong to toxic documents (so documents with a wrong label bring none); the machine is fitted
+on the Nystroem features of clean chunks against the witnesses, a surer witness having to reach a larger margin; in turns,
+chunks that it takes for toxic and that toxic documents have far more often become witnesses too. A document's score is the
+logistic of the margins of its three best distinct words and the logarithm of their number, fitted on training documents with
 machines that did not see them.
 
 Because the Nystroem map is linear in the kernel values, the decision equals a weighted sum over the chunk's own
@@ -34,11 +35,12 @@ from pyspark.sql import functions as F
 
 from .common import map_pandas, own, sliced
 
-P, DECAY, LANDMARKS = 3, 0.6, 160
+P, DECAY, LANDMARKS = 3, 0.6, 256
 #: Labelled documents that training takes at most, each whole, and distinct chunks that a machine is first fitted on.
 MAX_DOCS, MAX_CHUNKS = 4000, 6000
-#: Training documents from which two folds calibrate; fewer take six, as each machine then needs what there is.
-MANY = 1500
+#: Parts for the calibration, evidence of a first witness (log-likelihood), and how many times more often toxic documents
+#: must have a further one.
+FOLDS, SURE, LIFT = 3, 7.5, 4.0
 ALPHABET = "abcdefghijklmnopqrstuvwxyzäöüßéèêçñóíáúàâîôûœ"
 #: Codes that all other letters share.
 OTHERS = 8
@@ -47,20 +49,19 @@ CODE = {c: i + OTHERS for i, c in enumerate(ALPHABET)}
 LONGEST, STEP = 20, 10
 #: Best chunks of a document that its score depends on, and the margin of a missing one.
 TOP, LOWEST = 3, -1e9
-DIGITS = str.maketrans("013457@", "oieasta")
 SPELT = re.compile(r"(?:(?<=\s)|^)(?:\w[\s.\-_*]+){3,}\w(?=\s|$)")
 MARK = re.compile(r"[\W_]+")
 EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
 
 def chunk_of(word: str) -> str:
-    """A white-space separated word without marks; digits between letters are read as the letters they resemble."""
+    """The letters of a white-space separated word; a digit in a letter's place is a gap, which the kernel tolerates."""
     if word.isalpha():
         return word
     word = EDGE.sub("", word)
     if word.isalpha():
         return word
-    return "".join(c for c in word.translate(DIGITS) if c.isalpha())
+    return "".join(c for c in word if c.isalpha())
 
 
 def words_of(text: str) -> set[str]:
@@ -137,13 +138,14 @@ def project(chunks: list[str], table: np.ndarray) -> np.ndarray:
 
 
 def fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 20.0, rounds: int = 30) -> np.ndarray:
-    """Squared-hinge linear SVM by Newton steps over the active rows; the last weight is the bias."""
+    """Squared-hinge linear SVM by Newton steps over the active rows; y: the margins to reach, with the labels' signs; the
+    last weight is the bias."""
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
     keep = np.eye(x.shape[1])
     keep[-1, -1] = 1e-3
     for _ in range(rounds):
-        active = y * (x @ w) < 1
+        active = np.sign(y) * (x @ w) < np.abs(y)
         a = x[active] * (cost * weight[active])[:, None]
         new = np.linalg.solve(keep + a.T @ x[active], a.T @ y[active])
         if np.allclose(new, w, atol=1e-6):
@@ -161,57 +163,64 @@ def train(names: list[str], bags: Bags, seed: int = 7) -> dict | None:
     model = machine(names, bags, seed)
     if model is None:
         return None
-    folds = 2 if len(bags) >= MANY else 6
-    parts_of = [bags[k::folds] for k in range(folds)]
-    others = [machine(names, [b for j, p in enumerate(parts_of) if j != k for b in p], seed) for k in range(folds)]
+    parts_of = [bags[k::FOLDS] for k in range(FOLDS)]
+    others = [machine(names, [b for j, p in enumerate(parts_of) if j != k for b in p], seed) for k in range(FOLDS)]
     if any(m is None for m in others):
         parts_of, others = [bags], [model]
     best = np.vstack([top_margins(m, names, p) for p, m in zip(parts_of, others, strict=True) if p])
     return model | calibrate(best, np.array([t for p in parts_of for t, _ in p]))
 
 
-def machine(names: list[str], bags: Bags, seed: int = 7, turns: int = 4) -> dict | None:
+def evidence(count: np.ndarray) -> np.ndarray:
+    """How surely chunks (rows: clean and toxic documents that have them) belong to toxic documents: the logarithm of the
+    likelihood of their share against the share of all; 0 for those that toxic documents have no more often."""
+    n, t = count.sum(1), count[:, 1]
+    share = t.sum() / max(n.sum(), 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        g = np.where(t > 0, t * np.log(t / (n * share)), 0) + np.where(n > t, (n - t) * np.log((n - t) / (n * (1 - share))), 0)
+    return np.where(t > n * share, g, 0.0)
+
+
+def machine(names: list[str], bags: Bags, seed: int = 7, turns: int = 3) -> dict | None:
     """Multiple-instance training of the subsequence weights."""
     toxic_n = sum(t for t, _ in bags)
     clean_n = len(bags) - toxic_n
     if not toxic_n or not clean_n:
         return None
-    count = np.zeros((len(names), 2), np.float32)
+    count = np.zeros((len(names), 2))
     for t, ids in bags:
         count[ids, int(t)] += 1
     usable = np.nonzero((count.sum(1) > 0) & (np.array([len(x) for x in names]) >= P))[0]
     if not len(usable):
         return None
-    lift = (count[:, 1] / toxic_n) / ((count[:, 0] + 0.5) / clean_n)
+    sure = evidence(count)
+    witness = np.zeros(len(names), bool)
+    witness[usable] = sure[usable] >= min(SURE, sure[usable].max() / 2)
+    witness &= sure > 0
     rng = np.random.default_rng(seed)
-    rank = lift * np.log1p(count[:, 1])
-    suspects = usable[np.argsort(-rank[usable], kind="stable")][: MAX_CHUNKS // 4]
+    suspects = usable[np.argsort(-sure[usable], kind="stable")][: MAX_CHUNKS // 4]
     clean = usable[count[usable, 0] > 0]
-    chance = np.log1p(count[clean, 0].astype(float))
+    chance = np.log1p(count[clean, 0])
     others = rng.choice(clean, min(len(clean), MAX_CHUNKS * 3 // 4), replace=False, p=chance / chance.sum()) if len(clean) else clean
     pool = np.unique(np.concatenate([suspects, others]))
-    first = suspects[count[suspects, 0] == 0][: LANDMARKS // 2]
+    first = suspects[witness[suspects]][: LANDMARKS // 2]
     rest = rng.choice(others, min(len(others), LANDMARKS - len(first)), replace=False) if len(others) else others
     marks = [names[i] for i in np.unique(np.concatenate([first, rest]))]
     phi = dense(marks)
     value, vector = np.linalg.eigh(phi.T @ phi + 1e-4 * np.eye(len(marks)))
     root = vector / np.sqrt(np.maximum(value, 1e-4))
     z = project([names[i] for i in pool], phi) @ root
-    inside = [ids[np.isin(ids, usable)] for t, ids in bags if t]
-    score = np.where(count[:, 0] > 0, -10.0, 0.0) + np.log1p(count[:, 1])
+    rate = (count[:, 1] / toxic_n) / ((count[:, 0] + 0.5) / clean_n)
     for turn in range(turns):
-        hits = np.zeros(len(names))
-        for ids in inside:
-            if len(ids):
-                hits[ids[np.argmax(score[ids])]] += 1
-        n_clean, n_hits = count[pool, 0], hits[pool]
-        # a chunk is a witness if it explains more toxic documents than clean ones have it
-        good = n_hits > n_clean
-        bad = (n_clean > 0) & ~good
+        good = witness[pool]
+        bad = (count[pool, 0] > 0) & ~good
+        if not good.any() or not bad.any():
+            return None
         x = np.vstack([z[good], z[bad]])
-        y = np.concatenate([np.ones(good.sum()), -np.ones(bad.sum())])
-        c = np.concatenate([n_hits[good] / max(n_hits[good].sum(), 1), np.log1p(n_clean[bad]) / max(np.log1p(n_clean[bad]).sum(), 1e-9)])
-        w = fit_svm(x, y, c * len(y))
+        # the surer a witness, the larger the margin it has to reach
+        y = np.concatenate([1 + np.clip(np.log10(np.maximum(sure[pool[good]], SURE) / SURE), 0, 1), -np.ones(bad.sum())])
+        w_good, w_bad = np.log1p(count[pool[good], 1]), np.log1p(count[pool[bad], 0])
+        w = fit_svm(x, y, np.concatenate([w_good / w_good.sum(), w_bad / w_bad.sum()]) * len(y))
         column = (phi @ (root @ w[:-1])).astype(np.float32)
         score = np.full(len(names), -10.0)
         score[usable] = project([names[i] for i in usable], column[:, None])[:, 0] + w[-1]
@@ -221,6 +230,8 @@ def machine(names: list[str], bags: Bags, seed: int = 7, turns: int = 4) -> dict
             hard = fresh[np.argsort(-score[fresh], kind="stable")][: MAX_CHUNKS // 4]
             pool = np.concatenate([pool, hard])
             z = np.vstack([z, project([names[i] for i in hard], phi) @ root])
+            # forms of a known witness that toxic documents have far more often are witnesses too
+            witness |= (score > 0) & (rate >= LIFT) & (count[:, 1] > 0)
     return {"table": column, "bias": float(w[-1])}
 
 
@@ -233,12 +244,13 @@ def top_margins(model: dict, names: list[str], bags: Bags) -> np.ndarray:
 
 
 def tops(values) -> list[float]:
-    return (heapq.nlargest(TOP, values) + [LOWEST] * TOP)[:TOP]
+    """The best margins, best first, and the number of chunks."""
+    return (heapq.nlargest(TOP, values) + [LOWEST] * TOP)[:TOP] + [len(values)]
 
 
 def features(best: np.ndarray) -> np.ndarray:
-    """Of the best margins: clipped, with a bias."""
-    return np.hstack([np.clip(best, -2.0, 1.0), np.ones((len(best), 1))])
+    """Of the best margins: clipped, with the logarithm of the number of chunks (the best of many is high by chance) and a bias."""
+    return np.hstack([np.clip(best[:, :TOP], -2.0, 2.0), -np.log1p(best[:, TOP:]), np.ones((len(best), 1))])
 
 
 def calibrate(best: np.ndarray, label: np.ndarray, rounds: int = 50) -> dict:
@@ -300,7 +312,8 @@ class Scorer:
                 self.known[w] = m
 
     def best(self, texts: list[str | None]) -> np.ndarray:
-        out = np.full((len(texts), TOP), LOWEST)
+        out = np.full((len(texts), TOP + 1), LOWEST)
+        out[:, TOP] = 0
         held: list[tuple[int, set[str]]] = []
         size = 0
         for i, t in enumerate(texts):
@@ -311,7 +324,7 @@ class Scorer:
                 self.learn(set().union(*(w for _, w in held)))
                 for k, w in held:
                     if w:
-                        out[k] = tops(map(self.known.__getitem__, w))
+                        out[k] = tops([self.known[x] for x in w])
                 held, size = [], 0
         return out
 
