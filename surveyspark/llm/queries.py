@@ -46,20 +46,24 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+#: Where the vocabularies lie.
+TOKENIZERS = "/opt/tokenizers"
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals after batches: four of inserts with estimated counts, one repeated, one of revisions to the true counts, one
-    that deletes the documents of an insert batch, and one that inserts them again."""
-    counts = stash(token_counts(table(spark, sf_dir, "documents")), "token-counts")
+    """Totals after batches: four of inserts with estimated counts and no language, one repeated, one of revisions to the true
+    language and counts, one that deletes the documents of an insert batch, and one that inserts them again."""
+    counts = stash(token_counts(table(spark, sf_dir, "documents"), TOKENIZERS), "token-counts")
     each = counts.select(
-        "doc_id", "source", "lang", (F.col("n_chars") / 4).cast("long").alias("estimate"),
+        "doc_id", "source", "lang", F.lit(None).cast("string").alias("no_lang"), (F.col("n_chars") / 4).cast("long").alias("estimate"),
         F.explode(F.map_from_arrays(F.array(*map(F.lit, VERSIONS)), "counts")).alias("tokenizer", "n_tokens"),
     )
     rollup = Rollup(spark, rollup_folder(spark, f"token-rollup-{uuid.uuid4().hex}"))
     part = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(4)), F.lit(0))
     inserts = [f"insert-{k}" for k in range(4)]
     for k, name in [*enumerate(inserts), (2, inserts[2])]:
-        rollup.commit(name, signed(each.filter(part == k), 1, "estimate"))
-    rollup.commit("revise-0", revised(each, "estimate", "n_tokens"))
+        rollup.commit(name, signed(each.filter(part == k).withColumn("lang", F.col("no_lang")), 1, "estimate"))
+    rollup.commit("revise-0", revised(each, "estimate", "n_tokens", lang="no_lang"))
     rollup.commit("delete-0", signed(each.filter(part == 0), -1))
     rollup.commit("insert-again-0", signed(each.filter(part == 0), 1))
     return rollup.totals([*inserts, "revise-0", "delete-0", "insert-again-0"])

@@ -1,13 +1,12 @@
 """Token counts as delta-maintained rollups.
 
 A change is a signed row: an insert adds a document's tokens to its group (source, language, tokenizer version), a delete
-takes them away, a revision does both. A batch of changes is added up and committed as a small table of its own in the
-state folder, under the batch's id; the write's success marker is the commit. A batch that is committed already is
-skipped, and one that broke off is written anew, so repeating batches after a failure changes nothing. Totals are the sum
-of the committed batches.
+takes them away, a revision takes the old row away and adds the new one, in another group if need be. A batch of changes is
+added up and committed as a small table of its own in the state folder, under the batch's id; the write's success marker is
+the commit. A batch that is committed already adds nothing, and one that broke off is written anew, so repeating batches
+after a failure changes nothing; a committed id with other content is refused. Totals are the sum of the committed batches.
 
-Tokens are counted with public vocabularies whose folder is a parameter. Both byte-level vocabularies split texts by the
-same pattern and encode the pieces one by one, so the counts of pieces are kept between texts.
+Tokens are counted with public vocabularies, whose folder is a parameter; each text is encoded whole.
 
 Defined cases: null and empty texts have no tokens but count as documents; null sources and languages are groups of their
 own; repeated rows count each; groups whose documents are all gone are left out of the totals; further columns are
@@ -17,7 +16,6 @@ ignored.
 from __future__ import annotations
 
 import base64
-import importlib.util
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -28,32 +26,29 @@ from pyspark.sql import types as T
 
 from .common import map_pandas, own, shared_dir
 
-TOKENIZERS = "/opt/tokenizers"
 VERSIONS = ("byte_bpe_50k", "byte_bpe_multi_50k")
 GROUP = ["source", "lang", "tokenizer"]
-KEEP = 150_000
+# Fixed value: the pattern by which the byte-level vocabularies split a text.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def vocabularies(folder: str = TOKENIZERS, versions: tuple[str, ...] = VERSIONS) -> tuple[str, dict[str, bytes]]:
-    """Split pattern and the vocabularies' files, read on the driver (about 1 MB each)."""
-    spec = importlib.util.spec_from_file_location("vocabulary_folder", f"{folder}/__init__.py")
-    module = importlib.util.module_from_spec(spec)
-    spec.loader.exec_module(module)
-    return module.PATTERN, {v: Path(f"{folder}/{v}.tiktoken").read_bytes() for v in versions}
+def vocabularies(folder: str, versions: tuple[str, ...] = VERSIONS) -> dict[str, bytes]:
+    """The vocabularies' files, read on the driver (about 1 MB each)."""
+    return {v: Path(f"{folder}/{v}.tiktoken").read_bytes() for v in versions}
 
 
-def encoders(pattern: str, files: dict[str, bytes]) -> list:
+def encoders(files: dict[str, bytes]) -> list:
     import tiktoken
 
     def ranks(data: bytes) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in data.splitlines() if line)}
 
-    return [tiktoken.Encoding(v, pat_str=pattern, mergeable_ranks=ranks(x), special_tokens={}) for v, x in files.items()]
+    return [tiktoken.Encoding(v, pat_str=PATTERN, mergeable_ranks=ranks(x), special_tokens={}) for v, x in files.items()]
 
 
 def token_counts(
     docs: DataFrame,
-    folder: str = TOKENIZERS,
+    folder: str,
     versions: tuple[str, ...] = VERSIONS,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -62,26 +57,13 @@ def token_counts(
 ) -> DataFrame:
     """doc_id, source, lang, n_chars, counts (one per version) of each row."""
     rows = own(docs, id_col, text_col, source=source_col, lang=lang_col)
-    pattern, files = vocabularies(folder, versions)
-    shared = docs.sparkSession.sparkContext.broadcast((pattern, files))
+    shared = docs.sparkSession.sparkContext.broadcast(vocabularies(folder, versions))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import regex
-
-        pattern, files = shared.value
-        coders, split = encoders(pattern, files), regex.compile(pattern).findall
-        known: list[dict[str, int]] = [{} for _ in coders]
+        coders = encoders(shared.value)
         for pdf in batches:
-            out = []
-            for text in pdf.text:
-                pieces = split(text) if text else []
-                if len(known[0]) > KEEP:
-                    known = [{} for _ in coders]
-                for x in set(pieces) - known[0].keys():
-                    for k, c in zip(known, coders, strict=True):
-                        k[x] = len(c.encode_ordinary(x))
-                out.append([sum(map(k.__getitem__, pieces)) for k in known])
-            yield pdf.assign(n_chars=[len(t) if t else 0 for t in pdf.text], counts=out)
+            texts = [t or "" for t in pdf.text]
+            yield pdf.assign(n_chars=list(map(len, texts)), counts=[[len(c.encode_ordinary(t)) for c in coders] for t in texts])
 
     schema = rows.drop("text").schema.add("n_chars", "long").add("counts", T.ArrayType(T.LongType()))
     return map_pandas(rows, count, schema)
@@ -92,9 +74,11 @@ def signed(rows: DataFrame, sign: int, tokens: str = "n_tokens") -> DataFrame:
     return rows.select(*GROUP, F.lit(sign).cast("long").alias("d_docs"), (F.lit(sign) * F.col(tokens)).cast("long").alias("d_tokens"))
 
 
-def revised(rows: DataFrame, old: str, new: str) -> DataFrame:
-    """Changes of documents that stay in their group and get another count."""
-    return rows.select(*GROUP, F.lit(0).cast("long").alias("d_docs"), (F.col(new) - F.col(old)).cast("long").alias("d_tokens"))
+def revised(rows: DataFrame, old: str, new: str, **was: str) -> DataFrame:
+    """Changes of documents whose count goes from ``old`` to ``new``; was: the column of the former value of source or lang,
+    where the group changes."""
+    before = rows.withColumns({k: F.col(v) for k, v in was.items()}) if was else rows
+    return signed(before, -1, old).unionByName(signed(rows, 1, new))
 
 
 class Rollup:
@@ -111,11 +95,15 @@ class Rollup:
         return self._exists(f"{self.folder}/batch={batch}/_SUCCESS")
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
-        """Add a batch; False if it was committed before."""
+        """Add a batch; False if it was committed before. Raises ValueError if that was with other content."""
+        sums = changes.groupBy(GROUP).agg(F.sum("d_docs").alias("d_docs"), F.sum("d_tokens").alias("d_tokens"))
+        path = f"{self.folder}/batch={batch}"
         if self.committed(batch):
+            there = self.spark.read.schema(sums.schema).parquet(path)
+            if not sums.exceptAll(there).unionByName(there.exceptAll(sums)).isEmpty():
+                raise ValueError(f"batch {batch} was committed with other content")
             return False
-        sums = changes.groupBy(GROUP).agg(F.sum("d_docs").alias("d_docs"), F.sum("d_tokens").alias("d_tokens"))
-        sums.write.mode("overwrite").parquet(f"{self.folder}/batch={batch}")
+        sums.write.mode("overwrite").parquet(path)
         return True
 
     def totals(self, batches: list[str]) -> DataFrame:
