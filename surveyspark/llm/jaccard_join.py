@@ -1,7 +1,7 @@
 """Exact n-gram Jaccard join in the metric space of shingle sets: pivots, Voronoi regions, windows, recursion.
 
 The distance of two documents is 1 less the Jaccard similarity of their sets of word shingles; linked are documents
-within ``r``. Equal sets are one point. Points are joined in three steps.
+within ``r``. Equal sets are one point. Points are joined in these steps.
 
 1. *Regions.* In this space nearly all documents lie at distance 1 from each other, so document pivots alone would
    replicate everything everywhere. The outer pivots are therefore the one-shingle sets, in one fixed order (common
@@ -9,21 +9,28 @@ within ``r``. Equal sets are one point. Points are joined in three steps.
    shingle. The window: if all of ``x``'s shingles before ``s`` are not in ``y``, then d(x, y) >= (their number) / |x|; so
    ``x`` is replicated to the regions of its leading shingles up to the share ``r``, and every pair within ``r`` meets in
    the region of its first common shingle.
-2. *Small regions* (at most ``SMALL`` points) are compared directly.
-3. *Large regions* are joined recursively with document pivots. The pivot is the point with the fewest uncommon shingles
-   (a copy with few edits lies in the middle of its family). Regions with the same pivot become one. All points are
-   compared with the pivot; those within ``r`` of it are linked to it, which decides their component, so pairs among them
-   are not needed. Left open are the others. By the triangle inequality a point ``y`` inside can only be linked to an open
-   ``x`` if d(x, p) - d(y, p) <= r; the open points meet the other open ones and the inner ones within that window, in
-   blocks of ``BLOCK`` open points against slices of the region, so no task holds a whole region.
-
-Distances are first bounded from below by coordinates: the numbers of shingles in ``BUCKETS`` fixed reference sets. What
-the bound cannot exclude is compared exactly, shingle by shingle. The order of the shingles is free, so the list of
-common shingles may be bounded (``MAX_COMMON``) without any effect on the result.
+2. *Small regions* (at most ``SMALL`` points) are compared directly; a bound by coordinates (the numbers of shingles in
+   ``BUCKETS`` fixed reference sets) spares most exact comparisons.
+3. *Large regions* get a document as pivot, the point with the fewest uncommon shingles (a copy with few edits lies in the
+   middle of its family). Regions with the same pivot become one. All points are compared with the pivot; those within
+   ``r`` of it form its ball and are linked to it, so pairs inside the ball are not needed. The other points are open.
+4. *Recursion.* A region of more than ``LEAF`` points with open ones takes a further pivot ``q`` among these and is cut at a
+   distance ``c`` from it into a near and a far region. By the triangle inequality only the points with
+   c - r <= d(x, q) < c + r can be linked across the cut: these boundary points are replicated into a third region. The
+   near region's ball is that of ``q``. Each part is a region again; the cut is where the parts make the least work, and
+   where no cut helps (all points of a family lie at one distance), the region is a leaf.
+5. *Leaves.* Open points are compared with each other and with the ball, in blocks of about ``BLOCK`` shingles against
+   slices of ``SLICE``, so no task holds a whole region. A block's comparison is exact and gives a forest of links (each
+   point one link to what it is linked with, and one where two trees meet), not all pairs.
+
+The order of the shingles is free, so the list of common shingles may be bounded (``MAX_COMMON``) without any effect on the
+result. A leaf costs in proportion to its open points times its points: families whose members lie just outside ``r`` of each
+other, with no member or cut between, are compared within blocks in full.
 
 Defined cases: null, empty and blank texts have empty sets and are linked with nothing; fewer words than a shingle make
-one shingle; rows with equal sets are linked; rows that share an id are one document; a table without rows gives no rows;
-further columns of the input are ignored. Shingles are 64-bit hashes.
+one shingle; rows with equal sets are linked; rows that share an id are one document; a null id is linked like any other, and
+its component is that of the least id reachable, null if there is none; a table without rows gives no rows; further columns of
+the input are ignored. Shingles are 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -37,14 +44,18 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_pandas, maybe_broadcast, own, stash
+from .common import bounded_broadcast, map_arrow, map_pandas, own, sliced, stash
 
 WORDS, PERCENT = 5, 80
 #: Prefix postings from which a shingle counts as common, and the most shingles in that list (8 bytes each).
 COMMON, MAX_COMMON = 16, 200_000
 SMALL, BUCKETS = 8, 256
-#: Open points in a block and members in a slice of a large region.
-BLOCK, SLICE = 1024, 20_000
+#: Points of a region that is not split further, and turns of the recursion.
+LEAF, DEPTH = 4096, 8
+#: Shingles of a leaf's open points in a block, and of its points in a slice.
+BLOCK, SLICE = 1 << 20, 1 << 23
+#: Parts in which the points of a region meet its pivot.
+SALTS = 16
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -92,19 +103,13 @@ def spread(percent: int) -> Column:
     return F.expr(f"na + nb - 2 * (({percent} * (na + nb) + {percent + 99}) div {percent + 100})")
 
 
-def _points(words: int, percent: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            sets = [shingle_set(t, words) for t in pdf.text]
-            yield pd.DataFrame(
-                {
-                    "doc_id": pdf.doc_id,
-                    "n": [len(s) for s in sets],
-                    "node": [point_id(s) for s in sets],
-                    "coords": [coordinates(s) for s in sets],
-                    "lead": [s[: window(len(s), percent)] for s in sets],
-                }
-            )
+def _leads(words: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """All leading shingles by hash order, a row each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            sets = [shingle_set(t, words) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([s[: window(len(s), percent)] for s in sets]))], names=["h"])
 
     return run
 
@@ -119,7 +124,7 @@ def _postings(words: int, percent: int, common: np.ndarray) -> Callable[[Iterato
                 late = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s if len(common) else np.zeros(len(s), bool)
                 first = s[~late][:k]
                 rows.append((point_id(s), len(s), len(s) - int(late.sum()), first, s[late][: k - len(first)]))
-            yield pd.DataFrame(rows, columns=["node", "n", "uncommon", "rare", "often"]).assign(doc_id=pdf.doc_id)
+            yield pd.DataFrame(rows, columns=["node", "n", "uncommon", "rare", "often"]).assign(doc_id=pdf.doc_id, sig=pdf.sig)
 
     return run
 
@@ -197,165 +202,260 @@ def _regions(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     return run
 
 
-class Metric:
-    """Distances between points, looked up by pairs."""
-
-    def __init__(self, docs: DataFrame, points: DataFrame, words: int, percent: int) -> None:
-        self.docs, self.points, self.words, self.percent = docs, points, words, percent
-
-    def bounded(self, pairs: DataFrame) -> DataFrame:
-        """pairs (a, b, na, nb) with ``low``, the least possible symmetric difference by coordinates."""
-        c = self.points.select("node", "coords")
-        wide = pairs.join(c.select(F.col("node").alias("a"), F.col("coords").alias("ca")), "a").join(
-            c.select(F.col("node").alias("b"), F.col("coords").alias("cb")), "b"
-        )
-
-        @F.pandas_udf("long")
-        def low(a: pd.Series, b: pd.Series) -> pd.Series:
-            x, y = (np.frombuffer(b"".join(v), np.uint8).reshape(-1, BUCKETS).astype(np.int16) for v in (a, b))
-            return pd.Series(np.abs(x - y).sum(1).astype(np.int64))
-
-        return wide.select("a", "b", "na", "nb", low("ca", "cb").alias("low"))
-
-    def measured(self, pairs: DataFrame, name: str) -> DataFrame:
-        """pairs (a, b, na, nb) with d (exact where it may be within r, else a lower bound) and linked; stashed."""
-        bounded = stash(self.bounded(pairs), f"{name}-bounded")
-        near = bounded.filter(F.col("low") <= spread(self.percent))
-        used = stash(near.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(self.points.select("node", "doc_id"), "node"), f"{name}-used")
-        words, percent = self.words, self.percent
-
-        def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                own_sets = [shingle_set(t, words) for t in pdf.text]
-                pdf = pd.DataFrame({"node": pdf.node, "s": [s.tobytes() for s in own_sets]})
-                yield pdf[[point_id(s) == k for s, k in zip(own_sets, pdf.node, strict=True)]]  # an id may have other texts
-
-        texts = self.docs.join(maybe_broadcast(used), "doc_id").select("node", "text")
-        members = map_pandas(texts, sets, "node long, s binary")
-        wide = near.join(members.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(
-            members.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b"
-        )
-
-        @F.pandas_udf("long")
-        def common(a: pd.Series, b: pd.Series) -> pd.Series:
-            out = []
-            for x, y in zip(a, b, strict=True):
-                u, v = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
-                out.append(int((v[np.minimum(np.searchsorted(v, u), len(v) - 1)] == u).sum()))
-            return pd.Series(out, dtype="int64")
-
-        exact = wide.select("a", "b", common("sa", "sb").alias("i"))
-        exact = stash(exact.groupBy("a", "b").agg(F.max("i").alias("i")), f"{name}-exact")
-        both = bounded.join(exact, ["a", "b"], "left")
-        union = F.col("na") + F.col("nb") - F.col("i")
-        far = 1 - (F.col("na") + F.col("nb") - F.col("low")) / (F.col("na") + F.col("nb") + F.col("low"))
-        return both.select(
-            "a",
-            "b",
-            F.coalesce(1 - F.col("i") / union, far).alias("d"),
-            F.coalesce(100 * F.col("i") >= percent * union, F.lit(False)).alias("linked"),
-        )
-
-
-def _pair(x: str, y: str, nx: str, ny: str) -> list:
-    swap = F.col(x) > F.col(y)
-    return [
-        F.when(swap, F.col(y)).otherwise(F.col(x)).alias("a"),
-        F.when(swap, F.col(x)).otherwise(F.col(y)).alias("b"),
-        F.when(swap, F.col(ny)).otherwise(F.col(nx)).alias("na"),
-        F.when(swap, F.col(nx)).otherwise(F.col(ny)).alias("nb"),
-    ]
-
-
-def _meetings(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows of (p, block, slice), the block's open points (mine) first, to pairs that no bound excludes."""
-    schema = pa.schema([(c, pa.int64()) for c in ("a", "b", "na", "nb")])
-    r = 1 - percent / 100
+def shingle_sets(docs: DataFrame, points: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """node, n, s (sorted shingles), coords of these nodes; stashed. docs: doc_id, sig, text; points: node, rep."""
+    used = stash(nodes.distinct().join(points.select("node", "rep"), "node").select("node", "rep.doc_id", "rep.sig"), "jaccard-used")
+    near = bounded_broadcast(used.select(F.col("node"), F.col("doc_id").alias("__id"), F.col("sig").alias("__sig")))
+    texts = docs.join(near, docs["doc_id"].eqNullSafe(F.col("__id")) & (docs["sig"] == F.col("__sig"))).select("node", "text")
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            s = [shingle_set(t, words) for t in pdf.text]
+            yield pd.DataFrame({"node": pdf.node, "n": [len(x) for x in s], "s": s, "coords": [coordinates(x) for x in s]})
+
+    found = map_pandas(texts, sets, "node long, n long, s array<long>, coords binary")
+    return stash(found, "jaccard-sets").dropDuplicates(["node"])
+
+
+def _overlap() -> Column:
+    return F.size(F.array_intersect("sa", "sb")).cast("long")
+
+
+def small_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b, na, nb) that are linked. What the coordinates exclude is not compared."""
+
+    @F.pandas_udf("long")
+    def low(a: pd.Series, b: pd.Series) -> pd.Series:
+        x, y = (np.frombuffer(b"".join(v), np.uint8).reshape(-1, BUCKETS).astype(np.int16) for v in (a, b))
+        return pd.Series(np.abs(x - y).sum(1).astype(np.int64))
+
+    side = lambda k, c: sets.select(F.col("node").alias(k), F.col(c).alias(f"{c}{k}"))
+    near = pairs.join(side("a", "coords"), "a").join(side("b", "coords"), "b").withColumn("low", low("coordsa", "coordsb"))
+    near = stash(near.filter(F.col("low") <= spread(percent)).select("a", "b", "na", "nb"), "jaccard-near")
+    wide = near.join(side("a", "s"), "a").join(side("b", "s"), "b").withColumn("i", _overlap())
+    return wide.filter(100 * F.col("i") >= percent * (F.col("na") + F.col("nb") - F.col("i"))).select("a", "b")
+
+
+def distances(rows: DataFrame, sets: DataFrame, percent: int, exact: bool = True) -> DataFrame:
+    """rows with columns node, n, q, nq: the same with d, the distance to the pivot q, and linked. Without ``exact``, d may be
+    a lower bound where the sizes allow no link. A pivot's set goes to ``SALTS`` tasks, so no region is one task."""
+    floor = 1 - F.least("n", "nq") / F.greatest("n", "nq")
+    salt = F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")
+    todo = (rows if exact else rows.filter(100 * F.least("n", "nq") >= percent * F.greatest("n", "nq"))).select("q", "node", "n", "nq").distinct()
+    pivots = todo.select("q").distinct().join(sets.select(F.col("node").alias("q"), F.col("s").alias("sb")), "q")
+    pivots = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    wide = todo.withColumn("salt", salt).join(sets.select("node", F.col("s").alias("sa")), "node").join(pivots, ["q", "salt"])
+    i, union = F.col("i"), F.col("n") + F.col("nq") - F.col("i")
+    measured = wide.select("q", "node", "n", "nq", _overlap().alias("i")).select(
+        "q", "node", (1 - i / union).alias("exact"), (100 * i >= percent * union).alias("near")
+    )
+    both = rows.join(measured, ["q", "node"], "left")
+    return both.withColumns({"d": F.coalesce("exact", floor), "linked": F.coalesce("near", F.lit(False))}).drop("exact", "near")
+
+
+def best_cut(counts: list[int], percent: int) -> int:
+    """Cell of the distance at which a region is cut, or -1. counts: points by distance, in steps of 0.05."""
+    c, reach = np.asarray(counts, float), (100 - percent + 4) // 5
+    total = c.sum()
+    cost = [c[:k].sum() ** 2 + c[k:].sum() ** 2 + c[max(0, k - reach) : k + reach].sum() ** 2 for k in range(1, len(c))]
+    k = int(np.argmin(cost))
+    return k + 1 if cost[k] <= 0.7 * total**2 else -1
+
+
+def split(region: DataFrame, sets: DataFrame, percent: int, leaf: int, turn: int) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+    """One turn of the recursion: (links to the new pivots, regions that are leaves, parts), or None if all are leaves."""
+    share = region.groupBy("p").agg(F.count("*").alias("n_all"), F.min(F.when(F.col("open"), F.struct("u", "node", "n"))).alias("q"))
+    large = stash(share.filter((F.col("n_all") > leaf) & F.col("q").isNotNull()).select("p", F.col("q.node").alias("q"), F.col("q.n").alias("nq")), f"jaccard-large-{turn}")
+    if large.isEmpty():
+        return None
+    large = bounded_broadcast(large)
+    rows = region.join(large, "p").drop("d")
+    rows = stash(distances(rows, sets, percent), f"jaccard-split-{turn}")
+    cell = F.least(F.floor(F.col("d") * 20), F.lit(20))
+    counts = rows.groupBy("p").agg(F.array(*[F.count_if(cell == k) for k in range(21)]).alias("counts"))
+
+    @F.pandas_udf("int")
+    def cut_of(counts: pd.Series) -> pd.Series:
+        return pd.Series([best_cut(x, percent) for x in counts], dtype="int32")
+
+    cuts = stash(counts.select("p", cut_of("counts").alias("cut")), f"jaccard-cuts-{turn}")
+    placed = rows.join(bounded_broadcast(cuts), "p")
+    c, r = F.col("cut") / 20, 1 - percent / 100 + 1e-9
+    parts = F.array(
+        F.when(F.col("d") < c, F.lit(1)),
+        F.when(F.col("d") >= c, F.lit(2)),
+        F.when((F.col("d") >= c - r) & (F.col("d") < c + r), F.lit(3)),
+    )
+    cells = placed.filter("cut > 0").withColumn("part", F.explode(F.filter(parts, lambda x: x.isNotNull())))
+    near = (F.col("part") == 1) & (F.col("node") != F.col("q"))
+    parts = cells.filter((F.col("part") > 1) | near).select(
+        F.xxhash64("p", "part").alias("p"), "node", "n", "u", F.when(F.col("part") == 1, ~F.col("linked")).otherwise(F.col("open")).alias("open")
+    )
+    links = rows.filter("linked AND node <> q").select(F.col("node").alias("a"), F.col("q").alias("b"))
+    uncut = placed.filter("cut < 0").withColumn("d", F.lit(None).cast("double")).select(region.columns)
+    fine = region.join(large.select("p"), "p", "left_anti").unionByName(uncut)
+    return links, fine, stash(parts.withColumn("d", F.lit(None).cast("double")), f"jaccard-parts-{turn}")
+
+
+class Block:
+    """The sets of a block, for exact overlaps with other sets."""
+
+    def __init__(self, node: np.ndarray, n: np.ndarray, values: np.ndarray, cells: int = 1 << 22) -> None:
+        self.node, self.n, self.cells = node, n, cells
+        owner = np.repeat(np.arange(len(n), dtype=np.int32), n)
+        order = np.argsort(values, kind="stable")
+        self.owner = owner[order]
+        self.keys, self.at, self.count = np.unique(values[order], return_index=True, return_counts=True)
+        often = np.argsort(-self.count, kind="stable")[: max(1, 2 * cells // max(1, len(n)))]
+        often = often[self.count[often] >= 16]
+        self.row = np.full(len(self.keys), -1, np.int64)
+        self.row[often] = np.arange(len(often))
+        self.dense = np.zeros((len(often), len(n)), np.float32)
+        where, of = spans(self.at[often], self.count[often])
+        self.dense[of, self.owner[where]] = 1
+
+    def overlaps(self, n: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """len(n) x block: common shingles."""
+        of = np.repeat(np.arange(len(n)), n)
+        k = np.minimum(np.searchsorted(self.keys, values), len(self.keys) - 1)
+        hit = self.keys[k] == values
+        of, k = of[hit], k[hit]
+        out = np.zeros((len(n), len(self.n)), np.float32)
+        row = self.row[k]
+        many = row >= 0
+        if many.any():
+            x = np.zeros((len(n), len(self.dense)), np.float32)
+            x[of[many], row[many]] = 1
+            out += x @ self.dense
+        of, k = of[~many], k[~many]
+        if len(k):
+            where, back = spans(self.at[k], self.count[k])
+            flat = np.bincount(of[back] * len(self.n) + self.owner[where], minlength=out.size)
+            out += flat.reshape(out.shape)
+        return out
+
+
+def spans(at: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places of the stretches at..at+count, and the stretch of each."""
+    of = np.repeat(np.arange(len(at)), count)
+    return np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(at, count), of
+
+
+class Forest:
+    """Links within a block's cell, without those that close a circle of the block's points."""
+
+    def __init__(self, block: Block, percent: int) -> None:
+        self.block, self.percent = block, percent
+        self.tree = np.arange(len(block.n))
+
+    def add(self, node: np.ndarray, n: np.ndarray, values: np.ndarray) -> list[tuple[int, int]]:
+        out: list[tuple[int, int]] = []
+        b = self.block
+        ends = np.cumsum(n)
+        step = max(1, b.cells // max(1, len(b.n)))
+        for lo in range(0, len(n), step):
+            some = slice(lo, lo + step)
+            v = values[ends[lo] - n[lo] : ends[min(lo + step, len(n)) - 1]]
+            i = b.overlaps(n[some], v)
+            linked = 100 * i >= self.percent * (n[some][:, None] + b.n[None, :] - i)
+            linked &= node[some][:, None] != b.node[None, :]
+            for k in np.nonzero(linked.any(1))[0]:
+                to = np.nonzero(linked[k])[0]
+                trees, first = np.unique(self.tree[to], return_index=True)
+                out += [(int(node[lo + k]), int(b.node[to[f]])) for f in first]
+                if len(trees) > 1:
+                    self.tree[np.isin(self.tree, trees)] = trees[0]
+        return out
+
+
+def _leaves(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows sorted by (p, block, part), the block's own points (mine) first, to links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, []
+        at, mine, forest = None, [], None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = key_of(batch)
-            node, n, mine, d, open_ = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "n", "mine", "d", "open"))
-            coords = np.frombuffer(b"".join(batch.column("coords").to_pylist()), np.uint8).reshape(-1, BUCKETS)
-            for lo, hi in stretches(keys):
-                if keys[lo] != at:
-                    at, held = keys[lo], []
-                split = lo + int(mine[lo:hi].sum())
-                if split > lo:
-                    held.append((node[lo:split], n[lo:split], d[lo:split], coords[lo:split]))
-                if held:
-                    block = [np.concatenate(x) for x in zip(*held, strict=True)]
-                    yield from compare(block, node[lo:hi], n[lo:hi], d[lo:hi], open_[lo:hi], coords[lo:hi])
-
-    def key_of(batch: pa.RecordBatch) -> list[tuple]:
-        return list(zip(*(batch.column(c).to_pylist() for c in ("p", "block", "part")), strict=True))
-
-    def stretches(keys: list[tuple]) -> Iterator[tuple[int, int]]:
-        lo = 0
-        for i in range(1, len(keys) + 1):
-            if i == len(keys) or keys[i] != keys[lo]:
-                yield lo, i
-                lo = i
-
-    def compare(block, node, n, d, open_, coords) -> Iterator[pa.RecordBatch]:
-        b_node, b_n, b_d, b_coords = block
-        for i in range(len(node)):
-            if open_[i]:
-                ok = b_node < node[i]  # two open points of a block meet once
-            else:
-                ok = b_d - d[i] <= r + 1e-9
-            ok &= (100 * np.minimum(b_n, n[i]) >= percent * np.maximum(b_n, n[i])) & (b_node != node[i])
-            k = np.nonzero(ok)[0]
-            if not len(k):
-                continue
-            low = np.abs(b_coords[k].astype(np.int16) - coords[i].astype(np.int16)).sum(1)
-            both = b_n[k] + n[i]
-            k = k[low <= both - 2 * ((percent * both + percent + 99) // (percent + 100))]
-            if len(k):
-                x, nx, same = b_node[k], b_n[k], np.full(len(k), node[i])
-                less, n_same = x < same, np.full(len(k), n[i])
-                cols = (np.minimum(x, same), np.maximum(x, same), np.where(less, nx, n_same), np.where(less, n_same, nx))
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=schema)
+            keys = np.vstack([batch.column(c).to_numpy() for c in ("p", "block", "part")])
+            cuts = np.nonzero((keys[:, 1:] != keys[:, :-1]).any(0))[0] + 1
+            own_points = batch.column("mine").to_numpy()
+            for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+                key = tuple(keys[:, lo])
+                if key != at:
+                    if forest is None and mine:
+                        _, out = start(at, mine)
+                        yield links(out)
+                    at, mine, forest = key, [], None
+                middle = lo + int(own_points[lo:hi].sum())
+                if middle > lo:
+                    mine.append(columns(batch, lo, middle))
+                if hi > middle and mine:
+                    if forest is None:
+                        forest, out = start(at, mine)
+                        yield links(out)
+                    for k in range(middle, hi, 512):
+                        yield links(forest.add(*columns(batch, k, min(hi, k + 512))))
+        if forest is None and mine:
+            yield links(start(at, mine)[1])
+
+    def columns(batch: pa.RecordBatch, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        some = batch.slice(lo, hi - lo)
+        return some.column("node").to_numpy(), some.column("n").to_numpy(), some.column("s").flatten().to_numpy()
+
+    def start(key: tuple, mine: list) -> tuple[Forest, list]:
+        node, n, values = (np.concatenate(x) for x in zip(*mine, strict=True))
+        forest = Forest(Block(node, n, values), percent)
+        return forest, forest.add(node, n, values) if key[2] == 0 else []
+
+    def links(out: list[tuple[int, int]]) -> pa.RecordBatch:
+        a = np.array(out, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], names=["a", "b"])
 
     return run
 
 
-def _links(docs: DataFrame, points: DataFrame, found: DataFrame, words: int, percent: int) -> list[DataFrame]:
-    """Links that decide the components: of small regions, of pivots, and between open points and what may reach them."""
-    metric = Metric(docs, points, words, percent)
-    small = found.filter("kind = 0").select("a", "b", "na", "nb")
-    state = found.filter("kind = 1").select("h", F.col("a").alias("node"), F.col("na").alias("n"), F.col("nb").alias("u"))
-    pivots = state.groupBy("h").agg(F.min(F.struct("u", "node", "n")).alias("p"))
-    met = state.join(pivots, "h").select(F.col("p.node").alias("p"), F.col("p.n").alias("np"), "node", "n").distinct()
-    met = stash(met, "jaccard-met")
-    close = (100 * F.least("n", "np") >= percent * F.greatest("n", "np")) & (F.col("node") != F.col("p"))
-    pairs = met.filter(close).select(*_pair("node", "p", "n", "np")).unionByName(small).distinct()
-    first = stash(metric.measured(pairs, "jaccard-star"), "jaccard-star-dist")
-    keyed = met.withColumns({"a": F.least("node", "p"), "b": F.greatest("node", "p")}).join(first, ["a", "b"], "left")
-    # distance to the pivot: none to itself, else as measured, else at least by size
-    by_size = 1 - F.least("n", "np") / F.greatest("n", "np")
-    member = keyed.select(
-        "p", "node", "n", F.coalesce("d", by_size).alias("d"), (~F.coalesce("linked", F.lit(False))).alias("open")
-    ).filter("node <> p")
-    member = stash(member, "jaccard-member")
-    share = member.groupBy("p").agg(F.count_if("open").alias("n_open"), F.count("*").alias("n_all")).filter("n_open > 0 AND n_all > 1")
-    share = share.select("p", F.ceil(F.col("n_open") / BLOCK).alias("blocks"), F.ceil(F.col("n_all") / SLICE).alias("parts"))
-    own_block = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    rows = member.join(share, "p")
-    inner = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    # the block's own points go to every slice; every other point to the slice of its hash
-    mine = F.col("open") & (own_block == F.col("block"))
+def leaf_links(region: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the open points of leaves, and from these to the others (p, node, n, d, open)."""
+    w = F.when(F.col("open"), F.col("n"))
+    share = region.groupBy("p").agg(F.sum(w).alias("w_open"), F.sum("n").alias("w_all"), F.min(F.when(F.col("open"), F.col("d"))).alias("d0"), F.count("*").alias("k"))
+    share = share.filter("w_open IS NOT NULL AND k > 1").select("p", "d0", F.ceil(F.col("w_open") / BLOCK).alias("blocks"), F.ceil(F.col("w_all") / SLICE).alias("parts"))
+    # the window: a point of the ball this far inside is out of reach of every open point
+    r = 1 - percent / 100 + 1e-9
+    rows = region.join(bounded_broadcast(stash(share, "jaccard-share")), "p").filter(F.col("open") | F.col("d").isNull() | F.col("d0").isNull() | (F.col("d0") - F.col("d") <= r))
+    home = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    # two open points meet in the lower of their blocks
+    last = F.when(F.col("open"), home).otherwise(F.col("blocks") - 1)
+    rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    mine = F.col("open") & (home == F.col("block"))
     part = F.when(mine, F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).otherwise(F.array(F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts"))))
-    dealt = inner.select("p", "block", F.explode(part).alias("part"), "node", "n", "d", "open", mine.cast("int").alias("mine"))
-    dealt = dealt.join(points.select("node", "coords"), "node")
-    n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.select("p", "block", F.explode(part).alias("part"), "node", mine.cast("int").alias("mine"))
+    dealt = dealt.join(sets.select("node", "n", "s"), "node")
+    n_parts = int(region.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = dealt.repartition(n_parts, "p", "block", "part").sortWithinPartitions("p", "block", "part", F.desc("mine"), "node")
-    more = dealt.select("p", "block", "part", "node", "n", "d", "open", "mine", "coords").mapInArrow(_meetings(percent), "a long, b long, na long, nb long")
-    second = metric.measured(stash(more.distinct(), "jaccard-open"), "jaccard-open")
-    return [x.filter("linked").select("a", "b") for x in (first, second)]
+    return map_arrow(dealt.select("p", "block", "part", "node", "n", "mine", "s"), _leaves(percent), "a long, b long")
+
+
+def _links(docs: DataFrame, points: DataFrame, found: DataFrame, words: int, percent: int, leaf: int) -> list[DataFrame]:
+    """Links that decide the components: of small regions, of pivots, and of the leaves; each stashed."""
+    small = stash(found.filter("kind = 0").select("a", "b", "na", "nb").distinct(), "jaccard-small")
+    state = found.filter("kind = 1").select("h", F.col("a").alias("node"), F.col("na").alias("n"), F.col("nb").alias("u"))
+    pivots = state.groupBy("h").agg(F.min(F.struct("u", "node", "n")).alias("q"))
+    pivots = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    met = state.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(pivots, ["h", "salt"])
+    met = stash(met.select(F.col("q.node").alias("q"), F.col("q.n").alias("nq"), "node", "n", "u").distinct(), "jaccard-met")
+    nodes = small.select(F.explode(F.array("a", "b")).alias("node")).unionByName(met.select("node"))
+    sets = shingle_sets(docs, points, nodes, words)
+    links = [stash(small_links(small, sets, percent), "jaccard-small-links")]
+    star = stash(distances(met.filter("node <> q"), sets, percent, exact=False), "jaccard-star")
+    links.append(star.filter("linked").select(F.col("node").alias("a"), F.col("q").alias("b")))
+    region = star.select(F.col("q").alias("p"), "node", "n", "u", "d", (~F.col("linked")).alias("open"))
+    for turn in range(DEPTH):
+        if (turned := split(region, sets, percent, leaf, turn)) is None:
+            break
+        more, fine, region = turned
+        links += [more, stash(leaf_links(fine, sets, percent), f"jaccard-leaves-{turn}")]
+    links.append(stash(leaf_links(region, sets, percent), "jaccard-leaves"))
+    return links
 
 
 def components(edges: DataFrame, names: DataFrame) -> DataFrame:
@@ -369,7 +469,7 @@ def components(edges: DataFrame, names: DataFrame) -> DataFrame:
         new = labels.join(heard, labels.node == heard.a, "left").select("node", "name", F.least("component", "heard").alias("next"), "component")
         # pointer jumping: the label's own label
         jump = new.select(F.col("name").alias("next"), F.col("next").alias("beyond")).groupBy("next").agg(F.min("beyond").alias("beyond"))
-        new = new.join(jump, "next", "left").select("node", "name", F.least("next", "beyond").alias("component"), (F.least("next", "beyond") < F.col("component")).alias("moved"))
+        new = new.join(jump, "next", "left").select("node", "name", F.least("next", "beyond").alias("component"), (~F.least("next", "beyond").eqNullSafe(F.col("component"))).alias("moved"))
         new = stash(new, f"cc-{turn}")
         labels = new.drop("moved")
         if new.filter("moved").isEmpty():
@@ -377,44 +477,40 @@ def components(edges: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def jaccard_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, common: int = COMMON
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, common: int = COMMON, leaf: int = LEAF
 ) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id."""
-    docs = own(docs, id_col, text_col)
+    docs = own(docs, id_col, text_col).withColumn("sig", F.coalesce(F.xxhash64("text"), F.lit(0)))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    sketch = stash(
-        map_pandas(docs, _points(words, percent), f"doc_id {kind}, n long, node long, coords binary, lead array<long>"),
-        "jaccard-points",
-    )
-    some = sketch.filter("n > 0")
-    counts = some.select(F.explode("lead").alias("h")).groupBy("h").count().filter(F.col("count") >= common)
+    counts = map_arrow(docs.select("text"), _leads(words, percent), "h long").groupBy("h").count().filter(F.col("count") >= common)
     top = counts.orderBy(F.desc("count"), "h").limit(MAX_COMMON).select("h").collect()
     often = np.sort(np.array([x.h for x in top], np.int64))
+    schema = f"doc_id {kind}, sig long, node long, n long, uncommon long, rare array<long>, often array<long>"
+    rows = stash(map_pandas(docs, _postings(words, percent, often), schema), "jaccard-points")
     points = stash(
-        some.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("coords").alias("coords"), F.count("*").alias("copies")),
+        rows.filter("n > 0").groupBy("node").agg(F.min(F.struct("doc_id", "sig")).alias("rep"), F.min("doc_id").alias("name"), F.count("*").alias("copies")),
         "jaccard-nodes",
     )
-    copied = maybe_broadcast(points.filter("copies > 1").select("node", F.col("doc_id").alias("rep")))
-    rows = map_pandas(docs, _postings(words, percent, often), f"doc_id {kind}, node long, n long, uncommon long, rare array<long>, often array<long>")
-    rows = rows.filter("n > 0").join(copied, "node", "left").filter("rep IS NULL OR rep = doc_id")
-    postings = rows.select(
+    copied = bounded_broadcast(points.filter("copies > 1").select("node", "rep"))
+    single = rows.filter("n > 0").join(copied, "node", "left").filter("rep IS NULL OR rep = struct(doc_id, sig)")
+    postings = single.select(
         "node", "n", "uncommon", F.inline(F.expr("concat(transform(rare, h -> struct(0 AS often, h)), transform(often, h -> struct(1 AS often, h)))"))
     )
     n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = postings.repartition(n_parts, "h", F.expr("CASE WHEN often = 1 THEN pmod(xxhash64(node), 64) ELSE 0 END"))
-    found = stash(dealt.sortWithinPartitions("often", "h", "n", "node").mapInArrow(_regions(percent), REGION), "jaccard-regions")
-    links = _links(docs, points, found, words, percent)
+    found = stash(map_arrow(dealt.sortWithinPartitions("often", "h", "n", "node"), _regions(percent), REGION), "jaccard-regions")
+    links = _links(docs, points, found, words, percent, leaf)
     edges = links[0]
     for more in links[1:]:
         edges = edges.unionByName(more)
-    named = components(edges, points.select("node", F.col("doc_id").alias("name")))
-    home = points.select("node", "doc_id").join(named, "node", "left").select("node", F.coalesce("component", "doc_id").alias("component"))
-    ids = sketch.select("doc_id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node")).join(home, "node", "left")
+    named = components(edges, points.select("node", "name"))
+    home = points.select("node", "name").join(named, "node", "left").select("node", F.coalesce("component", "name").alias("component"))
+    ids = rows.select("doc_id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node")).join(home, "node", "left")
     return ids.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """One document of each component stays, that of the least id, with all its columns."""
+    """One document of each component stays, that of the least id, with all its columns; rows without an id stay."""
     found = jaccard_components(docs, id_col, text_col, **kw)
     gone = stash(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct(), "jaccard-gone")
-    return docs.join(maybe_broadcast(gone), docs[id_col] == F.col("__id"), "left_anti")
+    return docs.join(bounded_broadcast(gone), docs[id_col] == F.col("__id"), "left_anti")
