@@ -53,7 +53,7 @@ SMALL, BUCKETS = 8, 256
 #: Points of a region that is not split further, and turns of the recursion.
 LEAF, DEPTH = 4096, 8
 #: Shingles of a leaf's open points in a block, and of its points in a slice.
-BLOCK, SLICE = 1 << 20, 1 << 23
+BLOCK, SLICE = 1 << 18, 1 << 20
 #: Parts in which the points of a region meet its pivot.
 SALTS = 16
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -99,8 +99,8 @@ def window(n: int, percent: int) -> int:
 
 
 def spread(percent: int) -> Column:
-    """Largest symmetric difference of two linked sets of na and nb shingles."""
-    return F.expr(f"na + nb - 2 * (({percent} * (na + nb) + {percent + 99}) div {percent + 100})")
+    """Largest symmetric difference of two linked sets of n and nq shingles."""
+    return F.expr(f"n + nq - 2 * (({percent} * (n + nq) + {percent + 99}) div {percent + 100})")
 
 
 def _leads(words: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -123,8 +123,8 @@ def _postings(words: int, percent: int, common: np.ndarray) -> Callable[[Iterato
                 k = window(len(s), percent)
                 late = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s if len(common) else np.zeros(len(s), bool)
                 first = s[~late][:k]
-                rows.append((point_id(s), len(s), len(s) - int(late.sum()), first, s[late][: k - len(first)]))
-            yield pd.DataFrame(rows, columns=["node", "n", "uncommon", "rare", "often"]).assign(doc_id=pdf.doc_id, sig=pdf.sig)
+                rows.append((point_id(s), len(s), len(s) - int(late.sum()), coordinates(s), first, s[late][: k - len(first)]))
+            yield pd.DataFrame(rows, columns=["node", "n", "uncommon", "coords", "rare", "often"]).assign(doc_id=pdf.doc_id, sig=pdf.sig)
 
     return run
 
@@ -203,7 +203,7 @@ def _regions(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
 
 
 def shingle_sets(docs: DataFrame, points: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """node, n, s (sorted shingles), coords of these nodes; stashed. docs: doc_id, sig, text; points: node, rep."""
+    """node, n, s (sorted shingles) of these nodes; stashed. docs: doc_id, sig, text; points: node, rep."""
     used = stash(nodes.distinct().join(points.select("node", "rep"), "node").select("node", "rep.doc_id", "rep.sig"), "jaccard-used")
     near = bounded_broadcast(used.select(F.col("node"), F.col("doc_id").alias("__id"), F.col("sig").alias("__sig")))
     texts = docs.join(near, docs["doc_id"].eqNullSafe(F.col("__id")) & (docs["sig"] == F.col("__sig"))).select("node", "text")
@@ -211,46 +211,41 @@ def shingle_sets(docs: DataFrame, points: DataFrame, nodes: DataFrame, words: in
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             s = [shingle_set(t, words) for t in pdf.text]
-            yield pd.DataFrame({"node": pdf.node, "n": [len(x) for x in s], "s": s, "coords": [coordinates(x) for x in s]})
+            yield pd.DataFrame({"node": pdf.node, "n": [len(x) for x in s], "s": s})
 
-    found = map_pandas(texts, sets, "node long, n long, s array<long>, coords binary")
-    return stash(found, "jaccard-sets").dropDuplicates(["node"])
+    found = stash(map_pandas(texts, sets, "node long, n long, s array<long>"), "jaccard-sets")
+    # repeated rows have the same id and text
+    return found if found.count() == used.count() else stash(found.dropDuplicates(["node"]), "jaccard-sets-once")
 
 
-def _overlap() -> Column:
-    return F.size(F.array_intersect("sa", "sb")).cast("long")
+def beside(rows: DataFrame, values: DataFrame, col: str, salts: int) -> DataFrame:
+    """rows (node, q; stashed, narrow) with ``col`` of both as x and y. While they are few, the rows go to the values instead
+    of the values to them. A pivot's value goes to ``salts`` tasks, so no region is one task."""
+    pivots = bounded_broadcast(stash(rows.select("q").distinct(), "jaccard-q"))
+    q = values.select(F.col("node").alias("q"), F.col(col).alias("y")).join(pivots, "q")
+    q = q.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = bounded_broadcast(rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int")))
+    return values.select("node", F.col(col).alias("x")).join(salted, "node").join(q, ["q", "salt"]).drop("salt")
 
 
-def small_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (a, b, na, nb) that are linked. What the coordinates exclude is not compared."""
+def with_bound(rows: DataFrame, points: DataFrame, salts: int = 1) -> DataFrame:
+    """rows (node, q, n, nq) with low, the least possible symmetric difference by coordinates."""
 
     @F.pandas_udf("long")
     def low(a: pd.Series, b: pd.Series) -> pd.Series:
         x, y = (np.frombuffer(b"".join(v), np.uint8).reshape(-1, BUCKETS).astype(np.int16) for v in (a, b))
         return pd.Series(np.abs(x - y).sum(1).astype(np.int64))
 
-    side = lambda k, c: sets.select(F.col("node").alias(k), F.col(c).alias(f"{c}{k}"))
-    near = pairs.join(side("a", "coords"), "a").join(side("b", "coords"), "b").withColumn("low", low("coordsa", "coordsb"))
-    near = stash(near.filter(F.col("low") <= spread(percent)).select("a", "b", "na", "nb"), "jaccard-near")
-    wide = near.join(side("a", "s"), "a").join(side("b", "s"), "b").withColumn("i", _overlap())
-    return wide.filter(100 * F.col("i") >= percent * (F.col("na") + F.col("nb") - F.col("i"))).select("a", "b")
+    return beside(rows, points, "coords", salts).withColumn("low", low("x", "y")).drop("x", "y")
 
 
-def distances(rows: DataFrame, sets: DataFrame, percent: int, exact: bool = True) -> DataFrame:
-    """rows with columns node, n, q, nq: the same with d, the distance to the pivot q, and linked. Without ``exact``, d may be
-    a lower bound where the sizes allow no link. A pivot's set goes to ``SALTS`` tasks, so no region is one task."""
-    floor = 1 - F.least("n", "nq") / F.greatest("n", "nq")
-    salt = F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")
-    todo = (rows if exact else rows.filter(100 * F.least("n", "nq") >= percent * F.greatest("n", "nq"))).select("q", "node", "n", "nq").distinct()
-    pivots = todo.select("q").distinct().join(sets.select(F.col("node").alias("q"), F.col("s").alias("sb")), "q")
-    pivots = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    wide = todo.withColumn("salt", salt).join(sets.select("node", F.col("s").alias("sa")), "node").join(pivots, ["q", "salt"])
-    i, union = F.col("i"), F.col("n") + F.col("nq") - F.col("i")
-    measured = wide.select("q", "node", "n", "nq", _overlap().alias("i")).select(
-        "q", "node", (1 - i / union).alias("exact"), (100 * i >= percent * union).alias("near")
-    )
-    both = rows.join(measured, ["q", "node"], "left")
-    return both.withColumns({"d": F.coalesce("exact", floor), "linked": F.coalesce("near", F.lit(False))}).drop("exact", "near")
+def with_overlap(rows: DataFrame, sets: DataFrame, salts: int = 1) -> DataFrame:
+    """rows (node, q) with i, the number of common shingles."""
+    return beside(rows, sets, "s", salts).withColumn("i", F.size(F.array_intersect("x", "y")).cast("long")).drop("x", "y")
+
+
+def linked(percent: int) -> Column:
+    return 100 * F.col("i") >= percent * (F.col("n") + F.col("nq") - F.col("i"))
 
 
 def best_cut(counts: list[int], percent: int) -> int:
@@ -262,15 +257,17 @@ def best_cut(counts: list[int], percent: int) -> int:
     return k + 1 if cost[k] <= 0.7 * total**2 else -1
 
 
-def split(region: DataFrame, sets: DataFrame, percent: int, leaf: int, turn: int) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+def split(docs: DataFrame, points: DataFrame, region: DataFrame, words: int, percent: int, leaf: int, turn: int) -> tuple[DataFrame, DataFrame, DataFrame] | None:
     """One turn of the recursion: (links to the new pivots, regions that are leaves, parts), or None if all are leaves."""
     share = region.groupBy("p").agg(F.count("*").alias("n_all"), F.min(F.when(F.col("open"), F.struct("u", "node", "n"))).alias("q"))
     large = stash(share.filter((F.col("n_all") > leaf) & F.col("q").isNotNull()).select("p", F.col("q.node").alias("q"), F.col("q.n").alias("nq")), f"jaccard-large-{turn}")
     if large.isEmpty():
         return None
     large = bounded_broadcast(large)
-    rows = region.join(large, "p").drop("d")
-    rows = stash(distances(rows, sets, percent), f"jaccard-split-{turn}")
+    rows = stash(region.join(large, "p").drop("d"), f"jaccard-rows-{turn}")
+    sets = shingle_sets(docs, points, rows.select("node"), words)
+    rows = with_overlap(rows, sets, SALTS).withColumns({"d": 1 - F.col("i") / (F.col("n") + F.col("nq") - F.col("i")), "linked": linked(percent)})
+    rows = stash(rows, f"jaccard-split-{turn}")
     cell = F.least(F.floor(F.col("d") * 20), F.lit(20))
     counts = rows.groupBy("p").agg(F.array(*[F.count_if(cell == k) for k in range(21)]).alias("counts"))
 
@@ -414,47 +411,99 @@ def _leaves(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     return run
 
 
-def leaf_links(region: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between the open points of leaves, and from these to the others (p, node, n, d, open)."""
+def _candidates(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows sorted by (p, block, part), the block's own points (mine) first, to the points that the coordinates allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, mine = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.vstack([batch.column(c).to_numpy() for c in ("p", "block", "part")])
+            node, n, own_points = (batch.column(c).to_numpy() for c in ("node", "n", "mine"))
+            coords = np.frombuffer(b"".join(batch.column("coords").to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int16)
+            cuts = np.nonzero((keys[:, 1:] != keys[:, :-1]).any(0))[0] + 1
+            found: list[tuple] = []
+            for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+                if tuple(keys[:, lo]) != at:
+                    at, mine = tuple(keys[:, lo]), []
+                middle = lo + int(own_points[lo:hi].sum())
+                if middle > lo:
+                    mine.append((node[lo:middle], n[lo:middle], coords[lo:middle]))
+                if mine:
+                    b_node, b_n, b_coords = mine[0] if len(mine) == 1 else (np.concatenate(x) for x in zip(*mine, strict=True))
+                    mine = [(b_node, b_n, b_coords)]
+                    hit = np.zeros(len(b_node), bool)
+                    # own points meet in the first part only
+                    for i in range(lo if at[2] == 0 else middle, hi):
+                        ok = (100 * np.minimum(b_n, n[i]) >= percent * np.maximum(b_n, n[i])) & (b_node != node[i])
+                        k = np.nonzero(ok)[0]
+                        both = b_n[k] + n[i]
+                        k = k[np.abs(b_coords[k] - coords[i]).sum(1) <= both - 2 * ((percent * both + percent + 99) // (percent + 100))]
+                        if len(k):
+                            hit[k] = True
+                            found.append((at[0], node[i]))
+                    found += [(at[0], x) for x in b_node[hit]]
+            some = np.array(found, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(some[:, 0]), pa.array(some[:, 1])], names=["p", "node"])
+
+    return run
+
+
+def leaf_links(docs: DataFrame, points: DataFrame, region: DataFrame, words: int, percent: int, name: str) -> DataFrame:
+    """Links between the open points of leaves, and from these to the others (p, node, n, d, open); stashed."""
     w = F.when(F.col("open"), F.col("n"))
     share = region.groupBy("p").agg(F.sum(w).alias("w_open"), F.sum("n").alias("w_all"), F.min(F.when(F.col("open"), F.col("d"))).alias("d0"), F.count("*").alias("k"))
     share = share.filter("w_open IS NOT NULL AND k > 1").select("p", "d0", F.ceil(F.col("w_open") / BLOCK).alias("blocks"), F.ceil(F.col("w_all") / SLICE).alias("parts"))
     # the window: a point of the ball this far inside is out of reach of every open point
     r = 1 - percent / 100 + 1e-9
-    rows = region.join(bounded_broadcast(stash(share, "jaccard-share")), "p").filter(F.col("open") | F.col("d").isNull() | F.col("d0").isNull() | (F.col("d0") - F.col("d") <= r))
+    rows = region.join(bounded_broadcast(stash(share, f"{name}-share")), "p").filter(F.col("open") | F.col("d").isNull() | F.col("d0").isNull() | (F.col("d0") - F.col("d") <= r))
     home = F.pmod(F.xxhash64("node"), F.col("blocks"))
     # two open points meet in the lower of their blocks
     last = F.when(F.col("open"), home).otherwise(F.col("blocks") - 1)
     rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     mine = F.col("open") & (home == F.col("block"))
     part = F.when(mine, F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).otherwise(F.array(F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts"))))
-    dealt = rows.select("p", "block", F.explode(part).alias("part"), "node", mine.cast("int").alias("mine"))
-    dealt = dealt.join(sets.select("node", "n", "s"), "node")
-    n_parts = int(region.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.repartition(n_parts, "p", "block", "part").sortWithinPartitions("p", "block", "part", F.desc("mine"), "node")
-    return map_arrow(dealt.select("p", "block", "part", "node", "n", "mine", "s"), _leaves(percent), "a long, b long")
+    cells = stash(rows.select("p", "block", F.explode(part).alias("part"), "node", "n", mine.cast("int").alias("mine")), f"{name}-cells")
+    n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = lambda x: x.repartition(n_parts, "p", "block", "part").sortWithinPartitions("p", "block", "part", F.desc("mine"), "node")
+    met = dealt(points.select("node", "coords").join(bounded_broadcast(cells), "node")).select("p", "block", "part", "node", "n", "mine", "coords")
+    close = stash(map_arrow(met, _candidates(percent), "p long, node long").distinct(), f"{name}-close")
+    sets = shingle_sets(docs, points, close.select("node"), words)
+    few = stash(cells.join(bounded_broadcast(close), ["p", "node"]), f"{name}-few")
+    full = dealt(sets.select("node", "s").join(bounded_broadcast(few), "node"))
+    return stash(map_arrow(full.select("p", "block", "part", "node", "n", "mine", "s"), _leaves(percent), "a long, b long"), name)
 
 
 def _links(docs: DataFrame, points: DataFrame, found: DataFrame, words: int, percent: int, leaf: int) -> list[DataFrame]:
     """Links that decide the components: of small regions, of pivots, and of the leaves; each stashed."""
-    small = stash(found.filter("kind = 0").select("a", "b", "na", "nb").distinct(), "jaccard-small")
+    small = found.filter("kind = 0").select(F.col("a").alias("node"), F.col("b").alias("q"), F.col("na").alias("n"), F.col("nb").alias("nq")).distinct()
+    near = stash(with_bound(stash(small, "jaccard-small"), points).filter(F.col("low") <= spread(percent)).drop("low"), "jaccard-near")
     state = found.filter("kind = 1").select("h", F.col("a").alias("node"), F.col("na").alias("n"), F.col("nb").alias("u"))
     pivots = state.groupBy("h").agg(F.min(F.struct("u", "node", "n")).alias("q"))
     pivots = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     met = state.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(pivots, ["h", "salt"])
-    met = stash(met.select(F.col("q.node").alias("q"), F.col("q.n").alias("nq"), "node", "n", "u").distinct(), "jaccard-met")
-    nodes = small.select(F.explode(F.array("a", "b")).alias("node")).unionByName(met.select("node"))
-    sets = shingle_sets(docs, points, nodes, words)
-    links = [stash(small_links(small, sets, percent), "jaccard-small-links")]
-    star = stash(distances(met.filter("node <> q"), sets, percent, exact=False), "jaccard-star")
-    links.append(star.filter("linked").select(F.col("node").alias("a"), F.col("q").alias("b")))
-    region = star.select(F.col("q").alias("p"), "node", "n", "u", "d", (~F.col("linked")).alias("open"))
+    met = stash(met.select(F.col("q.node").alias("q"), F.col("q.n").alias("nq"), "node", "n", "u").distinct().filter("node <> q"), "jaccard-met")
+    star = stash(with_bound(met, points, SALTS), "jaccard-star")
+    around = stash(star.filter(F.col("low") <= spread(percent)).select("node", "q", "n", "nq"), "jaccard-around")
+    sets = shingle_sets(docs, points, near.unionByName(around).select(F.explode(F.array("node", "q")).alias("node")), words)
+    edge = [F.col("node").alias("a"), F.col("q").alias("b")]
+    links = [stash(with_overlap(near, sets).filter(linked(percent)).select(edge), "jaccard-small-links")]
+    exact = with_overlap(around, sets, SALTS).select("q", "node", (1 - F.col("i") / (F.col("n") + F.col("nq") - F.col("i"))).alias("exact"), linked(percent).alias("near"))
+    # distances to the pivot: exact within the ball and near it, else a lower bound
+    both = F.col("n") + F.col("nq")
+    far = 1 - (both - F.col("low")) / (both + F.col("low"))
+    region = star.join(exact, ["q", "node"], "left").select(
+        F.col("q").alias("p"), "node", "n", "u", F.coalesce("exact", far).alias("d"), (~F.coalesce("near", F.lit(False))).alias("open")
+    )
+    region = stash(region, "jaccard-member")
+    links.append(region.filter("NOT open").select(F.col("node").alias("a"), F.col("p").alias("b")))
     for turn in range(DEPTH):
-        if (turned := split(region, sets, percent, leaf, turn)) is None:
+        if (turned := split(docs, points, region, words, percent, leaf, turn)) is None:
             break
         more, fine, region = turned
-        links += [more, stash(leaf_links(fine, sets, percent), f"jaccard-leaves-{turn}")]
-    links.append(stash(leaf_links(region, sets, percent), "jaccard-leaves"))
+        links += [more, leaf_links(docs, points, fine, words, percent, f"jaccard-leaves-{turn}")]
+    links.append(leaf_links(docs, points, region, words, percent, "jaccard-leaves"))
     return links
 
 
@@ -485,10 +534,10 @@ def jaccard_components(
     counts = map_arrow(docs.select("text"), _leads(words, percent), "h long").groupBy("h").count().filter(F.col("count") >= common)
     top = counts.orderBy(F.desc("count"), "h").limit(MAX_COMMON).select("h").collect()
     often = np.sort(np.array([x.h for x in top], np.int64))
-    schema = f"doc_id {kind}, sig long, node long, n long, uncommon long, rare array<long>, often array<long>"
+    schema = f"doc_id {kind}, sig long, node long, n long, uncommon long, coords binary, rare array<long>, often array<long>"
     rows = stash(map_pandas(docs, _postings(words, percent, often), schema), "jaccard-points")
     points = stash(
-        rows.filter("n > 0").groupBy("node").agg(F.min(F.struct("doc_id", "sig")).alias("rep"), F.min("doc_id").alias("name"), F.count("*").alias("copies")),
+        rows.filter("n > 0").groupBy("node").agg(F.min(F.struct("doc_id", "sig")).alias("rep"), F.min("doc_id").alias("name"), F.max("coords").alias("coords"), F.count("*").alias("copies")),
         "jaccard-nodes",
     )
     copied = bounded_broadcast(points.filter("copies > 1").select("node", "rep"))
