@@ -33,9 +33,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_pandas, own, sliced
+from .common import map_arrow, map_pandas, own, sliced, trim
 
-P, DECAY, LANDMARKS = 3, 0.6, 256
+P, DECAY, LANDMARKS = 3, 0.6, 192
 #: Labelled documents that training takes at most, each whole, and distinct chunks that a machine is first fitted on.
 MAX_DOCS, MAX_CHUNKS = 4000, 6000
 #: Parts for the calibration, evidence of a first witness (log-likelihood), and how many times more often toxic documents
@@ -161,6 +161,7 @@ Bags = list[tuple[bool, np.ndarray]]
 def train(names: list[str], bags: Bags, seed: int = 7) -> dict | None:
     """The logistic is fitted on margins from machines that didn't see the document."""
     model = machine(names, bags, seed)
+    trim()
     if model is None:
         return None
     parts_of = [bags[k::FOLDS] for k in range(FOLDS)]
@@ -168,6 +169,7 @@ def train(names: list[str], bags: Bags, seed: int = 7) -> dict | None:
     if any(m is None for m in others):
         parts_of, others = [bags], [model]
     best = np.vstack([top_margins(m, names, p) for p, m in zip(parts_of, others, strict=True) if p])
+    trim()
     return model | calibrate(best, np.array([t for p in parts_of for t, _ in p]))
 
 
@@ -208,7 +210,7 @@ def machine(names: list[str], bags: Bags, seed: int = 7, turns: int = 3) -> dict
     marks = [names[i] for i in np.unique(np.concatenate([first, rest]))]
     phi = dense(marks)
     value, vector = np.linalg.eigh(phi.T @ phi + 1e-4 * np.eye(len(marks)))
-    root = vector / np.sqrt(np.maximum(value, 1e-4))
+    root = (vector / np.sqrt(np.maximum(value, 1e-4))).astype(np.float32)
     z = project([names[i] for i in pool], phi) @ root
     rate = (count[:, 1] / toxic_n) / ((count[:, 0] + 0.5) / clean_n)
     for turn in range(turns):
@@ -221,7 +223,7 @@ def machine(names: list[str], bags: Bags, seed: int = 7, turns: int = 3) -> dict
         y = np.concatenate([1 + np.clip(np.log10(np.maximum(sure[pool[good]], SURE) / SURE), 0, 1), -np.ones(bad.sum())])
         w_good, w_bad = np.log1p(count[pool[good], 1]), np.log1p(count[pool[bad], 0])
         w = fit_svm(x, y, np.concatenate([w_good / w_good.sum(), w_bad / w_bad.sum()]) * len(y))
-        column = (phi @ (root @ w[:-1])).astype(np.float32)
+        column = phi @ (root @ w[:-1]).astype(np.float32)
         score = np.full(len(names), -10.0)
         score[usable] = project([names[i] for i in usable], column[:, None])[:, 0] + w[-1]
         if turn < turns - 1:
@@ -403,4 +405,4 @@ def drop_toxic(
         for batch in sliced(batches):
             yield batch.filter(pa.array(scorer.scores(batch.column(text_col).to_pylist()) < threshold))
 
-    return docs.mapInArrow(clean, docs.schema)
+    return map_arrow(docs, clean, docs.schema)
