@@ -332,17 +332,17 @@ def _free(df: DataFrame) -> None:
 def repeated_spans(docs: DataFrame, length: int = LENGTH, one_in: int = ONE_IN) -> DataFrame:
     """sig, lo, hi: ranges of window starts to remove; docs: sig, text. Stashed."""
     order = ["f", "e"]
-    tuples = docs.filter(F.octet_length("text") >= length).mapInArrow(_sampled(length, one_in), "kind int, f long, e long, sig long, lo long, run int, sure boolean")
+    tuples = docs.filter(F.octet_length("text") >= length).transform(map_arrow, _sampled(length, one_in), "kind int, f long, e long, sig long, lo long, run int, sure boolean")
     spans_type = "kind int, sig long, lo long, hi long"
-    level = stash(tuples.repartition("f").sortWithinPartitions(*order).mapInArrow(_induced(length, False), spans_type), "suffix-runs")
+    level = stash(tuples.repartition("f").sortWithinPartitions(*order).transform(map_arrow, _induced(length, False), spans_type), "suffix-runs")
     del tuples
     _free(docs)
     undecided = level.filter(F.col("kind") != COVER)
     by_text = undecided.groupBy("sig").agg(F.collect_list(F.struct("lo", "hi", "kind")).alias("open"))
     wanted = bounded_broadcast(stash(undecided.select("sig").distinct(), "suffix-wanted"))
     texts = docs.join(wanted, "sig", "left_semi").dropDuplicates(["sig"]).join(by_text, "sig").select("sig", "text", "open")
-    windows = texts.mapInArrow(_windows(length), "kind int, f long, e long, sig long, lo long, run int, sure boolean")
-    fine = stash(windows.repartition("f").sortWithinPartitions(*order).mapInArrow(_induced(length, True), spans_type), "suffix-windows")
+    windows = texts.transform(map_arrow, _windows(length), "kind int, f long, e long, sig long, lo long, run int, sure boolean")
+    fine = stash(windows.repartition("f").sortWithinPartitions(*order).transform(map_arrow, _induced(length, True), spans_type), "suffix-windows")
     del windows, texts, by_text
     _free(docs)
     return level.filter(F.col("kind") == COVER).unionByName(fine).select("sig", "lo", "hi")
