@@ -154,10 +154,6 @@ def thresholds(px_x: Column, px_y: Column) -> Column:
     )
 
 
-def cell_of(coordinate: Column, size: float = 1000.0) -> Column:
-    return F.floor(coordinate / size).cast("int")
-
-
 def north_up(gt: Column) -> Column:
     return (gt[2] == 0) & (gt[4] == 0) & (gt[1] > 0) & (gt[5] < 0)
 

@@ -75,9 +75,3 @@ def mask_of(run_list: Column, width: Column) -> Column:
     """True inside any of the runs (null: none)."""
     hit = F.transform(F.sequence(F.lit(0), width - 1), lambda c: F.exists(run_list, lambda r: c.between(r["c0"], r["c1"])))
     return F.when(run_list.isNull(), F.array_repeat(F.lit(False), width)).otherwise(hit)
-
-
-def nodata_tag(gds: Column, value: Column, mask_present: Column, corrected: Column, rewrite: Column) -> Column:
-    """What a delivered raster needs: none, or a mask made of its values."""
-    needs = ~gds.isin("SB_DSM", "SB_DSM_PUNKTWOLKE") & ~corrected & value.isNotNull() & (rewrite | ~mask_present)
-    return F.when(needs, "make mask").otherwise("none")

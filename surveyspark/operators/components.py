@@ -6,7 +6,6 @@ independent; all joins have an equi key of tile and row.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import numpy as np
@@ -24,12 +23,10 @@ TILE_RUNS = 2_000_000
 
 
 def _saved(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared folder of ``spark.checkpoint.dir`` and read again, which cuts the lineage."""
+    """Written to the shared folder of ``spark.checkpoint.dir`` (the warehouse where that is unset) and read again, which cuts
+    the lineage."""
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="surveyspark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
     path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

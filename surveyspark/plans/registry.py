@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import catalog_queries, file_queries, line_queries, point_queries, raster_queries
+from . import catalog_queries, file_queries, header_queries, line_queries, point_queries, raster_queries
 
-MODULES = (line_queries, file_queries, point_queries, raster_queries, catalog_queries)
+MODULES = (line_queries, file_queries, point_queries, raster_queries, catalog_queries, header_queries)
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLE = {k: q for m in MODULES for k, q in m.ORACLE.items()}
