@@ -23,11 +23,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's ``spark.checkpoint.dir``, which must be set."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or, where that is unset, one in the warehouse,
+    which they share too."""
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return path.rstrip("/")
+    return path.rstrip("/") if path else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
 
 
 def stash(df: DataFrame, name: str) -> DataFrame:
@@ -87,8 +86,19 @@ def trim() -> None:
         pass  # another C library
 
 
+#: Bytes of a batch that goes to a Python worker, so that neither side holds many texts at once.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
-    """``mapInArrow`` whose workers give their memory back in the end."""
+    """``mapInArrow`` in batches of at most ``BATCH_BYTES``, whose workers give their memory back in the end.
+
+    The session's own batch size stays if it is smaller.
+    """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH).rstrip("b")) <= BATCH_BYTES:
+        conf.set(_BATCH, f"{BATCH_BYTES}b")
 
     def batches(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(them)
