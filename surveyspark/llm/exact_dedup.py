@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_pandas, bounded_broadcast, own, stash
+from .common import bounded_broadcast, map_pandas, own, stash
 
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASES = (1_103_515_245, 1_220_703_125)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_pandas, bounded_broadcast, own, stash
+from .common import bounded_broadcast, map_pandas, own, stash
 
 LEADING, SIMILAR, MIN_DOCS = 3, 0.6, 5
 ANY = "<*>"
