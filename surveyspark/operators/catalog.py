@@ -55,7 +55,11 @@ def crs_summary(actions: DataFrame, by: str, force_lv95: bool = False) -> DataFr
 
 
 def status_summary(results: DataFrame, *by: str) -> DataFrame:
-    """results (name, status) -> total, ok, warning, skipped, failed and the failed files' names."""
+    """results (name, status) -> total, ok, warning, skipped, failed. ``failures`` lists the failed files."""
     one = lambda s: F.count_if(F.col("status") == s).alias(s)
-    failed = F.array_join(F.array_sort(F.collect_list(F.when(F.col("status") == "failed", F.col("name")))), ",").alias("failed_files")
-    return results.groupBy(*by).agg(F.count("*").alias("total"), one("ok"), one("warning"), one("skipped"), one("failed"), failed)
+    return results.groupBy(*by).agg(F.count("*").alias("total"), one("ok"), one("warning"), one("skipped"), one("failed"))
+
+
+def failures(results: DataFrame, *by: str) -> DataFrame:
+    """The failed files: a row each, as a long list has no place in a summary."""
+    return results.filter("status = 'failed'").select(*by, "name")

@@ -120,7 +120,7 @@ def group_sizes(labelled: DataFrame, tiles: DataFrame) -> DataFrame:
     tiles: tile, height, width, missing (array of directions without a neighbour). A corner pixel counts once; it is open
     if any of its three neighbours is missing.
     """
-    t = F.broadcast(tiles.select("tile", "height", "width", "missing"))
+    t = tiles.select("tile", "height", "width", "missing")
     r = labelled.join(t, "tile")
     top, bottom = F.col("row") == 0, F.col("row") == F.col("height") - 1
     left, right = F.col("c0") == 0, F.col("c1") == F.col("width") - 1
@@ -195,7 +195,7 @@ def classify(labelled: DataFrame, tiles: DataFrame, min_size: int, min_contact:
     else:
         measured = passed.select(*key, F.lit(None).cast("long").alias("hole_px"), F.lit(None).cast("double").alias("roughness"))
     j = sized.join(passed.withColumn("passed", F.lit(True)), key, "left").join(measured, key, "left").join(
-        F.broadcast(tiles.select("tile", (F.size("missing") > 0).alias("edge_tile"))), "tile"
+        tiles.select("tile", (F.size("missing") > 0).alias("edge_tile")), "tile"
     )
     large, hole = F.col("size_px") >= min_size, F.col("hole_px") / F.col("size_px")
     ragged = (hole >= MIN_HOLE_RATIO) & (F.col("roughness") >= MIN_ROUGHNESS)

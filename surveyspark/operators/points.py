@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from surveyspark.functions import geo
 
 DIMENSIONS = ("x", "y", "z", "cls")
+#: Lines of a text grid that are numbered together.
+BLOCK = 4096
 
 
 def to_cells(points: DataFrame, cells: DataFrame, size: int) -> DataFrame:
-    """points (x, y, ..) with ix, iy and the cell's name, null outside. cells: a country's grid, broadcast."""
+    """points (x, y, ..) with ix, iy and the cell's name, null outside."""
     keyed = points.withColumns({"ix": F.floor(F.col("x") / size).cast("int"), "iy": F.floor(F.col("y") / size).cast("int")})
-    return keyed.join(F.broadcast(cells.select("ix", "iy", "name")), ["ix", "iy"], "left")
+    return keyed.join(cells.select("ix", "iy", "name"), ["ix", "iy"], "left")
 
 
 def balance(tiled: DataFrame, expected: int | None = None) -> DataFrame:
@@ -84,7 +86,8 @@ def _fields(line, sep):
 
 
 def sniff(lines: DataFrame, sample: int = 50) -> DataFrame:
-    """lines (file, line_no, value) -> per file: kind, sep, skip (header lines), columns, problem; from its first lines."""
+    """lines (file, line_no, value) -> per file: kind, sep, skip (header lines), first_line (line_no below them), columns, problem;
+    from its first lines."""
     text = lines.filter(F.trim("value") != "")
     rank = F.row_number().over(Window.partitionBy("file").orderBy("line_no"))
     head = text.withColumn("k", rank).filter(F.col("k") <= sample)
@@ -96,19 +99,20 @@ def sniff(lines: DataFrame, sample: int = 50) -> DataFrame:
     files = head.groupBy("file").agg(
         F.max_by("is_key", -F.col("k")).alias("grid"),
         F.min(F.when(F.col("numeric"), F.col("k"))).alias("first"),
+        F.min(F.when(F.col("numeric"), F.col("line_no"))).alias("first_line"),
         F.min_by("sep", F.when(F.col("numeric"), F.col("k"))).alias("sep"),
         F.min_by(F.size("parts"), F.when(F.col("numeric"), F.col("k"))).alias("columns"),
     )
     kind = F.when(F.col("grid"), "grid").otherwise("xyz")
     problem = F.when(kind == "grid", F.lit(None)).when(F.col("first").isNull(), "no numbers").when(F.col("columns") < 3, "columns")
-    return files.select("file", kind.alias("kind"), "sep", (F.col("first") - 1).alias("skip"), "columns", problem.alias("problem"))
+    return files.select("file", kind.alias("kind"), "sep", (F.col("first") - 1).alias("skip"), "first_line", "columns", problem.alias("problem"))
 
 
 def xyz_points(lines: DataFrame, sniffed: DataFrame) -> DataFrame:
     """lines and their files' sniffs -> file, line_no, x, y, z, ignored (rows with another number of columns or no numbers)."""
-    s = F.broadcast(sniffed.filter("kind = 'xyz' AND problem IS NULL").select("file", "sep", "skip", "columns"))
-    rows = lines.filter(F.trim("value") != "").withColumn("k", F.row_number().over(Window.partitionBy("file").orderBy("line_no")))
-    parts = rows.join(s, "file").filter(F.col("k") > F.col("skip")).withColumn("parts", _fields(F.col("value"), F.col("sep")))
+    s = sniffed.filter("kind = 'xyz' AND problem IS NULL").select("file", "sep", "first_line", "columns")
+    rows = lines.filter(F.trim("value") != "")
+    parts = rows.join(s, "file").filter(F.col("line_no") >= F.col("first_line")).withColumn("parts", _fields(F.col("value"), F.col("sep")))
     num = lambda i: F.try_element_at("parts", F.lit(i)).try_cast("double")
     ok = (F.size("parts") == F.col("columns")) & num(1).isNotNull() & num(2).isNotNull() & num(3).isNotNull()
     return parts.select("file", "line_no", num(1).alias("x"), num(2).alias("y"), num(3).alias("z"), (~ok).alias("ignored"))
@@ -117,7 +121,8 @@ def xyz_points(lines: DataFrame, sniffed: DataFrame) -> DataFrame:
 def grid_points(lines: DataFrame) -> DataFrame:
     """ESRI ASCII grids (file, line_no, value) -> file, x, y, z at the cells' centres, NODATA cells left out.
 
-    Values may break lines anywhere; their place follows from the running number of values in the file.
+    Values may break lines anywhere; their place follows from the running number of values in the file: lines are counted in
+    blocks of ``BLOCK``, so a file of any length is dealt to many tasks.
     """
     key = F.lower(F.regexp_extract("value", r"^\s*([A-Za-z_]+)\s+\S", 1))
     tagged = lines.withColumn("key", key)
@@ -129,9 +134,12 @@ def grid_points(lines: DataFrame) -> DataFrame:
         F.coalesce(pick("yllcorner"), pick("yllcenter") - pick("cellsize") / 2).alias("y0"), pick("nodata_value").alias("nd"),
     )
     body = tagged.filter("key = '' AND trim(value) <> ''").withColumn("vals", F.split(F.trim("value"), r"\s+"))
-    before = F.sum(F.size("vals")).over(Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1))
-    body = body.withColumn("off", F.coalesce(before, F.lit(0)))
-    cells = body.select("file", "off", F.posexplode("vals").alias("i", "v")).join(F.broadcast(header), "file")
+    body = body.withColumn("block", F.floor(F.col("line_no") / BLOCK))
+    running = lambda value, *by: F.coalesce(F.sum(value).over(Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = body.groupBy("file", "block").agg(F.sum(F.size("vals")).alias("n"))
+    blocks = blocks.select("file", "block", running("n", "file", "block").alias("start"))
+    body = body.withColumn("off", running(F.size("vals"), "file", "block", "line_no")).join(blocks, ["file", "block"])
+    cells = body.select("file", (F.col("start") + F.col("off")).alias("off"), F.posexplode("vals").alias("i", "v")).join(header, "file")
     at = F.col("off") + F.col("i")
     col, row, z = at % F.col("ncols"), F.floor(at / F.col("ncols")), F.col("v").cast("double")
     tol = F.greatest(F.abs("nd") * 1e-6, F.lit(1e-6))

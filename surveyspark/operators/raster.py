@@ -19,7 +19,7 @@ def rescale_hillshade(scan: DataFrame, band: str = "band", safe_max: int = 225)
     """Scanlines rescaled in tiles that still have values above safe_max (255 aside); others stay."""
     peak = F.coalesce(F.array_max(F.filter(band, lambda v: v != 255)), F.lit(0))
     todo = scan.groupBy("tile").agg((F.max(peak) > safe_max).alias("todo"))
-    return scan.join(F.broadcast(todo), "tile").withColumn(band, F.when(F.col("todo"), pixels.rescaled(F.col(band), safe_max)).otherwise(F.col(band))).drop("todo")
+    return scan.join(todo, "tile").withColumn(band, F.when(F.col("todo"), pixels.rescaled(F.col(band), safe_max)).otherwise(F.col(band))).drop("todo")
 
 
 def correct(scan: DataFrame, labelled: DataFrame, groups: DataFrame, nodata: int) -> DataFrame:
@@ -60,7 +60,7 @@ def retile(scan: DataFrame, tiles: DataFrame, size: int, fill: int) -> DataFrame
     Returns cx, cy, row, band: background is ``fill``; rows without any tile are absent until ``with_background``. Where tiles
     overlap, the later one (by name) shows.
     """
-    placed = scan.join(F.broadcast(tiles.select("tile", "x0", "y0")), "tile").withColumn("y", F.col("row") + F.col("y0"))
+    placed = scan.join(tiles.select("tile", "x0", "y0"), "tile").withColumn("y", F.col("row") + F.col("y0"))
     last = F.col("x0") + F.size("band") - 1
     cells = placed.withColumn("cx", F.explode(F.sequence(F.floor(F.col("x0") / size), F.floor(last / size)))).withColumns(
         {"cy": F.floor(F.col("y") / size), "at": F.greatest(F.col("x0"), F.col("cx") * size)}
@@ -92,7 +92,7 @@ def preview(scan: DataFrame, factor: int, band: str = "band") -> DataFrame:
 def stretch(cells: DataFrame) -> DataFrame:
     """Preview values between the tile's 2nd and 98th percentile onto 0 to 255."""
     p = cells.groupBy("tile").agg(F.percentile("value", F.array(F.lit(0.02), F.lit(0.98))).alias("p"))
-    j = cells.join(F.broadcast(p), "tile")
+    j = cells.join(p, "tile")
     low, high = F.col("p")[0], F.col("p")[1]
     grey = F.when(high > low, (F.col("value") - low) / (high - low) * 255).otherwise(0.0)
     return j.select("tile", "r", "c", F.floor(F.greatest(F.lit(0.0), F.least(F.lit(255.0), grey))).cast("int").alias("grey"))

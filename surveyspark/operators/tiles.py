@@ -12,9 +12,12 @@ DIRECTIONS = (("N", 0, 1), ("NE", 1, 1), ("E", 1, 0), ("SE", 1, -1), ("S", 0, -1
 def key_step(tiles: DataFrame, axis: str) -> DataFrame:
     """One row: the least distance of two different keys on an axis, 1 if there is none."""
     keys = tiles.filter(F.col(axis).isNotNull()).select(axis).distinct()
-    # keys are few (one a kilometre), so one sorted partition holds them
-    gaps = keys.select((F.col(axis) - F.lag(axis).over(Window.orderBy(axis))).alias("gap"))
-    return gaps.agg(F.coalesce(F.min("gap"), F.lit(1)).cast("int").alias(f"step_{axis}"))
+    keys = keys.withColumn("block", F.floor(F.col(axis) / 1024))
+    inside = keys.select((F.col(axis) - F.lag(axis).over(Window.partitionBy("block").orderBy(axis))).alias("gap"))
+    # between the blocks, one row for 1024 possible keys is left to sort in one partition
+    ends = keys.groupBy("block").agg(F.min(axis).alias("low"), F.max(axis).alias("high"))
+    between = ends.select((F.col("low") - F.lag("high").over(Window.orderBy("block"))).alias("gap"))
+    return inside.unionByName(between).agg(F.coalesce(F.min("gap"), F.lit(1)).cast("int").alias(f"step_{axis}"))
 
 
 def missing_neighbours(tiles: DataFrame) -> DataFrame:

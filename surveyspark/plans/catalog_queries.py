@@ -13,7 +13,8 @@ from surveyspark.sources.files import package_xml
 
 from . import pipelines
 from .derive import V_FILE, table, v_file, v_point, v_scan, v_tile
-from .file_queries import _CSV
+from .file_queries import _CSV, _EXT, _KEY
+from .header_queries import _RASTERS, raster_columns
 from .point_queries import _COARSE
 from .raster_queries import ORACLE as RASTER
 
@@ -124,36 +125,88 @@ def preflight_gate(spark, sf_dir):
     return pipelines.preflight(full, rules.products(spark), _items(spark, sf_dir), package_xml(_packages(spark, sf_dir)))
 
 
-def status_summary(spark, sf_dir):
+def _results(spark, sf_dir):
     r = v_file(spark, sf_dir)
     k = F.pmod("l_partkey", F.lit(100))
     status = F.when(k < 1, "failed").when(k < 10, "warning").when(k < 20, "skipped").otherwise("ok")
-    return C.status_summary(r.select("gds", "name", status.alias("status")), "gds")
+    return r.select("gds", "name", status.alias("status"))
 
 
-def pipeline_raster(spark, sf_dir):
-    """Documents and manifest rows of raster deliveries (one per supplier) that pass the gate."""
-    f = v_file(spark, sf_dir).filter("gds <> 'SB_DSM_PUNKTWOLKE'")
+def status_summary(spark, sf_dir):
+    return C.status_summary(_results(spark, sf_dir), "gds")
+
+
+def failed_files(spark, sf_dir):
+    return C.failures(_results(spark, sf_dir), "gds")
+
+
+def _raster_files(files):
+    """Files (rows of v_file) of a delivery for each supplier, every fourth in another coordinate system."""
     calm = F.struct(*[
         F.lit(True).alias("has_crs"), F.lit(True).alias("in_lv95_extent"), F.lit("X").alias("name"), F.lit(False).alias("is_compound"),
         (F.pmod("l_suppkey", F.lit(4)) != 0).alias("horizontal_is_lv95"), F.lit(False).alias("lv95_equivalent"), F.lit(False).alias("local_only"),
         F.lit(None).cast("string").alias("vertical_epsg"),
     ])
-    files = f.select(
+    dtype = F.when((F.pmod("l_suppkey", F.lit(3)) == 0) & (F.pmod("l_partkey", F.lit(4)) == 1), "Float64").otherwise("Float32")
+    return files.select(
         F.col("l_suppkey").cast("string").alias("delivery"), F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("ord"), "gds", "name",
-        F.md5(F.encode("name", "utf-8")).alias("md5"), F.lit("POLYGON").alias("footprint"), "nodata", calm.alias("info"),
+        F.md5(F.encode("name", "utf-8")).alias("md5"), F.lit("POLYGON").alias("footprint"), "nodata", calm.alias("info"), "bands",
+        (F.pmod("l_suppkey", F.lit(3)) == 0).alias("has_mask"), dtype.alias("dtype"), *raster_columns(),
     )
+
+
+def _meta(files):
     none = F.lit("")
-    meta = files.select("delivery").distinct().select(
+    return files.select("delivery").distinct().select(
         "delivery", F.lit("kry").alias("order_type"), F.lit(rules.ADS100).alias("camera"), F.concat(F.lit("L"), F.col("delivery")).alias("line_ids"),
         none.alias("acquisition_times"), none.alias("first_acquisition"), none.alias("stac_time"), none.alias("band_id"), none.alias("year"),
     )
-    out = pipelines.raster_delivery(files, meta, rules.kept_extensions(spark))
-    docs = out["documents"].groupBy("delivery").agg(F.count("*").alias("documents"), F.max(F.md5(F.encode("xml", "utf-8"))).alias("max_xml"))
+
+
+def _report(out):
+    docs = out["documents"].groupBy("delivery").agg(F.count("*").alias("documents"))
     rows = out["rows"].groupBy(F.substring_index("ord", "|", 1).alias("delivery")).agg(F.count("*").alias("rows"), F.min("line").alias("first_row"))
     return out["gates"].join(docs, "delivery", "left").join(rows, "delivery", "left").select("delivery", "retag", "error", "stop", "documents", "rows", "first_row")
 
 
+def _raster(spark, sf_dir):
+    files = _raster_files(v_file(spark, sf_dir).filter("gds <> 'SB_DSM_PUNKTWOLKE'"))
+    return pipelines.raster_delivery(files, _meta(files), rules.kept_extensions(spark), rules.products(spark))
+
+
+def pipeline_raster(spark, sf_dir):
+    """Documents and manifest rows of raster deliveries (one per supplier) that pass the gate."""
+    return _report(_raster(spark, sf_dir))
+
+
+def pipeline_documents(spark, sf_dir):
+    """What the documents of raster deliveries say, beside the files' tags."""
+    out = _raster(spark, sf_dir)
+    said = lambda tag, name: F.regexp_extract("xml", f"<{tag}>(.*)</{tag}>", 1).alias(name)
+    docs = out["documents"].select(
+        "delivery", "ord", "name", said("CellSize", "cell_size"), said("BlockSize", "block"), said("Width", "width"), said("Height", "height"), said("Commentary", "commentary")
+    )
+    return docs.join(out["tags"], ["delivery", "ord"])
+
+
+def pipeline_surface(spark, sf_dir):
+    """Surface models: every third supplier has rasters of a wrong data type."""
+    files = _raster_files(v_file(spark, sf_dir))
+    return _report(pipelines.surface_delivery(files, _meta(files), rules.kept_extensions(spark), rules.products(spark)))
+
+
+def pipeline_line(spark, sf_dir):
+    """Single lines, every third one chosen; some files lie in their folders already."""
+    f = v_file(spark, sf_dir).filter("gds = 'SB_DOP'").withColumns(
+        {"gds": F.lit("SB_DOP_16"), "name": F.expr("replace(name, '1005', lpad(CAST(l_partkey % 2400 AS STRING), 4, '0'))")}
+    )
+    files = _raster_files(f)
+    line = N.line_token(F.col("name")).alias("line")
+    chosen = files.select("delivery", line).filter(F.pmod(F.col("line").cast("int"), F.lit(3)) == 0)
+    there = f.filter(F.pmod("l_partkey", F.lit(4)) == 0).select(line, "name").filter("line IS NOT NULL")
+    return _report(pipelines.line_delivery(files, _meta(files), rules.products(spark), chosen, there))
+
+
 def pipeline_nodata(spark, sf_dir):
     """Correction of a tile set: per tile the pixels of false groups and the lifted ones."""
     s = v_scan(spark, sf_dir)
@@ -173,7 +226,8 @@ def pipeline_points(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        crs_decision, crs_summary, point_crs_gate, stac_conflict, package_items, queue_conflict, preflight_gate, status_summary, pipeline_raster,
+        crs_decision, crs_summary, point_crs_gate, stac_conflict, package_items, queue_conflict, preflight_gate, status_summary, failed_files, pipeline_raster, pipeline_documents,
+        pipeline_surface, pipeline_line,
         pipeline_nodata, pipeline_points,
     )
 }
@@ -220,7 +274,8 @@ ORACLE = {
         CASE WHEN dl.c % 9 = 0 THEN 'blocked' WHEN status IN ('exists', 'failed') OR qu.conflict THEN 'warn' ELSE 'ok' END AS gate FROM dl JOIN st ON st.k = dl.k JOIN qu ON qu.k = dl.k""",
     "status_summary": f"""WITH {V_FILE}, s AS (SELECT gds, name, CASE WHEN l_partkey % 100 < 1 THEN 'failed' WHEN l_partkey % 100 < 10 THEN 'warning' WHEN l_partkey % 100 < 20 THEN 'skipped' ELSE 'ok' END AS status FROM v_file)
       SELECT gds, count(*) AS total, count(*) FILTER (WHERE status = 'ok') AS ok, count(*) FILTER (WHERE status = 'warning') AS warning, count(*) FILTER (WHERE status = 'skipped') AS skipped,
-        count(*) FILTER (WHERE status = 'failed') AS failed, coalesce(string_agg(name, ',' ORDER BY name) FILTER (WHERE status = 'failed'), '') AS failed_files FROM s GROUP BY gds""",
+        count(*) FILTER (WHERE status = 'failed') AS failed FROM s GROUP BY gds""",
+    "failed_files": f"WITH {V_FILE} SELECT gds, name FROM v_file WHERE l_partkey % 100 < 1",
     "pipeline_raster": f"""WITH {_CSV},
       k AS (SELECT *, split_part(ord, '-', 4) AS delivery, CAST(split_part(ord, '-', 4) AS BIGINT) % 4 = 0 AS odd FROM c
         WHERE gds <> 'SB_DSM_PUNKTWOLKE' AND ext IN ('.tif', '.tiff', '.tfw')),
@@ -229,6 +284,34 @@ ORACLE = {
       r AS (SELECT delivery, count(*) AS rows, min(line) AS first_row FROM k JOIN csv ON csv.ord = k.ord AND csv.part = 0 GROUP BY delivery)
       SELECT g.delivery, retag, error, stop, CASE WHEN NOT stop THEN documents END AS documents, CASE WHEN NOT stop THEN rows END AS rows,
         CASE WHEN NOT stop THEN first_row END AS first_row FROM g LEFT JOIN r ON r.delivery = g.delivery""",
+    "pipeline_documents": f"""WITH {_RASTERS},
+      k AS (SELECT * REPLACE (CAST(delivery AS VARCHAR) AS delivery, concat_ws('-', l_orderkey, l_linenumber, l_partkey) AS ord), printf('%.10g', (abs(px) + abs(py)) / 2) AS size,
+          list_filter(string_split(nodata, ' '), lambda x: x <> '') AS vs
+        FROM ra WHERE gds <> 'SB_DSM_PUNKTWOLKE' AND regexp_matches(lower(name), '\\.tiff?$') AND l_suppkey % 4 <> 0),
+      h AS (SELECT *, {", ".join(f"first_value({x}) OVER w AS f_{x}" for x in ("size", "block", "width", "height"))},
+          CASE WHEN len(vs) = 1 THEN list_transform(range(0, bands), lambda i: vs[1]) WHEN len(vs) = bands THEN vs END AS fit
+        FROM k WINDOW w AS (PARTITION BY delivery, gds ORDER BY ord))
+      SELECT delivery, ord, name, CASE gds {" ".join(f"WHEN '{g}' THEN '{t}'" for g, t in rules.CUSTOM_ATTRIBUTE.items())} END AS commentary, array_to_string(fit, ' ') AS nodata_tag,
+        CASE WHEN gds <> 'SB_DSM' AND fit IS NOT NULL AND l_suppkey % 3 <> 0 THEN 'make' ELSE 'none' END AS mask_action,
+        {", ".join(f"CAST(CASE WHEN gds = 'SB_DSM' THEN {x} ELSE f_{x} END AS VARCHAR) AS {y}" for x, y in (("size", "cell_size"), ("block", "block"), ("width", "width"), ("height", "height")))} FROM h""",
+    "pipeline_surface": f"""WITH {_CSV},
+      k AS (SELECT *, split_part(ord, '-', 4) AS delivery, CAST(split_part(ord, '-', 4) AS BIGINT) % 4 = 0 AS odd,
+          CAST(split_part(ord, '-', 4) AS BIGINT) % 3 = 0 AND CAST(split_part(ord, '-', 3) AS BIGINT) % 4 = 1 AND ext <> '.tfw' AND NOT shade AS wrong
+        FROM c WHERE gds = 'SB_DSM' AND ext IN ('.tif', '.tiff', '.tfw')),
+      p AS (SELECT * FROM k WHERE delivery NOT IN (SELECT delivery FROM k WHERE wrong)),
+      g AS (SELECT delivery, 0 AS retag, count(*) FILTER (WHERE odd) AS error, count(*) FILTER (WHERE odd) > 0 AS stop, count(*) AS documents FROM p WHERE ext <> '.tfw' GROUP BY delivery),
+      r AS (SELECT delivery, count(*) AS rows, min(line) AS first_row FROM p JOIN csv ON csv.ord = p.ord AND csv.part = 0 GROUP BY delivery)
+      SELECT g.delivery, retag, error, stop, CASE WHEN NOT stop THEN documents END AS documents, CASE WHEN NOT stop THEN rows END AS rows,
+        CASE WHEN NOT stop THEN first_row END AS first_row FROM g LEFT JOIN r ON r.delivery = g.delivery""",
+    "pipeline_line": f"""WITH {V_FILE},
+      n AS (SELECT CAST(l_suppkey AS VARCHAR) AS delivery, l_suppkey % 4 = 0 AS odd, replace(name, '1005', lpad(CAST(l_partkey % 2400 AS VARCHAR), 4, '0')) AS name
+        FROM v_file WHERE gds = 'SB_DOP' AND l_partkey % 3 = 0),
+      k AS (SELECT *, {_EXT} AS ext, 'NV\\' || name || ';' || md5(name) || ';' || {_KEY} || ';add;' AS line FROM n)
+      SELECT delivery, count(*) FILTER (WHERE odd AND ext IN ('.tif', '.tiff')) AS retag, 0 AS error, bool_or(odd) AS stop,
+        CASE WHEN NOT bool_or(odd) THEN count(*) FILTER (WHERE ext IN ('.tif', '.tiff', '.laz')) END AS documents,
+        CASE WHEN NOT bool_or(odd) THEN nullif(count(*) FILTER (WHERE ext = '.tif'), 0) END AS rows,
+        CASE WHEN NOT bool_or(odd) THEN min(line) FILTER (WHERE ext = '.tif') END AS first_row
+      FROM k GROUP BY delivery HAVING count(*) FILTER (WHERE ext IN ('.tif', '.tiff')) > 0""",
     "pipeline_nodata": f"SELECT tile, sum(false_px) AS false_px, sum(shadow_px) AS shadow_px FROM ({RASTER['false_nodata_fix']}) GROUP BY tile",
     "pipeline_points": f"""WITH {_COARSE} SELECT name, count(*) AS points, CAST(sum(round_even(z / 10.0::DOUBLE, 0) * 10) AS BIGINT) AS sum_zq,
       min(x) AS minx, max(y) AS maxy FROM tiled WHERE name IS NOT NULL GROUP BY name""",

@@ -123,7 +123,7 @@ V_POINT = """
 def v_tile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct tiles: tile, e, n (km), minx, miny, maxx, maxy (m). Some are a little too wide."""
     li = table(spark, sf_dir, "lineitem")
-    e, n = F.pmod("l_suppkey", F.lit(40)).cast("int"), F.pmod("l_partkey", F.lit(40)).cast("int")
+    e, n = F.col("l_suppkey").cast("int"), F.expr("CAST(l_partkey div 40 AS INT)")
     t = li.select(e.alias("i"), n.alias("j")).distinct().filter(F.pmod(F.col("i") * 7 + F.col("j") * 3, F.lit(5)) != 0)
     x, y = (2600 + F.col("i")) * 1000.0, (1100 + F.col("j")) * 1000.0
     wide = F.when(F.pmod(F.col("i") * F.col("j"), F.lit(11)) == 3, 150.0).otherwise(0.0)
@@ -138,7 +138,7 @@ V_TILE = """
     SELECT (2600 + i) || '_' || (1100 + j) AS tile, 2600 + i AS e, 1100 + j AS n, (2600 + i) * 1000.0::DOUBLE AS minx,
       (1100 + j) * 1000.0::DOUBLE AS miny, (2600 + i) * 1000.0::DOUBLE + 1000 + w AS maxx, (1100 + j) * 1000.0::DOUBLE + 1000 + w AS maxy
     FROM (SELECT i, j, CASE WHEN i * j % 11 = 3 THEN 150.0::DOUBLE ELSE 0.0::DOUBLE END AS w FROM
-      (SELECT DISTINCT CAST(l_suppkey % 40 AS INTEGER) AS i, CAST(l_partkey % 40 AS INTEGER) AS j FROM lineitem)
+      (SELECT DISTINCT CAST(l_suppkey AS INTEGER) AS i, CAST(l_partkey // 40 AS INTEGER) AS j FROM lineitem)
       WHERE (i * 7 + j * 3) % 5 <> 0))"""
 
 

@@ -9,12 +9,17 @@ from surveyspark.operators import headers as H
 from .derive import V_FILE, V_LINE, table, v_file, v_line
 
 
-def _rasters(spark, sf_dir):
+def raster_columns():
     size = (F.pmod("l_partkey", F.lit(50)) + 1) / 30.0
-    return v_file(spark, sf_dir).select(
-        F.col("l_suppkey").alias("delivery"), "gds", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("ord"), "name", size.alias("px"),
-        (-size * (1000 + F.pmod("l_orderkey", F.lit(3))) / 1000.0).alias("py"), (256 * (1 + F.pmod("l_partkey", F.lit(2)))).cast("int").alias("block"),
+    return [
+        size.alias("px"), (-size * (1000 + F.pmod("l_orderkey", F.lit(3))) / 1000.0).alias("py"), (256 * (1 + F.pmod("l_partkey", F.lit(2)))).cast("int").alias("block"),
         (1000 + F.pmod("l_orderkey", F.lit(9000))).cast("int").alias("width"), (1000 + F.pmod("l_partkey", F.lit(9000))).cast("int").alias("height"),
+    ]
+
+
+def _rasters(spark, sf_dir):
+    return v_file(spark, sf_dir).select(
+        F.col("l_suppkey").alias("delivery"), "gds", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("ord"), "name", *raster_columns(),
         F.element_at(F.array(F.lit("Float32"), F.lit("Float64"), F.lit(None), F.lit("Byte")), (F.pmod("l_partkey", F.lit(4)) + 1).cast("int")).alias("dtype"),
     )
 
@@ -54,7 +59,7 @@ _RASTERS = f"""{V_FILE}, ra AS (
     SELECT l_suppkey AS delivery, gds, l_orderkey * 8 + l_linenumber AS ord, name, (l_partkey % 50 + 1) / 30.0::DOUBLE AS px,
       -(l_partkey % 50 + 1) / 30.0::DOUBLE * (1000 + l_orderkey % 3) / 1000.0::DOUBLE AS py, CAST(256 * (1 + l_partkey % 2) AS INTEGER) AS block,
       CAST(1000 + l_orderkey % 9000 AS INTEGER) AS width, CAST(1000 + l_partkey % 9000 AS INTEGER) AS height,
-      ['Float32', 'Float64', NULL, 'Byte'][l_partkey % 4 + 1] AS dtype, string_split(regexp_replace(lower(name), '\\.[^.]*$', ''), '_') AS parts
+      ['Float32', 'Float64', NULL, 'Byte'][l_partkey % 4 + 1] AS dtype, nodata, bands, l_orderkey, l_linenumber, l_partkey, l_suppkey, string_split(regexp_replace(lower(name), '\\.[^.]*$', ''), '_') AS parts
     FROM v_file)"""
 
 ORACLE = {

@@ -8,39 +8,63 @@ from pyspark.sql import functions as F
 from surveyspark import rules
 from surveyspark.functions import geo, xmlout
 from surveyspark.functions import names as N
-from surveyspark.operators import catalog, components, manifest, points, raster
+from surveyspark.operators import catalog, components, headers, manifest, points, raster
 from surveyspark.operators import deliveries as D
 
 
-def raster_delivery(files: DataFrame, meta: DataFrame, kept: DataFrame) -> dict[str, DataFrame]:
-    """SB_DOP, SB_DOP_16 and SB_DSM: files (ord, gds, name, md5, footprint, nodata, info) of one delivery each ``delivery``,
-    meta (delivery, camera, line_ids, times, first, stac, band_id, year, order_type).
+def raster_delivery(files: DataFrame, meta: DataFrame, kept: DataFrame, products: DataFrame, corrected: bool = False, rewrite: bool = False) -> dict[str, DataFrame]:
+    """SB_DOP, SB_DOP_16 and SB_DSM together: clean-up -> coordinate-system gate -> documents, tags -> manifest.
 
-    clean-up -> coordinate-system gate -> documents -> manifest. Files of a stopped delivery get no document or row.
+    files (delivery, ord, gds, name, md5, footprint, nodata, info, px, py, block, width, height, bands, has_mask), ord once in a
+    delivery; meta (delivery, camera, line_ids, times, first, stac, band_id, year, order_type). Files of a stopped delivery get no
+    document or row.
     """
-    clean = manifest.cleanup(files, kept).filter("keep").drop("keep")
-    actions = catalog.crs_actions(clean.select("gds", F.concat_ws("|", "delivery", "name").alias("name"), "info"))
+    return _gated(manifest.cleanup(files, kept).filter("keep").drop("keep"), meta, products, corrected, rewrite)
+
+
+def line_delivery(files: DataFrame, meta: DataFrame, products: DataFrame, lines: DataFrame, existing: DataFrame) -> dict[str, DataFrame]:
+    """SB_DOP_16, one flight line: sort files into line folders, take those of the chosen lines (delivery, line), all their
+    extensions, then gate, documents, tags and manifest. moved: each file with its line and what became of it."""
+    moved = manifest.reorganise(files, existing)
+    chosen = moved.join(lines.select("delivery", "line").distinct(), ["delivery", "line"], "left_semi").drop("line", "status")
+    return _gated(chosen, meta, products) | {"moved": moved}
+
+
+def surface_delivery(files: DataFrame, meta: DataFrame, kept: DataFrame, products: DataFrame) -> dict[str, DataFrame]:
+    """SB_DSM: a raster (hillshades aside) that isn't Float32 blocks its delivery; then as ``raster_delivery``. files: with dtype."""
+    surface = files.filter("gds = 'SB_DSM'")
+    deviations = headers.dtype_deviations(surface)
+    passed = surface.join(deviations.select("delivery").distinct(), "delivery", "left_anti")
+    return raster_delivery(passed, meta, kept, products) | {"deviations": deviations}
+
+
+def _gated(files: DataFrame, meta: DataFrame, products: DataFrame, corrected: bool = False, rewrite: bool = False) -> dict[str, DataFrame]:
+    actions = catalog.crs_actions(files.select("gds", F.concat_ws("|", "delivery", "name").alias("name"), "info"))
     by = actions.withColumn("delivery", F.substring_index("name", "|", 1))
     gates = catalog.crs_summary(by, "delivery")
-    going = clean.join(gates.filter("stop").select("delivery"), "delivery", "left_anti")
-    docs = with_documents(going, meta)
+    going = files.join(gates.filter("stop").select("delivery"), "delivery", "left_anti")
     rows = manifest.csv_rows(going.select(F.concat_ws("|", "delivery", "ord").alias("ord"), "gds", "name", "md5", "footprint"))
-    return {"gates": gates, "documents": docs, "rows": rows}
+    rasters = going.filter(N.extension(F.col("name")).isin(".tif", ".tiff"))
+    tags = headers.tags(F.col("gds"), F.col("nodata"), F.col("bands"), F.col("has_mask"), F.lit(corrected), F.lit(rewrite))
+    return {"gates": gates, "documents": with_documents(going, meta, products), "tags": rasters.select("delivery", "ord", *tags), "rows": rows}
 
 
-def with_documents(files: DataFrame, meta: DataFrame) -> DataFrame:
-    """delivery, name, xml of main files (rasters and LAZ)."""
+def with_documents(files: DataFrame, meta: DataFrame, products: DataFrame) -> DataFrame:
+    """delivery, ord, name, xml of main files (rasters and LAZ), with the rasters' headers and the product's text."""
     main = files.filter(N.extension(F.col("name")).isin(".tif", ".tiff", ".laz"))
-    j = main.join(meta, "delivery")
+    heads = headers.document_headers(main.filter(N.extension(F.col("name")) != ".laz")).drop("name")
+    j = main.drop("block", "width", "height").join(meta, "delivery").join(heads, ["delivery", "gds", "ord"], "left")
+    j = D.with_product_texts(j, products)
     col, none = F.col, F.lit(None).cast("string")
     values = {
         "order_type": col("order_type"), "area": N.area(col("name"), col("gds")), "terrain_model": F.lit(rules.TERRAIN_MODEL), "camera": col("camera"),
-        "crs": none, "source_crs": F.lit(rules.SOURCE_REF_SYS), "commentary": none, "custom_attribute": col("gds"),
+        "crs": none, "source_crs": F.lit(rules.SOURCE_REF_SYS), "commentary": none, "custom_attribute": col("custom_attribute"),
         "nodata": N.nodata_output(col("gds"), N.nodata_source(col("name"), col("gds"), col("nodata"))), "line_ids": col("line_ids"),
         "times": col("acquisition_times"), "first": col("first_acquisition"), "stac": col("stac_time"), "band_id": col("band_id"),
-        "cell_size": F.lit("0.1"), "block_size": F.lit("512"), "width": F.lit("10000"), "height": F.lit("10000"), "year": col("year"),
+        "cell_size": col("cell_size"), "block_size": col("block").cast("string"), "width": col("width").cast("string"),
+        "height": col("height").cast("string"), "year": col("year"),
     }
-    return j.select("delivery", "name", xmlout.tile_document(col("gds"), col("name"), values).alias("xml"))
+    return j.select("delivery", "ord", "name", xmlout.tile_document(col("gds"), col("name"), values).alias("xml"))
 
 
 def nodata_delivery(scan: DataFrame, tiles: DataFrame, nodata: int, min_size: int, min_contact: int) -> dict[str, DataFrame]:
@@ -54,7 +78,7 @@ def nodata_delivery(scan: DataFrame, tiles: DataFrame, nodata: int, min_size: in
     hit = F.zip_with(F.zip_with(blank("r"), blank("g"), lambda a, b: a & b), blank("b"), lambda a, b: a & b)
     empty = raster.empty_tiles(scan, hit)
     full = empty.filter("NOT empty").select("tile")
-    kept, grid = scan.join(F.broadcast(full), "tile", "left_semi"), tiles.join(full, "tile", "left_semi")
+    kept, grid = scan.join(full, "tile", "left_semi"), tiles.join(full, "tile", "left_semi")
     grid = grid.join(missing_neighbours(grid.select("tile", "e", "n")), "tile")
     labelled = raster.labelled_nodata(kept, hit)
     groups = components.classify(labelled, grid, min_size, min_contact)

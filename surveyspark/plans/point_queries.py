@@ -119,10 +119,10 @@ def frame_gaps(spark, sf_dir):
 
 
 def requantise(spark, sf_dir):
-    """Heights in metres put onto a scale of 0.05; the shift is bounded by half of it."""
-    v = F.col("l_extendedprice") / 7
-    q = geo.requantised(v, F.lit(0.0), 0.05)
-    return table(spark, sf_dir, "lineitem").agg(F.count("*").alias("n"), (F.max(F.abs(q - v)) <= 0.025 + 1e-9).alias("within"))
+    """Heights put onto a scale of 0.25, every second one a tie; shifted: the height was off the scale."""
+    v = F.round(F.col("l_extendedprice") * 100).cast("long") / 8.0
+    z = geo.requantised(v, F.lit(0.0), 0.25)
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", z.alias("z"), (z != v).alias("shifted"))
 
 
 def _text(spark, sf_dir):
@@ -141,7 +141,7 @@ def ascii_sniff(spark, sf_dir):
     """Kind, separator and columns of each text, below a header line."""
     t = _text(spark, sf_dir)
     heads = t.select("file").distinct().select("file", F.lit(-1).cast("long").alias("line_no"), F.lit("x y h").alias("value"))
-    return P.sniff(t.unionByName(heads))
+    return P.sniff(t.unionByName(heads)).drop("first_line")
 
 
 def xyz_text(spark, sf_dir):
@@ -279,7 +279,8 @@ ORACLE = {
       s AS (SELECT name, minx < x - 0.02 OR maxx > x + 1000.01 OR miny < y - 0.02 OR maxy > y + 1000.01 AS violation,
           [x FOR x IN [('west', round(minx - x, 2)), ('south', round(miny - y, 2)), ('east', round(x + 999.99 - maxx, 2)), ('north', round(y + 999.99 - maxy, 2))] IF x[2] > 1] AS gaps FROM g)
       SELECT name, violation, len(gaps) AS n_gaps, array_to_string([x[1] || ':' || printf('%.2f', x[2]) FOR x IN gaps], ',') AS gaps FROM s""",
-    "requantise": "SELECT count(*) AS n, true AS within FROM lineitem",
+    "requantise": """WITH v AS (SELECT l_orderkey, l_linenumber, CAST(round(l_extendedprice * 100) AS BIGINT) AS c FROM lineitem)
+      SELECT l_orderkey, l_linenumber, round_even(c / 2.0::DOUBLE, 0) * 0.25::DOUBLE AS z, c % 2 <> 0 AS shifted FROM v""",
     "xyz_text": f"""WITH {_SNIFF} SELECT s.file, count(*) FILTER (WHERE kind NOT IN (9, 11)) AS points, count(*) FILTER (WHERE kind IN (9, 11)) AS ignored,
         sum(z) FILTER (WHERE kind NOT IN (9, 11)) AS sum_z FROM s JOIN f ON f.file = s.file AND columns = 3 AND rn >= first GROUP BY s.file""",
     "esri_grid_points": """WITH v AS (SELECT vec_id // 50 AS file, (vec_id % 50) * 64 + generate_subscripts(embedding, 1) - 1 AS n, unnest(embedding) AS e FROM embeddings),
