@@ -252,10 +252,14 @@ def _windows(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 
 
 def _induced(length: int, last: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Tuples sorted by (f, e) to covered and open runs. last: tuples are windows; a proof counts as an occurrence."""
+    """Tuples sorted by (f, e) to covered and open runs. last: tuples are windows; a proof counts as an occurrence.
+
+    From batch to batch only the first tuple of the run in progress is carried, with whether the run repeats and whether its
+    core has other runs, so a core of any size is read in the memory of one batch.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held, mixed = None, False
         for batch in batches:
             if batch.num_rows:
                 cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in TUPLES.names]
@@ -263,35 +267,39 @@ def _induced(length: int, last: bool) -> Callable[[Iterator[pa.RecordBatch]], It
                 if passed.any():
                     yield spans_batch(COVER, cols[3][passed], cols[4][passed], cols[4][passed] + cols[5][passed])
                 cols = [c[~passed] for c in cols]
+                if not len(cols[0]):
+                    continue
                 if held is not None:
                     cols = [np.concatenate(x) for x in zip(held, cols, strict=True)]
-                f = cols[1]
-                if len(f):
-                    cut = np.searchsorted(f, f[-1], "left")  # the last core may go on
-                    yield from decide([c[:cut] for c in cols])
-                    held = [c[cut:] for c in cols]
+                out, held, mixed = decide(cols, mixed, False)
+                yield from out
         if held is not None:
-            yield from decide(held)
+            yield from decide(held, mixed, True)[0]
+
+    def decide(cols: list[np.ndarray], mixed: bool, end: bool) -> tuple[list[pa.RecordBatch], list[np.ndarray], bool]:
+        """What is settled, the first tuple of the last run (sure: it repeats), and whether that run's core has other runs.
 
-    def decide(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        mixed: the core of the first tuple has had other runs; end: the last run is whole."""
         _, f, e, sig, lo, more, sure = cols
-        if not len(f):
-            return
         hi = lo + more
         new_f = np.concatenate([[True], f[1:] != f[:-1]])
         new_e = new_f | np.concatenate([[True], e[1:] != e[:-1]])
         of = np.cumsum(new_e) - 1
         core = (np.cumsum(new_f) - 1)[new_e]
         repeats = (np.bincount(of) > 1) | (np.bincount(of, sure) > 0)
+        several = np.bincount(core) > 1
+        several[0] |= mixed
+        first, out = np.nonzero(new_e)[0], []
         cover = repeats[of] & ~sure
         if cover.any():
-            yield spans_batch(COVER, *merged(sig[cover], lo[cover], hi[cover], length))
+            out.append(spans_batch(COVER, *merged(sig[cover], lo[cover], hi[cover], length)))
         if not last:
-            first = np.nonzero(new_e)[0]
-            mixed = (np.bincount(core) > 1)[core]
-            for kind, some in ((OPEN, first[mixed & ~repeats]), (PROOF, first[mixed & repeats])):
+            settled = several[core]
+            settled[-1] &= end
+            for kind, some in ((OPEN, first[settled & ~repeats]), (PROOF, first[settled & repeats])):
                 if len(some):
-                    yield spans_batch(kind, sig[some], lo[some], hi[some])
+                    out.append(spans_batch(kind, sig[some], lo[some], hi[some]))
+        return out, [*(c[first[-1:]] for c in cols[:-1]), repeats[-1:]], bool(several[-1])
 
     return run
 

@@ -149,6 +149,33 @@ def test_empty_tables(spark):
     assert [r.n_hit for r in decontaminate.contamination(some, bench).collect()] == [0, 0]
 
 
+@pytest.mark.parametrize("last", [False, True])
+def test_induction_by_batches(last):
+    """Batches of any size decide as a single one does, and runs are covered as a plain reading of the sorted tuples says."""
+    rng = np.random.default_rng(7)
+    for n in (1, 2, 40, 300):
+        f = np.sort(rng.integers(0, 6, n))
+        e = f * 100 + rng.integers(0, 8, n)
+        o = np.lexsort((e, f))
+        f, e = f[o], e[o]
+        sig, lo, sure = rng.permutation(n), np.zeros(n, np.int64), rng.random(n) < 0.1
+        whole = substrings.tuples_batch(0, f, e, sig, lo, np.zeros(n), sure)
+        read = lambda step: sorted(
+            (r["kind"], r["sig"]) for b in substrings._induced(200, last)(iter([whole.slice(i, step) for i in range(0, n, step)])) for r in b.to_pylist()
+        )
+        runs = defaultdict(list)
+        for row in zip(f.tolist(), e.tolist(), sig.tolist(), sure.tolist(), strict=True):
+            runs[row[:2]].append(row[2:])
+        cores = Counter(k[0] for k in runs)
+        want = []
+        for (core, _), members in runs.items():
+            again = len(members) > 1 or members[0][1]
+            want += [(substrings.COVER, s) for s, known in members if again and not known]
+            if not last and cores[core] > 1:
+                want.append((substrings.PROOF if again else substrings.OPEN, members[0][0]))
+        assert read(n) == read(1) == read(3) == sorted(want)
+
+
 @pytest.mark.parametrize(("length", "one_in"), [(40, 8), (64, 32)])
 def test_repeated_strings(spark, length, one_in):
     rng = random.Random(length)
