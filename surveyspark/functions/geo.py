@@ -31,6 +31,20 @@ def footprint(gt: Column, cols: Column, rows: Column) -> Column:
     return F.concat(F.lit("POLYGON (("), F.concat_ws(", ", *points), F.lit("))"))
 
 
+def full_float(value: Column) -> Column:
+    """Shortest decimal text that gives the number back, with at least one decimal and no exponent (below 10^16)."""
+    text = value.cast("decimal(38,21)").cast("string")
+    return F.when(value == 0, "0.0").otherwise(F.regexp_replace(text, r"(\.\d+?)0+$", "$1"))
+
+
+def full_footprint(gt: Column, cols: Column, rows: Column, name: Column) -> Column:
+    """WKT polygon LL, LR, UR, UL, LL with all digits; empty for files that are no TIFF."""
+    ring = _corners(gt, cols, rows)
+    points = [F.concat_ws(" ", full_float(x), full_float(y)) for x, y in [*ring, ring[0]]]
+    wkt = F.concat(F.lit("POLYGON (("), F.concat_ws(", ", *points), F.lit("))"))
+    return F.when(F.lower(name).rlike(r"\.tiff?$"), wkt).otherwise("")
+
+
 def in_lv95(gt: Column, cols: Column, rows: Column) -> Column:
     ring = _corners(gt, cols, rows)
     xs, ys = [p[0] for p in ring], [p[1] for p in ring]
@@ -114,6 +128,24 @@ def epsg_of(components: Column, kind: str) -> Column:
     return F.try_element_at(F.filter(components, lambda c: c["type"] == kind), F.lit(-1))["code"]
 
 
+# The component types that give a horizontal code.
+HORIZONTAL = ("ProjectedCRS", "GeographicCRS", "GeodeticCRS")
+
+
+def resolved_epsg(srs: Column) -> Column:
+    """Struct of horizontal and vertical codes of a system as JSON: the last component of each kind, and without components the
+    system's own code. Only codes of the EPSG authority count."""
+    ident = "id struct<authority:string,code:int>"
+    j = F.from_json(srs, f"type string, {ident}, components array<struct<type:string,{ident.replace(' ', ':', 1)}>>")
+    code = lambda c: F.when(c["id"]["authority"] == "EPSG", c["id"]["code"])
+    last = lambda test: code(F.try_element_at(F.filter(j["components"], test), F.lit(-1)))
+    alone = F.coalesce(F.size(j["components"]) <= 0, F.lit(True))
+    return F.struct(
+        F.when(alone, code(j)).otherwise(last(lambda c: c["type"].isin(*HORIZONTAL))).alias("horizontal"),
+        F.when(~alone, last(lambda c: c["type"] == "VerticalCRS")).alias("vertical"),
+    )
+
+
 def frame_violation(minx: Column, maxx: Column, miny: Column, maxy: Column, e_km: Column, n_km: Column) -> Column:
     x, y = e_km * 1000, n_km * 1000
     return (minx < x - EPS) | (maxx > x + FRAME + EPS) | (miny < y - EPS) | (maxy > y + FRAME + EPS)
@@ -137,6 +169,11 @@ def point_format(rgb: Column, keep_rgb: Column) -> Column:
     return F.when(rgb & keep_rgb, 7).when(~rgb & ~keep_rgb, 6)
 
 
+def point_format_problem(rgb: Column, keep_rgb: Column) -> Column:
+    """Why ``point_format`` is null."""
+    return F.when(keep_rgb & ~rgb, "no colour, but a colour camera").when(~keep_rgb & rgb, "colour, but a camera without")
+
+
 def already_migrated(minor: Column, fmt: Column, encoding: Column, horizontal: Column, vertical: Column, target: Column) -> Column:
     return (minor == 4) & (fmt == target) & (encoding == 17) & (horizontal == "2056") & (vertical == "5728")
 

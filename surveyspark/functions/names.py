@@ -125,3 +125,31 @@ def dsm_folder(name: Column) -> Column:
 
 def precalc_laz(key: Column) -> Column:
     return F.concat(F.lit("SB_DSM_PUNKTWOLKE_LAZ_CHLV95_LN02_"), key, F.lit(".laz"))
+
+
+def year_of_path(path: Column) -> Column:
+    """The right-most folder that is a year from 2000 on; null without one."""
+    years = F.filter(F.split(path, r"[/\\]"), lambda x: x.rlike("^20[0-9]{2}$"))
+    return F.try_element_at(years, F.lit(-1)).cast("int")
+
+
+def area_of_target(path: Column) -> Column:
+    """Between year and product token of a target folder's name; else what follows the year, else the name."""
+    base = F.regexp_extract(F.regexp_replace(path, r"[/\\]+$", ""), r"([^/\\]*)$", 1)
+    rest = lambda pattern: F.nullif(F.regexp_extract(base, pattern, 1), F.lit(""))
+    return F.coalesce(rest(r"(?i)20\d{2}_(.+?)_(?:DOP|DSM|TIN|hillshade)"), rest(r"^20\d{2}_(.+)"), F.nullif(base, F.lit("")), F.lit(UNKNOWN))
+
+
+def point_tile_name(year: Column, area_name: Column, key: Column) -> Column:
+    return F.concat(F.concat_ws("_", year.cast("string"), area_name, F.lit("TIN"), key), F.lit("_LV95_LN02.laz"))
+
+
+def raster_tile_name(prefix: Column, key: Column) -> Column:
+    return F.concat(prefix, F.lit("_"), key, F.lit("_LV95.tif"))
+
+
+def catalog_link(catalog: Column, path: Column, host: str, host_int: str) -> Column:
+    """Where a package is imported; empty for products without a catalog. host_int: for paths of the integration bucket."""
+    known = catalog.isin("SB_DOP", "SB_DOP_16", "SB_DSM", "SB_DSM_PUNKTWOLKE", "SB_DOP_DMC")
+    link = F.concat(F.lit("https://"), F.when(is_int_path(path), host_int).otherwise(host), F.lit("/catalog-ng/catalog/"), catalog, F.lit("/import"))
+    return F.when(known, link).otherwise("")

@@ -39,6 +39,14 @@ def queue_conflicts(deliveries: DataFrame, packages: DataFrame) -> DataFrame:
     return out.select("delivery", F.when(F.col("conflict"), "conflict").otherwise("ok").alias("status"), "hits", "areas")
 
 
+def queue_status(deliveries: DataFrame, packages: DataFrame, folders: DataFrame) -> DataFrame:
+    """``queue_conflicts`` where some catalog folder exists in the delivery's bucket; failed elsewhere. deliveries: with bucket;
+    folders (bucket, catalog)."""
+    there = folders.select("bucket").distinct().withColumn("there", F.lit(True))
+    j = queue_conflicts(deliveries, packages).join(deliveries.select("delivery", "bucket"), "delivery").join(there, "bucket", "left")
+    return j.select("delivery", F.when(F.col("there"), F.col("status")).otherwise("failed").alias("status"), F.when(F.col("there"), F.col("hits")).otherwise(0).alias("hits"))
+
+
 def crs_actions(files: DataFrame) -> DataFrame:
     """files (gds, name, info struct) of rasters -> gds, name, target, action, note; files without a target are left out."""
     target = geo.crs_target(F.col("gds"), F.col("name"))
@@ -55,9 +63,11 @@ def crs_summary(actions: DataFrame, by: str, force_lv95: bool = False) -> DataFr
 
 
 def status_summary(results: DataFrame, *by: str) -> DataFrame:
-    """results (name, status) -> total, ok, warning, skipped, failed. ``failures`` lists the failed files."""
+    """results (name, status) -> total, ok, warning, skipped, failed, and pf7 (with colour) where results have a ``format``.
+    ``failures`` lists the failed files."""
+    colour = [F.count_if((F.col("format") == 7) & (F.col("status") != "failed")).alias("pf7")] if "format" in results.columns else []
     one = lambda s: F.count_if(F.col("status") == s).alias(s)
-    return results.groupBy(*by).agg(F.count("*").alias("total"), one("ok"), one("warning"), one("skipped"), one("failed"))
+    return results.groupBy(*by).agg(F.count("*").alias("total"), one("ok"), one("warning"), one("skipped"), one("failed"), *colour)
 
 
 def failures(results: DataFrame, *by: str) -> DataFrame:

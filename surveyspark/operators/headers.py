@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from surveyspark.functions import geo
 from surveyspark.functions import names as N
 
 
@@ -51,3 +52,32 @@ def package_counts(documents: DataFrame) -> DataFrame:
     """documents (catalog, package, xml_path, unreadable) -> per package: number of documents and the unreadable ones."""
     bad = F.array_sort(F.collect_list(F.when(F.col("unreadable"), F.col("xml_path"))))
     return documents.groupBy("catalog", "package").agg(F.count("*").alias("n_xml"), F.count_if("unreadable").alias("n_unreadable"), F.array_join(bad, ",").alias("unreadable"))
+
+
+#: Pixels by which an origin may lie off the raster.
+OFF = 1e-6
+
+
+def grid_problems(rasters: DataFrame, cell: float = 1000.0) -> DataFrame:
+    """rasters (delivery, name, gt, nx, ny, bands, dtype) -> delivery, name, on_grid (already a cell, by name and extent), problems
+    of the others against their delivery's first raster by name."""
+    gt, named = F.col("gt"), F.col("name").rlike(r"_\d{4}_\d{4}_LV95\.tif$")
+    first = rasters.groupBy("delivery").agg(F.min_by(F.struct("gt", "bands", "dtype"), "name").alias("first"))
+    j = rasters.join(first, "delivery").withColumns(
+        {"gsd": F.col("first.gt")[1], "minx": gt[0], "maxy": gt[3], "maxx": gt[0] + F.col("nx") * gt[1], "miny": gt[3] + F.col("ny") * gt[5]}
+    )
+    whole = lambda v, tol: F.abs(v - F.round(v)) <= tol
+    span = lambda a, b: F.abs(F.col(b) - F.col(a) - cell) < OFF
+    on_grid = named & span("minx", "maxx") & span("miny", "maxy") & whole(F.col("minx") / cell, 1e-9) & whole(F.col("miny") / cell, 1e-9)
+    gsd = F.col("gsd")
+    checks = [
+        ((gt[2] != 0) | (gt[4] != 0), "rotated"),
+        ((F.abs(gt[1] - gsd) > 1e-9) | (F.abs(gt[5] + gsd) > 1e-9), "pixel size"),
+        ((F.col("bands") != F.col("first.bands")) | (F.col("dtype") != F.col("first.dtype")), "bands"),
+        (~((F.col("minx") >= geo.LV95_E[0]) & (F.col("maxx") <= geo.LV95_E[1]) & (F.col("miny") >= geo.POINT_N[0]) & (F.col("maxy") <= geo.POINT_N[1])), "not LV95"),
+        (~whole(gt[0] / gsd, OFF), "x off raster"),
+        (~whole(gt[3] / gsd, OFF), "y off raster"),
+        (~whole(cell / gsd, OFF), "cell size"),
+    ]
+    found = F.filter(F.array(*[F.when(c, m) for c, m in checks]), lambda x: x.isNotNull())
+    return j.select("delivery", "name", on_grid.alias("on_grid"), found.alias("problems"))

@@ -24,6 +24,24 @@ def cleanup(files: DataFrame, kept: DataFrame) -> DataFrame:
     return joined.withColumn("keep", F.coalesce(F.array_contains("exts", N.extension(F.col("name"))), F.lit(True))).drop("exts")
 
 
+# What goes before files are sorted into line folders.
+UNWANTED = (".pyr", ".xml", ".rdx")
+
+
+def unwanted(files: DataFrame) -> DataFrame:
+    """files (name, ..) that go before the others are sorted into line folders."""
+    return files.filter(N.extension(F.col("name")).isin(*UNWANTED))
+
+
+def precalc_folders(entries: DataFrame) -> DataFrame:
+    """entries (package, name, is_dir) -> package, folder (its spelling of the folder of precalculated formats), problem (missing,
+    or several spellings)."""
+    hit = F.col("is_dir") & (F.lower("name") == "precalculatedformats")
+    found = entries.groupBy("package").agg(F.array_sort(F.collect_set(F.when(hit, F.col("name")))).alias("names"))
+    problem = F.when(F.size("names") == 0, "missing").when(F.size("names") > 1, F.concat(F.lit("several: "), F.array_join("names", ", ")))
+    return found.select("package", F.when(problem.isNull(), F.get("names", F.lit(0))).alias("folder"), problem.alias("problem"))
+
+
 def reorganise(files: DataFrame, existing: DataFrame) -> DataFrame:
     """files (name) with line and status: moved, skipped (there already) or unknown. existing: line, name."""
     lines = files.withColumn("line", N.line_token(F.col("name")))

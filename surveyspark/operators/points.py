@@ -71,12 +71,43 @@ def header_checks(source: DataFrame, target: DataFrame) -> DataFrame:
     return j.select("name", F.filter(F.array(*[F.when(c, m) for c, m in checks]), lambda x: x.isNotNull()).alias("problems"))
 
 
+def vlr_checks(headers: DataFrame) -> DataFrame:
+    """headers (name, vlrs array of user_id, record_id, data; wkt) of converted files -> name, problems: records of the coordinate
+    system that are missing, a text that doesn't end on a null byte (the last such record counts), heights in LHN95."""
+    record = lambda n: F.filter("vlrs", lambda v: (v["record_id"] == n) & (v["user_id"] == "LASF_Projection"))
+    text = F.try_element_at(record(2112), F.lit(-1))["data"]
+    lacks = lambda n: F.coalesce(F.size(record(n)) <= 0, F.lit(True))
+    checks = [
+        (lacks(34735), "no key directory"),
+        (lacks(2112), "no WKT"),
+        (~lacks(2112) & ~F.coalesce(F.hex(text).endswith("00"), F.lit(False)), "WKT without null byte"),
+        (F.coalesce(F.col("wkt"), F.lit("")).rlike("5729|LHN95"), "LHN95"),
+    ]
+    return headers.select("name", F.filter(F.array(*[F.when(c, m) for c, m in checks]), lambda x: x.isNotNull()).alias("problems"))
+
+
+def box_deviations(headers: DataFrame, points: DataFrame, by: str, tolerance: float = 0.01) -> DataFrame:
+    """headers (by, minx .. maxz) against ``ranges`` of the points: by, deviations: the fields of the header that differ by more
+    than the tolerance (``minx``) or that one side lacks (``minx missing``)."""
+    side = lambda d, end: F.max(F.when(F.col("dim") == d, F.col(end)))
+    fields = [(f"{n}{d}", side(d, end)) for d in ("x", "y", "z") for n, end in (("min", "low"), ("max", "high"))]
+    wide = points.groupBy(by).agg(*[v.alias(f"p_{f}") for f, v in fields])
+    j = headers.select(by, *[F.col(f).cast("double").alias(f) for f, _ in fields]).join(wide, by, "left")
+    found = [
+        F.when(F.col(f).isNull() | F.col(f"p_{f}").isNull(), f"{f} missing").when(F.abs(F.col(f) - F.col(f"p_{f}")) > tolerance + 1e-9, f)
+        for f, _ in fields
+    ]
+    return j.select(by, F.filter(F.array(*found), lambda x: x.isNotNull()).alias("deviations"))
+
+
 def frame_report(headers: DataFrame, limit: float = geo.EPS) -> DataFrame:
     """headers (name, e_km, n_km, minx, maxx, miny, maxy in m) with violation and gaps."""
     args = [F.col(c) for c in ("minx", "maxx", "miny", "maxy", "e_km", "n_km")]
     return headers.withColumns({"violation": geo.frame_violation(*args), "gaps": geo.frame_gaps(*args, limit=limit)})
 
 
+# Names of columns in text point clouds.
+KNOWN_COLUMNS = {"x": "X", "y": "Y", "z": "Z", "h": "Z", "intensity": "Intensity", "classification": "Classification", "class": "Classification"}
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
@@ -108,6 +139,24 @@ def sniff(lines: DataFrame, sample: int = 50) -> DataFrame:
     return files.select("file", kind.alias("kind"), "sep", (F.col("first") - 1).alias("skip"), "first_line", "columns", problem.alias("problem"))
 
 
+def text_columns(lines: DataFrame, sniffed: DataFrame, sample: int = 50) -> DataFrame:
+    """file, names (of its columns: from the last header line if it has as many fields, else X Y Z Col4 ..), crs (by the range of
+    the sampled points) of text point clouds without a problem."""
+    s = sniffed.filter("kind = 'xyz' AND problem IS NULL").select("file", "sep", "skip", "columns")
+    rank = F.row_number().over(Window.partitionBy("file").orderBy("line_no"))
+    head = lines.filter(F.trim("value") != "").withColumn("k", rank).filter(F.col("k") <= sample).join(s, "file")
+    head = head.withColumn("parts", _fields(F.col("value"), F.col("sep")))
+    num = lambda i: F.try_element_at("parts", F.lit(i)).try_cast("double")
+    point = (F.col("k") > F.col("skip")) & (F.size("parts") >= 3) & num(1).isNotNull() & num(2).isNotNull()
+    ends = [f(F.when(point, num(i))).alias(f"{n}{c}") for i, c in ((1, "x"), (2, "y")) for n, f in (("min", F.min), ("max", F.max))]
+    files = head.groupBy("file", "columns").agg(F.max(F.when(F.col("k") == F.col("skip"), F.col("parts"))).alias("title"), *ends)
+    known = F.create_map(*[F.lit(x) for kv in KNOWN_COLUMNS.items() for x in kv])
+    plain = F.transform(F.sequence(F.lit(1), F.col("columns")), lambda i: F.when(i <= 3, F.substr(F.lit("XYZ"), i, F.lit(1))).otherwise(F.concat(F.lit("Col"), i.cast("string"))))
+    named = F.zip_with(F.transform("title", lambda t: F.try_element_at(known, F.lower(F.btrim(t, F.lit('"'))))), plain, lambda a, b: F.coalesce(a, b))
+    names = F.when(F.size("title") == F.col("columns"), named).otherwise(plain)
+    return files.select("file", names.alias("names"), geo.classify_bbox(*[F.col(c) for c in ("minx", "maxx", "miny", "maxy")]).alias("crs"))
+
+
 def xyz_points(lines: DataFrame, sniffed: DataFrame) -> DataFrame:
     """lines and their files' sniffs -> file, line_no, x, y, z, ignored (rows with another number of columns or no numbers)."""
     s = sniffed.filter("kind = 'xyz' AND problem IS NULL").select("file", "sep", "first_line", "columns")

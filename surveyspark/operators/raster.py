@@ -89,6 +89,24 @@ def preview(scan: DataFrame, factor: int, band: str = "band") -> DataFrame:
     return px.groupBy("tile", "r", F.floor(F.col("i") / factor).cast("int").alias("c")).agg(F.avg("v").alias("value"))
 
 
+def overview(scan: DataFrame, size: DataFrame, max_dim: int) -> DataFrame:
+    """Previews of at most ``max_dim`` pixels a side. scan: tile, row, bands (arrays, the first three show; a single one is grey);
+    size: tile, width, height, byte (8-bit values). Block averages; values of more bits are stretched between the 2nd and 98th
+    percentile of all bands of the tile. Returns tile, r, c, rgb."""
+    scale = F.least(F.lit(1.0), max_dim / F.greatest("width", "height"))
+    out = lambda c: F.greatest(F.lit(1.0), F.bround(F.col(c) * scale))
+    s = size.select("tile", "byte", "width", "height", out("width").alias("ow"), out("height").alias("oh"))
+    rows = scan.select("tile", "row", F.posexplode(F.slice("bands", 1, 3)).alias("band", "line"))
+    cells = rows.join(s, "tile").select("tile", "byte", "band", F.floor(F.col("row") * F.col("oh") / F.col("height")).cast("int").alias("r"), "ow", "width", F.posexplode("line").alias("i", "v"))
+    mean = cells.groupBy("tile", "byte", "band", "r", F.floor(F.col("i") * F.col("ow") / F.col("width")).cast("int").alias("c")).agg(F.avg("v").alias("v"))
+    ends = mean.filter("NOT byte").groupBy("tile").agg(F.percentile("v", F.array(F.lit(0.02), F.lit(0.98))).alias("p"))
+    low, high = F.col("p")[0], F.col("p")[1]
+    grey = F.when(F.col("byte"), F.col("v")).otherwise((F.col("v") - low) * (255.0 / F.when(high > low, high - low).otherwise(1.0)))
+    shown = mean.join(ends, "tile", "left").select("tile", "r", "c", "band", F.floor(F.greatest(F.lit(0.0), F.least(F.lit(255.0), grey))).cast("int").alias("g"))
+    bands = shown.groupBy("tile", "r", "c").agg(F.transform(F.array_sort(F.collect_list(F.struct("band", "g"))), lambda x: x["g"]).alias("g"))
+    return bands.select("tile", "r", "c", F.when(F.size("g") == 1, F.array_repeat(F.col("g")[0], 3)).otherwise(F.col("g")).alias("rgb"))
+
+
 def stretch(cells: DataFrame) -> DataFrame:
     """Preview values between the tile's 2nd and 98th percentile onto 0 to 255."""
     p = cells.groupBy("tile").agg(F.percentile("value", F.array(F.lit(0.02), F.lit(0.98))).alias("p"))
