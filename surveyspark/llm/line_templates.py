@@ -5,17 +5,21 @@ number of tokens and its first ``LEADING`` tokens, and there it joins the first
 ``SIMILAR`` of the tokens, whose differing tokens become variable. Lines whose template occurs in at least ``min_docs``
 documents are dropped.
 
-Equal lines of a batch travel once, with the number of their documents, so a line that very many documents share is no
-hot key; a leaf is read as a stream, sorted, and keeps its templates only.
+A leaf of any size is dealt to ``SLICES`` parts by the lines' hashes. A part is read as a stream in the order of these hashes
+and keeps its templates only; then the templates of a leaf's parts join each other by the same rule, as lines do. Leaves in
+fewer than ``min_docs`` documents end before that. Equal lines of a batch travel once, with the number of their documents, so
+a line that very many documents share is no hot key.
 
 Defined cases: null and empty texts have no lines; blank lines are kept and never counted; rows that repeat id and text
-count as one document; an empty table gives no rows; further columns of the input are ignored.
+count as one document; of several templates that are similar enough the one that came up first takes a line; an empty table
+gives no rows; further columns of the input are ignored.
 """
 
 from __future__ import annotations
 
+import functools
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pandas as pd
 import xxhash
@@ -25,6 +29,8 @@ from pyspark.sql import functions as F
 from .common import bounded_broadcast, map_pandas, own, stash
 
 LEADING, SIMILAR, MIN_DOCS = 3, 0.6, 5
+#: Parts of a leaf.
+SLICES = 64
 ANY = "<*>"
 FIELD = re.compile(r"\S*(?:\d|@|://)\S*")
 
@@ -57,71 +63,104 @@ def _lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def similar(a: list[str], b: list[str]) -> float:
-    return sum(x == y for x, y in zip(a, b, strict=True)) / len(a)
+    return sum(x == y for x, y in zip(a, b, strict=True)) / len(a) if len(a) == len(b) else 0.0
+
+
+@functools.cache
+def telling(n: int) -> range:
+    """Places of which lines of ``n`` similar tokens share at least one, as so many others may not differ; empty if the
+    leading tokens alone make them similar."""
+    differ = max(k for k in range(n + 1) if (n - k) / n >= SIMILAR)
+    return range(LEADING, LEADING + differ + 1) if LEADING + differ < n else range(0)
 
 
 class Leaf:
-    """Templates of one leaf, in the order in which they came up."""
+    """Templates of one leaf in the order in which they came up, found by the tokens at telling places."""
 
     def __init__(self) -> None:
         self.templates: list[list[str]] = []
-        self.docs: list[int] = []
-        self.lines: list[list[int]] = []
-        self.first: list[int] = []
-
-    def add(self, line: str, h: int, docs: int) -> None:
-        tokens = line.split()
-        for k, t in enumerate(self.templates):
+        self.names: list[int] = []
+        self.at: dict[tuple[int, str], list[int]] = {}
+
+    def add(self, line: str, name: int) -> int:
+        """Name of the template that the line joins, or its own."""
+        tokens = line.split(" ")
+        places = telling(len(tokens))
+        near = {k for i in places for k in self.at.get((i, tokens[i]), ())} if places else range(len(self.templates))
+        for k in sorted(near):
+            t = self.templates[k]
             if similar(t, tokens) >= SIMILAR:
-                self.templates[k] = [x if x == y else ANY for x, y in zip(t, tokens, strict=True)]
-                break
-        else:
-            k = len(self.templates)
-            self.templates.append(tokens)
-            self.docs.append(0)
-            self.lines.append([])
-            self.first.append(h)
-        self.docs[k] += docs
-        self.lines[k].append(h)
-
-    def rows(self, min_docs: int) -> list[tuple[int, int, str]]:
-        """(line hash, template, its text) of templates that may be in enough documents."""
-        return [
-            (h, first, " ".join(t))
-            for t, docs, lines, first in zip(self.templates, self.docs, self.lines, self.first, strict=True)
-            if docs >= min_docs
-            for h in lines
-        ]
-
-
-def _templates(min_docs: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, leaf, last, docs = None, Leaf(), None, 0
-        for pdf in batches:
-            out: list[tuple[int, int, str]] = []
-            for key, h, line, n in zip(pdf.leaf, pdf.h, pdf.line, pdf.docs, strict=True):
-                if last is not None and (key, h) == (at, last[0]):
-                    docs += n
-                    continue
-                if last is not None:
-                    leaf.add(last[1], last[0], docs)
-                if key != at:
-                    out += leaf.rows(min_docs)
-                    at, leaf = key, Leaf()
-                last, docs = (h, line), n
-            yield pd.DataFrame(out, columns=["h", "template", "pattern"])
-        if last is not None:
-            leaf.add(last[1], last[0], docs)
-        yield pd.DataFrame(leaf.rows(min_docs), columns=["h", "template", "pattern"])
-
-    return run
+                for i, (x, y) in enumerate(zip(t, tokens, strict=True)):
+                    if x != y and x != ANY:
+                        t[i] = ANY
+                        if i in places:
+                            self.at.setdefault((i, ANY), []).append(k)
+                return self.names[k]
+        for i in places:
+            self.at.setdefault((i, tokens[i]), []).append(len(self.templates))
+        self.templates.append(tokens)
+        self.names.append(name)
+        return name
+
+    def rows(self) -> list[tuple[int, str]]:
+        return [(name, " ".join(t)) for name, t in zip(self.names, self.templates, strict=True)]
+
+
+LINE, TEMPLATE = 0, 1
+_COLUMNS = ["kind", "leaf", "h", "template", "docs", "pattern"]
+_ROWS = "kind int, leaf long, h long, template long, docs long, pattern string"
+
+
+def _joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Lines sorted by (leaf, slice, h), equal ones side by side, to the templates that they join, and these templates."""
+    at, leaf, last, docs = None, Leaf(), None, 0
+
+    def line() -> tuple:
+        return LINE, at[0], last[0], leaf.add(last[1], last[0]), docs, None
+
+    def templates() -> list[tuple]:
+        return [(TEMPLATE, at[0], name, name, 0, text) for name, text in leaf.rows()]
+
+    for pdf in batches:
+        out: list[tuple] = []
+        for key, part, h, text, n in zip(pdf.leaf, pdf.slice, pdf.h, pdf.line, pdf.docs, strict=True):
+            if last is not None and (key, part, h) == (*at, last[0]):
+                docs += n
+                continue
+            if last is not None:
+                out.append(line())
+                if (key, part) != at:
+                    out += templates()
+                    leaf = Leaf()
+            at, last, docs = (key, part), (h, text), n
+        yield rows_of(out)
+    if last is not None:
+        out = [line()]
+        yield rows_of(out + templates())
+
+
+def rows_of(out: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(out, columns=_COLUMNS)
 
 
 def line_templates(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """h, template, pattern: lines (by hash of the masked line) whose template may recur; docs: text. Stashed."""
     lines = map_pandas(docs.select("text"), _lines, "line string, h long, leaf long, docs long")
-    dealt = lines.repartition("leaf").sortWithinPartitions("leaf", "h")
-    return stash(map_pandas(dealt, _templates(min_docs), "h long, template long, pattern string"), "line-templates")
+    dealt = lines.withColumn("slice", F.pmod("h", F.lit(SLICES)).cast("int")).repartition("leaf", "slice").sortWithinPartitions("leaf", "slice", "h")
+    first = stash(map_pandas(dealt, _joined, _ROWS), "line-parts")
+    members, parts = first.filter(F.col("kind") == LINE), first.filter(F.col("kind") == TEMPLATE)
+    sized = members.groupBy("template").agg(F.first("leaf").alias("leaf"), F.sum("docs").alias("docs"))
+    leaves = stash(sized.groupBy("leaf").agg(F.sum("docs").alias("n")).filter(F.col("n") >= min_docs).select("leaf"), "line-leaves")
+    some = parts.select("leaf", "template", "pattern").join(bounded_broadcast(leaves), "leaf", "left_semi").join(sized.select("template", "docs"), "template")
+    again = some.select("leaf", F.lit(0).alias("slice"), F.col("template").alias("h"), F.col("pattern").alias("line"), "docs")
+    merged = stash(map_pandas(again.repartition("leaf").sortWithinPartitions("leaf", "h"), _joined, _ROWS), "line-merged")
+    joins, whole = merged.filter(F.col("kind") == LINE), merged.filter(F.col("kind") == TEMPLATE)
+    often = joins.groupBy("template").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= min_docs).select("template")
+    often = stash(often.join(whole.select("template", "pattern"), "template"), "line-patterns")
+    named = joins.select(F.col("h").alias("part"), "template").join(bounded_broadcast(often), "template")
+    named = bounded_broadcast(stash(named, "line-names"))
+    found = members.select("h", F.col("template").alias("part")).join(named, "part").select("h", "template", "pattern")
+    return stash(found, "line-templates")
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:

@@ -551,6 +551,77 @@ def test_line_templates(spark):
     assert all(r.n_dropped == 0 for r in few)
 
 
+def plain_lines(texts: dict[int, str | None], min_docs: int, slices: int) -> dict[int, tuple[int, int, str]]:
+    """The template tree by its definition: all templates of a leaf are compared."""
+
+    def joined(rows):
+        templates, of = [], {}
+        for name, tokens in rows:
+            hit = next((t for t in templates if sum(map(str.__eq__, t[1], tokens)) / len(tokens) >= 0.6), None)
+            if hit is None:
+                templates.append(hit := (name, list(tokens)))
+            else:
+                hit[1][:] = [x if x == y else "<*>" for x, y in zip(hit[1], tokens, strict=True)]
+            of[name] = hit[0]
+        return of, templates
+
+    lines = {}
+    for doc, text in texts.items():
+        for x in (text or "").split("\n"):
+            if x.strip():
+                lines.setdefault(line_templates.parsed(x)[:2], set()).add(doc)
+    parts = defaultdict(list)
+    for (masked, h), _ in sorted(lines.items(), key=lambda kv: kv[0][1]):
+        tokens = masked.split(" ")
+        parts[(len(tokens), *tokens[:3]), h % slices].append((h, tokens))
+    first, leaves = {}, defaultdict(list)
+    for (leaf, _), rows in parts.items():
+        of, templates = joined(rows)
+        first |= of
+        leaves[leaf] += templates
+    second = {}
+    for templates in leaves.values():
+        second |= joined(sorted(templates))[0]
+    where = defaultdict(set)
+    for (_, h), docs in lines.items():
+        where[second[first[h]]] |= docs
+    out = {}
+    for doc, text in texts.items():
+        all_lines = text.split("\n") if text else []
+        kept = [x for x in all_lines if not x.strip() or len(where[second[first[line_templates.parsed(x)[1]]]]) < min_docs]
+        out[doc] = (len(all_lines), len(all_lines) - len(kept), "\n".join(kept))
+    return out
+
+
+@pytest.mark.parametrize("slices", [1, 4, 64])
+def test_line_templates_by_definition(spark, monkeypatch, slices):
+    """Leaves with many templates, ties between templates, repeated lines and a very long line."""
+    monkeypatch.setattr(line_templates, "SLICES", slices)
+    rng = random.Random(3)
+    words = "alpha beta gamma delta".split()
+    texts: dict[int, str | None] = {0: None, 1: "", 2: "word " * 30_000, 3: " \n\n"}
+    for i in range(4, 120):
+        lines = [" ".join([*rng.choice([("the", "same", "start"), ("a", "b", "c")]), *(rng.choice(words) for _ in range(rng.choice([2, 6, 7])))]) for _ in range(6)]
+        texts[i] = "\n".join([*lines, lines[0], f"user {i} came at {i}:0{i % 10}", "", f"only here {'x' * i} {'y' * i}"])
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.text) for r in line_templates.drop_lines(frame(spark, list(texts.values()))).collect()}
+    want = plain_lines(texts, 5, slices)
+    assert got == want
+    dropped, lines = sum(x[1] for x in want.values()), sum(x[0] for x in want.values())
+    assert 100 < dropped < lines - 100
+
+
+def test_telling_places():
+    """Similar lines of a leaf share a token at a telling place."""
+    rng = random.Random(1)
+    for n in range(1, 40):
+        lead = ["l"] * min(3, n)
+        for _ in range(200):
+            a, b = ([*lead, *(rng.choice("xyz") for _ in range(n - len(lead)))] for _ in range(2))
+            if line_templates.similar(a, b) >= line_templates.SIMILAR:
+                places = line_templates.telling(n)
+                assert not places or any(a[i] == b[i] for i in places)
+
+
 def test_token_rollup(spark):
     import base64
 
