@@ -29,9 +29,12 @@ CAPACITIES = (512, 1024, 2048, 4096)
 BATCH = 20_000
 
 
+WORD = r"[^\x20\x09-\x0D]+"
+
+
 def word_count(text: Column) -> Column:
     """Tokens of a text: its runs of characters other than ASCII white space."""
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"))
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD))
 
 
 class Room:
@@ -140,3 +143,22 @@ def pack_documents(
     n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     schema = pieces.schema.add("bin_id", "string").add("bin_offset", "long").add("bin_length", "long")
     return map_pandas(pieces.repartition(n_parts), _packer(tuple(capacities), batch), schema)
+
+
+def packed_sequences(docs: DataFrame, packed: DataFrame, capacities: tuple[int, ...] = CAPACITIES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The training sequences of ``pack_documents`` by words: bin_id, bin_length, doc_ids (of its pieces, in order), starts (their
+    places in tokens), tokens.
+
+    An id must stand for one text; rows that repeat it are in as many bins as they were packed in. Texts without words are in none.
+    A bin holds at most the largest capacity, so its group is small.
+    """
+    most = max(capacities)
+    words = own(docs, id_col, text_col).withColumn("w", F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).filter(F.size("w") > 0)
+    cut = F.transform(F.sequence(F.lit(0), F.expr(f"(size(w) - 1) div {most}").cast("int")), lambda k: F.slice("w", k * most + 1, F.lit(most)))
+    parts = words.select(F.col("doc_id").alias("d"), F.posexplode(cut).alias("k", "words")).dropDuplicates(["d", "k"])
+    placed = packed.filter("bin_id IS NOT NULL").select("doc_id", "piece", "bin_id", "bin_length", "bin_offset")
+    joined = placed.join(parts, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("piece") == F.col("k")))
+    bins = joined.groupBy("bin_id", "bin_length").agg(F.array_sort(F.collect_list(F.struct("bin_offset", "doc_id", "words"))).alias("p"))
+    return bins.select(
+        "bin_id", "bin_length", F.col("p.doc_id").alias("doc_ids"), F.col("p.bin_offset").alias("starts"), F.flatten(F.col("p.words")).alias("tokens")
+    )

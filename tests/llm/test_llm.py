@@ -328,6 +328,27 @@ def test_packing(spark):
     assert sum(lengths) / sum(b[0].bin_length for b in bins.values()) > 0.95
 
 
+def test_packed_sequences(spark):
+    """Every word of every text is in the sequences once for each row, in order."""
+    rng = random.Random(2)
+    texts = [None, " ", *[" ".join(f"{d}.{i}" for i in range(rng.choice([1, 3, 400, 4096, 4097, 9000]))) for d in range(60)]]
+    docs = frame(spark, [*texts, texts[5], "null id"], [*range(len(texts)), 5, None])
+    packed = packing.pack_documents(docs).persist()
+    rows = packing.packed_sequences(docs, packed).collect()
+    seen = Counter()
+    for r in rows:
+        assert len(r.tokens) <= r.bin_length <= 4096 and r.starts == sorted(r.starts)
+        for d, a, b in zip(r.doc_ids, r.starts, [*r.starts[1:], len(r.tokens)], strict=True):
+            part = r.tokens[a:b]
+            if d is not None:
+                words = texts[d].split()
+                at = words.index(part[0])
+                assert part == words[at : at + len(part)]
+            seen[d] += len(part)
+    assert seen == {d: len(t.split()) * (1 + (d == 5)) for d, t in enumerate(texts) if t and t.strip()} | {None: 2}
+    assert packing.packed_sequences(docs.limit(0), packed.limit(0)).count() == 0
+
+
 def test_best_fit_takes_the_tightest_bin():
     bins, offsets, final = packing.pack(np.array([6, 5, 4, 3]), (8, 10))
     assert bins.tolist() == [0, 1, 0, 1] and final.tolist() == [10, 8] and offsets.tolist() == [0, 0, 6, 5]
@@ -696,3 +717,64 @@ def test_pipeline(spark):
     packed = cp.run(spark, DATA)
     assert {r.doc_id for r in packed.select("doc_id").collect()} == {r.doc_id for r in kept.select("doc_id").collect()}
     assert [s[0] for s in cp.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "decontamination", "packing"]
+
+
+def test_pipeline_by_brute_force(spark, monkeypatch):
+    """run() on documents with planted copies, near copies, benchmark passages and empty texts against plain Python, stage by
+    stage; what is toxic is what the operator's own scores say."""
+    import corpus_pipeline as cp
+
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    real = table(spark, DATA, "documents")
+    labels, bench = table(spark, DATA, "labels"), table(spark, DATA, "benchmark")
+    items = [r.text for r in bench.collect() if r.text]
+    rng = random.Random(4)
+    clean = [r.text for r in real.orderBy("doc_id").limit(40).collect() if r.text and len(r.text.split()) > 60][:12]
+    extra: list[str | None] = [None, "", None, " \n", *clean[:5], *clean[:3]]
+    for t in clean:
+        w = t.split()
+        w[rng.randrange(10, len(w) - 10)] = "edited"
+        extra.append(" ".join(w))
+    extra += [f"some words before {i} and some after" for i in items[:8]] + [" ".join(f"u{k}" for k in range(3000)) + " " + items[0]]
+    rows = [(10**6 + k, t, "en", "src", len(t or "")) for k, t in enumerate(extra)]
+    docs = real.unionByName(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")).persist()
+    monkeypatch.setattr(cp, "table", lambda s, d, name: docs if name == "documents" else table(s, d, name))
+
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    ok = {r.doc_id for r in toxicity.toxicity(docs, labels).collect() if r.score < 0.7}
+    last = {}
+    for d in sorted(ok):
+        last[texts[d] or ""] = d
+    kept = sorted(last.values())
+
+    sets = []
+    for d in kept:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (texts[d] or "").translate(lower))
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    where = defaultdict(list)
+    for i, shingles in enumerate(sets):
+        for x in shingles:
+            where[x].append(i)
+    pairs = {(a, b) for near in where.values() for a in near for b in near if a < b}
+    links = [(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert links
+    groups = components(len(kept), links)
+    kept = [d for i, d in enumerate(kept) if groups[i] == i]
+
+    split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(lower))
+    wins = {tuple(w[k : k + min(13, len(w))]) for w in map(split, items) if w for k in range(max(1, len(w) - 12))}
+    sizes, final = {len(x) for x in wins}, []
+    for d in kept:
+        w, hit = split(texts[d]), set()
+        for n in sizes:
+            for k in range(len(w) - n + 1):
+                if tuple(w[k : k + n]) in wins:
+                    hit.update(range(k, k + n))
+        if not (hit and 20 * len(hit) >= len(w)):
+            final.append(d)
+    assert len(final) < len(kept)
+
+    packed, words = cp.run(spark, DATA).collect(), Counter()
+    for r in packed:
+        words[r.doc_id] += r.length
+    assert dict(words) == {d: len(re.findall(r"[^\x20\x09-\x0D]+", texts[d] or "")) for d in final}
