@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from surveyspark import rules
 from surveyspark.functions import geo
 from surveyspark.functions import names as N
 from surveyspark.operators import catalog as C
@@ -12,6 +13,8 @@ from surveyspark.operators import manifest as M
 from surveyspark.operators import points as P
 from surveyspark.operators import raster as R
 
+from . import pipelines
+from .catalog_queries import _meta
 from .derive import V_FILE, V_POINT, V_SCAN, table, v_file, v_point, v_scan
 from .point_queries import _SNIFF, _text
 
@@ -159,11 +162,34 @@ def overview(spark, sf_dir):
     return R.overview(s, size, 10).select("tile", "r", "c", F.array_join("rgb", ",").alias("rgb"))
 
 
+def pipeline_conversion(spark, sf_dir):
+    """Conversion of a file per point file: refused sources, wrong headers, records, boxes and classes; documents and rows of the rest."""
+    name = F.concat(F.lit("2025_AREA_TIN_"), (2600 + F.col("file")).cast("string"), F.lit("_1100_LV95_LN02.laz"))
+    p = v_point(spark, sf_dir).select(name.alias("name"), F.col("file").alias("k"), "x", "y", "z", "cls")
+    odd = lambda n: F.pmod("k", F.lit(n)) == 0
+    copy = p.withColumn("cls", F.col("cls") - F.when(odd(19), 1).otherwise(0))
+    heads = p.groupBy("name", "k").agg(F.count("*").alias("points"), *[f(c).alias(f"{n}{c}") for c in ("x", "y", "z") for n, f in (("min", F.min), ("max", F.max))])
+    rgb = odd(3)
+    source = heads.select("name", "points", F.lit("2056").alias("horizontal"), F.when(odd(23), "5729").otherwise("5728").alias("vertical"), F.lit("").alias("wkt"), rgb.alias("rgb"), F.when(odd(29), ~rgb).otherwise(rgb).alias("keep_rgb"))
+    record = lambda n: F.struct(F.lit("LASF_Projection").alias("user_id"), F.lit(n).alias("record_id"), F.lit(b"\x00").alias("data"))
+    target = heads.select(
+        "name", (F.col("points") + F.when(odd(7), 1).otherwise(0)).alias("points"), F.when(odd(11), 2).otherwise(4).alias("minor_version"), F.when(rgb, 7).otherwise(6).alias("format"),
+        F.when(rgb, 36).otherwise(30).alias("point_length"), F.lit(375).alias("header_size"), F.lit(17).alias("encoding"), F.lit("2056").alias("horizontal"), F.lit("5728").alias("vertical"),
+        F.when(odd(13), F.array(record(2112))).otherwise(F.array(record(34735), record(2112))).alias("vlrs"), F.lit("").alias("wkt"), "minx", "maxx", "miny", "maxy", "minz",
+        (F.col("maxz") + F.when(odd(17), 5).otherwise(0)).alias("maxz"),
+    )
+    files = heads.select(F.pmod("k", F.lit(5)).cast("string").alias("delivery"), F.col("k").cast("string").alias("ord"), F.lit("SB_DSM_PUNKTWOLKE").alias("gds"), "name", F.md5(F.encode("name", "utf-8")).alias("md5"), F.lit("").alias("nodata"))
+    out = pipelines.point_conversion(files, _meta(files), rules.products(spark), source, target, P.ranges(p, "name"), P.ranges(copy, "name"))
+    rows = out["rows"].groupBy(F.substring_index("ord", "|", -1).alias("ord")).agg(F.count("*").alias("n_rows"), F.max("line").alias("last_row"))
+    docs = out["documents"].select("ord", "name", F.regexp_extract("xml", "<LineID>(.*)</LineID>", 1).alias("line_id")).join(rows, "ord").drop("ord")
+    return out["report"].join(docs, "name", "left").select("name", "refused", F.coalesce(F.array_join("problems", ","), F.lit("")).alias("problems"), "status", "n_rows", "last_row", "line_id")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         las_vlr_check, header_box, rgb_ranges, ascii_columns, raster_alignment, precalc_spelling, footprint_full, srs_codes, format_problem, path_fields,
-        unwanted_files, queue_failed, conversion_summary, overview,
+        unwanted_files, queue_failed, conversion_summary, overview, pipeline_conversion,
     )
 }
 
@@ -172,6 +198,15 @@ _DEV = lambda f, odd: f"CASE WHEN {odd} THEN '{f}' END"
 _CH = "unnest(['red', 'green', 'blue']) AS dim, unnest([min(red), min(green), min(blue)])::DOUBLE AS low, unnest([max(red), max(green), max(blue)])::DOUBLE AS high"
 
 ORACLE = {
+    "pipeline_conversion": f"""WITH {V_POINT}, k AS (SELECT DISTINCT file AS k FROM v_point),
+      c AS (SELECT k, '2025_AREA_TIN_' || (2600 + k) || '_1100_LV95_LN02.laz' AS name, CASE WHEN k % 23 = 0 THEN 'LHN95 heights'
+          WHEN k % 29 = 0 THEN CASE WHEN k % 3 = 0 THEN 'colour, but a camera without' ELSE 'no colour, but a colour camera' END END AS refused,
+          concat_ws(',', CASE WHEN k % 17 = 0 THEN 'box: maxz' END, CASE WHEN k % 7 = 0 THEN 'header: points' END, CASE WHEN k % 11 = 0 THEN 'header: version' END,
+            CASE WHEN k % 19 = 0 THEN 'range: cls low' END, CASE WHEN k % 13 = 0 THEN 'record: no key directory' END) AS problems FROM k),
+      s AS (SELECT *, refused IS NULL AND problems = '' AS fine FROM c)
+      SELECT name, refused, problems, CASE WHEN fine THEN 'ok' ELSE 'failed' END AS status, CASE WHEN fine THEN 2 END AS n_rows,
+        CASE WHEN fine THEN 'PreCalculatedFormats\\SB_DSM_PUNKTWOLKE\\SB_DSM_PUNKTWOLKE_LAZ_CHLV95_LN02_' || (2600 + k) || '_1100.laz;' || md5(name) || ';' || (2600 + k) || '_1100;add;' END AS last_row,
+        CASE WHEN fine THEN 'L' || (k % 5) END AS line_id FROM s""",
     "las_vlr_check": f"""WITH {V_POINT}, k AS (SELECT DISTINCT file FROM v_point),
       h AS (SELECT file, file % 7 <> 0 AND file % 23 <> 0 AND (file % 11 = 0 OR file % 13 <> 0) AS keys, file % 7 <> 0 AND file % 23 <> 0 AND file % 11 <> 0 AS txt FROM k)
       SELECT file AS name, concat_ws(',', CASE WHEN NOT keys THEN 'no key directory' END, CASE WHEN NOT txt THEN 'no WKT' WHEN file % 5 = 0 THEN 'WKT without null byte' END,

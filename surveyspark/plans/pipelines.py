@@ -94,6 +94,35 @@ def point_delivery(pts: DataFrame, cells: DataFrame, size: int, scale: float = 0
     return {"tiles": inside, "balance": points.balance(tiled), "headers": points.tile_headers(tiled), "ranges": points.ranges(inside, "name")}
 
 
+def point_conversion(
+    files: DataFrame, meta: DataFrame, products: DataFrame, source: DataFrame, target: DataFrame, source_ranges: DataFrame, target_ranges: DataFrame, tolerance: float = 0.01
+) -> dict[str, DataFrame]:
+    """SB_DSM_PUNKTWOLKE after conversion: gates of the sources -> validation of the converted files -> documents and two manifest
+    rows of each file that passes.
+
+    files (delivery, ord, gds, name, md5, nodata); source (name, points, horizontal, vertical, wkt, rgb, keep_rgb); target: headers as
+    ``header_checks``, ``vlr_checks`` and ``box_deviations`` take them; ranges by name. report: name, refused (why the source may not
+    be converted), problems, status (ok, failed).
+    """
+    colour = geo.point_format_problem(F.col("rgb"), F.col("keep_rgb"))
+    gates = source.select("name", F.coalesce(geo.point_crs_problem(F.col("horizontal"), F.col("vertical"), F.col("wkt")), colour).alias("refused"))
+    listed = lambda df, kind, column: df.select("name", F.explode(F.transform(column, lambda x: F.concat(F.lit(f"{kind}: "), x))).alias("problem"))
+    moved = points.compare_ranges(source_ranges, target_ranges, "name", tolerance).filter("problem IS NOT NULL")
+    found = (
+        listed(points.header_checks(source, target.drop("vlrs", "wkt")), "header", "problems")
+        .unionByName(listed(points.vlr_checks(target), "record", "problems"))
+        .unionByName(listed(points.box_deviations(target, target_ranges, "name", tolerance), "box", "deviations"))
+        .unionByName(moved.select("name", F.concat(F.lit("range: "), F.col("dim"), F.lit(" "), F.col("problem")).alias("problem")))
+    )
+    by_file = found.groupBy("name").agg(F.array_sort(F.collect_set("problem")).alias("problems"))
+    status = F.when(F.col("refused").isNotNull() | F.col("problems").isNotNull(), "failed").otherwise("ok")
+    report = gates.join(by_file, "name", "left").withColumn("status", status)
+    passed = files.join(report.filter("status = 'ok'").select("name"), "name", "left_semi")
+    flat = passed.withColumns({c: F.lit(None).cast(t) for c, t in (("px", "double"), ("py", "double"), ("block", "int"), ("width", "int"), ("height", "int"))})
+    rows = manifest.csv_rows(passed.select(F.concat_ws("|", "delivery", "ord").alias("ord"), "gds", "name", "md5", F.lit("").alias("footprint")))
+    return {"report": report, "documents": with_documents(flat, meta, products), "rows": rows}
+
+
 def preflight(deliveries: DataFrame, products: DataFrame, items: DataFrame, packages: DataFrame) -> DataFrame:
     """One row per delivery: ok, warn (the catalog or the queue has it already) or blocked (invalid)."""
     valid = D.validate(deliveries, products).select("delivery", "errors", "is_dmc", "gds", "item", "catalog", "package")
