@@ -12,7 +12,7 @@ from surveyspark.operators import points as P
 from surveyspark.sources.files import package_xml
 
 from . import pipelines
-from .derive import V_FILE, table, v_file, v_point, v_scan, v_tile
+from .derive import V_FILE, V_SCAN, table, v_file, v_point, v_scan, v_tile
 from .file_queries import _CSV, _EXT, _KEY
 from .header_queries import _RASTERS, raster_columns
 from .point_queries import _COARSE
@@ -207,12 +207,20 @@ def pipeline_line(spark, sf_dir):
     return _report(pipelines.line_delivery(files, _meta(files), rules.products(spark), chosen, there))
 
 
-def pipeline_nodata(spark, sf_dir):
-    """Correction of a tile set: per tile the pixels of false groups and the lifted ones."""
+def _corrected(spark, sf_dir):
     s = v_scan(spark, sf_dir)
     px = lambda k: F.transform("band", lambda v: F.when(v == 255, 255).when(v < 90, F.pmod(v + k, F.lit(8))).otherwise(F.least(F.lit(254), v + k)))
     tiles = s.groupBy("tile", "e", "n").agg(F.max(F.size("band")).alias("width"), (F.max("row") + 1).alias("height"))
-    return pipelines.nodata_delivery(s.select("tile", "row", px(0).alias("r"), px(1).alias("g"), px(2).alias("b")), tiles, 255, 100, 20)["summary"]
+    return pipelines.nodata_delivery(s.select("tile", "row", px(0).alias("r"), px(1).alias("g"), px(2).alias("b")), tiles, 255, 100, 20)
+
+
+def pipeline_nodata(spark, sf_dir):
+    """Correction of a tile set: per tile the pixels of false groups and the lifted ones."""
+    return _corrected(spark, sf_dir)["summary"]
+
+
+def correction_summary(spark, sf_dir):
+    return pipelines.correction_summary(_corrected(spark, sf_dir))
 
 
 def pipeline_points(spark, sf_dir):
@@ -228,7 +236,7 @@ QUERIES = {
     for f in (
         crs_decision, crs_summary, point_crs_gate, stac_conflict, package_items, queue_conflict, preflight_gate, status_summary, failed_files, pipeline_raster, pipeline_documents,
         pipeline_surface, pipeline_line,
-        pipeline_nodata, pipeline_points,
+        pipeline_nodata, pipeline_points, correction_summary,
     )
 }
 
@@ -313,6 +321,10 @@ ORACLE = {
         CASE WHEN NOT bool_or(odd) THEN min(line) FILTER (WHERE ext = '.tif') END AS first_row
       FROM k GROUP BY delivery HAVING count(*) FILTER (WHERE ext IN ('.tif', '.tiff')) > 0""",
     "pipeline_nodata": f"SELECT tile, sum(false_px) AS false_px, sum(shadow_px) AS shadow_px FROM ({RASTER['false_nodata_fix']}) GROUP BY tile",
+    "correction_summary": f"""WITH {V_SCAN}, t AS (SELECT DISTINCT tile, e, n FROM v_pix),
+      g AS (SELECT count(*) AS edge_tiles FROM t WHERE (SELECT count(*) FROM t u WHERE abs(u.e - t.e) <= 1 AND abs(u.n - t.n) <= 1) < 9)
+      SELECT count(DISTINCT tile) AS files, sum(false_px) AS false_px, sum(shadow_px) AS shadow_px, 0 AS empty_tiles, any_value(edge_tiles) AS edge_tiles
+      FROM ({RASTER['false_nodata_fix']}), g""",
     "pipeline_points": f"""WITH {_COARSE} SELECT name, count(*) AS points, CAST(sum(round_even(z / 10.0::DOUBLE, 0) * 10) AS BIGINT) AS sum_zq,
       min(x) AS minx, max(y) AS maxy FROM tiled WHERE name IS NOT NULL GROUP BY name""",
 }

@@ -84,7 +84,16 @@ def nodata_delivery(scan: DataFrame, tiles: DataFrame, nodata: int, min_size: in
     groups = components.classify(labelled, grid, min_size, min_contact)
     fixed = raster.correct(kept, labelled, groups, nodata)
     summary = fixed.groupBy("tile").agg(F.sum("false_px").alias("false_px"), F.sum("shadow_px").alias("shadow_px"))
-    return {"empty": empty, "groups": groups, "pixels": fixed, "summary": summary}
+    return {"empty": empty, "grid": grid, "groups": groups, "pixels": fixed, "summary": summary}
+
+
+def correction_summary(delivery: dict[str, DataFrame]) -> DataFrame:
+    """One row on a ``nodata_delivery``: files, their corrected and lifted pixels, empty tiles left out, tiles at the edge."""
+    pixels = delivery["summary"].agg(F.count("*").alias("files"), F.sum("false_px").alias("false_px"), F.sum("shadow_px").alias("shadow_px"))
+    tiles = delivery["empty"].agg(F.count_if("empty").alias("empty_tiles"))
+    edge = delivery["grid"].agg(F.count_if(F.size("missing") > 0).alias("edge_tiles"))
+    rows = pixels.unionByName(tiles, allowMissingColumns=True).unionByName(edge, allowMissingColumns=True)
+    return rows.agg(*[F.max(c).alias(c) for c in rows.columns])
 
 
 def point_delivery(pts: DataFrame, cells: DataFrame, size: int, scale: float = 0.01) -> dict[str, DataFrame]:
