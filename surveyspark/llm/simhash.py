@@ -131,16 +131,18 @@ def _verify(distance: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
 
 def near_links(points: DataFrame, distance: int = DISTANCE, leaf: int = LEAF) -> list[DataFrame]:
     """Links a, b between the distinct ``points`` (long) within ``distance`` bits: all that connects them, in forests of buckets."""
+    leaf = max(leaf, 1 << distance)  # so a larger bucket has more free bits than ``distance``, one for each block at least
     spark = points.sparkSession
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     masks, rows, links = [0], points.select(F.lit(0).cast("long").alias("mask"), "point"), []
     while True:
         signed = lambda m: m - (1 << 64) if m >> 63 else m
         steps = [(signed(m), signed(x)) for m in masks for x in finer(m, distance + 1)]
-        masks = sorted({x for m in masks for x in finer(m, distance + 1)})
         # at most (distance + 1) ** turns rows; the turns are bounded by the number of bits
-        table = F.broadcast(spark.createDataFrame(steps, "mask long, next long").distinct())
-        dealt = rows.join(table, "mask").select(F.col("next").alias("mask"), F.col("next").bitwiseAND(F.col("point")).alias("key"), "point").distinct()
+        table = F.broadcast(spark.createDataFrame(steps, "mask long, next long"))
+        dealt = rows.join(table, "mask").select(F.col("next").alias("mask"), F.col("next").bitwiseAND(F.col("point")).alias("key"), "point")
+        if len({x for _, x in steps}) < len(steps):  # else no row comes twice
+            dealt = dealt.distinct()
         sizes = dealt.groupBy("mask", "key").count().filter("count > 1")
         sizes = stash(sizes.select("mask", "key", (F.col("count") > leaf).alias("large")), "simhash-buckets")
         told = dealt.join(bounded_broadcast(sizes), ["mask", "key"])
