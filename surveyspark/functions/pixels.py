@@ -15,7 +15,7 @@ def nodata_mask(bands: Column, nodata: Column) -> Column:
     width = F.size(bands[0])
     mask = F.transform(
         F.sequence(F.lit(0), width - 1),
-        lambda c: ~F.forall(F.arrays_zip(bands.alias("b"), nodata.alias("v")), lambda x: F.get(x["b"], c) == x["v"]),
+        lambda c: ~F.forall(F.zip_with(bands, nodata, lambda b, v: F.get(b, c) == v), lambda same: same),
     )
     return F.when(F.size(bands) == F.size(nodata), F.when(width > 0, mask).otherwise(F.array().cast("array<boolean>")))
 
@@ -53,8 +53,8 @@ def lift(red: Column, green: Column, blue: Column) -> Column:
 
 
 def shadow_lifts(red: Column, green: Column, blue: Column) -> Column:
-    pixels = F.arrays_zip(red.alias("r"), green.alias("g"), blue.alias("b"))
-    return F.transform(pixels, lambda p: lift(p["r"], p["g"], p["b"]))
+    two = F.zip_with(red, green, lambda r, g: F.struct(r.alias("r"), g.alias("g")))
+    return F.zip_with(two, blue, lambda p, b: lift(p["r"], p["g"], b))
 
 
 def shifted(band: Column, shift: Column) -> Column:

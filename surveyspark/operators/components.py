@@ -6,8 +6,6 @@ independent; all joins have an equi key of tile and row.
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -15,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from surveyspark.functions import pixels
+from surveyspark.sources.shared import saved
 
 # Shares from which a group counts as ragged and perforated.
 MIN_HOLE_RATIO, MIN_ROUGHNESS = 0.01, 1.5
@@ -22,16 +21,6 @@ MIN_HOLE_RATIO, MIN_ROUGHNESS = 0.01, 1.5
 TILE_RUNS = 2_000_000
 
 
-def _saved(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared folder of ``spark.checkpoint.dir`` (the warehouse where that is unset) and read again, which cuts
-    the lineage."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
-    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def scan_runs(scan: DataFrame, hit) -> DataFrame:
     """Scanlines (tile, row, ..) to runs (tile, row, c0, c1) of the columns where ``hit`` (array of booleans) is true."""
     return scan.select("tile", "row", F.inline(pixels.runs(hit)))
@@ -66,8 +55,8 @@ def label(runs: DataFrame, diagonal: bool = True, tile_runs: int = TILE_RUNS) ->
 
     A tile of up to ``tile_runs`` runs is labelled in one task, larger ones by ``label_by_joins``.
     """
-    runs = _saved(runs.select("tile", "row", "c0", "c1"), "tile-runs")
-    large = _saved(runs.groupBy("tile").count().filter(F.col("count") > tile_runs).select("tile"), "large-tiles")
+    runs = saved(runs.select("tile", "row", "c0", "c1"), "tile-runs")
+    large = saved(runs.groupBy("tile").count().filter(F.col("count") > tile_runs).select("tile"), "large-tiles")
     reach = 1 if diagonal else 0
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -91,11 +80,11 @@ def label_by_joins(runs: DataFrame, diagonal: bool = True) -> DataFrame:
     """
     reach = 1 if diagonal else 0
     code = lambda row, col: (F.col(row).cast("long") * (1 << 31) + F.col(col))
-    nodes = _saved(runs.select("tile", "row", "c0", "c1", code("row", "c0").alias("id")), "runs")
+    nodes = saved(runs.select("tile", "row", "c0", "c1", code("row", "c0").alias("id")), "runs")
     below = nodes.select("tile", (F.col("row") - 1).alias("row"), F.col("c0").alias("d0"), F.col("c1").alias("d1"), F.col("id").alias("other"))
     touching = nodes.join(below, ["tile", "row"]).filter((F.col("d0") <= F.col("c1") + reach) & (F.col("c0") <= F.col("d1") + reach))
     pairs = touching.select("tile", "id", "other")
-    edges = _saved(pairs.unionByName(pairs.select("tile", F.col("other").alias("id"), F.col("id").alias("other"))), "run-edges")
+    edges = saved(pairs.unionByName(pairs.select("tile", F.col("other").alias("id"), F.col("id").alias("other"))), "run-edges")
     labels, turn = nodes.select("tile", "id", F.col("id").alias("root")), 0
     while True:
         turn += 1
@@ -106,7 +95,7 @@ def label_by_joins(runs: DataFrame, diagonal: bool = True) -> DataFrame:
         new = new.join(far, ["tile", "near"], "left").select(
             "tile", "id", F.least("near", "beyond").alias("root"), (F.least("near", "beyond") < F.col("root")).alias("moved")
         )
-        new = _saved(new, f"run-labels-{turn}")
+        new = saved(new, f"run-labels-{turn}")
         labels = new.drop("moved")
         if new.filter("moved").isEmpty():
             break
@@ -158,7 +147,7 @@ def shapes(labelled: DataFrame) -> DataFrame:
     after = runs.filter(F.col("next").isNull() & (F.col("c1") < F.col("col1"))).select("g", "row", (F.col("c1") + 1).alias("c0"), F.col("col1").alias("c1"), F.lit(True).alias("out"))
     edge = (F.col("row") == F.col("row0")) | (F.col("row") == F.col("row1"))
     between = runs.filter(F.col("next") > F.col("c1") + 1).select("g", "row", (F.col("c1") + 1).alias("c0"), (F.col("next") - 1).alias("c1"), edge.alias("out"))
-    gaps = _saved(before.unionByName(after).unionByName(between), "gaps")
+    gaps = saved(before.unionByName(after).unionByName(between), "gaps")
     areas = label(gaps.select(F.col("g").alias("tile"), "row", "c0", "c1"), diagonal=False).withColumnRenamed("tile", "g")
     areas = areas.join(gaps, ["g", "row", "c0", "c1"])
     closed = areas.groupBy("g", "root_row", "root_c").agg(F.bool_or("out").alias("out")).filter("NOT out").select("g", "root_row", "root_c")
@@ -169,7 +158,7 @@ def shapes(labelled: DataFrame) -> DataFrame:
     ordered = Window.partitionBy("g", "row").orderBy("c0")
     start = F.coalesce(F.lag("c1").over(ordered) + 1 < F.col("c0"), F.lit(True))
     islands = parts.withColumn("start", start).withColumn("i", F.sum(F.col("start").cast("int")).over(ordered))
-    filled = _saved(islands.groupBy("g", "row", "i").agg(F.min("c0").alias("c0"), F.max("c1").alias("c1")).drop("i"), "filled")
+    filled = saved(islands.groupBy("g", "row", "i").agg(F.min("c0").alias("c0"), F.max("c1").alias("c1")).drop("i"), "filled")
     area = filled.groupBy("g").agg(F.count("*").alias("n_runs"), F.sum(F.col("c1") - F.col("c0") + 1).alias("area"))
     lower = filled.select("g", (F.col("row") - 1).alias("row"), F.col("c0").alias("d0"), F.col("c1").alias("d1"))
     shared = filled.join(lower, ["g", "row"]).select("g", (F.least("c1", "d1") - F.greatest("c0", "d0") + 1).alias("n")).filter("n > 0")
@@ -187,7 +176,7 @@ def classify(labelled: DataFrame, tiles: DataFrame, min_size: int, min_contact:
     Real NoData is large (A), touches the tile's border (B) long enough (C) and isn't ragged and perforated (D), unless its
     border pixels lie open to a missing neighbour. Shapes are measured for groups that passed A to C only.
     """
-    sized = _saved(group_sizes(labelled, tiles), "groups")
+    sized = saved(group_sizes(labelled, tiles), "groups")
     key = ["tile", "root_row", "root_c"]
     passed = sized.filter((F.col("size_px") >= min_size) & (F.col("border_px") > 0) & (F.col("border_px") >= min_contact)).select(key)
     if shape_check:

@@ -5,25 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import ranged
+
 
 def manifest(spark: SparkSession, path: str, extensions: tuple[str, ...], recursive: bool = False) -> DataFrame:
-    """path, name, length, modified of files with these extensions. Contents are not read."""
+    """path, name, length, modified of files with these extensions, by name. Contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path)
     name = F.element_at(F.split("path", "/"), -1)
     ext = F.lower(F.regexp_extract(name, r"(\.[^.]*)$", 1))
-    return files.filter(ext.isin(*extensions)).select("path", name.alias("name"), "length", F.col("modificationTime").alias("modified"))
+    kept = files.filter(ext.isin(*extensions)).select("path", name.alias("name"), "length", F.col("modificationTime").alias("modified"))
+    return kept.orderBy("name", "path")
 
 
-def checksums(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
-    """path, name, length, md5. Files beyond 2 GB can't be held in a row: they get a null checksum and too_large."""
-    limit = (1 << 31) - 16
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
-    name = F.element_at(F.split("path", "/"), -1)
-    small = files.load(path).filter(F.col("length") <= limit)
-    large = files.load(path).filter(F.col("length") > limit)
-    return small.select("path", name.alias("name"), "length", F.md5("content").alias("md5"), F.lit(False).alias("too_large")).unionByName(
-        large.select("path", name.alias("name"), "length", F.lit(None).cast("string").alias("md5"), F.lit(True).alias("too_large"))
-    )
+def checksums(spark: SparkSession, path: str, recursive: bool = False, **options) -> DataFrame:
+    """path, name, length, md5 of files of any size, which are read in chunks. options: those of ``ranged``."""
+    return ranged.scan(spark, path, checksum=True, recursive=recursive, **options).select("path", "name", "length", "md5")
 
 
 def compare_copies(source: DataFrame, target: DataFrame) -> DataFrame:

@@ -6,7 +6,14 @@ import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from . import ranged
+
+#: Bytes of the longest header.
+HEAD = 375
 
 SCHEMA = (
     "name string, minor_version int, format int, points long, header_size int, point_length int, encoding int, "
@@ -32,16 +39,26 @@ def header(name: str, raw: bytes | None) -> dict:
     }
 
 
-def headers(files: DataFrame) -> DataFrame:
-    """files (name, content) -> one row of header values each. Only the first 375 bytes go to Python."""
+def inventory(spark: SparkSession, path: str, recursive: bool = False, **options) -> DataFrame:
+    """name, path, length and header values of the LAS and LAZ files of a folder. Only the first bytes of each file are read."""
+    files = ranged.scan(spark, path, head=HEAD, extensions=".las,.laz", recursive=recursive, **options)
+    return headers(files.withColumnRenamed("head", "content"), ("name", "path", "length"))
+
+
+def headers(files: DataFrame, keep: tuple[str, ...] = ("name",)) -> DataFrame:
+    """files (name, content, ..) -> one row of header values each, with the columns ``keep``. Only the first bytes go to Python;
+    ``inventory`` doesn't read more than these either."""
+    kept = files.select(*keep).schema
+    kinds = {"problem": pa.string(), "points": pa.int64(), "scale": pa.list_(pa.float64()), "offset": pa.list_(pa.float64())}
+    ints = ("minor_version", "format", "header_size", "point_length", "encoding")
+    fields = FIELDS[1:]
+    schema = pa.schema([(f, kinds.get(f, pa.int32() if f in ints else pa.float64())) for f in fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        real, text = pa.float64(), pa.string()
-        kinds = {"name": text, "problem": text, "points": pa.int64(), "scale": pa.list_(real), "offset": pa.list_(real)}
-        ints = ("minor_version", "format", "header_size", "point_length", "encoding")
-        schema = pa.schema([(f, kinds.get(f, pa.int32() if f in ints else real)) for f in FIELDS])
         for b in batches:
             rows = [header(n, r) for n, r in zip(b.column("name").to_pylist(), b.column("head").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+            values = pa.RecordBatch.from_pylist([{f: r[f] for f in fields} for r in rows], schema=schema)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), *values.columns], names=[*keep, *fields])
 
-    return files.selectExpr("name", "substring(content, 1, 375) AS head").mapInArrow(run, SCHEMA)
+    out = T.StructType([*kept, *T.StructType.fromDDL(SCHEMA)[1:]])
+    return files.select(*keep, F.substring("content", 1, HEAD).alias("head")).mapInArrow(run, out)

@@ -2,9 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import ranged
+
+
+def write_files(files: DataFrame, folder: str) -> int:
+    """files (name, content): a file of exactly this name for each row, written beside it and then moved, so that readers see whole
+    files and a repeated task replaces its own. Returns their number. Names must differ."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, at = ranged.filesystem(folder)
+        for b in batches:
+            for name, content in zip(b.column("name").to_pylist(), b.column("content").to_pylist(), strict=True):
+                with store.open_output_stream(f"{at}/.{name}.part") as f:
+                    f.write(content or b"")
+                store.move(f"{at}/.{name}.part", f"{at}/{name}")
+            yield pa.RecordBatch.from_pydict({"n": pa.array([b.num_rows], pa.int64())})
+
+    store, at = ranged.filesystem(folder)
+    store.create_dir(at, recursive=True)
+    return files.select("name", F.col("content").cast("binary").alias("content")).mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
 
 def write_documents(documents: DataFrame, path: str) -> None:
     """documents (name, xml): a text file per tile, in a folder of the tile's name (Spark names the file itself)."""
