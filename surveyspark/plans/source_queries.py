@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from surveyspark.sources import files, las, ranged, sinks
+from surveyspark.sources.runlog import RunLog
 from surveyspark.sources.shared import shared_dir
 
 from .derive import table
@@ -62,7 +63,22 @@ def file_scan(spark, sf_dir):
     return ranged.scan(spark, folder).filter(F.col("extension").isin(".laz", ".xml")).select("name", "extension", "length")
 
 
-QUERIES = {f.__name__: f for f in (las_inventory, file_checksums, file_scan)}
+def manifest_log(spark, sf_dir):
+    """Orders as lines of a manifest, a run for each priority, one of them repeated, compacted between."""
+    o = table(spark, sf_dir, "orders").select(
+        F.substring("o_orderpriority", 1, 1).alias("run"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("ord"), F.lit(0).alias("part"),
+        F.when(F.pmod("o_custkey", F.lit(10)) == 0, " ").otherwise(F.concat_ws(";", "o_orderkey", "o_custkey")).alias("line"),
+    )
+    log = RunLog(spark, f"{shared_dir(spark)}/manifest-log-{uuid.uuid4().hex}")
+    for k in "123234":
+        log.commit(f"delivery-{k}", o.filter(F.col("run") == k))
+        if k == "3":
+            log.compact()
+    log.commit("delivery-5", o.filter("run = '5'"))
+    return log.read()
+
+
+QUERIES = {f.__name__: f for f in (las_inventory, file_checksums, file_scan, manifest_log)}
 
 ORACLE = {
     "las_inventory": """SELECT l_suppkey || CASE WHEN l_suppkey % 3 = 0 THEN '.LAS' ELSE '.laz' END AS name, CASE WHEN g THEN 375 + 30 * n ELSE 100 END AS length,
@@ -74,4 +90,6 @@ ORACLE = {
         string_agg(concat_ws(';', l_orderkey, l_linenumber, l_partkey, l_returnflag), chr(10) ORDER BY l_orderkey, l_linenumber, concat_ws(';', l_orderkey, l_linenumber, l_partkey, l_returnflag)) AS t FROM lineitem GROUP BY l_suppkey)""",
     "file_scan": """SELECT c_custkey || e AS name, lower(e) AS extension, strlen(c_name) AS length
       FROM (SELECT *, ['.tif', '.LAZ', '', '.xml'][c_custkey % 4 + 1] AS e FROM customer) WHERE e IN ('.LAZ', '.xml')""",
+    "manifest_log": """SELECT CAST(substr(o_orderpriority, 1, 1) AS INTEGER) - 1 AS run, lpad(o_orderkey::VARCHAR, 12, '0') AS ord, 0 AS part, o_orderkey || ';' || o_custkey AS line
+      FROM orders WHERE o_custkey % 10 <> 0""",
 }

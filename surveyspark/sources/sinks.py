@@ -35,14 +35,16 @@ def write_documents(documents: DataFrame, path: str) -> None:
 
 
 def write_manifest(rows: DataFrame, path: str) -> None:
-    """rows (run, ord, part, line) as one text file in order. A delivery's manifest has a few thousand lines."""
-    rows.filter(F.trim("line") != "").orderBy("run", "ord", "part").select(F.col("line").alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    """rows (run, ord, part, line) as text in order: the files of the folder, by name. ``runlog`` appends to a manifest in use."""
+    rows.filter(F.trim("line") != "").orderBy("run", "ord", "part").select(F.col("line").alias("value")).write.mode("overwrite").text(path)
 
 
 def read_manifest(spark, path: str) -> DataFrame:
-    """run 0 rows of an existing manifest, in the order of its lines, for ``manifest.append``."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("k", "line"))
-    return lines.filter(F.trim("line") != "").select(F.lit(0).alias("run"), F.lpad(F.col("k").cast("string"), 9, "0").alias("ord"), F.lit(0).alias("part"), "line")
+    """run 0 rows of an existing manifest, in the order of its files and lines, for ``manifest.append``."""
+    texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
+    lines = texts.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("k", "line"))
+    order = F.concat_ws("/", "file", F.lpad(F.col("k").cast("string"), 9, "0"))
+    return lines.filter(F.trim("line") != "").select(F.lit(0).alias("run"), order.alias("ord"), F.lit(0).alias("part"), "line")
 
 
 def write_tiles(tiled: DataFrame, path: str) -> None:
