@@ -34,16 +34,19 @@ def compare_copies(source: DataFrame, target: DataFrame) -> DataFrame:
     return joined.select("name", problem.isNull().alias("ok"), problem.alias("problem"))
 
 
+def package_documents(files: DataFrame) -> DataFrame:
+    """Of files (catalog, package, path, ..) the XML in NV or one folder deeper, with its depth (1 or 2)."""
+    depth = F.size(F.split(F.regexp_extract("path", r"(?i)/NV/(.*)$", 1), "/"))
+    return files.filter(F.lower(F.col("path")).endswith(".xml") & F.col("path").rlike("(?i)/NV/")).withColumn("depth", depth).filter("depth <= 2")
+
+
 def package_xml(files: DataFrame) -> DataFrame:
     """Of files (catalog, package, path, xml): per package the first XML in NV or one folder deeper, with its values.
 
     Folders are walked by name; files of NV itself come before its folders. XML without a root gives unreadable.
     """
-    parts = F.split(F.regexp_extract("path", r"(?i)/NV/(.*)$", 1), "/")
-    depth = F.size(parts)
-    found = files.filter(F.lower(F.col("path")).endswith(".xml") & F.col("path").rlike("(?i)/NV/") & (depth <= 2))
-    rank = F.row_number().over(Window.partitionBy("catalog", "package").orderBy(depth, "path"))
-    first = found.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+    rank = F.row_number().over(Window.partitionBy("catalog", "package").orderBy("depth", "path"))
+    first = package_documents(files).withColumn("_rank", rank).filter("_rank = 1").drop("_rank", "depth")
     value = lambda tag: F.trim(F.regexp_extract("xml", f"<{tag}>([^<]*)</{tag}>", 1))
     return first.select(
         "catalog", "package", "path", (~F.col("xml").rlike(r"</MetaObject>\s*$")).alias("unreadable"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import time
 
 from pyspark.sql import functions as F
 
@@ -39,13 +40,49 @@ def test_xml_document(spark):
     assert spark.range(1).select(doc).first()[0].split("\n")[2:] == ["    <A>a&amp;b</A>", "    <B/>", "</MetaObject>"]
 
 
-def test_queue_stream(spark, tmp_path):
-    doc = "<MetaObject><Auftragstyp>kry</Auftragstyp><StacItemIdDatetime>2026-08-13t08222100</StacItemIdDatetime><Area>A</Area></MetaObject>"
-    now = dt.datetime(2026, 8, 13)
-    rows = [("SB_DOP", "p1", "b/SB_DOP/p1/NV/b.xml", doc, now), ("SB_DOP", "p1", "b/SB_DOP/p1/NV/b.xml", doc, now), ("SB_DOP", "p2", "b/SB_DOP/p2/NV/x.xml", "<Meta", now)]
-    spark.createDataFrame(rows, queue.SCHEMA).coalesce(1).write.parquet(str(tmp_path / "in"))
-    run = lambda: queue.into_queue(queue.arriving(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination(120)
-    run()
-    run()  # nothing new, nothing doubled
-    got = spark.read.parquet(str(tmp_path / "out")).collect()
-    assert sorted((r.package, r.unreadable, r.item) for r in got) == [("p1", False, "kry-2026-08-13t08222100"), ("p2", True, "-")]
+DOC = "<MetaObject><Auftragstyp>kry</Auftragstyp><StacItemIdDatetime>2026-08-13t08222100</StacItemIdDatetime><Area>A</Area></MetaObject>"
+
+
+class Arrivals:
+    """A folder that files arrive in, and runs of the stream with the same checkpoint."""
+
+    def __init__(self, spark, path):
+        self.spark, self.path = spark, path
+
+    def add(self, *packages):
+        now = dt.datetime(2026, 8, 13)
+        rows = [("SB_DOP", p, f"b/SB_DOP/{p}/NV/{name}", xml, now) for p, name, xml in packages]
+        self.spark.createDataFrame(rows, queue.SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.path}/in")
+
+    def run(self, settle):
+        q = queue.into_queue(queue.arriving(self.spark, f"{self.path}/in"), f"{self.path}/out", f"{self.path}/state", settle, "0 seconds")
+        queue.until_idle(q, 120)
+        return self.rows()
+
+    def rows(self):
+        if not (self.path / "out").exists():
+            return []
+        return sorted((r.package, r.path.split("/NV/")[1], r.unreadable, r.item) for r in self.spark.read.parquet(f"{self.path}/out").collect())
+
+
+def test_one_row_a_package_over_batches_and_restarts(spark, tmp_path):
+    a = Arrivals(spark, tmp_path)
+    a.add(("p1", "b.xml", DOC), ("p1", "b.xml", DOC), ("p2", "x.xml", "<Meta"), ("p3", "deep/er/no.xml", DOC), ("p3", "note.txt", DOC))
+    assert a.run("1 day") == []  # they wait
+    a.add(("p1", "a.xml", DOC.replace("kry", "abc")), ("p1", "0/first.xml", DOC))
+    assert a.run("1 day") == []
+    a.add(("p1", "c.xml", DOC), ("p2", "y.xml", DOC))
+    wanted = [("p1", "a.xml", False, "abc-2026-08-13t08222100"), ("p2", "x.xml", True, "-")]
+    assert a.run("0 seconds") == wanted  # the wait is over
+    a.add(("p1", "0.xml", DOC))
+    assert a.run("0 seconds") == wanted  # too late, and no second row
+    assert a.run("0 seconds") == wanted
+
+
+def test_a_timer_ends_the_wait(spark, tmp_path):
+    a = Arrivals(spark, tmp_path)
+    a.add(("p1", "b.xml", DOC))
+    assert a.run("2 seconds") in ([], [("p1", "b.xml", False, "kry-2026-08-13t08222100")])
+    time.sleep(2.5)
+    a.add(("p2", "z.xml", DOC))
+    assert a.run("2 seconds")[0] == ("p1", "b.xml", False, "kry-2026-08-13t08222100")  # without further files of its own
