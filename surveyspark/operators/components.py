@@ -1,7 +1,7 @@
 """Connected NoData areas of tiles: labelling on runs, sizes, border contact, shape, decision.
 
 Runs (row, c0, c1) stand for pixels, so the work grows with the outline of areas and not with their pixels. Tiles are
-independent; all joins have an equi key of tile and row.
+independent, large ones are dealt to tasks in strips; all joins have an equi key of tile and row.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ from surveyspark.sources.shared import saved
 
 # Shares from which a group counts as ragged and perforated.
 MIN_HOLE_RATIO, MIN_ROUGHNESS = 0.01, 1.5
-#: Runs up to which one task labels a tile; tiles with more are labelled by joins.
-TILE_RUNS = 2_000_000
+#: Runs of a strip, which one task labels, and more than any number of columns.
+STRIP_RUNS, WIDTH = 500_000, 1 << 31
 
 
 def scan_runs(scan: DataFrame, hit) -> DataFrame:
@@ -26,81 +26,78 @@ def scan_runs(scan: DataFrame, hit) -> DataFrame:
     return scan.select("tile", "row", F.inline(pixels.runs(hit)))
 
 
-def roots(row: np.ndarray, c0: np.ndarray, c1: np.ndarray, reach: int) -> np.ndarray:
-    """Index of the first run of each run's component. Runs are sorted by (row, c0)."""
-    n = len(row)
-    parent = list(range(n))
-
-    def find(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = i = parent[parent[i]]
-        return i
-
-    # for each run, the runs of the row above that touch it lie side by side
+def touching(row: np.ndarray, c0: np.ndarray, c1: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (upper, lower) of indices of runs that touch. Runs are sorted by (row, c0); what a run touches in the row above lies
+    side by side."""
     key = row.astype(np.int64) * (1 << 32)
     first = np.searchsorted(key + c1, key - (1 << 32) + c0 - reach, "left")
-    last = np.searchsorted(key + c0, key - (1 << 32) + c1 + reach, "right")
-    for i in np.nonzero(first < last)[0].tolist():
-        a = find(i)
-        for j in range(first[i], last[i]):
-            b = find(j)
-            if a != b:
-                a, b = min(a, b), max(a, b)
-                parent[b] = a
-    return np.array([find(i) for i in range(n)], np.int64)
-
-
-def label(runs: DataFrame, diagonal: bool = True, tile_runs: int = TILE_RUNS) -> DataFrame:
-    """runs (tile, row, c0, c1) with the first run's (row, c0) of their component as root_row, root_c.
+    size = np.maximum(np.searchsorted(key + c0, key - (1 << 32) + c1 + reach, "right") - first, 0)
+    lower = np.repeat(np.arange(len(row)), size)
+    return np.arange(len(lower)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(first, size), lower
 
-    A tile of up to ``tile_runs`` runs is labelled in one task, larger ones by ``label_by_joins``.
-    """
-    runs = saved(runs.select("tile", "row", "c0", "c1"), "tile-runs")
-    large = saved(runs.groupBy("tile").count().filter(F.col("count") > tile_runs).select("tile"), "large-tiles")
-    reach = 1 if diagonal else 0
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["row", "c0"], ignore_index=True)
-        r = roots(pdf.row.to_numpy(), pdf.c0.to_numpy(), pdf.c1.to_numpy(), reach)
-        return pdf.assign(root_row=pdf.row.to_numpy()[r], root_c=pdf.c0.to_numpy()[r])
 
-    schema = T.StructType([*runs.schema.fields, T.StructField("root_row", T.IntegerType()), T.StructField("root_c", T.IntegerType())])
-    some = runs if large.isEmpty() else runs.join(large, "tile", "left_anti")
-    small = some.groupBy("tile").applyInPandas(one, schema)
-    if large.isEmpty():
-        return small
-    return small.unionByName(label_by_joins(runs.join(large, "tile", "left_semi"), diagonal))
+def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least index of each of n nodes' component under the links a, b: in arrays, roots hook onto lesser ones and paths halve."""
+    root = np.arange(n)
+    while True:
+        x, y = root[a], root[b]
+        open_ = x != y
+        if not open_.any():
+            return root
+        a, b, x, y = a[open_], b[open_], x[open_], y[open_]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while not np.array_equal(up := root[root], root):
+            root = up
 
 
-def label_by_joins(runs: DataFrame, diagonal: bool = True) -> DataFrame:
-    """As ``label``, for tiles of any size.
+def label(runs: DataFrame, diagonal: bool = True, strip_runs: int = STRIP_RUNS) -> DataFrame:
+    """runs (tile, row, c0, c1) with the first run's (row, c0) of their component as root_row, root_c.
 
-    Labels spread along touching runs; each turn takes the least label of the neighbours and then that label's own label
-    (pointer jumping), so the number of turns grows with the logarithm of a component's length.
+    A tile is cut into strips of whole rows with about ``strip_runs`` runs each. Strips are labelled in tasks of their own; then the
+    runs on both sides of each border are compared, and the labels that meet there are united, in a task a tile that sees such
+    labels only. The least label is the first run's, as labels are in the order of rows and columns.
     """
     reach = 1 if diagonal else 0
-    code = lambda row, col: (F.col(row).cast("long") * (1 << 31) + F.col(col))
-    nodes = saved(runs.select("tile", "row", "c0", "c1", code("row", "c0").alias("id")), "runs")
-    below = nodes.select("tile", (F.col("row") - 1).alias("row"), F.col("c0").alias("d0"), F.col("c1").alias("d1"), F.col("id").alias("other"))
-    touching = nodes.join(below, ["tile", "row"]).filter((F.col("d0") <= F.col("c1") + reach) & (F.col("c0") <= F.col("d1") + reach))
-    pairs = touching.select("tile", "id", "other")
-    edges = saved(pairs.unionByName(pairs.select("tile", F.col("other").alias("id"), F.col("id").alias("other"))), "run-edges")
-    labels, turn = nodes.select("tile", "id", F.col("id").alias("root")), 0
-    while True:
-        turn += 1
-        heard = edges.join(labels.select("tile", F.col("id").alias("other"), F.col("root").alias("r")), ["tile", "other"])
-        heard = heard.groupBy("tile", "id").agg(F.min("r").alias("heard"))
-        new = labels.join(heard, ["tile", "id"], "left").select("tile", "id", F.least("root", "heard").alias("near"), "root")
-        far = new.select("tile", F.col("id").alias("near"), F.col("near").alias("beyond"))
-        new = new.join(far, ["tile", "near"], "left").select(
-            "tile", "id", F.least("near", "beyond").alias("root"), (F.least("near", "beyond") < F.col("root")).alias("moved")
-        )
-        new = saved(new, f"run-labels-{turn}")
-        labels = new.drop("moved")
-        if new.filter("moved").isEmpty():
-            break
-    out = nodes.join(labels, ["tile", "id"])
-    return out.select("tile", "row", "c0", "c1", F.expr("CAST(root div 2147483648 AS INT)").alias("root_row"), F.expr("CAST(root % 2147483648 AS INT)").alias("root_c"))
+    runs = saved(runs.select("tile", "row", "c0", "c1"), "tile-runs")
+    upto = F.sum("count").over(Window.partitionBy("tile").orderBy("row"))
+    strips = runs.groupBy("tile", "row").count().withColumn("upto", upto)
+    strips = saved(strips.select("tile", "row", F.expr(f"(upto - 1) div {strip_runs}").alias("strip")), "tile-strips")
+    kinds = {f.name: f for f in runs.schema.fields}
+    code, integer = T.LongType(), T.IntegerType()
+    field = lambda name, kind: T.StructField(name, kind)
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["row", "c0"], ignore_index=True)
+        row, c0, c1 = (pdf[c].to_numpy() for c in ("row", "c0", "c1"))
+        r = roots(len(row), *touching(row, c0, c1, reach))
+        return pdf.assign(label=row[r].astype(np.int64) * WIDTH + c0[r])
+
+    labelled = runs.join(strips, ["tile", "row"]).groupBy("tile", "strip").applyInPandas(one, T.StructType([*runs.schema.fields, field("strip", code), field("label", code)]))
+    labelled = saved(labelled, "strip-labels")
+    final = F.col("label")
+    if not strips.filter("strip > 0").isEmpty():
+        ends = strips.groupBy("tile", "strip").agg(F.min("row").alias("first"), F.max("row").alias("last"))
+        edge = labelled.join(ends, ["tile", "strip"])
+        above = edge.filter("row = last").select("tile", (F.col("row") + 1).alias("at"), "row", "c0", "c1", "label")
+        below = edge.filter("row = first AND strip > 0").select("tile", F.col("row").alias("at"), "row", "c0", "c1", "label")
+
+        def border(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values(["row", "c0"], ignore_index=True)
+            a, b = touching(*(pdf[c].to_numpy() for c in ("row", "c0", "c1")), reach)
+            found = pd.DataFrame({"a": pdf.label.to_numpy()[a], "b": pdf.label.to_numpy()[b]}).drop_duplicates()
+            return found.assign(tile=pdf.tile.iloc[0])[["tile", "a", "b"]]
+
+        def unite(pdf: pd.DataFrame) -> pd.DataFrame:
+            labels, at = np.unique(np.concatenate([pdf.a.to_numpy(), pdf.b.to_numpy()]), return_inverse=True)
+            r = roots(len(labels), at[: len(pdf)], at[len(pdf) :])
+            return pd.DataFrame({"tile": pdf.tile.iloc[0], "label": labels, "least": labels[r]})
+
+        met = above.unionByName(below).groupBy("tile", "at").applyInPandas(border, T.StructType([kinds["tile"], field("a", code), field("b", code)]))
+        united = met.groupBy("tile").applyInPandas(unite, T.StructType([kinds["tile"], field("label", code), field("least", code)]))
+        labelled, final = labelled.join(united, ["tile", "label"], "left"), F.coalesce("least", "label")
+    return labelled.select(
+        "tile", "row", "c0", "c1", F.floor(final / WIDTH).cast(integer).alias("root_row"), F.pmod(final, F.lit(WIDTH)).cast(integer).alias("root_c")
+    )
 
 
 def group_sizes(labelled: DataFrame, tiles: DataFrame) -> DataFrame:

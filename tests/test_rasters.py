@@ -64,12 +64,12 @@ def brute_shape(part: set) -> tuple[int, float]:
 
 
 @pytest.mark.parametrize("diagonal", [True, False])
-@pytest.mark.parametrize("by_joins", [True, False])
-def test_labels_and_shapes_by_flood_fill(spark, diagonal, by_joins):
+@pytest.mark.parametrize("strip_runs", [None, 1, 20])
+def test_labels_and_shapes_by_flood_fill(spark, diagonal, strip_runs):
     rng = random.Random(5)
     masks = {f"t{k}": [[int(rng.random() < 0.55) for _ in range(11)] for _ in range(9)] for k in range(12)}
     runs = C.scan_runs(scan_of(spark, masks), F.col("hit"))
-    lab = C.label_by_joins(runs, diagonal) if by_joins else C.label(runs, diagonal)
+    lab = C.label(runs, diagonal, strip_runs) if strip_runs else C.label(runs, diagonal)
     got: dict = {}
     for r in lab.collect():
         got.setdefault((r.tile, r.root_row, r.root_c), set()).update((r.row, c) for c in range(r.c0, r.c1 + 1))
@@ -78,7 +78,7 @@ def test_labels_and_shapes_by_flood_fill(spark, diagonal, by_joins):
         for part in flood({(r, c) for r, line in enumerate(m) for c, v in enumerate(line) if v}, EIGHT if diagonal else FOUR):
             want[(t, *min(part))] = part
     assert got == want
-    if not by_joins:
+    if strip_runs is None:
         shapes = {(r.tile, r.root_row, r.root_c): (r.hole_px, round(r.roughness, 9)) for r in C.shapes(lab).collect()}
         assert shapes == {k: (h, round(x, 9)) for k, p in want.items() for h, x in [brute_shape(p)]}
 
@@ -154,3 +154,22 @@ def test_shadow_lift_keeps_real_nodata(spark):
     groups = spark.createDataFrame([("a", 0, 0, "real_nodata"), ("a", 0, 1, "false_nodata")], "tile string, root_row int, root_c int, decision string")
     out = R.correct(s, lab, groups, 0).first()
     assert out.r == [0, 5, 5, 9] and out.g == [0, 5, 6, 9] and out.mask == [False, True, True, True]
+
+
+def test_a_spiral_over_many_strips_is_one_component(spark):
+    size = 61
+    mask = [[0] * size for _ in range(size)]
+    r, c, dr, dc = 0, 0, 0, 1
+    while True:
+        mask[r][c] = 1
+        ahead = lambda k: (r + k * dr, c + k * dc)  # noqa: B023, E731
+        free = lambda k: (lambda p: not (0 <= p[0] < size and 0 <= p[1] < size) or not mask[p[0]][p[1]])(ahead(k))  # noqa: B023, E731
+        inside = lambda p: 0 <= p[0] < size and 0 <= p[1] < size
+        if not (inside(ahead(1)) and free(1) and free(2)):
+            dr, dc = dc, -dr
+            if not (inside(ahead(1)) and free(1) and free(2)):
+                break
+        r, c = ahead(1)
+    lab = C.label(C.scan_runs(scan_of(spark, {"s": mask}), F.col("hit")), False, strip_runs=10)
+    assert {(x.root_row, x.root_c) for x in lab.collect()} == {(0, 0)}
+    assert lab.count() > 500
