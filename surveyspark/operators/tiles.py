@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from surveyspark.sources.shared import saved
+
 # The eight directions, clockwise from north.
 DIRECTIONS = (("N", 0, 1), ("NE", 1, 1), ("E", 1, 0), ("SE", 1, -1), ("S", 0, -1), ("SW", -1, -1), ("W", -1, 0), ("NW", -1, 1))
 
@@ -45,24 +51,116 @@ def covered_cells(boxes: DataFrame, size: float) -> DataFrame:
     return boxes.withColumn("ix", F.explode(xs)).withColumn("iy", F.explode(ys))
 
 
-def overlapping_pairs(boxes: DataFrame, size: float, kind: str = "share", limit: float = 0.01) -> DataFrame:
+def touched(low: str, high: str, size: Column) -> tuple[Column, Column]:
+    """First and last cell of a side."""
+    first = F.floor(F.col(low) / size)
+    return first, F.greatest(first, F.ceil(F.col(high) / size) - 1)
+
+
+def quad_cells(boxes: DataFrame, size: float, most: int) -> DataFrame:
+    """boxes (id, minx, miny, maxx, maxy) with a row for each leaf (level, ix, iy) of a quad-tree that they touch, and ``blocks``.
+
+    Cells of ``size`` with more than ``most`` boxes are split in four, and so on, while their boxes touch at most two of the four
+    parts on average: else they lie over each other and splitting only copies them. Such a leaf gets several blocks, to be
+    joined in pairs. Cells are counted before any box is sent to them.
+    """
+    rows, leaves, level = covered_cells(boxes, size).withColumn("level", F.lit(0)), [], 0
+    cell = ["ix", "iy"]
+    while True:
+        half = F.lit(size / 2 ** (level + 1))
+        (x0, x1), (y0, y1) = touched("minx", "maxx", half), touched("miny", "maxy", half)
+        low = {"x0": F.greatest(x0, 2 * F.col("ix")), "x1": F.least(x1, 2 * F.col("ix") + 1), "y0": F.greatest(y0, 2 * F.col("iy")), "y1": F.least(y1, 2 * F.col("iy") + 1)}
+        rows = rows.withColumns(low)
+        parts = (F.col("x1") - F.col("x0") + 1) * (F.col("y1") - F.col("y0") + 1)
+        counted = rows.groupBy(*cell).agg(F.count("*").alias("n"), F.sum(parts).alias("parts")).filter(F.col("n") > most)
+        hot = saved(counted.select(*cell, "n", (F.col("parts") <= 2 * F.col("n")).alias("split")), f"quad-cells-{level}")
+        told = rows.join(hot, cell, "left").withColumn("blocks", F.when(F.col("split"), 0).otherwise(F.ceil(F.coalesce("n", F.lit(1)) / most)).cast("int"))
+        leaves.append(told.filter("blocks > 0").drop("x0", "x1", "y0", "y1", "n", "split"))
+        if hot.filter("split").isEmpty():
+            break
+        finer = told.filter("blocks = 0").select("id", "minx", "miny", "maxx", "maxy", F.explode(F.sequence("x0", "x1")).alias("ix"), "y0", "y1")
+        finer = finer.select("id", "minx", "miny", "maxx", "maxy", "ix", F.explode(F.sequence("y0", "y1")).alias("iy"))
+        level += 1
+        rows = saved(finer, f"quad-boxes-{level}").withColumn("level", F.lit(level))
+    out = leaves[0]
+    for more in leaves[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+#: Boxes of a cell or block that one task sweeps, and pairs that it looks at together.
+CELL_BOXES, SWEEP = 2000, 1 << 20
+
+
+GROUP = ["level", "ix", "iy", "p", "q"]
+
+
+def _sweep(size: float, kind: str, limit: float):
+    """The pairs of groups of boxes, whose rows are sorted by group and low side: each box is compared with those of its group that
+    begin before it ends. Many small groups are swept together; the last one of a batch waits for the next."""
+
+    def pairs(t: pa.Table, group: np.ndarray) -> Iterator[pa.RecordBatch]:
+        ids, col = t["id"].to_numpy(), lambda c: t[c].to_numpy()
+        x0, y0, x1, y1, block, ix, iy = map(col, ("minx", "miny", "maxx", "maxy", "block", "ix", "iy"))
+        cell, cross, area = size / 2.0 ** col("level"), col("p") != col("q"), (x1 - x0) * (y1 - y0)
+        starts = np.unique(x0)
+        rank = lambda x: group * (len(starts) + 1) + np.searchsorted(starts, x)
+        count = np.maximum(np.searchsorted(rank(x0), rank(x1), "left") - np.arange(len(x0)) - 1, 0)
+        ends, lo = np.cumsum(count), 0
+        while lo < len(x0):
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + SWEEP, "right")))
+            n = count[lo:hi]
+            i = np.repeat(np.arange(lo, hi), n)
+            j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+            low_y = np.maximum(y0[i], y0[j])
+            w, h = np.minimum(x1[i], x1[j]) - x0[j], np.minimum(y1[i], y1[j]) - low_y
+            ok = (w > 0) & (h > 0) & (ids[i] != ids[j]) & (np.floor(x0[j] / cell[j]) == ix[j]) & (np.floor(low_y / cell[j]) == iy[j])
+            ok &= ~cross[i] | (block[i] != block[j])
+            ok &= w * h > limit * np.minimum(area[i], area[j]) if kind == "share" else (w > limit) & (h > limit)
+            i, j = i[ok], j[ok]
+            first = np.asarray(ids[i] < ids[j], bool)
+            a, b = (t["id"].take(pa.array(np.where(first, u, v))).combine_chunks() for u, v in ((i, j), (j, i)))
+            yield pa.RecordBatch.from_arrays([a, b, pa.array(w[ok]), pa.array(h[ok])], names=["a", "b", "w", "h"])
+            lo = hi
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            held = t if held is None else pa.concat_tables([held, t]).combine_chunks()
+            if not held.num_rows:
+                continue
+            new = np.zeros(held.num_rows, bool)
+            for c in GROUP:
+                v = held[c].to_numpy()
+                new[1:] |= v[1:] != v[:-1]
+            group = np.cumsum(new)
+            cut = int(np.searchsorted(group, group[-1]))
+            if cut:
+                yield from pairs(held.slice(0, cut), group[:cut])
+                held = held.slice(cut)
+        if held is not None and held.num_rows:
+            yield from pairs(held, np.zeros(held.num_rows, np.int64))
+
+    return run
+
+
+def overlapping_pairs(boxes: DataFrame, size: float, kind: str = "share", limit: float = 0.01, most: int = CELL_BOXES) -> DataFrame:
     """boxes (id, minx, miny, maxx, maxy) -> a, b, w, h of pairs a < b that overlap.
 
-    share: the overlap is over ``limit`` of the smaller box; extent: both sides are over ``limit``. Pairs meet in the cells
-    they cover; the cell of the overlap's lower corner reports them, so each pair comes once.
+    share: the overlap is over ``limit`` of the smaller box; extent: both sides are over ``limit``. Pairs meet in the leaves of a
+    quad-tree that they touch, where a plane sweep finds them; the leaf of the overlap's lower corner reports them, so each pair
+    comes once. Leaves whose boxes lie over each other are dealt to blocks, whose pairs are groups of their own, so no task gets
+    more than twice ``most`` boxes.
     """
-    cells = covered_cells(boxes.select("id", "minx", "miny", "maxx", "maxy"), size)
-    side = lambda p: cells.select("ix", "iy", *[F.col(c).alias(f"{p}_{c}") for c in ("id", "minx", "miny", "maxx", "maxy")])
-    pairs = side("a").join(side("b"), ["ix", "iy"]).filter("a_id < b_id")
-    low_x, low_y = F.greatest("a_minx", "b_minx"), F.greatest("a_miny", "b_miny")
-    w, h = F.least("a_maxx", "b_maxx") - low_x, F.least("a_maxy", "b_maxy") - low_y
-    pairs = pairs.withColumns({"w": w, "h": h}).filter((w > 0) & (h > 0) & (F.floor(low_x / size) == F.col("ix")) & (F.floor(low_y / size) == F.col("iy")))
-    if kind == "share":
-        area = lambda p: (F.col(f"{p}_maxx") - F.col(f"{p}_minx")) * (F.col(f"{p}_maxy") - F.col(f"{p}_miny"))
-        pairs = pairs.filter(F.col("w") * F.col("h") > limit * F.least(area("a"), area("b")))
-    else:
-        pairs = pairs.filter((F.col("w") > limit) & (F.col("h") > limit))
-    return pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), "w", "h")
+    sides = [F.col(c).cast("double").alias(c) for c in ("minx", "miny", "maxx", "maxy")]
+    kept = boxes.select("id", *sides).dropna()
+    leaf = quad_cells(kept, size, most).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    met = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("p"), F.greatest("block", k).alias("q")))
+    dealt = leaf.select("id", "minx", "miny", "maxx", "maxy", "level", "ix", "iy", "block", F.inline(met))
+    kind_of = boxes.schema["id"].dataType.simpleString()
+    n_parts = int(boxes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(n_parts, *GROUP).sortWithinPartitions(*GROUP, "minx").mapInArrow(_sweep(size, kind, limit), f"a {kind_of}, b {kind_of}, w double, h double")
 
 
 def cells_by_box(cells: DataFrame, boxes: DataFrame, size: float) -> DataFrame:
