@@ -23,7 +23,8 @@ def rescale_hillshade(scan: DataFrame, band: str = "band", safe_max: int = 225)
 
 
 def correct(scan: DataFrame, labelled: DataFrame, groups: DataFrame, nodata: int) -> DataFrame:
-    """scan (tile, row, r, g, b) with corrected bands, mask (real NoData is false) and the counts of changed pixels.
+    """scan (tile, row, r, g, b, ..) with corrected bands, mask (real NoData is false) and the counts of changed pixels. Further
+    columns (bands beyond the third) stay as they are.
 
     255: pixels of false groups become 254, then near-black pixels are lifted, then real NoData becomes 0.
     0: near-black pixels are lifted, except real NoData.
@@ -49,38 +50,76 @@ def correct(scan: DataFrame, labelled: DataFrame, groups: DataFrame, nodata: int
     out = out.withColumns({"mask": mask, **changed})
     out = out.withColumns({c: pixels.zeroed(F.col(c), F.col("mask")) for c in ("r", "g", "b")})
     count = lambda c: F.size(F.filter(c, lambda x: x != 0))
+    more = [c for c in scan.columns if c not in ("tile", "row", "r", "g", "b")]
     return out.select(
-        "tile", "row", "r", "g", "b", "mask", F.size(F.filter("wrong", lambda x: x)).alias("false_px"), count("_lift").alias("shadow_px")
+        "tile", "row", "r", "g", "b", *more, "mask", F.size(F.filter("wrong", lambda x: x)).alias("false_px"), count("_lift").alias("shadow_px")
     )
 
 
-def retile(scan: DataFrame, tiles: DataFrame, size: int, fill: int) -> DataFrame:
+def stacked(bands: Column) -> Column:
+    """Bands (an array of arrays of one width) as an array of pixels, each with its values of all bands."""
+    return F.transform(F.sequence(F.lit(0), F.size(bands[0]) - 1), lambda i: F.transform(bands, lambda b: F.get(b, i)))
+
+
+def unstacked(pixels_of: Column, n: int) -> Column:
+    """The reverse, for n bands."""
+    band = lambda k: F.transform(pixels_of, lambda p: F.get(p, F.lit(k)))
+    return F.array(*map(band, range(n)))
+
+
+def retile(scan: DataFrame, tiles: DataFrame, size: int, fill: int | Column, by: tuple[str, ...] = ()) -> DataFrame:
     """Scanlines (tile, row, band) of tiles at (x0, y0) in pixels, y growing downwards, cut to cells of ``size`` pixels.
 
     Returns cx, cy, row, band: background is ``fill``; rows without any tile are absent until ``with_background``. Where tiles
-    overlap, the later one (by name) shows.
+    overlap, the later one (by name) shows. Values may be numbers or whole pixels (``stacked``). by: columns of both tables whose
+    values have grids of their own.
     """
-    placed = scan.join(tiles.select("tile", "x0", "y0"), "tile").withColumn("y", F.col("row") + F.col("y0"))
+    background = fill if isinstance(fill, Column) else F.lit(fill)
+    placed = scan.join(tiles.select(*by, "tile", "x0", "y0"), [*by, "tile"]).withColumn("y", F.col("row") + F.col("y0"))
     last = F.col("x0") + F.size("band") - 1
     cells = placed.withColumn("cx", F.explode(F.sequence(F.floor(F.col("x0") / size), F.floor(last / size)))).withColumns(
         {"cy": F.floor(F.col("y") / size), "at": F.greatest(F.col("x0"), F.col("cx") * size)}
     )
     width = F.least(last + 1, (F.col("cx") + 1) * size) - F.col("at")
     piece = F.slice("band", (F.col("at") - F.col("x0") + 1).cast("int"), width.cast("int"))
-    parts = cells.select("cx", "cy", (F.col("y") - F.col("cy") * size).cast("int").alias("row"), (F.col("at") - F.col("cx") * size).cast("int").alias("c"), "tile", piece.alias("p"))
-    lists = parts.groupBy("cx", "cy", "row").agg(F.array_sort(F.collect_list(F.struct("tile", "c", "p"))).alias("ps"))
+    parts = cells.select(*by, "cx", "cy", (F.col("y") - F.col("cy") * size).cast("int").alias("row"), (F.col("at") - F.col("cx") * size).cast("int").alias("c"), "tile", piece.alias("p"))
+    lists = parts.groupBy(*by, "cx", "cy", "row").agg(F.array_sort(F.collect_list(F.struct("tile", "c", "p"))).alias("ps"))
     drawn = F.aggregate(
-        "ps", F.array_repeat(F.lit(fill), size),
+        "ps", F.array_repeat(background, size),
         lambda line, x: F.concat(F.slice(line, F.lit(1), x["c"]), x["p"], F.slice(line, x["c"] + F.size(x["p"]) + 1, F.lit(size))),
     )
-    return lists.select("cx", "cy", "row", drawn.alias("band"))
+    return lists.select(*by, "cx", "cy", "row", drawn.alias("band"))
 
 
-def with_background(cut: DataFrame, size: int, fill: int) -> DataFrame:
+def with_background(cut: DataFrame, size: int, fill: int | Column, by: tuple[str, ...] = ()) -> DataFrame:
     """All rows of the cells that have any pixel besides ``fill``."""
-    cells = cut.groupBy("cx", "cy").agg(F.bool_or(F.exists("band", lambda v: v != fill)).alias("some")).filter("some").select("cx", "cy")
+    background, cell = fill if isinstance(fill, Column) else F.lit(fill), [*by, "cx", "cy"]
+    cells = cut.groupBy(*cell).agg(F.bool_or(F.exists("band", lambda v: v != background)).alias("some")).filter("some").select(*cell)
     rows = cells.withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(size - 1))))
-    return rows.join(cut, ["cx", "cy", "row"], "left").select("cx", "cy", "row", F.coalesce("band", F.array_repeat(F.lit(fill), size)).alias("band"))
+    return rows.join(cut, [*cell, "row"], "left").select(*cell, "row", F.coalesce("band", F.array_repeat(background, size)).alias("band"))
+
+
+def cut_and_masked(scan: DataFrame, tiles: DataFrame, size: int, nodata: list[int], by: tuple[str, ...] = ()) -> DataFrame:
+    """Scanlines (tile, row, bands) of any number of bands, onto the grid: cx, cy, row, bands, mask.
+
+    Cells whose pixels are NoData in all bands are left out. Pixels that have the NoData values of all bands, background too, are
+    false in the mask and 0 in the bands.
+    """
+    fill = F.array(*map(F.lit, nodata))
+    cut = with_background(retile(scan.select(*by, "tile", "row", stacked(F.col("bands")).alias("band")), tiles, size, fill, by), size, fill, by)
+    found = cut.withColumn("bands", unstacked(F.col("band"), len(nodata))).withColumn("mask", pixels.nodata_mask(F.col("bands"), fill))
+    zeroed = F.transform("bands", lambda b: pixels.zeroed(b, F.col("mask")))
+    return found.select(*by, "cx", "cy", "row", zeroed.alias("bands"), "mask")
+
+
+def surface_values(scan: DataFrame, shade: Column, safe_max: int = 225) -> DataFrame:
+    """Scanlines (tile, row, band of floats) of surface models: hillshades (where ``shade``) are rescaled, in tiles that need it; in
+    height models -9999 becomes the least float."""
+    marked = scan.withColumn("_shade", shade)
+    heights = marked.filter("NOT _shade").withColumn("band", pixels.fixed_dsm(F.col("band").cast("array<float>")))
+    shades = marked.filter("_shade").withColumn("band", F.col("band").cast("array<int>"))
+    shades = rescale_hillshade(shades, "band", safe_max).withColumn("band", F.col("band").cast("array<float>"))
+    return heights.unionByName(shades).drop("_shade")
 
 
 def preview(scan: DataFrame, factor: int, band: str = "band") -> DataFrame:

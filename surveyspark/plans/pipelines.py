@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,33 +14,84 @@ from surveyspark.operators import catalog, components, headers, manifest, points
 from surveyspark.operators import deliveries as D
 
 
-def raster_delivery(files: DataFrame, meta: DataFrame, kept: DataFrame, products: DataFrame, corrected: bool = False, rewrite: bool = False) -> dict[str, DataFrame]:
-    """SB_DOP, SB_DOP_16 and SB_DSM together: clean-up -> coordinate-system gate -> documents, tags -> manifest.
+def raster_delivery(
+    files: DataFrame, meta: DataFrame, kept: DataFrame, products: DataFrame, corrected: bool = False, rewrite: bool = False, images: Images | None = None
+) -> dict[str, DataFrame]:
+    """SB_DOP, SB_DOP_16 and SB_DSM together: clean-up -> coordinate-system gate -> documents, tags, pixels -> manifest.
 
     files (delivery, ord, gds, name, md5, footprint, nodata, info, px, py, block, width, height, bands, has_mask), ord once in a
     delivery; meta (delivery, camera, line_ids, times, first, stac, band_id, year, order_type). Files of a stopped delivery get no
     document or row.
     """
-    return _gated(manifest.cleanup(files, kept).filter("keep").drop("keep"), meta, products, corrected, rewrite)
+    return _gated(manifest.cleanup(files, kept).filter("keep").drop("keep"), meta, products, corrected, rewrite, images)
 
 
-def line_delivery(files: DataFrame, meta: DataFrame, products: DataFrame, lines: DataFrame, existing: DataFrame) -> dict[str, DataFrame]:
+def line_delivery(
+    files: DataFrame, meta: DataFrame, products: DataFrame, lines: DataFrame, existing: DataFrame, images: Images | None = None
+) -> dict[str, DataFrame]:
     """SB_DOP_16, one flight line: sort files into line folders, take those of the chosen lines (delivery, line), all their
     extensions, then gate, documents, tags and manifest. moved: each file with its line and what became of it."""
     moved = manifest.reorganise(files, existing)
     chosen = moved.join(lines.select("delivery", "line").distinct(), ["delivery", "line"], "left_semi").drop("line", "status")
-    return _gated(chosen, meta, products) | {"moved": moved}
+    return _gated(chosen, meta, products, images=images) | {"moved": moved}
 
 
-def surface_delivery(files: DataFrame, meta: DataFrame, kept: DataFrame, products: DataFrame) -> dict[str, DataFrame]:
-    """SB_DSM: a raster (hillshades aside) that isn't Float32 blocks its delivery; then as ``raster_delivery``. files: with dtype."""
+def surface_delivery(files: DataFrame, meta: DataFrame, kept: DataFrame, products: DataFrame, scan: DataFrame | None = None) -> dict[str, DataFrame]:
+    """SB_DSM: a raster (hillshades aside) that isn't Float32 blocks its delivery; then as ``raster_delivery``. files: with dtype.
+
+    scan: scanlines (delivery, name, row, band); those of the files that pass come back as ``pixels``, hillshades rescaled and heights
+    repaired.
+    """
     surface = files.filter("gds = 'SB_DSM'")
     deviations = headers.dtype_deviations(surface)
     passed = surface.join(deviations.select("delivery").distinct(), "delivery", "left_anti")
-    return raster_delivery(passed, meta, kept, products) | {"deviations": deviations}
+    out = raster_delivery(passed, meta, kept, products) | {"deviations": deviations}
+    if scan is not None:
+        lines = scan.join(out["going"].select("delivery", "name"), ["delivery", "name"], "left_semi")
+        lines = lines.withColumn("tile", F.concat_ws("|", "delivery", "name"))
+        out["pixels"] = raster.surface_values(lines, N.is_hillshade(F.col("name"))).drop("tile")
+    return out
 
 
-def _gated(files: DataFrame, meta: DataFrame, products: DataFrame, corrected: bool = False, rewrite: bool = False) -> dict[str, DataFrame]:
+@dataclass
+class Images:
+    """Pixels of a delivery's rasters: scan (delivery, name, row, bands), tiles (delivery, name, x0, y0: places in pixels), the grid's
+    cells in pixels and the NoData value of each band.
+
+    repair: the least size and border contact of real NoData, in pixels; then false NoData is corrected before the cells are masked
+    (three bands with one value).
+    """
+
+    scan: DataFrame
+    tiles: DataFrame
+    size: int
+    nodata: list[int]
+    repair: tuple[int, int] | None = None
+
+    def of(self, going: DataFrame) -> DataFrame:
+        """delivery, cx, cy, row, bands, mask of the files that pass: retiled, empty cells left out, masked pixels 0."""
+        key = ["delivery", "name"]
+        lines = self.scan.join(going.select(*key), key, "left_semi").select("delivery", F.col("name").alias("tile"), "row", "bands")
+        tiles = self.tiles.select("delivery", F.col("name").alias("tile"), "x0", "y0")
+        if self.repair:
+            lines = self.repaired(lines, tiles)
+        return raster.cut_and_masked(lines, tiles, self.size, self.nodata, ("delivery",))
+
+    def repaired(self, lines: DataFrame, tiles: DataFrame) -> DataFrame:
+        """Tiles before they are cut, as false NoData is told from real one by whole tiles and their neighbours."""
+        at = lines.select("delivery", "tile", F.size(F.col("bands")[0]).alias("width"), "row").groupBy("delivery", "tile").agg(F.max("width").alias("width"), (F.max("row") + 1).alias("height"))
+        unit = F.concat_ws("|", "delivery", "tile").alias("tile")
+        grid = tiles.join(at, ["delivery", "tile"]).select(unit, F.floor(F.col("x0") / F.col("width")).cast("int").alias("e"), (-F.floor(F.col("y0") / F.col("height"))).cast("int").alias("n"), "height", "width")
+        three = [F.col("bands")[k].alias(c) for k, c in enumerate("rgb")]
+        out = nodata_delivery(lines.select(unit, "row", *three), grid, self.nodata[0], *self.repair)["pixels"]
+        # what was corrected is masked; its zeros are made NoData again, so that cutting treats them as background
+        back = [F.zip_with(c, "mask", lambda v, m: F.when(m, v).otherwise(F.lit(self.nodata[0]))) for c in "rgb"]
+        return out.select(F.substring_index("tile", "|", 1).alias("delivery"), F.expr("substring(tile, instr(tile, '|') + 1)").alias("tile"), "row", F.array(*back).alias("bands"))
+
+
+def _gated(
+    files: DataFrame, meta: DataFrame, products: DataFrame, corrected: bool = False, rewrite: bool = False, images: Images | None = None
+) -> dict[str, DataFrame]:
     actions = catalog.crs_actions(files.select("gds", F.concat_ws("|", "delivery", "name").alias("name"), "info"))
     by = actions.withColumn("delivery", F.substring_index("name", "|", 1))
     gates = catalog.crs_summary(by, "delivery")
@@ -46,7 +99,8 @@ def _gated(files: DataFrame, meta: DataFrame, products: DataFrame, corrected: bo
     rows = manifest.csv_rows(going.select(F.concat_ws("|", "delivery", "ord").alias("ord"), "gds", "name", "md5", "footprint"))
     rasters = going.filter(N.extension(F.col("name")).isin(".tif", ".tiff"))
     tags = headers.tags(F.col("gds"), F.col("nodata"), F.col("bands"), F.col("has_mask"), F.lit(corrected), F.lit(rewrite))
-    return {"gates": gates, "documents": with_documents(going, meta, products), "tags": rasters.select("delivery", "ord", *tags), "rows": rows}
+    out = {"gates": gates, "documents": with_documents(going, meta, products), "tags": rasters.select("delivery", "ord", *tags), "rows": rows, "going": going}
+    return out | ({"pixels": images.of(going)} if images else {})
 
 
 def with_documents(files: DataFrame, meta: DataFrame, products: DataFrame) -> DataFrame:

@@ -173,3 +173,43 @@ def test_a_spiral_over_many_strips_is_one_component(spark):
     lab = C.label(C.scan_runs(scan_of(spark, {"s": mask}), F.col("hit")), False, strip_runs=10)
     assert {(x.root_row, x.root_c) for x in lab.collect()} == {(0, 0)}
     assert lab.count() > 500
+
+
+def test_further_bands_stay(spark):
+    scan = spark.createDataFrame([("t", 0, [255, 9], [255, 9], [255, 9], [7, 8], [1, 2])], "tile string, row int, r array<int>, g array<int>, b array<int>, nir array<int>, swir array<int>")
+    lab = C.label(C.scan_runs(scan, F.transform("r", lambda v: v == 255)))
+    groups = C.classify(lab, tiles_of(spark, {"t": [[1, 0]]}), 1000, 1)
+    out = R.correct(scan, lab, groups, 255).first()
+    assert (out.r, out.nir, out.swir) == ([254, 9], [7, 8], [1, 2])
+
+
+def test_any_number_of_bands_is_cut_and_masked(spark):
+    rng = random.Random(3)
+    bands = {t: [[[rng.choice([9, 9, k + 1]) for _ in range(5)] for k in range(4)] for _ in range(3)] for t in ("a", "b")}
+    bands["c"] = [[[9] * 5 for _ in range(4)] for _ in range(3)]
+    scan = spark.createDataFrame([(t, r, b) for t, rows in bands.items() for r, b in enumerate(rows)], "tile string, row int, bands array<array<int>>")
+    at = {"a": (0, 0), "b": (5, 0), "c": (100, 100)}
+    got = {(r.cx, r.cy, r.row): r for r in R.cut_and_masked(scan, spark.createDataFrame([(t, *xy) for t, xy in at.items()], "tile string, x0 long, y0 long"), 4, [9, 9, 9, 9]).collect()}
+    assert {k[:2] for k in got} == {(0, 0), (1, 0), (2, 0)} and len(got) == 12  # the cells of c are empty
+    for (cx, cy, row), r in got.items():
+        for i in range(4):
+            x, y = 4 * cx + i, 4 * cy + row
+            t = next((t for t, (x0, y0) in at.items() if x0 <= x < x0 + 5 and y0 <= y < y0 + 3), None)
+            values = [bands[t][y][k][x - at[t][0]] for k in range(4)] if t else [9] * 4
+            assert r["mask"][i] == (values != [9] * 4)
+            assert [r.bands[k][i] for k in range(4)] == (values if r["mask"][i] else [0] * 4)
+
+
+def test_a_delivery_repairs_before_it_cuts(spark):
+    """The delivery's pixels are those of the correction, cut afterwards; files of other names are left out."""
+    from surveyspark.plans import pipelines
+
+    rows = [[255 if 2 <= r < 4 and 2 <= c < 4 else 100 for c in range(6)] for r in range(6)]
+    scan = spark.createDataFrame([("d", n, r, [line, line, line]) for n in ("x", "y") for r, line in enumerate(rows)], "delivery string, name string, row int, bands array<array<int>>")
+    tiles = spark.createDataFrame([("d", "x", 0, 0), ("d", "y", 6, 0)], "delivery string, name string, x0 long, y0 long")
+    going = spark.createDataFrame([("d", "x")], "delivery string, name string")
+    plain = pipelines.Images(scan, tiles, 6, [255, 255, 255]).of(going).collect()
+    fixed = pipelines.Images(scan, tiles, 6, [255, 255, 255], repair=(100, 10)).of(going).collect()
+    assert {(r.cx, r.cy) for r in plain} == {(r.cx, r.cy) for r in fixed} == {(0, 0)}
+    assert {r.row: r.bands[0] for r in plain}[2] == [100, 100, 0, 0, 100, 100]
+    assert {r.row: r.bands[0] for r in fixed}[2] == [100, 100, 254, 254, 100, 100]  # small and inside: no NoData
