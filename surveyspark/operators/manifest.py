@@ -100,6 +100,17 @@ def first_of_each(files: DataFrame, key: str, *order: str) -> DataFrame:
     return files.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
+def first_names(files: DataFrame, key: str, n: int, name: str = "name", parts: int = 64) -> DataFrame:
+    """key, total, first: the number of rows and the first ``n`` names in order, for messages that list a few. Names are ranked in
+    parts of a key first, so a key with most of the rows isn't sorted in one task."""
+    part = F.pmod(F.xxhash64(name), F.lit(parts))
+    inside = F.row_number().over(Window.partitionBy(key, "_part").orderBy(name))
+    few = files.select(key, name, part.alias("_part")).withColumn("_k", inside).filter(F.col("_k") <= n)
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(name))
+    lists = few.withColumn("_k", rank).filter(F.col("_k") <= n).groupBy(key).agg(F.array_sort(F.collect_list(name)).alias("first"))
+    return files.groupBy(key).agg(F.count("*").alias("total")).join(lists, key, "left")
+
+
 def mixed_variants(files: DataFrame) -> DataFrame:
     """delivery, has_ascii, has_laz, mixed."""
     ext = N.extension(F.col("name"))

@@ -122,22 +122,58 @@ def surface_values(scan: DataFrame, shade: Column, safe_max: int = 225) -> DataF
     return heights.unionByName(shades).drop("_shade")
 
 
+def _sums(line: Column, n: Column, start) -> Column:
+    """Sums of the n stretches of a line that begin at ``start(c)`` and end before ``start(c + 1)``."""
+    part = lambda c: F.slice(line, (start(c) + 1).cast("int"), (start(c + 1) - start(c)).cast("int"))
+    return F.transform(F.sequence(F.lit(0), n - 1), lambda c: F.aggregate(part(c), F.lit(0.0), lambda x, v: x + v))
+
+
+def _added(lists: Column) -> Column:
+    """Arrays of one length added up place by place."""
+    return F.aggregate(F.slice(lists, 2, F.size(lists)), lists[0], lambda x, y: F.zip_with(x, y, lambda p, q: p + q))
+
+
+def pyramid(scan: DataFrame, levels: int, band: str = "band") -> DataFrame:
+    """tile, level, r, values: scanlines of averages at half the size for each level from 1 on, each made of the level before.
+
+    Lines carry sums and numbers of pixels, so averages are exact where sizes are odd. A line of pixels stays one row.
+    """
+    line = F.transform(F.col(band), lambda v: v.cast("double"))
+    now = scan.select("tile", F.col("row").alias("r"), line.alias("sums"), F.transform(line, lambda _: F.lit(1.0)).alias("counts"))
+    out = []
+    for level in range(1, levels + 1):
+        half = lambda c: _sums(F.col(c), F.ceil(F.size(c) / 2).cast("int"), lambda k: 2 * k)
+        pairs = now.select("tile", F.floor(F.col("r") / 2).cast("int").alias("r"), half("sums").alias("sums"), half("counts").alias("counts"))
+        now = pairs.groupBy("tile", "r").agg(_added(F.collect_list("sums")).alias("sums"), _added(F.collect_list("counts")).alias("counts"))
+        out.append(now.select("tile", F.lit(level).alias("level"), "r", F.zip_with("sums", "counts", lambda x, n: x / n).alias("values")))
+    all_levels = out[0]
+    for more in out[1:]:
+        all_levels = all_levels.unionByName(more)
+    return all_levels
+
+
 def preview(scan: DataFrame, factor: int, band: str = "band") -> DataFrame:
-    """tile, r, c, value: block averages."""
-    px = scan.select("tile", F.floor(F.col("row") / factor).cast("int").alias("r"), F.posexplode(band).alias("i", "v"))
-    return px.groupBy("tile", "r", F.floor(F.col("i") / factor).cast("int").alias("c")).agg(F.avg("v").alias("value"))
+    """tile, r, c, value: block averages. Lines are summed up before they meet, ``factor`` of them in a group."""
+    n = F.ceil(F.size(band) / factor).cast("int")
+    sums = scan.select("tile", F.floor(F.col("row") / factor).cast("int").alias("r"), _sums(F.col(band), n, lambda c: c * factor).alias("s"), F.size(band).alias("w"))
+    blocks = sums.groupBy("tile", "r").agg(_added(F.collect_list("s")).alias("s"), F.count("*").alias("n"), F.max("w").alias("w"))
+    values = blocks.select("tile", "r", "n", "w", F.posexplode("s").alias("c", "s"))
+    return values.select("tile", "r", "c", (F.col("s") / (F.col("n") * (F.least("w", (F.col("c") + 1) * factor) - F.col("c") * factor))).alias("value"))
 
 
 def overview(scan: DataFrame, size: DataFrame, max_dim: int) -> DataFrame:
     """Previews of at most ``max_dim`` pixels a side. scan: tile, row, bands (arrays, the first three show; a single one is grey);
     size: tile, width, height, byte (8-bit values). Block averages; values of more bits are stretched between the 2nd and 98th
-    percentile of all bands of the tile. Returns tile, r, c, rgb."""
+    percentile of all bands of the tile (from counts of its values, merged over tasks). Returns tile, r, c, rgb."""
     scale = F.least(F.lit(1.0), max_dim / F.greatest("width", "height"))
-    out = lambda c: F.greatest(F.lit(1.0), F.bround(F.col(c) * scale))
+    out = lambda c: F.greatest(F.lit(1), F.bround(F.col(c) * scale).cast("int"))
     s = size.select("tile", "byte", "width", "height", out("width").alias("ow"), out("height").alias("oh"))
-    rows = scan.select("tile", "row", F.posexplode(F.slice("bands", 1, 3)).alias("band", "line"))
-    cells = rows.join(s, "tile").select("tile", "byte", "band", F.floor(F.col("row") * F.col("oh") / F.col("height")).cast("int").alias("r"), "ow", "width", F.posexplode("line").alias("i", "v"))
-    mean = cells.groupBy("tile", "byte", "band", "r", F.floor(F.col("i") * F.col("ow") / F.col("width")).cast("int").alias("c")).agg(F.avg("v").alias("v"))
+    rows = scan.select("tile", "row", F.posexplode(F.slice("bands", 1, 3)).alias("band", "line")).join(s, "tile")
+    begin = lambda c: F.floor((c * F.col("width") + F.col("ow") - 1) / F.col("ow"))
+    lines = rows.select("tile", "byte", "band", F.floor(F.col("row") * F.col("oh") / F.col("height")).cast("int").alias("r"), "width", "ow", _sums(F.col("line"), F.col("ow"), begin).alias("s"))
+    blocks = lines.groupBy("tile", "byte", "band", "r", "width", "ow").agg(_added(F.collect_list("s")).alias("s"), F.count("*").alias("n"))
+    mean = blocks.select("tile", "byte", "band", "r", "n", "width", "ow", F.posexplode("s").alias("c", "s"))
+    mean = mean.select("tile", "byte", "band", "r", "c", (F.col("s") / (F.col("n") * (begin(F.col("c") + 1) - begin(F.col("c"))))).alias("v"))
     ends = mean.filter("NOT byte").groupBy("tile").agg(F.percentile("v", F.array(F.lit(0.02), F.lit(0.98))).alias("p"))
     low, high = F.col("p")[0], F.col("p")[1]
     grey = F.when(F.col("byte"), F.col("v")).otherwise((F.col("v") - low) * (255.0 / F.when(high > low, high - low).otherwise(1.0)))

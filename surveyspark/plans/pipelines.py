@@ -121,6 +121,13 @@ def with_documents(files: DataFrame, meta: DataFrame, products: DataFrame) -> Da
     return j.select("delivery", "ord", "name", xmlout.tile_document(col("gds"), col("name"), values).alias("xml"))
 
 
+def preview(files: DataFrame, meta: DataFrame, products: DataFrame) -> DataFrame:
+    """delivery, name, xml: the document of each delivery's first main file by name, built of this one file only."""
+    main = files.filter(N.extension(F.col("name")).isin(".tif", ".tiff", ".laz"))
+    first = main.groupBy("delivery").agg(F.min(F.struct("name", "ord"))["ord"].alias("ord"))
+    return D.preview(with_documents(main.join(first, ["delivery", "ord"], "left_semi"), meta, products))
+
+
 def nodata_delivery(scan: DataFrame, tiles: DataFrame, nodata: int, min_size: int, min_contact: int) -> dict[str, DataFrame]:
     """Correction of false NoData of a tile set: empty tiles go first, as they are no neighbours; then labels, groups, pixels.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from surveyspark import rules
+from surveyspark.operators import raster as R
 
 from . import pipelines
 from .catalog_queries import _meta, _raster_files
@@ -50,7 +51,13 @@ def pipeline_surface_pixels(spark, sf_dir):
     return out.select("delivery", "name", "row", F.array_join(low, ",").alias("band"))
 
 
-QUERIES = {f.__name__: f for f in (pipeline_pixels, pipeline_surface_pixels)}
+def pyramid_levels(spark, sf_dir):
+    """Four levels of averages of each tile, 50 x 64 pixels at first."""
+    levels = R.pyramid(v_scan(spark, sf_dir), 4)
+    return levels.select("tile", "level", "r", F.posexplode("values").alias("c", "value"))
+
+
+QUERIES = {f.__name__: f for f in (pipeline_pixels, pipeline_surface_pixels, pyramid_levels)}
 
 ORACLE = {
     "pipeline_pixels": f"""WITH {_RGB},
@@ -64,4 +71,6 @@ ORACLE = {
       SELECT CAST(tile % 7 AS VARCHAR) AS delivery, '2020_BERN_' || CASE WHEN tile % 2 = 0 THEN 'hillshade' ELSE 'DSM' END || '_50cm_' || tile || '_1_LV95_LN02.tif' AS name, row,
         string_agg(CASE WHEN tile % 2 = 1 AND val = 255 THEN 'low' WHEN todo AND val <> 255 THEN CAST(CAST(round_even(val * 225 / 254.0, 0) AS INTEGER) AS VARCHAR) ELSE CAST(val AS VARCHAR) END, ',' ORDER BY col) AS band
       FROM v_pix JOIN t USING (tile) WHERE tile % 7 % 4 <> 0 GROUP BY tile, row""",
+    "pyramid_levels": f"""WITH {V_SCAN} SELECT tile, CAST(k AS INTEGER) AS level, CAST(row >> k AS INTEGER) AS r, CAST(col >> k AS INTEGER) AS c, avg(val) AS value
+      FROM v_pix, range(1, 5) l(k) GROUP BY tile, k, row >> k, col >> k""",
 }
