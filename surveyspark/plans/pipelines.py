@@ -193,6 +193,43 @@ def point_conversion(
     return {"report": report, "documents": with_documents(flat, meta, products), "rows": rows}
 
 
+def text_conversion(
+    lines: DataFrame, cells: DataFrame, meta: DataFrame, products: DataFrame, delivery: str, year: int, area: str, size: int = 1000, scale: float = 0.01, sums: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """SB_DSM_PUNKTWOLKE from text to manifest in one chain: sniff -> points -> cells -> requantised tiles -> frame gate and validation
+    against the points as read -> documents and two manifest rows of each tile that passes.
+
+    lines (file, line_no, value) in metres; cells (ix, iy, name: its key); sums (name, md5) of the written tiles, if there are any yet.
+    sources: what each text is and its lines that are left out; tiles: requantised points by the tile's file name; balance: points in
+    cells and outside; report: name, points, problems, status.
+    """
+    sniffed = points.sniff(lines)
+    read = points.xyz_points(lines, sniffed)
+    ignored = read.groupBy("file").agg(F.count_if("ignored").alias("ignored"), F.count_if(~F.col("ignored")).alias("points"))
+    tiled = points.to_cells(read.filter("NOT ignored").select("file", "x", "y", "z"), cells, size)
+    named = tiled.filter("name IS NOT NULL").withColumn("name", N.point_tile_name(F.lit(year), F.lit(area), F.col("name")))
+    moved = {c: geo.requantised(F.col(c), F.lit(0.0), scale) for c in ("x", "y", "z")}
+    tiles = named.withColumns(moved)
+    dims = ("x", "y", "z")
+    kept = points.compare_ranges(points.ranges(named, "name", dims), points.ranges(tiles, "name", dims), "name", scale, ()).filter("problem IS NOT NULL")
+    heads = points.tile_headers(tiles).withColumn("at", N.las_origin(F.col("name")))
+    off = geo.frame_violation(*[F.col(c) for c in ("minx", "maxx", "miny", "maxy", "at.e_km", "at.n_km")])
+    heights = ~geo.z_plausible(F.col("minz"), F.col("maxz"))
+    frame = heads.select("name", F.explode(F.filter(F.array(F.col("at.problem"), F.when(off, "outside its cell")), lambda x: x.isNotNull())).alias("problem"))
+    found = frame.unionByName(kept.select("name", F.concat(F.lit("range: "), F.col("dim"), F.lit(" "), F.col("problem")).alias("problem")))
+    by_tile = found.groupBy("name").agg(F.array_sort(F.collect_set("problem")).alias("problems"))
+    status = F.when(F.col("problems").isNotNull(), "failed").otherwise("ok")
+    report = heads.select("name", "points", heights.alias("heights_unlikely")).join(by_tile, "name", "left").withColumn("status", status)
+    none = {c: F.lit(None).cast(t) for c, t in (("px", "double"), ("py", "double"), ("block", "int"), ("width", "int"), ("height", "int"))}
+    files = report.filter("status = 'ok'").select(F.lit(delivery).alias("delivery"), F.col("name").alias("ord"), F.lit("SB_DSM_PUNKTWOLKE").alias("gds"), "name", F.lit("").alias("nodata")).withColumns(none)
+    files = files.join(sums.select("name", "md5"), "name", "left") if sums is not None else files.withColumn("md5", F.lit(None).cast("string"))
+    rows = manifest.csv_rows(files.select("ord", "gds", "name", "md5", F.lit("").alias("footprint")))
+    return {
+        "sources": sniffed.join(ignored, "file", "left"), "tiles": tiles, "balance": points.balance(tiled), "report": report,
+        "documents": with_documents(files, meta, products), "rows": rows,
+    }
+
+
 def preflight(deliveries: DataFrame, products: DataFrame, items: DataFrame, packages: DataFrame) -> DataFrame:
     """One row per delivery: ok, warn (the catalog or the queue has it already) or blocked (invalid)."""
     valid = D.validate(deliveries, products).select("delivery", "errors", "is_dmc", "gds", "item", "catalog", "package")
