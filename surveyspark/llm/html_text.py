@@ -7,8 +7,8 @@ above the mean ratio less a share of the deviation, and all of prose (``PLAIN``
 cluster only chooses the content region: the outermost article or main elements that hold it, or, if it lies elsewhere, the
 smallest container that holds all of it. Every line of the region stays, short ones too. Menus, headers, footers, sidebars,
 notices, adverts, forms and comments never become content: their elements (by tag, role, class or id) take part in the ratios
-but not in the region. A form, or a part left out by role, class or id, is content after all if it holds the page's only
-articles, or the greater part of the page's text and no article is beside it.
+but not in the region; marked inline elements lose their text. A form, or a part left out by role, class or id, is content after
+all if it holds the page's only articles, or the greater part of the text of a page that has no article beside or around it.
 
 Defined cases: null, empty and text-free pages give an empty text; unclosed and stray tags are tolerated; declarations of an
 unknown kind are comments, and comments and tags that nothing closes reach to the end; what the parser refuses ends the page
@@ -42,10 +42,12 @@ NEVER = frozenset(
     "aside button dialog footer form head iframe menu nav noscript object search select svg template textarea".split()
 )
 RAW = frozenset("script style".split())
+#: Elements without an end.
+VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
 MARKS = frozenset(
     "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies "
-    "disqus footer header masthead menu modal nav navbar navigation newsletter notice popup promo related "
+    "disqus footer header masthead menu modal nav navbar navigation newsletter notice popup promo promoted related "
     "share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
 ROOTS = frozenset(("article", "main"))
@@ -53,13 +55,14 @@ ROOTS = frozenset(("article", "main"))
 SOFT = frozenset("dialog form".split())
 #: Parts that may stand beside the marks in a class name; further parts, such as those of has-sidebar, make it no mark.
 BESIDE = frozenset(
-    "area bar block bottom box button buttons container desktop form global icons inner item items left link links list "
+    "area bar block bottom box button buttons container content desktop form global icons inner item items left link links list "
     "main mobile posts primary right row secondary section signup site slot top unit wrapper".split()
 )
-COMMENT = frozenset("comment comments commentlist commentform respond".split())
+COMMENT = frozenset("comment comments commentlist commentform replies respond".split())
 STATES = frozenset("allow closed count disabled enabled has hide is no off on open show status with without".split())
 SPACE = re.compile(r"\s+")
 SPLIT = re.compile(r"[^a-z0-9]+")
+CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 SHORT_COMMENT, COMMENT_END = re.compile(r"<!---?>"), re.compile(r"--!?>")
 #: Share of the content cluster's text that articles and mains must hold to be the region, smoothing width in lines, the
 #: threshold's place below the mean in deviations, and letters a tag of what is prose in any case.
@@ -73,8 +76,8 @@ HEADING = frozenset("header masthead".split())
 
 
 def names_of(attrs: list[tuple[str, str | None]]) -> list[list[str]]:
-    """The parts of each class name and id."""
-    whole = (w for k, v in attrs if v and k in ("class", "id") for w in v.lower().split())
+    """The parts of each class name and id, also at changes of case."""
+    whole = (w for k, v in attrs if v and k in ("class", "id") for w in CAMEL.sub("-", v).lower().split())
     return [[p for p in SPLIT.split(w) if p] for w in whole]
 
 
@@ -107,6 +110,7 @@ class Lines(HTMLParser):
         self.up: list[int] = [0]
         self.roots: set[int] = set()
         self.soft: dict[int, bool] = {}
+        self.muted: list[str] = []
 
     def parse_marked_section(self, i: int, report: int = 1) -> int:
         end = self.rawdata.find(">", i)
@@ -131,6 +135,7 @@ class Lines(HTMLParser):
         return k if (k := super().parse_starttag(i)) >= 0 else len(self.rawdata)
 
     def cut(self) -> None:
+        self.muted.clear()  # an inline element ends with its block
         if self.parts:
             text = SPACE.sub(" ", "".join(self.parts)).strip()
             self.parts.clear()
@@ -192,6 +197,8 @@ class Lines(HTMLParser):
                 self.soft[c] = comment
         elif tag in MARKABLE and attrs and any(map(is_mark, names_of(attrs))):
             self.enter(tag, True)
+        elif tag not in BLOCKS and tag not in VOID and (self.muted or attrs and any(map(is_mark, names_of(attrs)))):
+            self.muted.append(tag)  # a marked inline element, or one in it
 
     def handle_endtag(self, tag: str) -> None:
         if tag in RAW:
@@ -199,12 +206,15 @@ class Lines(HTMLParser):
             return
         if tag in BLOCKS or tag in CONTAINERS:
             self.cut()
+        elif tag in self.muted:
+            while self.muted.pop() != tag:
+                pass
         if self.tag_count[tag]:
             depth = next(i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == tag)
             self.leave_to(depth)
 
     def handle_data(self, data: str) -> None:
-        if not self.raw:
+        if not self.raw and not self.muted:
             self.parts.append(data)
 
     def finish(self) -> None:
@@ -249,10 +259,15 @@ def left_out(lines: list[Line], ends: list[int], up: list[int], roots: set[int],
         size[c + 1] += len(text)
         number[c + 1] += 1
     size, number = np.cumsum(size), np.cumsum(number)  # before a container's number
-    large = {c for c in soft if 2 * (size[ends[c] + 1] - size[c]) > size[-1]}
-    out = soft.keys() - large
     inmost, last = around(roots, up, True), np.array(ends)
     places = np.array([x[2] for x in rest], np.int64)
+    # in an article that has text of its own, or with articles in it, a part's size doesn't matter
+    own = np.zeros(len(ends) + 1, np.int64)
+    np.add.at(own, places[~marked(soft, ends)[places] & (inmost[places] > 0)] + 1, 1)
+    own = np.cumsum(own)
+    spoken = lambda c: (r := int(inmost[up[c]])) > 0 and own[ends[r] + 1] > own[r]
+    large = {c for c in soft if 2 * (size[ends[c] + 1] - size[c]) > size[-1] and not spoken(c)}
+    out = soft.keys() - large
     clean = places[~marked(out, ends)[places] & (inmost[places] > 0)]
     root = inmost[clean]
     for c in large:

@@ -304,3 +304,29 @@ def test_rollup_against_plain_sums():
             if parent[i] >= 0:
                 wanted[parent[i]] += wanted[i]
         assert (conversation_trie.rollup(parent, values) == wanted).all()
+
+
+# --- main text: adverts and inline marks ---------------------------------------------------------------------------------------
+
+
+def test_marked_parts_of_an_article_go_whatever_their_size():
+    from surveyspark.llm.html_text import main_text
+
+    ad = "Buy this and that now " * 40
+    for part in (f'<div class="ad"><p>{ad}</p></div>', f'<section id="cookieConsent"><p>{ad}</p></section>', f'<div class="promoted-content">{ad}</div>', f'<div class="replies"><p>{ad}</p></div>', f'<p class="advert">{ad}</p>'):
+        assert main_text(f"<body><article><h1>T</h1><p>Own text.</p>{part}<p>More.</p></article></body>") == "T\nOwn text.\nMore.", part
+    assert main_text(f'<body><main><div class="widget"><p>{ad}</p></div></main></body>') == ad.strip()  # all that it has
+
+
+def test_marked_inline_elements_lose_their_text():
+    from surveyspark.llm.html_text import main_text
+
+    assert main_text('<article><p>One <span class="ad">Buy <b>now</b> here</span>two <b class="x">three</b></p><p>Four</p></article>') == "One two three\nFour"
+    assert main_text('<article><p>One <span class="sponsored">never closed</p><p>Two</p></article>') == "One\nTwo"
+    assert main_text('<article><p>A<br class="ad">B <img class="ad">C</p></article>') == "A B C"
+
+
+def test_main_text_of_an_empty_table(spark):
+    from surveyspark.llm.html_text import extract_text
+
+    assert extract_text(spark.createDataFrame([], "page_id long, url string, html string, text string")).collect() == []
