@@ -1,7 +1,7 @@
 """A manifest as a log of runs: appends that survive repeated, failed and concurrent jobs.
 
-A run writes its rows to a folder of its own, in parallel, and then takes the next free number by creating the file ``log/<number>``,
-which only one writer can. Rows without such a file are not part of the manifest, so a job that fails midway leaves nothing
+A run writes its rows to a folder of its own, in parallel, and then takes the next free number: only one writer can create the
+file of a number (``log/<number>``, where links are made at once, else an empty ``claims/<number>`` and then the text by renaming). Rows without such a file are not part of the manifest, so a job that fails midway leaves nothing
 behind that is seen, and nobody's rows are overwritten. Numbers give the order of runs. A repeated run, by its name, adds nothing;
 the same name with other rows is refused. ``compact`` writes the rows of all runs so far together; readers take the latest such
 table and the runs after it.
@@ -17,6 +17,7 @@ import re
 import uuid
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,25 +56,40 @@ class RunLog:
                 return False
             finally:
                 os.unlink(part)
-        store, at = self._hadoop(f"{self.folder}/log/{name}")
-        if not store.createNewFile(at):
+        store, claim = self._hadoop(f"{self.folder}/claims/{name}")
+        try:
+            if not store.createNewFile(claim):
+                return False
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" not in str(e.java_exception):
+                raise
             return False
-        out = store.create(at, True)  # it is this writer's file now
+        part, at = (self._hadoop(f"{self.folder}/log/{n}")[1] for n in (f".{uuid.uuid4().hex}", name))
+        out = store.create(part)
         out.write(bytearray(text.encode()))
         out.close()
-        return True
+        return bool(store.rename(part, at))
+
+    def _names(self, part: str) -> list[str]:
+        if (local := self._local()) is not None:
+            return [n for n in (os.listdir(f"{local}/{part}") if os.path.isdir(f"{local}/{part}") else []) if n[0] != "."]
+        store, at = self._hadoop(f"{self.folder}/{part}")
+        names = [x.getPath().getName() for x in store.listStatus(at)] if store.exists(at) else []
+        return [n for n in names if n[0] != "."]
 
-    def _markers(self) -> dict[str, dict | None]:
-        """By name; None where a writer stopped before it wrote the text: the number is used up, but nothing is committed."""
+    def _text(self, name: str) -> str:
         if (local := self._local()) is not None:
-            names = [n for n in (os.listdir(f"{local}/log") if os.path.isdir(f"{local}/log") else []) if n[0] != "."]
-            texts = {n: open(f"{local}/log/{n}", encoding="utf-8").read() for n in names}
-        else:
-            store, at = self._hadoop(f"{self.folder}/log")
-            found = {x.getPath().getName(): x for x in store.listStatus(at)} if store.exists(at) else {}
-            read = lambda x: self.spark._jvm.org.apache.commons.io.IOUtils.toString(store.open(x.getPath()), "UTF-8")
-            texts = {n: read(x) for n, x in found.items()}
-        return {n: json.loads(t) if t else None for n, t in texts.items()}
+            with open(f"{local}/log/{name}", encoding="utf-8") as f:
+                return f.read()
+        store, at = self._hadoop(f"{self.folder}/log/{name}")
+        return self.spark._jvm.org.apache.commons.io.IOUtils.toString(store.open(at), "UTF-8")
+
+    def _markers(self) -> dict[str, dict]:
+        return {n: json.loads(self._text(n)) for n in self._names("log")}
+
+    def _next(self) -> int:
+        """The first number that nobody has taken. A writer that stops before it moves its text uses its number up, no more."""
+        return 1 + max((int(n) for part in ("log", "claims") for n in self._names(part) if n.isdigit()), default=-1)
 
     # --- runs ---
 
@@ -81,7 +97,7 @@ class RunLog:
         """Committed runs in order: number, name, path, rows, digest. Of runs of one name the first counts."""
         out: dict[str, dict] = {}
         for n, m in sorted(self._markers().items()):
-            if n.isdigit() and m:
+            if n.isdigit():
                 out.setdefault(m["name"], {"number": int(n)} | m)
         return sorted(out.values(), key=lambda m: m["number"])
 
@@ -93,15 +109,14 @@ class RunLog:
         written = self.spark.read.schema(ROWS).parquet(path)
         own = written.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.xxhash64("ord", "part", "line").cast("decimal(38,0)")), F.lit(0)).cast("string").alias("digest")).first()
         while not (same := [m for m in self.runs() if m["name"] == name]):
-            taken = [int(n) for n in self._markers() if n.isdigit()]
-            self._create(f"{max(taken, default=-1) + 1:09d}", json.dumps({"name": name, "path": path, "rows": own.n, "digest": own.digest}))
+            self._create(f"{self._next():09d}", json.dumps({"name": name, "path": path, "rows": own.n, "digest": own.digest}))
         if (same[0]["rows"], same[0]["digest"]) != (own.n, own.digest):
             raise RunConflict(f"run {name} was committed with other rows")
         return same[0]["number"]
 
     def read(self) -> DataFrame:
         """run, ord, part, line of all committed runs."""
-        tables = sorted((int(n.split("-")[1]), m["path"]) for n, m in self._markers().items() if n.startswith("compact-") and m)
+        tables = sorted((int(n.split("-")[1]), m["path"]) for n, m in self._markers().items() if n.startswith("compact-"))
         upto, done = tables[-1] if tables else (-1, None)
         parts = [self.spark.read.schema(f"run int, {ROWS}").parquet(done)] if done else []
         for m in self.runs():

@@ -49,7 +49,8 @@ def test_compaction_keeps_what_comes_after(spark, log):
     assert lines(log) == [(0, "a1"), (1, "b1"), (2, "c1")]
 
 
-def test_writers_at_once_keep_all(spark, log):
+def test_writers_at_once_keep_all(spark, tmp_path):
+    log = RunLog(spark, f"file://{tmp_path}/manifest")  # Hadoop's local file system can't create exclusively
     with ThreadPoolExecutor(4) as pool:
         numbers = list(pool.map(lambda k: log.commit(f"run{k % 3}", rows(spark, f"line{k % 3}")), range(4)))
     assert len(set(numbers)) == 3 and numbers[0] == numbers[3]
@@ -67,7 +68,7 @@ def test_a_number_without_text_is_no_run(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(RunLog, "_local", lambda self: None)
     log = RunLog(spark, f"file://{tmp_path}/manifest")
     log.commit("a", rows(spark, "a1"))
-    (tmp_path / "manifest" / "log" / "000000001").touch()
+    (tmp_path / "manifest" / "claims" / "000000001").touch()
     assert log.commit("b", rows(spark, "b1")) == 2
     assert lines(log) == [(0, "a1"), (2, "b1")]
 
