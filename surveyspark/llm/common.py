@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -14,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from surveyspark.sources.shared import saved, shared_dir  # noqa: F401 (shared_dir is used by the operators)
+
 #: Bytes up to which a stashed table may be broadcast (in Spark's rows, not in the file); beyond it joins shuffle.
 BROADCAST_BYTES = 32 << 20
 
@@ -22,19 +23,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or, where that is unset, one in the warehouse,
-    which they share too."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    return path.rstrip("/") if path else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
-
-
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage is cut and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return saved(df, name)
 
 
 def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
