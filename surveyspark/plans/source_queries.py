@@ -8,11 +8,11 @@ import uuid
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from surveyspark.sources import files, las, ranged, sinks
+from surveyspark.sources import files, las, layout, ranged, sinks
 from surveyspark.sources.runlog import RunLog
 from surveyspark.sources.shared import shared_dir
 
-from .derive import table
+from .derive import V_POINT, table, v_point
 
 
 def point_files(batches):
@@ -78,7 +78,14 @@ def manifest_log(spark, sf_dir):
     return log.read()
 
 
-QUERIES = {f.__name__: f for f in (las_inventory, file_checksums, file_scan, manifest_log)}
+def points_in_box(spark, sf_dir):
+    """Points laid out along a Morton curve, then those of a box, from its files only."""
+    path = f"{shared_dir(spark)}/points-{uuid.uuid4().hex}"
+    layout.write_points(v_point(spark, sf_dir), path, 100, 20_000)
+    return layout.read_box(spark, path, 260_100_000, 110_050_000, 260_500_000, 110_200_000)
+
+
+QUERIES = {f.__name__: f for f in (las_inventory, file_checksums, file_scan, manifest_log, points_in_box)}
 
 ORACLE = {
     "las_inventory": """SELECT l_suppkey || CASE WHEN l_suppkey % 3 = 0 THEN '.LAS' ELSE '.laz' END AS name, CASE WHEN g THEN 375 + 30 * n ELSE 100 END AS length,
@@ -92,4 +99,5 @@ ORACLE = {
       FROM (SELECT *, ['.tif', '.LAZ', '', '.xml'][c_custkey % 4 + 1] AS e FROM customer) WHERE e IN ('.LAZ', '.xml')""",
     "manifest_log": """SELECT CAST(substr(o_orderpriority, 1, 1) AS INTEGER) - 1 AS run, lpad(o_orderkey::VARCHAR, 12, '0') AS ord, 0 AS part, o_orderkey || ';' || o_custkey AS line
       FROM orders WHERE o_custkey % 10 <> 0""",
+    "points_in_box": f"WITH {V_POINT} SELECT * FROM v_point WHERE x BETWEEN 260100000 AND 260500000 AND y BETWEEN 110050000 AND 110200000",
 }
