@@ -36,16 +36,14 @@ def dtype_deviations(rasters: DataFrame) -> DataFrame:
 
 def tags(gds: Column, nodata: Column, bands: Column, has_mask: Column, corrected: Column, rewrite: Column) -> list[Column]:
     """nodata_tag (a value per band, blank-separated; null if the number of values doesn't fit) and mask_action (none, make)."""
-    values = F.filter(F.split(F.trim(F.coalesce(nodata, F.lit(""))), " +"), lambda x: x != "")
-    fits = F.when(F.size(values) == 1, F.array_repeat(values[0], bands)).when(F.size(values) == bands, values)
+    fits = N.nodata_bands(F.coalesce(nodata, F.lit("")), bands)
     make = ~gds.isin("SB_DSM", "SB_DSM_PUNKTWOLKE") & ~corrected & fits.isNotNull() & (rewrite | ~has_mask)
     return [F.array_join(fits, " ").alias("nodata_tag"), F.when(make, "make").otherwise("none").alias("mask_action")]
 
 
 def files_of_lines(files: DataFrame, lines: DataFrame) -> DataFrame:
     """files (name) of the chosen flight lines (hhmm): their names have the line's time before NRGB."""
-    token = F.regexp_extract("name", r"(?i)(\d{4})NRGB", 1)
-    return files.withColumn("hhmm", token).filter("hhmm <> ''").join(lines.select("hhmm").distinct(), "hhmm", "left_semi")
+    return files.withColumn("hhmm", N.line_token(F.col("name"))).filter("hhmm IS NOT NULL").join(lines.select("hhmm").distinct(), "hhmm", "left_semi")
 
 
 def package_counts(documents: DataFrame) -> DataFrame:
