@@ -8,8 +8,7 @@ letter of its own, so a stem at the beginning of a word differs from the same le
 Training takes a bounded, hashed sample of the labelled documents (``max_docs``), each whole. A label is that of the document,
 and a toxic document needs one toxic chunk only, so training is multiple-instance: the first witnesses are the chunks that by
 the likelihood of their counts belong to toxic documents (so documents with a wrong label bring none); the machine is fitted
-on the Nystroem features of all clean chunks against the witnesses (a working set takes in every chunk that violates its margin,
-until none is left), a surer witness having to reach a larger margin; in turns,
+on the Nystroem features of clean chunks against the witnesses, a surer witness having to reach a larger margin; in turns,
 chunks that it takes for toxic and that toxic documents have far more often become witnesses too. A document's score is the
 logistic of the margins of its three best distinct words and the logarithm of their number, fitted on training documents with
 machines that did not see them.
@@ -37,13 +36,9 @@ from pyspark.sql import functions as F
 
 from .common import map_arrow, map_pandas, own, sliced, trim
 
-P, DECAY, LANDMARKS = 3, 0.6, 256
-#: Labelled documents that training takes at most, each whole; all their chunks count.
-MAX_DOCS = 4000
-#: Clean chunks that the working set starts with (it grows as needed), and the tolerance of a margin.
-START, SLACK = 4500, 0.05
-#: Cost of the witnesses together, and how many times as much the clean chunks have together.
-COST, BALANCE = 120_000.0, 5.0
+P, DECAY, LANDMARKS = 3, 0.6, 192
+#: Labelled documents that training takes at most, each whole, and distinct chunks that a machine is first fitted on.
+MAX_DOCS, MAX_CHUNKS = 4000, 6000
 #: Parts for the calibration, evidence of a first witness (log-likelihood), and how many times more often toxic documents
 #: must have a further one.
 FOLDS, SURE, LIFT = 3, 7.5, 4.0
@@ -122,18 +117,28 @@ def norms(index: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return np.sqrt(np.bincount(rows, sums**2, len(index))).astype(np.float32)
 
 
-def dense(chunks: list[str]) -> np.ndarray:
-    """Normalised explicit features, a column for each chunk."""
-    out = np.zeros((BASE**P, len(chunks)), np.float32)
-    for i, x in enumerate(chunks):
-        index, weight = subsequences(codes([x]))
+def compact(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Normalised explicit features, a column for each chunk and a row for each subsequence that any of them has, after a row of
+    zeros; and the row of every subsequence."""
+    found = [subsequences(codes([x])) for x in chunks]
+    used = np.unique(np.concatenate([index[0] for index, _ in found]))
+    row_of = np.zeros(BASE**P, np.int32)
+    row_of[used] = np.arange(1, len(used) + 1)
+    table = np.zeros((len(used) + 1, len(chunks)), np.float32)
+    for i, (index, weight) in enumerate(found):
         if index.shape[1]:
-            np.add.at(out[:, i], index[0], weight / norms(index, weight)[0])
-    return out
+            np.add.at(table[:, i], row_of[index[0]], weight / norms(index, weight)[0])
+    return table, row_of
+
+
+def dense(chunks: list[str]) -> np.ndarray:
+    """The same with a row for every subsequence there is."""
+    table, row_of = compact(chunks)
+    return table[row_of]
 
 
-def project(chunks: list[str], table: np.ndarray) -> np.ndarray:
-    """<feature row, each column of table>; chunks: at most LONGEST letters. table: (BASE**P, m)."""
+def project(chunks: list[str], table: np.ndarray, row_of: np.ndarray | None = None) -> np.ndarray:
+    """<feature row, each column of table>; chunks: at most LONGEST letters and a mark. table: (BASE**P, m), or compact."""
     out = np.zeros((len(chunks), table.shape[1]), np.float32)
     lengths = np.array([len(x) for x in chunks])
     for n in np.unique(lengths):
@@ -144,12 +149,13 @@ def project(chunks: list[str], table: np.ndarray) -> np.ndarray:
         for i in range(0, len(where), step):
             some = where[i : i + step]
             index, weight = subsequences(codes([chunks[k] for k in some]))
-            sums = np.einsum("bcm,c->bm", table[index], weight) if table.shape[1] > 1 else (table[:, 0][index] @ weight)[:, None]
+            at = index if row_of is None else row_of[index]
+            sums = np.einsum("bcm,c->bm", table[at], weight) if table.shape[1] > 1 else (table[:, 0][at] @ weight)[:, None]
             out[some] = sums / norms(index, weight)[:, None]
     return out
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 30) -> np.ndarray:
+def fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 20.0, rounds: int = 30) -> np.ndarray:
     """Squared-hinge linear SVM by Newton steps over the active rows; y: the margins to reach, with the labels' signs; the
     last weight is the bias."""
     x = np.hstack([x, np.ones((len(x), 1))])
@@ -158,7 +164,7 @@ def fit_svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 30) ->
     keep[-1, -1] = 1e-3
     for _ in range(rounds):
         active = np.sign(y) * (x @ w) < np.abs(y)
-        a = x[active] * cost[active][:, None]
+        a = x[active] * (cost * weight[active])[:, None]
         new = np.linalg.solve(keep + a.T @ x[active], a.T @ y[active])
         if np.allclose(new, w, atol=1e-6):
             break
@@ -212,45 +218,40 @@ def machine(names: list[str], bags: Bags, seed: int = 7, turns: int = 3) -> dict
     witness[usable] = sure[usable] >= min(SURE, sure[usable].max() / 2)
     witness &= sure > 0
     rng = np.random.default_rng(seed)
+    suspects = usable[np.argsort(-sure[usable], kind="stable")][: MAX_CHUNKS // 4]
     clean = usable[count[usable, 0] > 0]
     chance = np.log1p(count[clean, 0])
-    likely = usable[np.argsort(-sure[usable], kind="stable")]
-    first = likely[witness[likely]][: LANDMARKS // 2]
-    some = lambda n: rng.choice(clean, min(len(clean), n), replace=False, p=chance / chance.sum()) if len(clean) else clean
-    marks = begun([names[i] for i in np.unique(np.concatenate([first, some(LANDMARKS - len(first))]))])
-    phi = dense(marks)
+    others = rng.choice(clean, min(len(clean), MAX_CHUNKS * 3 // 4), replace=False, p=chance / chance.sum()) if len(clean) else clean
+    pool = np.unique(np.concatenate([suspects, others]))
+    first = suspects[witness[suspects]][: LANDMARKS // 2]
+    rest = rng.choice(others, min(len(others), LANDMARKS - len(first)), replace=False) if len(others) else others
+    marks = begun([names[i] for i in np.unique(np.concatenate([first, rest]))])
+    phi, row_of = compact(marks)
     value, vector = np.linalg.eigh(phi.T @ phi + 1e-4 * np.eye(len(marks)))
     root = (vector / np.sqrt(np.maximum(value, 1e-4))).astype(np.float32)
+    z = project(begun([names[i] for i in pool]), phi, row_of) @ root
     rate = (count[:, 1] / toxic_n) / ((count[:, 0] + 0.5) / clean_n)
-    pool, z = np.zeros(0, np.int64), np.zeros((0, len(marks)), np.float32)
-    grown = np.unique(np.concatenate([usable[witness[usable]], some(START)]))
     for turn in range(turns):
-        good, bad = usable[witness[usable]], usable[(count[usable, 0] > 0) & ~witness[usable]]
-        if not len(good) or not len(bad):
+        good = witness[pool]
+        bad = (count[pool, 0] > 0) & ~good
+        if not good.any() or not bad.any():
             return None
+        x = np.vstack([z[good], z[bad]])
         # the surer a witness, the larger the margin it has to reach
-        target = np.where(witness, 1 + np.clip(np.log10(np.maximum(sure, SURE) / SURE), 0, 1), -1.0)
-        cost = np.zeros(len(names))
-        w_good, w_bad = np.log1p(count[good, 1]), np.log1p(count[bad, 0])
-        cost[good], cost[bad] = COST * w_good / w_good.sum(), BALANCE * COST * w_bad / w_bad.sum()
-        while True:
-            pool, z = np.concatenate([pool, grown]), np.vstack([z, project(begun([names[i] for i in grown]), phi) @ root])
-            used = cost[pool] > 0
-            w = fit_svm(z[used], target[pool[used]], cost[pool[used]])
-            column = phi @ (root @ w[:-1]).astype(np.float32)
-            score = np.full(len(names), -10.0)
-            score[usable] = project(begun([names[i] for i in usable]), column[:, None])[:, 0] + w[-1]
-            outside = np.setdiff1d(np.concatenate([good, bad]), pool)
-            grown = outside[np.sign(target[outside]) * score[outside] < np.abs(target[outside]) - SLACK]
-            if not len(grown):
-                break
+        y = np.concatenate([1 + np.clip(np.log10(np.maximum(sure[pool[good]], SURE) / SURE), 0, 1), -np.ones(bad.sum())])
+        w_good, w_bad = np.log1p(count[pool[good], 1]), np.log1p(count[pool[bad], 0])
+        w = fit_svm(x, y, np.concatenate([w_good / w_good.sum(), w_bad / w_bad.sum()]) * len(y))
+        column = (phi @ (root @ w[:-1]).astype(np.float32))[row_of]
+        score = np.full(len(names), -10.0)
+        score[usable] = project(begun([names[i] for i in usable]), column[:, None])[:, 0] + w[-1]
         if turn < turns - 1:
+            # what this machine rates highest joins the pool: clean chunks that it passes worst, and likely witnesses
+            fresh = np.setdiff1d(usable, pool)
+            hard = fresh[np.argsort(-score[fresh], kind="stable")][: MAX_CHUNKS // 4]
+            pool = np.concatenate([pool, hard])
+            z = np.vstack([z, project(begun([names[i] for i in hard]), phi, row_of) @ root])
             # forms of a known witness that toxic documents have far more often are witnesses too
-            more = usable[(score[usable] > 0) & (rate[usable] >= LIFT) & (count[usable, 1] > 0) & ~witness[usable]]
-            if not len(more):
-                break
-            witness[more] = True
-            grown = np.setdiff1d(more, pool)
+            witness |= (score > 0) & (rate >= LIFT) & (count[:, 1] > 0)
     return {"table": column, "bias": float(w[-1])}
 
 
