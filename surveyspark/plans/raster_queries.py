@@ -163,15 +163,16 @@ def _lab(reach: int) -> str:
 
 
 _TILE = """
-  tl AS (SELECT DISTINCT tile, e, n FROM v_pix),
+  tl AS (SELECT tile, e, n, max(row) AS row9, max(col) AS col9 FROM v_pix GROUP BY tile, e, n),
   dirs(d, x, y) AS (VALUES ('N', 0, 1), ('NE', 1, 1), ('E', 1, 0), ('SE', 1, -1), ('S', 0, -1), ('SW', -1, -1), ('W', -1, 0), ('NW', -1, 1)),
   gone AS (SELECT tile, list(d) AS missing FROM tl, dirs WHERE NOT EXISTS (SELECT 1 FROM tl u WHERE u.e = tl.e + x AND u.n = tl.n + y) GROUP BY tile),
   px AS (SELECT p.tile, p.row, p.col, l.root_row, l.root_c FROM v_pix p JOIN lab l ON l.tile = p.tile AND l.row = p.row AND p.col BETWEEN l.c0 AND l.c1),
-  bpx AS (SELECT px.*, row IN (0, 49) OR col IN (0, 63) AS border,
-      CASE WHEN NOT (row IN (0, 49) OR col IN (0, 63)) THEN false ELSE list_has_any(coalesce(missing, []),
-        CASE WHEN row = 0 AND col = 0 THEN ['N', 'NW', 'W'] WHEN row = 0 AND col = 63 THEN ['N', 'NE', 'E'] WHEN row = 49 AND col = 0 THEN ['S', 'SW', 'W']
-          WHEN row = 49 AND col = 63 THEN ['S', 'SE', 'E'] WHEN row = 0 THEN ['N'] WHEN row = 49 THEN ['S'] WHEN col = 0 THEN ['W'] ELSE ['E'] END) END AS opened
-    FROM px LEFT JOIN gone ON gone.tile = px.tile),
+  bpx AS (SELECT px.*, row IN (0, row9) OR col IN (0, col9) AS border,
+      CASE WHEN NOT (row IN (0, row9) OR col IN (0, col9)) THEN false ELSE list_has_any(coalesce(missing, []),
+        CASE WHEN row = 0 AND col = 0 THEN ['N', 'NW', 'W'] WHEN row = 0 AND col = col9 THEN ['N', 'NE', 'E'] WHEN row = row9 AND col = 0 THEN ['S', 'SW', 'W']
+          WHEN row = row9 AND col = col9 THEN ['S', 'SE', 'E'] WHEN row = 0 AND row = row9 THEN ['N', 'S'] WHEN row = 0 THEN ['N'] WHEN row = row9 THEN ['S']
+          WHEN col = 0 THEN ['W'] ELSE ['E'] END) END AS opened
+    FROM px JOIN tl ON tl.tile = px.tile LEFT JOIN gone ON gone.tile = px.tile),
   sizes AS (SELECT tile, root_row, root_c, count(*) AS size_px, count(*) FILTER (WHERE border) AS border_px, count(*) FILTER (WHERE opened) AS open_px,
       min(row) AS row0, max(row) AS row1, min(col) AS col0, max(col) AS col1 FROM bpx GROUP BY tile, root_row, root_c)"""
 # holes pixel by pixel: the background of a group's box is walked from the box's edge
