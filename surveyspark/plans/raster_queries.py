@@ -208,6 +208,16 @@ _RGB = f"""{V_SCAN}, rgb AS (SELECT *, CASE WHEN val = 255 THEN 255 WHEN val < 9
     CASE WHEN val = 255 THEN 255 WHEN val < 90 THEN (val + 2) % 8 ELSE least(254, val + 2) END AS b FROM v_pix)"""
 _LIFT = "CASE WHEN greatest(r, g, b) <= 5 THEN [5, 4, 3, 2, 1, 1][least(r, g, b) + 1] ELSE 0 END"
 
+
+
+def percentiles(table: str, value: str) -> str:
+    """The 2nd and 98th percentile of each tile as low and high: between two values by their shares of the way, as written here."""
+    low, high = (lambda a: f"v[CAST(floor({a}) AS BIGINT) + 1]"), (lambda a: f"v[CAST(ceil({a}) AS BIGINT) + 1]")
+    at = lambda a: f"CASE WHEN {low(a)} = {high(a)} THEN {low(a)} ELSE (ceil({a}) - {a}) * {low(a)} + ({a} - floor({a})) * {high(a)} END"
+    return f"""SELECT tile, {at("a")} AS low, {at("b")} AS high FROM
+        (SELECT tile, list_sort(list({value})) AS v, (count(*) - 1) * 0.02::DOUBLE AS a, (count(*) - 1) * 0.98::DOUBLE AS b FROM {table} GROUP BY tile)"""
+
+
 ORACLE = {
     "mask_validity": f"""WITH {_RGB} SELECT tile, count(*) FILTER (WHERE val = 255) AS masked, CAST(sum(CASE WHEN val = 255 THEN 0 ELSE r END) AS BIGINT) AS sum_r,
       CAST(sum(CASE WHEN val = 255 THEN 0 ELSE g END) AS BIGINT) AS sum_g, CAST(sum(CASE WHEN val = 255 THEN 0 ELSE b END) AS BIGINT) AS sum_b, true AS mismatch_skipped FROM rgb GROUP BY tile""",
@@ -243,7 +253,7 @@ ORACLE = {
       FROM g LEFT JOIN p ON p.x = cx * 40 + col AND p.y = cy * 40 + row GROUP BY cx, cy, row""",
     "downsample": f"WITH {V_SCAN} SELECT tile, CAST(row // 4 AS INTEGER) AS r, CAST(col // 4 AS INTEGER) AS c, avg(val) AS value FROM v_pix GROUP BY ALL",
     "percentile_stretch": f"""WITH {V_SCAN}, d AS (SELECT tile, CAST(row // 4 AS INTEGER) AS r, CAST(col // 4 AS INTEGER) AS c, avg(val) AS value FROM v_pix GROUP BY ALL),
-      p AS (SELECT tile, quantile_cont(value, 0.02) AS low, quantile_cont(value, 0.98) AS high FROM d GROUP BY tile)
+      p AS ({percentiles('d', 'value')})
       SELECT d.tile, r, c, CAST(floor(CASE WHEN high > low THEN greatest(0.0, least(255.0, (value - low) / (high - low) * 255)) ELSE 0 END) AS INTEGER) AS grey FROM d JOIN p USING (tile)""",
     "footprint_wkt": f"""WITH {V_SCAN}, t AS (SELECT DISTINCT tile, e * 1000.0::DOUBLE - CASE WHEN tile % 5 = 0 THEN 2000000 ELSE 0 END AS x, n * 1000.0::DOUBLE + 1000 AS y,
           CASE WHEN tile % 2 = 0 THEN 0.1::DOUBLE ELSE 0.25::DOUBLE END AS gsd, CASE WHEN tile % 7 = 0 THEN 0.01::DOUBLE ELSE 0.0::DOUBLE END AS rot FROM v_pix),

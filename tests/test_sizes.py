@@ -32,3 +32,21 @@ def test_last_tile_has_fewer_rows(spark, tmp_path, name, n):
     e = embeddings(spark).filter(F.col("vec_id") < n)
     full = F.when(F.col("vec_id") >= 150, F.transform("embedding", lambda v: F.lit(0.5).cast("float"))).otherwise(F.col("embedding"))
     assert compared(spark, tmp_path, name, embeddings=e.withColumn("embedding", full))
+
+
+@pytest.mark.parametrize("name", ["percentile_stretch", "overview"])
+def test_percentiles_of_equal_neighbours(spark, tmp_path, name):
+    # previews of many equal values: the 98th percentile lies between two of them; and means with odd fractions
+    high = F.transform("embedding", lambda v, i: F.when((F.pmod("vec_id", F.lit(7)) < 5) & (i % 13 != 1), 0.5).otherwise(v * 0.3).cast("float"))
+    e = embeddings(spark).unionByName(embeddings(spark).select((F.col("vec_id") + 500).alias("vec_id"), *[c for c in embeddings(spark).columns if c != "vec_id"]))
+    compared(spark, tmp_path, name, embeddings=e.withColumn("embedding", high))
+
+
+def test_cells_with_names_of_five_digits(spark, tmp_path):
+    cells = spark.range(40).select((F.col("id") * 1301 % 9000 + 1).alias("l_suppkey"), (F.col("id") * 17000).alias("l_partkey"))
+    assert any("name" in r[-1] for r in compared(spark, tmp_path, "grid_check", lineitem=cells) if r)
+
+
+def test_tiles_far_out_have_no_overflow(spark, tmp_path):
+    spark.createDataFrame([(90_000, 2_000_000), (90_001, 2_000_000)], "l_suppkey long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert registry.QUERIES["grid_check"](spark, str(tmp_path)).count() > 0
