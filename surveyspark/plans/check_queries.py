@@ -17,6 +17,7 @@ from . import pipelines
 from .catalog_queries import _meta
 from .derive import V_FILE, V_POINT, V_SCAN, table, v_file, v_point, v_scan
 from .point_queries import _SNIFF, _text
+from .raster_queries import percentiles
 
 HOST, HOST_INT = "catalog.example", "catalog-int.example"
 
@@ -266,7 +267,7 @@ ORACLE = {
       b AS (SELECT p.tile, row, col, h, val, unnest(CASE WHEN p.tile % 2 = 0 THEN [0] ELSE [0, 1, 2] END) AS band FROM v_pix p JOIN z USING (tile)),
       m AS (SELECT tile, band, CAST(floor(row * greatest(1, round_even(h * (10.0::DOUBLE / 64), 0)) / h) AS INTEGER) AS r, CAST(col * 10 // 64 AS INTEGER) AS c,
           avg(CASE WHEN tile % 2 = 0 THEN val * 200 WHEN band = 1 THEN 255 - val ELSE val END) AS v FROM b GROUP BY ALL),
-      e AS (SELECT tile, quantile_cont(v, 0.02) AS low, quantile_cont(v, 0.98) AS high FROM m GROUP BY tile),
+      e AS ({percentiles('m', 'v')}),
       s AS (SELECT m.tile, r, c, band, CAST(floor(greatest(0, least(255, CASE WHEN m.tile % 2 = 1 THEN v
           ELSE (v - low) * (255.0::DOUBLE / CASE WHEN high > low THEN high - low ELSE 1 END) END))) AS INTEGER) AS g FROM m JOIN e USING (tile))
       SELECT tile, r, c, CASE WHEN tile % 2 = 0 THEN any_value(g || ',' || g || ',' || g) ELSE string_agg(g, ',' ORDER BY band) END AS rgb FROM s GROUP BY tile, r, c""",
