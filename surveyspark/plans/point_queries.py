@@ -252,7 +252,7 @@ ORACLE = {
       d AS (SELECT *, CASE odd WHEN 1 THEN 'x' || tile WHEN 2 THEN '2600_1100' ELSE tile END AS name FROM c),
       k AS (SELECT name, count(*) AS k FROM d GROUP BY name)
       SELECT tile AS id, e AS ix, n AS iy, concat_ws(',', CASE WHEN odd = 4 THEN 'crs' END, CASE WHEN maxx - minx > 1000.001 THEN 'size' END,
-        CASE WHEN odd = 3 THEN 'origin' END, CASE WHEN odd = 1 THEN 'name' END, CASE WHEN k > 1 THEN 'duplicate' END) AS problems
+        CASE WHEN odd = 3 THEN 'origin' END, CASE WHEN NOT regexp_matches(name, '^[0-9]{{4}}_[0-9]{{4}}$') THEN 'name' END, CASE WHEN k > 1 THEN 'duplicate' END) AS problems
       FROM d JOIN k USING (name)""",
     "snapped_bbox": f"""WITH {V_TILE} SELECT floor(min(minx) / 1000) * 1000 AS minx, floor(min(miny) / 1000) * 1000 AS miny,
       ceil(max(maxx) / 1000) * 1000 AS maxx, ceil(max(maxy) / 1000) * 1000 AS maxy FROM v_tile""",
