@@ -28,13 +28,25 @@ def queue_conflicts(deliveries: DataFrame, packages: DataFrame) -> DataFrame:
     """deliveries (delivery, item, catalog, package), waiting packages (catalog, package, item, area, unreadable) ->
     delivery, status (ok, conflict), hits, areas. A delivery's own package and unreadable ones don't count; only a package of
     the same catalog conflicts."""
-    p = packages.filter("NOT unreadable").select(F.col("catalog").alias("p_catalog"), F.col("package").alias("p_package"), "item", "area")
-    j = deliveries.join(p, "item", "left")
-    own = (F.col("p_catalog") == F.col("catalog")) & (F.col("p_package") == F.col("package"))
-    hit = F.col("p_package").isNotNull() & ~F.coalesce(own, F.lit(False))
-    out = j.groupBy("delivery").agg(
-        F.coalesce(F.bool_or(hit & (F.col("p_catalog") == F.col("catalog"))), F.lit(False)).alias("conflict"), F.count_if(hit).alias("hits"),
-        F.array_join(F.array_sort(F.collect_set(F.when(hit, F.col("area")))), ",").alias("areas"),
+    p = packages.filter("NOT unreadable AND item IS NOT NULL AND package IS NOT NULL").select("item", "catalog", "package", "area")
+    # packages are counted before they meet deliveries, so the work doesn't grow with the pairs of an item
+    counted = p.groupBy("item", "catalog", "package", "area").agg(F.count("*").alias("n"))
+    n = F.sum("n")
+    own = counted.groupBy("item", "catalog", "package").agg(F.collect_list(F.struct("area", "n")).alias("own"), n.alias("own_n"))
+    by_area = counted.groupBy("item", "area").agg(n.alias("n")).groupBy("item").agg(F.collect_list(F.struct("area", "n")).alias("areas"), n.alias("all_n"))
+    by_catalog = counted.groupBy("item", "catalog").agg(n.alias("n")).groupBy("item").agg(F.collect_list(F.struct("catalog", "n")).alias("catalogs"))
+    waiting = by_area.join(by_catalog, "item")
+    j = deliveries.select("delivery", "item", "catalog", "package").join(own, ["item", "catalog", "package"], "left").join(waiting, "item", "left")
+    own_n, none = F.coalesce("own_n", F.lit(0)), F.expr("CAST(array() AS array<string>)")
+    # areas of the delivery's own package only
+    gone = F.transform(F.filter("own", lambda x: F.array_contains("areas", x)), lambda x: x["area"])
+    left = j.select(
+        "delivery", (F.coalesce("all_n", F.lit(0)) - own_n).alias("hits"),
+        F.exists(F.coalesce("catalogs", F.expr("CAST(array() AS array<struct<catalog: string, n: bigint>>)")), lambda x: F.coalesce((x["catalog"] == F.col("catalog")) & (x["n"] > own_n), F.lit(False))).alias("conflict"),
+        F.array_except(F.transform("areas", lambda x: x["area"]), F.coalesce(gone, none)).alias("areas"),
+    )
+    out = left.groupBy("delivery").agg(
+        F.bool_or("conflict").alias("conflict"), F.sum("hits").alias("hits"), F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("areas")))), ",").alias("areas")
     )
     return out.select("delivery", F.when(F.col("conflict"), "conflict").otherwise("ok").alias("status"), "hits", "areas")
 
