@@ -15,10 +15,14 @@ from surveyspark.sources.shared import shared_dir
 from .derive import V_POINT, table, v_point
 
 
+#: Bytes of the files that are made before they go on.
+BATCH_BYTES = 4 << 20
+
+
 def point_files(batches):
     """Rows (key, points, low, high) to files of points in LAS 1.4: a header and records of zeros; every tenth is cut short."""
     for b in batches:
-        names, contents = [], []
+        names, contents, held = [], [], 0
         for k, n, low, high in zip(*(b.column(c).to_pylist() for c in ("key", "points", "low", "high")), strict=True):
             raw = bytearray(375 + 30 * n)
             raw[:4], raw[24], raw[25], raw[104] = b"LASF", 1, 4, 0x80 | 6
@@ -30,7 +34,16 @@ def point_files(batches):
             struct.pack_into("<Q", raw, 247, n)
             names.append(f"{k}.{'laz' if k % 3 else 'LAS'}")
             contents.append(bytes(raw[:100] if k % 10 == 0 else raw))
-        yield pa.RecordBatch.from_pydict({"name": pa.array(names, pa.string()), "content": pa.array(contents, pa.binary())})
+            held += len(contents[-1])
+            if held > BATCH_BYTES:
+                yield files_batch(names, contents)
+                names, contents, held = [], [], 0
+        if names:
+            yield files_batch(names, contents)
+
+
+def files_batch(names: list[str], contents: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"name": pa.array(names, pa.string()), "content": pa.array(contents, pa.binary())})
 
 
 def las_inventory(spark, sf_dir):

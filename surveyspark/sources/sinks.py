@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from . import ranged
 
 
+#: Bytes of the files that a task is handed at a time.
+BATCH_BYTES = 4 << 20
+
+
 def write_files(files: DataFrame, folder: str) -> int:
     """files (name, content): a file of exactly this name for each row, written beside it and then moved, so that readers see whole
     files and a repeated task replaces its own. Returns their number. Names must differ."""
@@ -18,14 +22,17 @@ def write_files(files: DataFrame, folder: str) -> int:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, at = ranged.filesystem(folder)
         for b in batches:
-            for name, content in zip(b.column("name").to_pylist(), b.column("content").to_pylist(), strict=True):
+            for name, content in zip(b.column("name").to_pylist(), b.column("content"), strict=True):
                 with store.open_output_stream(f"{at}/.{name}.part") as f:
-                    f.write(content or b"")
+                    f.write(content.as_buffer() or b"")  # not copied
                 store.move(f"{at}/.{name}.part", f"{at}/{name}")
             yield pa.RecordBatch.from_pydict({"n": pa.array([b.num_rows], pa.int64())})
 
     store, at = ranged.filesystem(folder)
     store.create_dir(at, recursive=True)
+    conf, most = files.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(conf.get(most).rstrip("b")) <= BATCH_BYTES:
+        conf.set(most, f"{BATCH_BYTES}b")
     return files.select("name", F.col("content").cast("binary").alias("content")).mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 

@@ -44,3 +44,17 @@ def test_items_years_and_texts(spark, tmp_path):
     assert {r.camera: r.custom_attribute for r in D.with_product_texts(d, rules.products(spark)).collect()}[rules.DMC] == rules.CUSTOM_ATTRIBUTE_DMC["SB_DOP"]
     p = D.preview(spark.createDataFrame([("a", "2", "x2"), ("a", "1", "x1")], "delivery string, name string, xml string")).first()
     assert (p.name, p.xml) == ("1", "x1")
+
+
+def test_files_go_to_python_in_small_batches(spark, tmp_path):
+    from surveyspark.plans.source_queries import point_files
+    import pyarrow as pa
+
+    n = 2000
+    made = list(point_files([pa.RecordBatch.from_pydict({"key": list(range(n)), "points": [600] * n, "low": [1.0] * n, "high": [2.0] * n})]))
+    assert sum(b.num_rows for b in made) == n and max(b.nbytes for b in made) < 5 << 20
+    files = spark.range(n).selectExpr("CAST(id AS STRING) AS name", "IF(id = 7, NULL, repeat('x', 10000)) AS content").coalesce(1)
+    assert sinks.write_files(files, f"{tmp_path}/many") == n
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) <= 4 << 20
+    sizes = {p.name: p.stat().st_size for p in (tmp_path / "many").iterdir()}
+    assert len(sizes) == n and sizes["7"] == 0 and sizes["8"] == 10000
