@@ -37,9 +37,17 @@ def area(name: Column, gds: Column, any_case: bool = True) -> Column:
     return F.when(text == "", UNKNOWN).otherwise(text)
 
 
+def parts(name: Column) -> Column:
+    """What underscores part in the stem. As a column of its own where several values are made of it, so that it is made once."""
+    return F.split(stem(name), "_")
+
+
 def tile_key(name: Column) -> Column:
     """The two parts before the first exact ``LV95``."""
-    parts = F.split(stem(name), "_")
+    return tile_key_of(parts(name))
+
+
+def tile_key_of(parts: Column) -> Column:
     at = F.array_position(parts, "LV95").cast("int")
     return F.when(at >= 3, F.concat_ws("_", F.try_element_at(parts, at - 2), F.try_element_at(parts, at - 1))).otherwise(UNKNOWN)
 
@@ -54,7 +62,8 @@ def tile_numbers(key: Column) -> Column:
 def las_origin(name: Column) -> Column:
     """Struct of e_km, n_km and problem for a LAZ tile's name."""
     pattern = r"([0-9]{4})_([0-9]{4})_LV95_LN02\.laz$"
-    e, n = (F.regexp_extract(name, pattern, i).try_cast("int") for i in (1, 2))
+    # a failed try_cast costs an exception a row, so what isn't there is null before it
+    e, n = (F.nullif(F.regexp_extract(name, pattern, i), F.lit("")).try_cast("int") for i in (1, 2))
     problem = (
         F.when(~name.rlike(pattern), "no tile in name")
         .when(~e.between(2480, 2840), "easting out of range")
@@ -91,7 +100,7 @@ def line_token(name: Column) -> Column:
 
 
 def year_of(name: Column) -> Column:
-    return F.regexp_extract(name, r"(20[0-9]{2})", 1).try_cast("int")
+    return F.nullif(F.regexp_extract(name, r"(20[0-9]{2})", 1), F.lit("")).try_cast("int")
 
 
 def catalog_name(gds: Column, dmc: Column) -> Column:

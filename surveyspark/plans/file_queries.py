@@ -19,8 +19,9 @@ def name_area(spark, sf_dir):
 
 
 def name_tilekey(spark, sf_dir):
-    d = v_file(spark, sf_dir).withColumn("tile_key", N.tile_key(F.col("name"))).withColumn("k", N.tile_numbers(F.col("tile_key")))
-    o = N.las_origin(F.col("name"))
+    f = v_file(spark, sf_dir).select("name", N.parts(F.col("name")).alias("parts"), N.las_origin(F.col("name")).alias("o"))
+    d = f.select("name", "o", N.tile_key_of(F.col("parts")).alias("tile_key")).withColumn("k", N.tile_numbers(F.col("tile_key")))
+    o = F.col("o")
     return d.select("name", "tile_key", F.col("k.e").alias("e"), F.col("k.n").alias("n"), o["e_km"].alias("e_km"), o["n_km"].alias("n_km"), o["problem"].alias("problem"))
 
 
