@@ -53,31 +53,36 @@ def reorganise(files: DataFrame, existing: DataFrame) -> DataFrame:
 
 def csv_rows(files: DataFrame, precalc: str = "PreCalculatedFormats") -> DataFrame:
     """files (ord, gds, name, md5, footprint) -> ord, part, line: the rows of files.csv. Point clouds have two."""
-    name, gds = F.col("name"), F.col("gds")
-    key = N.tile_key(name)
+    name, gds, md5, key, last, ext, part = (F.col(c) for c in ("name", "gds", "md5", "key", "last", "ext", "part"))
     row = lambda *parts: F.concat_ws(";", *[F.coalesce(p, F.lit("")) for p in parts])
     path = lambda *parts: F.concat_ws("\\", *parts)
     add, none, nv = F.lit("add"), F.lit(""), F.lit("NV")
-    parts = F.split(N.stem(name), "_")
-    last = F.concat_ws("_", F.try_element_at(parts, F.lit(-2)), F.try_element_at(parts, F.lit(-1)))
-    points = F.array(
-        row(path(nv, gds, name), F.col("md5"), key, add, none),
-        row(path(F.lit(precalc), gds, N.precalc_laz(key)), F.col("md5"), key, add, none),
+    one, points = F.array(F.lit(0)), (gds == "SB_DSM_PUNKTWOLKE") & (ext == ".laz")
+    # rows are numbered before their texts are made: a reader of some parts or none of the texts doesn't pay for the others
+    numbers = F.when(gds == "SB_DSM", one).when(points, F.array(F.lit(0), F.lit(1))).when(gds.isin("SB_DOP", "SB_DOP_16"), F.when(ext == ".tif", one)).otherwise(one)
+    numbered = files.select("ord", "gds", "name", "md5", "footprint", N.extension(name).alias("ext")).select("*", F.explode(numbers).alias("part"))
+    # what is used more than once is a column by then
+    parted = numbered.withColumn("parts", N.parts(name))
+    ends = F.concat_ws("_", F.try_element_at("parts", F.lit(-2)), F.try_element_at("parts", F.lit(-1)))
+    keyed = parted.withColumns({"key": N.tile_key_of(F.col("parts")), "last": ends})
+    line = (
+        F.when(part == 1, row(path(F.lit(precalc), gds, N.precalc_laz(key)), md5, key, add, none))
+        .when(gds == "SB_DSM", row(path(nv, N.dsm_folder(name), name), md5, F.lit("1000"), add, F.col("footprint")))
+        .when(points, row(path(nv, gds, name), md5, key, add, none))
+        .when(gds.isin("SB_DOP", "SB_DOP_16"), row(path(nv, name), md5, key, add, none))
+        .otherwise(row(path(nv, name), md5, last, add, none))
     )
-    rows = (
-        F.when(gds == "SB_DSM", F.array(row(path(nv, N.dsm_folder(name), name), F.col("md5"), F.lit("1000"), add, F.col("footprint"))))
-        .when((gds == "SB_DSM_PUNKTWOLKE") & (N.extension(name) == ".laz"), points)
-        .when(gds.isin("SB_DOP", "SB_DOP_16"), F.when(N.extension(name) == ".tif", F.array(row(path(nv, name), F.col("md5"), key, add, none))))
-        .otherwise(F.array(row(path(nv, name), F.col("md5"), last, add, none)))
-    )
-    return files.select("ord", F.posexplode(rows).alias("part", "line"))
+    return keyed.select("ord", "part", line.alias("line"))
 
 
 def append(existing: DataFrame, new: DataFrame) -> DataFrame:
     """existing (run, ord, part, line) and new rows (ord, part, line) as the next run, blank lines left out."""
     last = existing.agg(F.coalesce(F.max("run"), F.lit(-1)).alias("last"))
     fresh = new.join(F.broadcast(last)).select((F.col("last") + 1).cast("int").alias("run"), "ord", "part", "line")
-    return existing.select("run", "ord", "part", "line").unionByName(fresh).filter(F.trim("line") != "")
+    # a filter would be pushed below what makes the lines and make them twice; a generator keeps its place
+    text = F.explode(F.array(F.when(F.trim("line") != "", F.col("line")))).alias("line")
+    both = existing.select("run", "ord", "part", text).unionByName(fresh.select("run", "ord", "part", text))
+    return both.filter("line IS NOT NULL")
 
 
 def merge_trees(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
