@@ -22,8 +22,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition, IsNotNull
 
-#: Bytes of a chunk, what opening a file costs in bytes, and the bytes of a task.
-CHUNK, OPEN_COST, TASK_BYTES = 8 << 20, 4 << 20, 512 << 20
+#: Bytes of a chunk, what opening a file and what naming one that stays closed cost in bytes, and the bytes of a task.
+CHUNK, OPEN_COST, NAME_COST, TASK_BYTES = 8 << 20, 4 << 20, 4 << 10, 512 << 20
 #: Files in a batch of rows.
 ROWS = 256
 
@@ -71,8 +71,9 @@ class FileReader(DataSourceReader):
         )
         parts: list[list[tuple]] = [[]]
         cost = 0
+        opened = not {"head", "md5"}.isdisjoint(self.columns)
         for row in rows:
-            reads = OPEN_COST + (row[3] if "md5" in self.columns else min(row[3], self.head))
+            reads = OPEN_COST + (row[3] if "md5" in self.columns else min(row[3], self.head)) if opened else NAME_COST
             if parts[-1] and cost + reads > self.task_bytes:
                 parts.append([])
                 cost = 0

@@ -8,6 +8,7 @@ import struct
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from surveyspark.sources import files, las, ranged, sinks
 
@@ -98,3 +99,13 @@ def test_write_files(spark, tmp_path):
 
 def test_manifest_is_ordered(spark, folder):
     assert [r.name for r in files.manifest(spark, folder, (".las", ".laz"), recursive=True).collect()] == ["a.las", "b.LAZ", "d.laz"]
+
+
+def test_files_that_stay_closed_share_a_task(spark, tmp_path):
+    """Each counted as 4 MB, so that a scan for names alone came in a task for every 128 files."""
+    for k in range(300):
+        (tmp_path / f"{k}.tif").write_text("x")
+    schema = lambda o: StructType.fromDDL(ranged.FileSource(o).schema())
+    parts = lambda **o: ranged.FileReader({"path": str(tmp_path), **o}, schema(o)).partitions()
+    assert len(parts()) == 1
+    assert len(parts(head=10)) == 3
