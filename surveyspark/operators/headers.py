@@ -20,12 +20,19 @@ def cell_size(px: Column, py: Column) -> Column:
 def document_headers(rasters: DataFrame) -> DataFrame:
     """rasters (delivery, gds, ord, name, px, py, block, width, height) with the header values of their documents: SB_DSM files
     have their own, the others of a delivery those of its first file."""
+    return with_document_headers(rasters, F.lit(True)).select("delivery", "gds", "ord", "name", "cell_size", "block", "width", "height")
+
+
+def with_document_headers(files: DataFrame, raster: Column) -> DataFrame:
+    """files (as above, with any further columns) with these header values instead of their own, null where ``raster`` is false.
+    Files meet the first ones of their deliveries only, never each other."""
+    sizes = ("px", "py", "block", "width", "height")
     own = F.struct(cell_size(F.col("px"), F.col("py")).alias("cell_size"), "block", "width", "height")
-    rows = rasters.select("delivery", "gds", "ord", "name", own.alias("own"))
-    first = rows.filter("gds <> 'SB_DSM'").groupBy("delivery", "gds").agg(F.min(F.struct("ord", "name", "own"))["own"].alias("first"))
-    return rows.join(first, ["delivery", "gds"], "left").select("delivery", "gds", "ord", "name", F.coalesce("first", "own").alias("h")).select(
-        "delivery", "gds", "ord", "name", "h.cell_size", "h.block", "h.width", "h.height"
-    )
+    kept = [c for c in files.columns if c not in sizes]
+    rows = files.select(*kept, F.when(raster, own).alias("own"))
+    first = rows.filter("gds <> 'SB_DSM' AND own IS NOT NULL").groupBy("delivery", "gds").agg(F.min(F.struct("ord", "name", "own"))["own"].alias("first"))
+    j = rows.join(first, ["delivery", "gds"], "left").select(*kept, F.when(F.col("own").isNotNull(), F.coalesce("first", "own")).alias("h"))
+    return j.select(*kept, "h.cell_size", "h.block", "h.width", "h.height")
 
 
 def dtype_deviations(rasters: DataFrame) -> DataFrame:

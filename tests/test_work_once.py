@@ -55,3 +55,16 @@ def test_blank_lines_are_no_rows(spark):
     old = spark.createDataFrame([(3, "a", 0, "x"), (3, "b", 0, " "), (3, "c", 0, None)], "run int, ord string, part int, line string")
     new = spark.createDataFrame([("d", 0, ""), ("e", 0, "y")], "ord string, part int, line string")
     assert sorted(map(tuple, M.append(old, new).collect())) == [(3, "a", 0, "x"), (4, "e", 0, "y")]
+
+
+def test_documents_meet_no_other_documents(spark):
+    """Files were joined to their own headers by a shuffle of all of them; only their deliveries' first headers are joined."""
+    from surveyspark import rules
+    from surveyspark.plans import catalog_queries, pipelines
+
+    types = "delivery string, ord string, gds string, name string, nodata string, px double, py double, block int, width int, height int"
+    files = spark.createDataFrame([("1", "a", "SB_DOP", "x.tif", "0", 0.1, -0.1, 512, 10, 20), ("1", "b", "SB_DOP", "y.tif", "0", 0.2, -0.2, 256, 11, 21), ("1", "c", "SB_DSM_PUNKTWOLKE", "z.laz", "", 0.3, -0.3, 1, 2, 3)], types)
+    docs = pipelines.with_documents(files, catalog_queries._meta(files), rules.products(spark))
+    assert plan(docs).count("Join ") == 3  # first headers, meta, products
+    said = {r["name"]: ("<CellSize>0.1</CellSize>" in r["xml"], "<Width>10</Width>" in r["xml"]) for r in docs.collect()}
+    assert said == {"x.tif": (True, True), "y.tif": (True, True), "z.laz": (False, False)}
