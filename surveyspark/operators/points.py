@@ -2,19 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveyspark.functions import geo
+from surveyspark.sources.shared import saved
 
 DIMENSIONS = ("x", "y", "z", "cls")
 #: Lines of a text grid that are numbered together.
 BLOCK = 4096
 
 
+def _keyed(points: DataFrame, size: int) -> DataFrame:
+    return points.withColumns({"ix": F.floor(F.col("x") / size).cast("int"), "iy": F.floor(F.col("y") / size).cast("int")})
+
+
+def cells_in_use(points: DataFrame, cells: DataFrame, size: int) -> DataFrame:
+    """ix, iy, name of the cells that hold points (read twice, then): what points need of a grid that may be far larger. Points are
+    counted out by their cells in tasks, so no point is sent."""
+    used = saved(_keyed(points, size).select("ix", "iy").distinct(), "cells-in-use")
+    return cells.select("ix", "iy", "name").join(used, ["ix", "iy"], "left_semi")
+
+
 def to_cells(points: DataFrame, cells: DataFrame, size: int) -> DataFrame:
     """points (x, y, ..) with ix, iy and the cell's name, null outside."""
-    keyed = points.withColumns({"ix": F.floor(F.col("x") / size).cast("int"), "iy": F.floor(F.col("y") / size).cast("int")})
+    keyed = _keyed(points, size)
     return keyed.join(cells.select("ix", "iy", "name"), ["ix", "iy"], "left")
 
 
@@ -34,7 +46,16 @@ def tile_headers(tiled: DataFrame) -> DataFrame:
 
 def ranges(points: DataFrame, by: str, dims: tuple[str, ...] = DIMENSIONS) -> DataFrame:
     """by, dim, low, high: one row for each file and dimension."""
-    wide = points.groupBy(by).agg(*[f(c).cast("double").alias(f"{n}_{c}") for c in dims for n, f in (("low", F.min), ("high", F.max))])
+    return range_rows(points.groupBy(by).agg(*ends(dims)), by, dims)
+
+
+def ends(dims: tuple[str, ...]) -> list[Column]:
+    """Aggregates low_x, high_x, .. of the dimensions."""
+    return [f(c).cast("double").alias(f"{n}_{c}") for c in dims for n, f in (("low", F.min), ("high", F.max))]
+
+
+def range_rows(wide: DataFrame, by: str, dims: tuple[str, ...]) -> DataFrame:
+    """by and ``ends`` -> by, dim, low, high."""
     pairs = F.array(*[F.struct(F.lit(c).alias("dim"), F.col(f"low_{c}").alias("low"), F.col(f"high_{c}").alias("high")) for c in dims])
     return wide.select(by, F.inline(pairs))
 
@@ -116,10 +137,17 @@ def _fields(line, sep):
     return F.when(sep == " ", blank).otherwise(F.transform(F.split(line, sep), lambda x: F.trim(x)))
 
 
+def _not_blank(lines: DataFrame) -> DataFrame:
+    """file, line_no, value of the lines with any text. A filter would be pushed below what makes the lines and make them twice; a
+    generator keeps its place."""
+    text = F.explode(F.array(F.when(F.trim("value") != "", F.col("value")))).alias("value")
+    return lines.select("file", "line_no", text).filter("value IS NOT NULL")
+
+
 def sniff(lines: DataFrame, sample: int = 50) -> DataFrame:
     """lines (file, line_no, value) -> per file: kind, sep, skip (header lines), first_line (line_no below them), columns, problem;
     from its first lines."""
-    text = lines.filter(F.trim("value") != "")
+    text = _not_blank(lines)
     rank = F.row_number().over(Window.partitionBy("file").orderBy("line_no"))
     head = text.withColumn("k", rank).filter(F.col("k") <= sample)
     key = F.lower(F.regexp_extract("value", r"^\s*([A-Za-z_]+)\s", 1))
@@ -160,8 +188,7 @@ def text_columns(lines: DataFrame, sniffed: DataFrame, sample: int = 50) -> Data
 def xyz_points(lines: DataFrame, sniffed: DataFrame) -> DataFrame:
     """lines and their files' sniffs -> file, line_no, x, y, z, ignored (rows with another number of columns or no numbers)."""
     s = sniffed.filter("kind = 'xyz' AND problem IS NULL").select("file", "sep", "first_line", "columns")
-    rows = lines.filter(F.trim("value") != "")
-    parts = rows.join(s, "file").filter(F.col("line_no") >= F.col("first_line")).withColumn("parts", _fields(F.col("value"), F.col("sep")))
+    parts = _not_blank(lines).join(s, "file").filter(F.col("line_no") >= F.col("first_line")).withColumn("parts", _fields(F.col("value"), F.col("sep")))
     num = lambda i: F.try_element_at("parts", F.lit(i)).try_cast("double")
     ok = (F.size("parts") == F.col("columns")) & num(1).isNotNull() & num(2).isNotNull() & num(3).isNotNull()
     return parts.select("file", "line_no", num(1).alias("x"), num(2).alias("y"), num(3).alias("z"), (~ok).alias("ignored"))

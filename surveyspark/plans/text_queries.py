@@ -12,23 +12,22 @@ from .derive import v_point, v_tile
 from .point_queries import _COARSE
 
 
-def _conversion(spark, sf_dir):
+def _lines(spark, sf_dir):
     """Texts of 200 files, in metres with two decimals; lines without a height come last in each."""
     p = v_point(spark, sf_dir).withColumns({"x": 260_000_000 + F.pmod(F.col("x") * 7, F.lit(4_000_000)), "y": 110_000_000 + F.pmod(F.col("y") * 3, F.lit(4_000_000))})
     metres = lambda c: F.concat(F.expr(f"{c} div 100").cast("string"), F.lit("."), F.lpad(F.pmod(c, F.lit(100)).cast("string"), 2, "0"))
     short = F.pmod("z", F.lit(50)) == 0
-    lines = p.select(
+    return p.select(
         F.col("file").cast("string").alias("file"), F.when(short, F.col("x") + 1_000_000_000).otherwise(F.col("x")).alias("line_no"),
         F.concat_ws(" ", metres("x"), metres("y"), F.when(~short, metres("z"))).alias("value"),
     )
-    cells = v_tile(spark, sf_dir).select(F.col("e").alias("ix"), F.col("n").alias("iy"), F.col("tile").alias("name"))
-    meta = _meta(spark.createDataFrame([("d",)], "delivery string"))
-    return pipelines.text_conversion(lines, cells, meta, rules.products(spark), "d", 2020, "BERN")
 
 
 def pipeline_text(spark, sf_dir):
     """Per tile its points, box, heights and manifest row, and that its document names the area."""
-    out = _conversion(spark, sf_dir)
+    cells = v_tile(spark, sf_dir).select(F.col("e").alias("ix"), F.col("n").alias("iy"), F.col("tile").alias("name"))
+    meta = _meta(spark.createDataFrame([("d",)], "delivery string"))
+    out = pipelines.text_conversion(_lines(spark, sf_dir), cells, meta, rules.products(spark), "d", 2020, "BERN")
     cm = lambda c: F.round(c * 100).cast("long")
     tiles = out["tiles"].groupBy("name").agg(cm(F.min("x")).alias("minx"), cm(F.max("y")).alias("maxy"), cm(F.sum("z")).alias("sum_z"))
     rows = out["rows"].filter("part = 1").select(F.col("ord").alias("name"), "line")
@@ -38,7 +37,7 @@ def pipeline_text(spark, sf_dir):
 
 def text_sources(spark, sf_dir):
     """Per text its kind, separator and counts of points and of lines left out."""
-    return _conversion(spark, sf_dir)["sources"].select("file", "kind", "sep", "columns", "points", "ignored", "problem")
+    return pipelines.text_sources(*pipelines.text_reading(_lines(spark, sf_dir))).select("file", "kind", "sep", "columns", "points", "ignored", "problem")
 
 
 QUERIES = {f.__name__: f for f in (pipeline_text, text_sources)}

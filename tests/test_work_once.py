@@ -68,3 +68,51 @@ def test_documents_meet_no_other_documents(spark):
     assert plan(docs).count("Join ") == 3  # first headers, meta, products
     said = {r["name"]: ("<CellSize>0.1</CellSize>" in r["xml"], "<Width>10</Width>" in r["xml"]) for r in docs.collect()}
     assert said == {"x.tif": (True, True), "y.tif": (True, True), "z.laz": (False, False)}
+
+
+def test_texts_are_read_once(spark):
+    """Report, rows, documents and tiles read and cast all texts again, about a dozen times, and sent all points to all cells of the grid."""
+    from surveyspark.plans import text_queries
+
+    p = plan(text_queries.pipeline_text(spark, SF))
+    assert "l_partkey" not in p and "split(value" not in p
+
+
+def test_a_line_is_made_once_to_be_read(spark):
+    """The test for blank lines went below the lines' texts and made them twice."""
+    from surveyspark.operators import points as P
+    from surveyspark.plans import text_queries
+
+    lines = text_queries._lines(spark, SF)
+    sniffed = spark.createDataFrame([("1", "xyz", " ", 0, 1, 3, None)], "file string, kind string, sep string, skip int, first_line long, columns int, problem string")
+    assert plan(lines).count("concat_ws(") == plan(P.sniff(lines)).count("concat_ws(") == plan(P.xyz_points(lines, sniffed)).count("concat_ws(") == 1
+
+
+def test_only_cells_with_points_are_kept(spark):
+    from surveyspark.operators import points as P
+
+    pts = spark.createDataFrame([(5.0, 5.0), (6.0, 7.0), (15.0, 5.0), (None, 1.0)], "x double, y double")
+    cells = spark.createDataFrame([(0, 0, "a"), (0, 0, "again"), (1, 0, None), (2, 0, "c"), (None, 0, "d")], "ix int, iy int, name string")
+    used = P.cells_in_use(pts, cells, 10)
+    assert sorted(map(tuple, used.collect()), key=repr) == [(0, 0, "a"), (0, 0, "again"), (1, 0, None)]
+    rows = lambda c: sorted(map(tuple, P.to_cells(pts, c, 10).collect()), key=repr)
+    assert rows(used) == rows(cells)
+
+
+def test_blank_lines_stay_out_of_texts(spark):
+    """Blank lines are neither points nor ignored, wherever they stand; points outside the grid are told by the balance."""
+    from surveyspark import rules
+    from surveyspark.plans import catalog_queries, pipelines
+
+    texts = ["", "x y z", " ", "2600000.10 1100000.20 300.004", "\t", "2600000.50 1100000.60 301.0", "2600000.5 x 1", "9.0 9.0 9.0", None]
+    lines = spark.createDataFrame([("f", i, v) for i, v in enumerate(texts)], "file string, line_no int, value string")
+    cells = spark.createDataFrame([(2600, 1100, "2600_1100"), (2601, 1100, "2601_1100")], "ix int, iy int, name string")
+    meta = catalog_queries._meta(spark.createDataFrame([("d",)], "delivery string"))
+    out = pipelines.text_conversion(lines, cells, meta, rules.products(spark), "d", 2020, "BERN")
+    s = out["sources"].first()
+    assert (s.kind, s.points, s.ignored) == ("xyz", 3, 2)  # a tab is no blank line
+    name = "2020_BERN_TIN_2600_1100_LV95_LN02.laz"
+    assert [tuple(r) for r in out["report"].select("name", "points", "status").collect()] == [(name, 2, "ok")]
+    assert sorted(round(r.z, 6) for r in out["tiles"].collect()) == [300.0, 301.0]
+    assert [tuple(r) for r in out["balance"].collect()] == [(3, 2, 1, True)]
+    assert [r.name for r in out["documents"].collect()] == [name] and out["rows"].count() == 2
