@@ -213,3 +213,23 @@ def test_a_delivery_repairs_before_it_cuts(spark):
     assert {(r.cx, r.cy) for r in plain} == {(r.cx, r.cy) for r in fixed} == {(0, 0)}
     assert {r.row: r.bands[0] for r in plain}[2] == [100, 100, 0, 0, 100, 100]
     assert {r.row: r.bands[0] for r in fixed}[2] == [100, 100, 254, 254, 100, 100]  # small and inside: no NoData
+
+
+@pytest.mark.parametrize("tile", ["string", "int"])
+def test_labels_of_strips_that_go_on_over_batches(spark, tile):
+    """Strips are labelled as they come in batches of rows: where a batch ends changes nothing, for any type of key."""
+    rng = random.Random(8)
+    masks = {k: [[int(rng.random() < 0.6) for _ in range(7)] for _ in range(rng.randint(1, 8))] for k in range(9)}
+    rows = [(str(k) if tile == "string" else k, 5 * k + i, [bool(v) for v in line]) for k, m in masks.items() for i, line in enumerate(m)]
+    runs = C.scan_runs(spark.createDataFrame(rows, f"tile {tile}, row int, hit array<boolean>"), F.col("hit"))
+    want = {(k, 5 * k + r, c): (5 * k + min(part)[0], min(part)[1]) for k, m in masks.items() for part in flood({(r, c) for r, line in enumerate(m) for c, v in enumerate(line) if v}, EIGHT) for r, c in part}
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    for n in (1, 2, 5, 1000):
+        spark.conf.set(size, n)
+        try:
+            for strips in (3, 500):
+                got = {(int(r.tile), r.row, c): (r.root_row, r.root_c) for r in C.label(runs, strip_runs=strips).collect() for c in range(r.c0, r.c1 + 1)}
+                assert got == want
+        finally:
+            spark.conf.set(size, before)

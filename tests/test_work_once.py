@@ -116,3 +116,21 @@ def test_blank_lines_stay_out_of_texts(spark):
     assert sorted(round(r.z, 6) for r in out["tiles"].collect()) == [300.0, 301.0]
     assert [tuple(r) for r in out["balance"].collect()] == [(3, 2, 1, True)]
     assert [r.name for r in out["documents"].collect()] == [name] and out["rows"].count() == 2
+
+
+def test_a_mask_is_made_once_to_be_cut_into_runs(spark):
+    """The whole mask of a line was made again for each of its pixels, several times."""
+    from surveyspark.operators import components as C
+
+    scan = spark.createDataFrame([("t", 0, [255, 255, 1, 255]), ("t", 1, [])], "tile string, row int, band array<int>")
+    runs = C.scan_runs(scan, F.transform("band", lambda v: v == 255))
+    assert plan(runs).count("transform(band") == 1
+    assert sorted(map(tuple, runs.collect())) == [("t", 0, 0, 1), ("t", 0, 3, 3)]
+
+
+def test_scanlines_are_read_for_pixels_only(spark):
+    """Each step that takes a row a tile (neighbours, empty tiles) went through all scanlines again."""
+    from surveyspark.plans import catalog_queries
+
+    p = plan(catalog_queries.pipeline_nodata(spark, SF))
+    assert p.count("Relation [vec_id") == 1 and "forall(" not in p
