@@ -30,7 +30,7 @@ TYPES = {
     **dict.fromkeys(("any_case", "dmc", "accept_local", "rgb", "keep_rgb"), "BOOLEAN"),
     **dict.fromkeys(("bands", "cols", "rows", "year", "width", "e_km", "n_km", "red", "green", "blue", "minor", "fmt", "encoding", "target_format"), "INT"),
     **dict.fromkeys(("minx", "maxx", "miny", "maxy", "minz", "maxz", "px_x", "px_y", "origin", "gsd", "offset"), "DOUBLE"),
-    "t": TIME, "info": CRS, "gt": "ARRAY<DOUBLE>", "band": BAND, "mask": HITS, "hit": HITS, "shift": BAND, "line_ids": "ARRAY<STRING>",
+    "t": TIME, "info": CRS, "gt": "ARRAY<DOUBLE>", "band": BAND, "mask": HITS, "hit": HITS, "shift": BAND, "line_ids": "ARRAY<STRING>", "parts": "ARRAY<STRING>",
     "run_list": "ARRAY<STRUCT<c0: INT, c1: INT>>", "components": "ARRAY<STRUCT<type: STRING, authority: STRING, code: STRING>>",
 }
 #: Where a name stands for another type in one function.

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from surveyspark.functions import geo, lines, names, pixels, sqlfunctions
@@ -68,3 +69,24 @@ def test_plans_hold_no_python(spark):
     for f in sql_queries.QUERIES.values():
         plan = f(spark, DATA)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_parameters_take_their_declared_types(spark):
+    """No session functions here: each rule gets columns of the types that its definition declares."""
+    wrong = []
+    for name, (f, fixed) in sqlfunctions.scalars().items():
+        given = re.search(r"FUNCTION \w+\((.*?)\) RETURN", sqlfunctions.definition(name, f, fixed))[1]
+        typed = [re.match(r"`(\w+)` (.*)", x).groups() for x in re.split(r", (?=`)", given) if x]
+        row = spark.range(1).select(*[F.lit(None).cast(t).alias(p) for p, t in typed])
+        try:
+            row.select(f(*[F.col(p) for p, _ in typed], **fixed)).schema
+        except AnalysisException as e:
+            wrong.append((name, e.getCondition()))
+    assert not wrong
+
+
+def test_tile_key_of_takes_parts(spark, registered):
+    odd = ["2020_AROSA_TIN_2600_1200_LV95_LN02.laz", "2600_1200_LV95.tif", "1200_LV95.tif", "LV95", "a_b_lv95.tif", "a__LV95_b_LV95.tif", "", None]
+    df = spark.createDataFrame([(x,) for x in odd], "name string")
+    got = df.select(F.expr("survey_tile_key_of(survey_parts(name))").alias("a"), names.tile_key(F.col("name")).alias("b")).collect()
+    assert [r.a for r in got] == [r.b for r in got] == ["2600_1200", "2600_1200", "UNKNOWN", "UNKNOWN", "UNKNOWN", "a_", "UNKNOWN", "UNKNOWN"]
