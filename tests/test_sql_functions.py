@@ -90,3 +90,11 @@ def test_tile_key_of_takes_parts(spark, registered):
     df = spark.createDataFrame([(x,) for x in odd], "name string")
     got = df.select(F.expr("survey_tile_key_of(survey_parts(name))").alias("a"), names.tile_key(F.col("name")).alias("b")).collect()
     assert [r.a for r in got] == [r.b for r in got] == ["2600_1200", "2600_1200", "UNKNOWN", "UNKNOWN", "UNKNOWN", "a_", "UNKNOWN", "UNKNOWN"]
+
+
+def test_sql_files_of_a_new_session(spark, tmp_path):
+    own = spark.newSession()  # has no functions yet
+    keys = [(0, 8, 1, 1), (2, 6, 13, 1), (0, 1, 1, 1), (4, 4, 2, 2)]  # a DOP, a hillshade without tile numbers, a world file, a lower-case lv95
+    own.createDataFrame([(*k, 1.0) for k in keys], "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = sorted(tuple(r) for r in sql_queries.sql_files(own, str(tmp_path)).collect())
+    assert got == [("BERN", 2, 0, 1, 2601, "255", "DSM"), ("SILVRETTA", 1, 1, 0, None, "0", "DSM")]
