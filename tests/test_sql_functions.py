@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import re
 
 import pytest
@@ -98,3 +99,16 @@ def test_sql_files_of_a_new_session(spark, tmp_path):
     own.createDataFrame([(*k, 1.0) for k in keys], "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
     got = sorted(tuple(r) for r in sql_queries.sql_files(own, str(tmp_path)).collect())
     assert got == [("BERN", 2, 0, 1, 2601, "255", "DSM"), ("SILVRETTA", 1, 1, 0, None, "0", "DSM")]
+
+
+def test_sql_lines_of_a_new_session(spark, tmp_path):
+    own = spark.newSession()  # has no functions yet
+    day = datetime.datetime(2024, 1, 2, 3, 4, 5, 678901, datetime.UTC)
+    rows = [(6, day, 7, "view"), (97, day, 7, "click"), (3, day, 7, "purchase")]  # two DMC lines, one of them with another start, and an ADS line
+    own.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    got = sorted(tuple(r) for r in sql_queries.sql_lines(own, str(tmp_path)).collect())
+    assert got == [
+        (3, True, "0304", None, "2024-01-02T03:04:00.00", "2024-01-02t03040568"),
+        (6, True, "0304", "20240102_0304_41216", "2024-01-02T03:04:05.00", "2024-01-02t03040000"),
+        (97, True, "0304", "20240102_1759_41216", "2024-01-02T03:04:05.00", "2024-01-02t03040500"),
+    ]
