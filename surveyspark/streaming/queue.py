@@ -69,12 +69,17 @@ def into_queue(stream: DataFrame, table_path: str, checkpoint: str, settle: str
 
 
 def until_idle(query: StreamingQuery, seconds: float = 600) -> None:
-    """Stop the query after its first batch without input, when all arrivals were read and due timers had their turn."""
-    end = time.monotonic() + seconds
+    """Stop the query after a batch without input, when all arrivals were read and due timers had their turn.
+
+    The first batch of a run doesn't tell: it may repeat one that an earlier run was stopped in, with the files and the time of then.
+    """
+    end, first = time.monotonic() + seconds, None
     try:
         while query.isActive and time.monotonic() < end:
-            if (last := query.lastProgress) and last["numInputRows"] == 0:
-                return
+            if last := query.lastProgress:
+                first = last["batchId"] if first is None else first
+                if last["numInputRows"] == 0 and last["batchId"] > first:
+                    return
             time.sleep(0.2)
         raise query.exception() or TimeoutError(f"input after {seconds} seconds")
     finally:

@@ -86,3 +86,23 @@ def test_a_timer_ends_the_wait(spark, tmp_path):
     time.sleep(2.5)
     a.add(("p2", "z.xml", DOC))
     assert a.run("2 seconds")[0] == ("p1", "b.xml", False, "kry-2026-08-13t08222100")  # without further files of its own
+
+
+def test_a_repeated_batch_is_no_end_of_arrivals():
+    class Query:
+        """The first batch repeats one without input, in the second a file is read."""
+
+        isActive, stopped = True, False
+        batches = iter([(2, 0), (2, 0), (3, 1), (4, 0)])
+
+        @property
+        def lastProgress(self):
+            self.last = next(self.batches)
+            return dict(zip(("batchId", "numInputRows"), self.last, strict=True))
+
+        def stop(self):
+            self.stopped = True
+
+    q = Query()
+    queue.until_idle(q, 60)
+    assert q.last == (4, 0) and q.stopped
