@@ -78,7 +78,8 @@ def until_idle(query: StreamingQuery, seconds: float = 600) -> None:
         while query.isActive and time.monotonic() < end:
             if last := query.lastProgress:
                 first = last["batchId"] if first is None else first
-                if last["numInputRows"] == 0 and last["batchId"] > first:
+                repeated = last["batchId"] == first and "addBatch" in last["durationMs"]  # without addBatch no batch ran, as nothing is new
+                if last["numInputRows"] == 0 and not repeated:
                     return
             time.sleep(0.2)
         raise query.exception() or TimeoutError(f"input after {seconds} seconds")

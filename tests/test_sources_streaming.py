@@ -88,21 +88,30 @@ def test_a_timer_ends_the_wait(spark, tmp_path):
     assert a.run("2 seconds")[0] == ("p1", "b.xml", False, "kry-2026-08-13t08222100")  # without further files of its own
 
 
-def test_a_repeated_batch_is_no_end_of_arrivals():
-    class Query:
-        """The first batch repeats one without input, in the second a file is read."""
+class Progress:
+    """A query that reports batches: number, rows, whether a batch ran."""
+
+    isActive, stopped = True, False
+
+    def __init__(self, *batches):
+        self.batches = iter(batches)
+
+    @property
+    def lastProgress(self):
+        self.number, rows, ran = next(self.batches)
+        return {"batchId": self.number, "numInputRows": rows, "durationMs": {"addBatch": 1, "triggerExecution": 1} if ran else {"triggerExecution": 1}}
 
-        isActive, stopped = True, False
-        batches = iter([(2, 0), (2, 0), (3, 1), (4, 0)])
+    def stop(self):
+        self.stopped = True
 
-        @property
-        def lastProgress(self):
-            self.last = next(self.batches)
-            return dict(zip(("batchId", "numInputRows"), self.last, strict=True))
 
-        def stop(self):
-            self.stopped = True
+def test_a_repeated_batch_is_no_end_of_arrivals():
+    q = Progress((2, 0, True), (2, 0, True), (3, 1, True), (4, 0, True))  # a file is read after the repeated batch
+    queue.until_idle(q, 60)
+    assert q.number == 4 and q.stopped
+
 
-    q = Query()
+def test_a_run_without_batches_ends():
+    q = Progress((3, 0, False))
     queue.until_idle(q, 60)
-    assert q.last == (4, 0) and q.stopped
+    assert q.number == 3 and q.stopped
